@@ -14,14 +14,17 @@ Each view has a Spark builder and the equivalent DuckDB CTE text in
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.columns import basin_key, nan_to_null
-from .session import ensure_conf
+from .functions.columns import basin_key, gauge_suffix, nan_to_null
+from .session import checkpoint_dir, ensure_conf
+from .sinks.tables import materialize
 
 # Fixed values of the fixture definition (FIXTURES.md section 2).
 FIRST_DAY = dt.date(1995, 1, 2)
@@ -35,6 +38,12 @@ FCST_WEIGHT = 0.9          # value = 0.9 * obs(issue + lead) + 0.1 * lead
 FCST_LEAD_BIAS = 0.1
 STATIC_NULL_MOD = 7        # second static element NULL when k % 7 == 0
 NAMED_BELOW = 22           # gauge names exist for k < 22
+# Missing cells of the "holes" weather grid: precip NULL when
+# (day + 3k) % 503 == 0, temp NULL when (day + 7k) % 331 == 0.
+HOLE_PRECIP = (3, 503)
+HOLE_TEMP = (7, 331)
+# Gauge-service text: value "Ice" when (day + k) % 29 == 0.
+ICE_MOD = 29
 # Daily line-item aggregates standing in for the weather variables.
 OBS_VARS = (("p", "precip"), ("t", "temp"), ("s", "net_solar"),
             ("u", "u_wind"), ("v", "v_wind"), ("dp", "dew_point"))
@@ -97,8 +106,23 @@ class Fixtures:
                          F.to_date("o_orderdate").alias("date"))
                 .agg(F.sum("o_totalprice").alias("q")))
 
+    def _landed(self, name: str, build) -> DataFrame:
+        """The view written once as a table under the checkpoint folder.
+
+        Obs, forecast and flow grids are landed source tables in the
+        reference; here they are derived, so they are derived once per
+        scale-factor directory and then read back (pushdown, pruning) by
+        every query instead of being recomputed inside each plan.
+        """
+        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
+        path = f"{checkpoint_dir(self.spark)}/basinflow-views/{key}/{name}"
+        return materialize(build(), path)
+
     @cached_property
     def flow_dense(self) -> DataFrame:
+        return self._landed("flow_dense", self._flow_dense)
+
+    def _flow_dense(self) -> DataFrame:
         grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")))
         return (grid.join(self.flow_daily, ["k", "date"], "left")
                 .select("k",
@@ -138,6 +162,9 @@ class Fixtures:
 
     @cached_property
     def obs(self) -> DataFrame:
+        return self._landed("obs", self._obs)
+
+    def _obs(self) -> DataFrame:
         """``obs(basin_id, date, precip, temp, net_solar, u_wind, v_wind,
         dew_point)`` float32 grid (the last three feed the annual recipe)."""
         grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")))
@@ -148,8 +175,33 @@ class Fixtures:
             *[nan_to_null(F.coalesce(F.col(c), F.lit(0.0))).cast("float").alias(n)
               for c, n in OBS_VARS])
 
+    @cached_property
+    def obs_holes(self) -> DataFrame:
+        """Weather grid with missing cells (precip and temp, different days)."""
+        day = F.datediff("date", F.lit(FIRST_DAY))
+        k = gauge_suffix("basin_id").cast("int")
+
+        def hole(col, rule):
+            return F.when((day + rule[0] * k) % rule[1] != 0, F.col(col)).alias(col)
+
+        return self.obs.select("basin_id", "date", hole("precip", HOLE_PRECIP),
+                               hole("temp", HOLE_TEMP), "net_solar", "u_wind", "v_wind", "dew_point")
+
+    @cached_property
+    def flow_text(self) -> DataFrame:
+        """Gauge-service style text values (cubic feet/s, ``Ice`` when frozen)."""
+        k = F.col("gauge_id").cast("int")
+        ice = (F.datediff("date", F.lit(FIRST_DAY)) + k) % ICE_MOD == 0
+        return self.flow_sparse.select(
+            "gauge_id", "date",
+            F.when(ice, F.lit("Ice"))
+            .otherwise(F.round("streamflow_cms").cast("long").cast("string")).alias("value"))
+
     @cached_property
     def fcst(self) -> DataFrame:
+        return self._landed("fcst", self._fcst)
+
+    def _fcst(self) -> DataFrame:
         """``fcst(basin_id, issue_date, lead_days, precip, temp, net_solar)``.
 
         Every obs row feeds the (issue, lead) cells whose valid date it is.
@@ -224,6 +276,17 @@ SQL_VIEWS: dict[str, str] = {
     "flow_sparse": (
         "SELECT lpad(CAST(k AS VARCHAR), 8, '0') AS gauge_id, date, q AS streamflow_cms "
         "FROM flow_daily"),
+    "obs_holes": (
+        "SELECT basin_id, date, "
+        f"CASE WHEN (date_diff('day', {_d(FIRST_DAY)}, date) + {HOLE_PRECIP[0]} * "
+        f"CAST(string_split(basin_id, '_')[-1] AS INTEGER)) % {HOLE_PRECIP[1]} <> 0 THEN precip END AS precip, "
+        f"CASE WHEN (date_diff('day', {_d(FIRST_DAY)}, date) + {HOLE_TEMP[0]} * "
+        f"CAST(string_split(basin_id, '_')[-1] AS INTEGER)) % {HOLE_TEMP[1]} <> 0 THEN temp END AS temp, "
+        "net_solar, u_wind, v_wind, dew_point FROM obs"),
+    "flow_text": (
+        "SELECT gauge_id, date, CASE WHEN (date_diff('day', "
+        f"{_d(FIRST_DAY)}, date) + CAST(gauge_id AS INTEGER)) % {ICE_MOD} = 0 THEN 'Ice' "
+        "ELSE CAST(CAST(round(streamflow_cms) AS BIGINT) AS VARCHAR) END AS value FROM flow_sparse"),
     "gauges": (
         "SELECT 'camels_' || lpad(CAST(n_nationkey AS VARCHAR), 8, '0') AS gauge_id FROM nation"),
     "obs_daily": (
@@ -266,6 +329,8 @@ _SQL_DEPS = {
     "flow_sparse": ["flow_daily"],
     "obs": ["obs_daily"],
     "fcst": ["obs"],
+    "obs_holes": ["obs"],
+    "flow_text": ["flow_sparse"],
 }
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import gauge_suffix, iso_date
 from .asof import first_leads, nearest_asof
-from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, weekly_bins
+from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, fan_partitions, weekly_bins
 
 SAMPLE_KEYS = ["basin_id", "block", "split", "issue_date"]
 WEATHER3 = ["precip", "temp", "net_solar"]
@@ -139,13 +139,13 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
            .when((F.col("src") == 1) | (F.col("off") < 0), F.lit(1))
            .otherwise(F.lit(2)))
     part = SAMPLE_KEYS + ["src"]
-    fan = weekly_bins(fan.withColumn("seg", seg), part, F.col("seg") == 0, r.week_days)
-    w = Window.partitionBy(*part)
+    fan = weekly_bins(fan.withColumn("seg", seg), part, F.col("seg") == 0, r.week_days,
+                      extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
     fan = fan.select(
         *SAMPLE_KEYS, "src", "seg",
         F.when(F.col("seg") == 0, F.col("bin"))
         .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)).alias("step"),
-        (F.col("n_bins") + F.count(F.when(F.col("seg") > 0, 1)).over(w)).alias("src_len"),
+        (F.col("n_bins") + F.col("n_rest")).alias("src_len"),
         "v0", "v1", "v2")
 
     # Forecast part: nearest issue per sample (J6), its first leads.
@@ -160,7 +160,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
                      "split", "issue_date", F.lit(2).alias("src"), F.lit(2).alias("seg"),
                      (F.col("lead_rank") + r.lead_step0).alias("step"),
                      F.lit(None).cast("long").alias("src_len"), "v0", "v1", "v2")
-             .repartition("basin_id", "block"))
+             .repartition(fan_partitions(fcst.sparkSession), "basin_id", "block"))
 
     rows = fan.unionByName(frows)
     is_w = F.col("src") != 0
@@ -181,6 +181,34 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
     return _gate(steps, r.expected_len, nan_columns(nan_policy, WEATHER3), w2)
 
 
+def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedRecipe(),
+                 block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
+    """The streamflow target sequence alone (weekly ++ daily ++ horizon).
+
+    Output per step: ``basin_id, block, split, issue_date, step, seg, target,
+    len_target, reason`` with ``reason`` in (target_length, missing_values).
+    """
+    r = recipe
+    ser = flow.select(F.col("gauge_id").alias("basin_id"), "date",
+                      F.col("streamflow_cms").cast("double").alias("v0"))
+    fan = fan_out(ser, "basin_id", blocks, stride, r.weekly_lo, r.target_hi, block_days)
+    seg = (F.when(F.col("off") < r.daily_lo, F.lit(0))
+           .when(F.col("off") < 0, F.lit(1)).otherwise(F.lit(2)))
+    fan = weekly_bins(fan.withColumn("seg", seg), SAMPLE_KEYS, F.col("seg") == 0, r.week_days,
+                      extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
+    step = (F.when(F.col("seg") == 0, F.col("bin"))
+            .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)))
+    steps = (fan.groupBy(*SAMPLE_KEYS, step.alias("step"))
+             .agg(F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
+                  F.max(F.col("n_bins") + F.col("n_rest")).alias("_len")))
+    w2 = Window.partitionBy(*SAMPLE_KEYS)
+    steps = steps.withColumn("len_target", F.max("_len").over(w2).cast("int")).drop("_len")
+    return steps.withColumn(
+        "reason",
+        F.when(F.col("len_target") != r.expected_len, F.lit("target_length"))
+        .when(F.count("target").over(w2) != r.expected_len, F.lit("missing_values")))
+
+
 def mixed_samples(flow, obs, fcst, candidates, blocks, stride=5,
                   recipe: MixedRecipe = MixedRecipe(), nan_policy: str = "all",
                   scope: str = "sample", block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:

@@ -52,8 +52,19 @@ def map_rows(blocks: Blocks, stride, lo: int, hi: int) -> int:
     return len(calendar_dates(blocks, stride)) * (hi - lo + 1)
 
 
+def fan_partitions(spark: SparkSession, n: int | None = None) -> int:
+    """Partition count of the (basin, block) exchange.
+
+    Given explicitly: the rows multiply ~50x *after* this exchange, so sizes
+    measured at the exchange (what AQE would coalesce on) say nothing about
+    the work behind it.  A by-number repartition is left alone by AQE.
+    """
+    return int(n or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: int,
-            block_days: int = DEFAULT_BLOCK_DAYS, date_col: str = "date") -> DataFrame:
+            block_days: int = DEFAULT_BLOCK_DAYS, date_col: str = "date",
+            partitions: int | None = None) -> DataFrame:
     """Rows of ``series`` attached to every sample window containing them.
 
     Returns the series columns plus ``block, split, issue_date, off`` where
@@ -73,7 +84,7 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
     b_lo = F.greatest(block_of(F.date_sub(F.col(date_col), hi), block_days), b_min)
     b_hi = F.least(block_of(F.date_sub(F.col(date_col), lo), block_days), b_max)
     s = s.withColumn("block", F.explode(F.sequence(b_lo, b_hi)))
-    s = s.repartition(key, "block")
+    s = s.repartition(fan_partitions(spark, partitions), key, "block")
 
     m = window_map(spark, blocks, stride, lo, hi, block_days)
     if map_rows(blocks, stride, lo, hi) <= MAX_BROADCAST_ROWS:
@@ -81,18 +92,22 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
     return s.join(m, on=[date_col, "block"], how="inner")
 
 
-def weekly_bins(fan: DataFrame, part: list[str], in_week: Column, days: int = 7) -> DataFrame:
+def weekly_bins(fan: DataFrame, part: list[str], in_week: Column, days: int = 7,
+                extra: dict[str, Column] | None = None) -> DataFrame:
     """7-day bins anchored at the first row present in the weekly slice.
 
     Adds ``anchor`` (first present date), ``n_bins`` (``max(bin)+1``, so an
     empty inner bin still counts) and ``bin`` (NULL outside the slice).
+    ``extra`` aggregates over the same partition ride in the same Window
+    operator (one sort, one pass).
     """
     w = Window.partitionBy(*part)
     wk_date = F.when(in_week, F.col("date"))
-    anchor = F.min(wk_date).over(w)
-    last = F.max(wk_date).over(w)
-    return (fan.withColumn("anchor", anchor)
-            .withColumn("n_bins", F.coalesce(
-                F.floor(F.datediff(last, F.col("anchor")) / days) + 1, F.lit(0)).cast("int"))
+    more = [agg.over(w).alias(name) for name, agg in (extra or {}).items()]
+    fan = fan.select("*", F.min(wk_date).over(w).alias("anchor"),
+                     F.max(wk_date).over(w).alias("_wk_last"), *more)
+    return (fan.withColumn("n_bins", F.coalesce(
+                F.floor(F.datediff("_wk_last", "anchor") / days) + 1, F.lit(0)).cast("int"))
             .withColumn("bin", F.when(in_week, F.floor(
-                F.datediff("date", "anchor") / days).cast("int"))))
+                F.datediff("date", "anchor") / days).cast("int")))
+            .drop("_wk_last"))

@@ -120,3 +120,40 @@ def annual_ctes(flow: str = "flow_dense", obs: str = "obs") -> dict[str, str]:
             "OR isnan(target) OR isinf(target) THEN 1 ELSE 0 END) OVER s AS bad "
             "FROM asteps WINDOW s AS (PARTITION BY basin_id, split, issue_date))"),
     }
+
+
+def target_ctes(flow: str = "flow") -> dict[str, str]:
+    """U2 (streamflow-only sample steps) and the persistence predictions."""
+    return {
+        "tcal": calendar_sql(MIXED_BLOCKS, 5),
+        "tfan": (
+            "SELECT f.gauge_id AS basin_id, c.split, c.issue_date, f.date, "
+            "CAST(f.streamflow_cms AS DOUBLE) AS v0, "
+            "CAST(date_diff('day', c.issue_date, f.date) AS INTEGER) AS off "
+            f"FROM tcal c JOIN {flow} f ON f.date BETWEEN c.issue_date - 305 AND c.issue_date + 10"),
+        "tbins": (
+            "SELECT *, MIN(CASE WHEN seg = 0 THEN date END) OVER w AS anchor, "
+            "MAX(CASE WHEN seg = 0 THEN date END) OVER w AS wk_last, "
+            "COUNT(CASE WHEN seg > 0 THEN 1 END) OVER w AS n_rest "
+            "FROM (SELECT *, CASE WHEN off < -60 THEN 0 WHEN off < 0 THEN 1 ELSE 2 END AS seg FROM tfan) "
+            "WINDOW w AS (PARTITION BY basin_id, split, issue_date)"),
+        "tsteps": (
+            "SELECT basin_id, split, issue_date, "
+            "CASE WHEN seg = 0 THEN CAST(floor(date_diff('day', anchor, date) / 7) AS INTEGER) "
+            "ELSE off + 95 END AS step, MAX(seg) AS seg, CAST(AVG(v0) AS FLOAT) AS target, "
+            "MAX(COALESCE(CAST(floor(date_diff('day', anchor, wk_last) / 7) AS BIGINT) + 1, 0) + n_rest) AS l "
+            "FROM tbins GROUP BY ALL"),
+        "target": (
+            "SELECT *, CASE WHEN len_target <> 106 THEN 'target_length' "
+            "WHEN cq <> 106 THEN 'missing_values' END AS reason "
+            "FROM (SELECT *, CAST(MAX(l) OVER s AS INTEGER) AS len_target, COUNT(target) OVER s AS cq "
+            "FROM tsteps WINDOW s AS (PARTITION BY basin_id, split, issue_date))"),
+        "tscale": (
+            "SELECT AVG(CAST(target AS DOUBLE)) AS m, STDDEV_POP(CAST(target AS DOUBLE)) AS sd "
+            "FROM target WHERE reason IS NULL AND split = 'train'"),
+        "pred": (
+            "SELECT basin_id, split, issue_date, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+            "CAST(target AS DOUBLE) AS y, COALESCE(LAG(CAST(target AS DOUBLE)) OVER "
+            "(PARTITION BY basin_id, split, issue_date ORDER BY step), CAST(target AS DOUBLE)) AS y_hat "
+            "FROM target WHERE reason IS NULL AND split = 'test'"),
+    }

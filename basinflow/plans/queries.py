@@ -64,3 +64,253 @@ def q_mixed_samples(spark, sf_dir):
     out = smp.apply_scope(mixed_steps(f), "sample")
     return out.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
                       "step", "flag", *[r4(c) for c in WEATHER3 + ["target"]])
+
+
+# --------------------------------------------------------------------------
+# projections, filters, predicates
+# --------------------------------------------------------------------------
+
+SLICE = ("1999-01-01", "1999-12-31")
+
+
+@register("date_slice", with_views(
+    "SELECT basin_id, strftime(date, '%Y-%m-%d') AS date, "
+    + ", ".join(osql.r4(c) for c in WEATHER3)
+    + f" FROM obs WHERE date BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'", "obs"))
+def q_date_slice(spark, sf_dir):
+    """Inclusive date range, variable projection (pushed to the scan)."""
+    f = Fixtures(spark, sf_dir)
+    o = f.obs.where(F.col("date").between(F.lit(SLICE[0]).cast("date"), F.lit(SLICE[1]).cast("date")))
+    return o.select("basin_id", iso_date("date").alias("date"), *[r4(c) for c in WEATHER3])
+
+
+@register("gauge_suffix", with_views(
+    "SELECT gauge_id, string_split(gauge_id, '_')[-1] AS suffix, "
+    "'camels_' || string_split(gauge_id, '_')[-1] AS basin_key, "
+    "TRY_CAST(string_split(gauge_id, '_')[-1] AS INTEGER) AS gauge_int FROM gauges", "gauges"))
+def q_gauge_suffix(spark, sf_dir):
+    """Id from a prefixed key, key from an id, integer lookup key."""
+    from ..functions.columns import basin_key, gauge_int
+    g = Fixtures(spark, sf_dir).gauges
+    return g.select("gauge_id", gauge_suffix("gauge_id").alias("suffix"),
+                    basin_key(gauge_suffix("gauge_id")).alias("basin_key"),
+                    gauge_int(gauge_suffix("gauge_id")).alias("gauge_int"))
+
+
+@register("cfs_to_cms", with_views(
+    "SELECT gauge_id, strftime(date, '%Y-%m-%d') AS date, "
+    "round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms "
+    "FROM flow_text WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL", "flow_text"))
+def q_cfs_to_cms(spark, sf_dir):
+    """Text to number (``Ice`` -> missing), drop missing, cfs -> cms."""
+    from ..functions.columns import cfs_to_cms, to_number
+    t = Fixtures(spark, sf_dir).flow_text
+    v = t.select("gauge_id", "date", to_number("value").alias("cfs")).dropna(subset=["cfs"])
+    return v.select("gauge_id", iso_date("date").alias("date"),
+                    F.round(cfs_to_cms("cfs"), 4).alias("streamflow_cms"))
+
+
+@register("date_parts", with_views(
+    "SELECT gauge_id AS site_no, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
+    "CAST(day(date) AS INTEGER) AS day, round(streamflow_cms, 4) AS streamflow, "
+    "strftime(make_date(year(date), month(date), day(date)), '%Y-%m-%d') AS datetime "
+    "FROM flow_dense WHERE date BETWEEN DATE '1981-01-01' AND DATE '2011-01-31'", "flow_dense"))
+def q_date_parts(spark, sf_dir):
+    """Site id column, date parts, date rebuilt from parts."""
+    from ..functions.columns import date_from_parts
+    fl = Fixtures(spark, sf_dir).flow_dense.where(
+        F.col("date").between(F.lit("1981-01-01").cast("date"), F.lit("2011-01-31").cast("date")))
+    p = fl.select(F.col("gauge_id").alias("site_no"), F.year("date").alias("year"),
+                  F.month("date").alias("month"), F.dayofmonth("date").alias("day"),
+                  F.round("streamflow_cms", 4).alias("streamflow"))
+    return p.withColumn("datetime", iso_date(date_from_parts("year", "month", "day")))
+
+
+@register("missing_flags", with_views(
+    "SELECT basin_id, COUNT(*) AS n_cells, "
+    "COUNT(*) FILTER (WHERE precip IS NULL OR isnan(precip)) AS n_missing_precip, "
+    "COUNT(*) FILTER (WHERE temp IS NULL OR isnan(temp) OR isinf(temp)) AS n_missing_temp "
+    "FROM obs_holes GROUP BY basin_id", "obs_holes"))
+def q_missing_flags(spark, sf_dir):
+    """NaN/NULL (and Inf) predicate, counted per basin."""
+    from ..functions.columns import is_missing
+    o = Fixtures(spark, sf_dir).obs_holes
+    return o.groupBy("basin_id").agg(
+        F.count(F.lit(1)).alias("n_cells"),
+        F.count(F.when(is_missing("precip"), 1)).alias("n_missing_precip"),
+        F.count(F.when(is_missing("temp", check_inf=True), 1)).alias("n_missing_temp"))
+
+
+@register("segment_flag", with_views(
+    "SELECT split, flag, COUNT(*) AS n_steps FROM mixed WHERE reason IS NULL GROUP BY split, flag",
+    "gauges", "flow", "obs", "fcst", extra=osql.mixed_ctes()))
+def q_segment_flag(spark, sf_dir):
+    """Weather segment flag 0/1/2 of accepted steps, counted per split."""
+    s = smp.apply_scope(mixed_steps(Fixtures(spark, sf_dir)), "sample")
+    return s.groupBy("split", "flag").agg(F.count(F.lit(1)).alias("n_steps"))
+
+
+# --------------------------------------------------------------------------
+# calendars and the candidate grid
+# --------------------------------------------------------------------------
+
+def _cal_with_flow(spark, f: Fixtures, blocks, stride) -> DataFrame:
+    per_day = f.flow.groupBy("date").agg(F.count(F.lit(1)).alias("n_gauges"))
+    c = cal.issue_calendar(spark, blocks, stride)
+    return (c.join(per_day, c.issue_date == per_day.date, "left")
+            .select("split", iso_date("issue_date").alias("issue_date"),
+                    F.coalesce("n_gauges", F.lit(0)).alias("n_gauges")))
+
+
+_CAL_FLOW_SQL = ("SELECT c.split, strftime(c.issue_date, '%Y-%m-%d') AS issue_date, "
+                 "COALESCE(n.n_gauges, 0) AS n_gauges FROM c LEFT JOIN "
+                 "(SELECT date, COUNT(*) AS n_gauges FROM flow GROUP BY date) n ON n.date = c.issue_date")
+
+
+@register("issue_calendar", with_views(_CAL_FLOW_SQL, "flow",
+                                       extra={"c": fx.calendar_sql(MIXED_BLOCKS, 5)}))
+def q_issue_calendar(spark, sf_dir):
+    """5-day issue calendar per split, with the gauges reporting that day."""
+    return _cal_with_flow(spark, Fixtures(spark, sf_dir), MIXED_BLOCKS, 5)
+
+
+@register("issue_calendar_years", with_views(_CAL_FLOW_SQL, "flow",
+                                             extra={"c": fx.calendar_sql(fx.ANNUAL_BLOCKS, "year-start")}))
+def q_issue_calendar_years(spark, sf_dir):
+    """Year-start issue calendar."""
+    return _cal_with_flow(spark, Fixtures(spark, sf_dir), fx.ANNUAL_BLOCKS, "year-start")
+
+
+@register("split_assignment", with_views(
+    "SELECT gauge_id, COALESCE(CASE "
+    + " ".join(f"WHEN date BETWEEN DATE '{a}' AND DATE '{b}' THEN '{s}'" for s, (a, b) in MIXED_BLOCKS.items())
+    + " END, 'none') AS split, COUNT(*) AS n_days FROM flow GROUP BY ALL", "flow"))
+def q_split_assignment(spark, sf_dir):
+    """C4: split of an arbitrary date (flow days per gauge and split)."""
+    fl = Fixtures(spark, sf_dir).flow
+    sp = F.coalesce(cal.split_of("date", MIXED_BLOCKS), F.lit("none"))
+    return fl.groupBy("gauge_id", sp.alias("split")).agg(F.count(F.lit(1)).alias("n_days"))
+
+
+@register("candidates", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date FROM cand",
+    "gauges", "flow", extra={"cal": fx.calendar_sql(MIXED_BLOCKS, 5),
+                             "cand": osql.mixed_ctes()["cand"]}))
+def q_candidates(spark, sf_dir):
+    """C3 + J9: gauges with flow x issue calendar (generated, no join)."""
+    c = mixed_candidates(Fixtures(spark, sf_dir))
+    return c.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"))
+
+
+# --------------------------------------------------------------------------
+# window joins
+# --------------------------------------------------------------------------
+
+def _flow_window_stats(spark, sf_dir, lo, hi, blocks=MIXED_BLOCKS, stride=5, dense=False):
+    from ..operators.windows import fan_out
+    f = Fixtures(spark, sf_dir)
+    fl = f.flow_dense if dense else f.flow
+    ser = fl.select(F.col("gauge_id").alias("basin_id"), "date", "streamflow_cms")
+    fan = fan_out(ser, "basin_id", blocks, stride, lo, hi)
+    return fan.groupBy("basin_id", "block", "split", "issue_date").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.date_format(F.min("date"), "yyyy-MM-dd").alias("first_date"),
+        F.date_format(F.max("date"), "yyyy-MM-dd").alias("last_date"),
+        F.round(F.sum("streamflow_cms"), 2).alias("total")
+    ).select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+             "n_rows", "first_date", "last_date", "total")
+
+
+def _flow_window_sql(lo, hi, cal_sql, flow="flow"):
+    return with_views(
+        "SELECT f.gauge_id AS basin_id, c.split, strftime(c.issue_date, '%Y-%m-%d') AS forecast_date, "
+        "COUNT(*) AS n_rows, strftime(MIN(f.date), '%Y-%m-%d') AS first_date, "
+        "strftime(MAX(f.date), '%Y-%m-%d') AS last_date, round(SUM(f.streamflow_cms), 2) AS total "
+        f"FROM c JOIN {flow} f ON f.date BETWEEN c.issue_date + ({lo}) AND c.issue_date + ({hi}) "
+        "GROUP BY ALL", flow, extra={"c": cal_sql})
+
+
+@register("weekly_rows", _flow_window_sql(-305, -61, fx.calendar_sql(MIXED_BLOCKS, 5)))
+def q_weekly_rows(spark, sf_dir):
+    """Look-back slice t0-305 .. t0-61 of every sample."""
+    return _flow_window_stats(spark, sf_dir, -305, -61)
+
+
+@register("daily_rows", _flow_window_sql(-60, -1, fx.calendar_sql(MIXED_BLOCKS, 5)))
+def q_daily_rows(spark, sf_dir):
+    """Daily slice t0-60 .. t0-1 (streamflow side)."""
+    return _flow_window_stats(spark, sf_dir, -60, -1)
+
+
+@register("horizon_rows", _flow_window_sql(0, 10, fx.calendar_sql(MIXED_BLOCKS, 5)))
+def q_horizon_rows(spark, sf_dir):
+    """Horizon slice t0 .. t0+10."""
+    return _flow_window_stats(spark, sf_dir, 0, 10)
+
+
+@register("annual_rows", _flow_window_sql(-365, 0, fx.calendar_sql(fx.ANNUAL_BLOCKS, "year-start"),
+                                          flow="flow_dense"))
+def q_annual_rows(spark, sf_dir):
+    """Annual slice t0-365 .. t0 at year starts."""
+    return _flow_window_stats(spark, sf_dir, -365, 0, fx.ANNUAL_BLOCKS, "year-start", dense=True)
+
+
+def _near(f: Fixtures) -> DataFrame:
+    from ..operators.asof import nearest_asof
+    fc = f.fcst.select(gauge_suffix("basin_id").alias("basin_id"), "issue_date")
+    return nearest_asof(mixed_candidates(f), fc, "basin_id", "issue_date", "issue_date", out="fc_issue")
+
+
+_NEAR_CTES = {k: v for k, v in osql.mixed_ctes().items() if k in ("cal", "cand", "fi", "prv", "nxt", "near")}
+
+
+@register("nearest_issue", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, "
+    "strftime(fc_issue, '%Y-%m-%d') AS fc_issue, CAST(date_diff('day', issue_date, fc_issue) AS INTEGER) AS diff_days "
+    "FROM near", "gauges", "flow", "fcst", extra=_NEAR_CTES))
+def q_nearest_issue(spark, sf_dir):
+    """Nearest forecast issue in either direction, ties to the later one."""
+    n = _near(Fixtures(spark, sf_dir))
+    return n.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+                    iso_date("fc_issue").alias("fc_issue"),
+                    F.datediff("fc_issue", "issue_date").alias("diff_days"))
+
+
+_LEAD_SQL = ("SELECT n.basin_id, n.split, strftime(n.issue_date, '%Y-%m-%d') AS forecast_date, "
+             "CAST(l.lead_rank AS INTEGER) AS lead_rank, l.lead_days, "
+             "strftime(CAST(l.issue_date + l.lead_days AS DATE), '%Y-%m-%d') AS valid_date, "
+             "CAST(date_diff('day', n.issue_date, CAST(l.issue_date + l.lead_days AS DATE)) AS INTEGER) AS days_ahead{vals} "
+             "FROM near n JOIN leads l ON l.basin_id = n.basin_id AND l.issue_date = n.fc_issue "
+             "WHERE l.lead_rank <= 10")
+
+
+def _leads(spark, sf_dir, with_values: bool):
+    from ..operators.asof import first_leads, valid_time
+    f = Fixtures(spark, sf_dir)
+    fc = f.fcst.withColumn("basin_id", gauge_suffix("basin_id"))
+    leads = first_leads(fc, "basin_id", 10).withColumnRenamed("issue_date", "fc_issue")
+    j = _near(f).join(leads, ["basin_id", "fc_issue"])
+    vd = valid_time("fc_issue", "lead_days")
+    cols = ["basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+            F.col("lead_rank").cast("int").alias("lead_rank"), "lead_days",
+            iso_date(vd).alias("valid_date"), F.datediff(vd, "issue_date").alias("days_ahead")]
+    if with_values:
+        cols += [r4(c) for c in WEATHER3]
+    return j.select(*cols)
+
+
+_LEAD_CTES = dict(_NEAR_CTES, leads=osql.mixed_ctes()["leads"])
+
+
+@register("first_leads", with_views(
+    _LEAD_SQL.format(vals=", " + ", ".join(osql.r4(f"l.v{i}", c) for i, c in enumerate(WEATHER3))),
+    "gauges", "flow", "fcst", extra=_LEAD_CTES))
+def q_first_leads(spark, sf_dir):
+    """First 10 leads of the matched forecast, with values."""
+    return _leads(spark, sf_dir, True)
+
+
+@register("valid_time", with_views(_LEAD_SQL.format(vals=""), "gauges", "flow", "fcst", extra=_LEAD_CTES))
+def q_valid_time(spark, sf_dir):
+    """valid date = matched issue + lead, replacing the lead axis."""
+    return _leads(spark, sf_dir, False)
