@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .functions.columns import basin_key, gauge_suffix, nan_to_null
 from .session import checkpoint_dir, ensure_conf
-from .sinks.tables import materialize
+from .sinks.tables import committed, materialize
 
 # Fixed values of the fixture definition (FIXTURES.md section 2).
 FIRST_DAY = dt.date(1995, 1, 2)
@@ -42,8 +42,10 @@ NAMED_BELOW = 22           # gauge names exist for k < 22
 # (day + 3k) % 503 == 0, temp NULL when (day + 7k) % 331 == 0.
 HOLE_PRECIP = (3, 503)
 HOLE_TEMP = (7, 331)
-# Gauge-service text: value "Ice" when (day + k) % 29 == 0.
+# Gauge-service text: value "Ice" when (day + k) % 29 == 0; the files of
+# gauges with k % 12 == 11 carry no discharge column (and are skipped).
 ICE_MOD = 29
+RDB_NO_VALUE = (12, 11)
 # Daily line-item aggregates standing in for the weather variables.
 OBS_VARS = (("p", "precip"), ("t", "temp"), ("s", "net_solar"),
             ("u", "u_wind"), ("v", "v_wind"), ("dp", "dew_point"))
@@ -197,6 +199,59 @@ class Fixtures:
             F.when(ice, F.lit("Ice"))
             .otherwise(F.round("streamflow_cms").cast("long").cast("string")).alias("value"))
 
+    # -- landed text files (S3, S4, S6) ------------------------------------------
+    def _land_path(self, name: str) -> str:
+        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
+        return f"{checkpoint_dir(self.spark)}/basinflow-landed/{key}/{name}"
+
+    @cached_property
+    def flow_csv_dir(self) -> str:
+        """One CSV (``date,streamflow``) per gauge under ``site=camels_<id>/``."""
+        path = self._land_path("flow_csv")
+        if not committed(self.spark, path):
+            (self.flow_dense.select(basin_key("gauge_id").alias("site"), "date",
+                                    F.col("streamflow_cms").alias("streamflow"))
+             .repartition("site").write.mode("overwrite").partitionBy("site")
+             .option("header", True).csv(path))
+        return path
+
+    @cached_property
+    def rdb_dir(self) -> str:
+        """Gauge-service text, one file per gauge: comments, name row, format row, data."""
+        path = self._land_path("rdb")
+        if committed(self.spark, path):
+            return path
+        t = self.flow_text.withColumn("k", F.col("gauge_id").cast("int"))
+        no_value = (F.col("k") % RDB_NO_VALUE[0]) == RDB_NO_VALUE[1]
+        g = t.select("gauge_id", "k").distinct()
+        head = g.select("gauge_id", F.explode(F.array(
+            F.struct(F.lit(0).alias("ord"), F.lit("# data provided by a gauge service").alias("line")),
+            F.struct(F.lit(1), F.concat(F.lit("# site "), F.col("gauge_id"))),
+            F.struct(F.lit(2), F.when(no_value, F.lit("agency_cd\tsite_no\tdatetime\tcode"))
+                     .otherwise(F.lit("agency_cd\tsite_no\tdatetime\t01_00060_00003\t"
+                                      "01_00060_00003_cd\t02_00065_00003"))),
+            F.struct(F.lit(3), F.when(no_value, F.lit("5s\t15s\t20d\t10s"))
+                     .otherwise(F.lit("5s\t15s\t20d\t14n\t10s\t14n"))))).alias("r"))
+        head = head.select("gauge_id", F.col("r.ord").alias("ord"), F.col("r.line").alias("line"))
+        body = t.select("gauge_id", (F.unix_date("date") + 10).alias("ord"), F.when(
+            no_value, F.concat_ws("\t", F.lit("USGS"), "gauge_id", F.col("date").cast("string"), F.lit("A")))
+            .otherwise(F.concat_ws("\t", F.lit("USGS"), "gauge_id", F.col("date").cast("string"),
+                                   "value", F.lit("A"), F.lit("1.5"))).alias("line"))
+        (head.unionByName(body).withColumn("site", basin_key("gauge_id"))
+         .repartition("site").sortWithinPartitions("site", "ord")
+         .select("site", F.col("line").alias("value"))
+         .write.mode("overwrite").partitionBy("site").text(path))
+        return path
+
+    @cached_property
+    def names_csv(self) -> str:
+        """``gauge_id;gauge_name`` with header."""
+        path = self._land_path("names")
+        if not committed(self.spark, path):
+            (self.gauge_names.write.mode("overwrite").option("header", True)
+             .option("sep", ";").csv(path))
+        return path
+
     @cached_property
     def fcst(self) -> DataFrame:
         return self._landed("fcst", self._fcst)

@@ -314,3 +314,210 @@ def q_first_leads(spark, sf_dir):
 def q_valid_time(spark, sf_dir):
     """valid date = matched issue + lead, replacing the lead axis."""
     return _leads(spark, sf_dir, False)
+
+
+# --------------------------------------------------------------------------
+# joins with lookups
+# --------------------------------------------------------------------------
+
+_STATIC_STATS_SQL = (
+    "SELECT i AS idx, AVG(x) AS mean, STDDEV_POP(x) AS std FROM "
+    "(SELECT features[i] AS x, i - 1 AS i FROM static, range(1, 5) r(i)) "
+    "WHERE x IS NOT NULL AND NOT isnan(x) GROUP BY i")
+
+
+@register("fit_static_scaler", with_views(
+    "SELECT CAST(idx AS INTEGER) AS idx, round(mean, 4) AS mean, round(std, 4) AS std FROM st",
+    "static", extra={"st": _STATIC_STATS_SQL}))
+def q_fit_static_scaler(spark, sf_dir):
+    """Per-position nan-mean / population nan-std of the static vectors."""
+    from ..operators.scaling import fit_static_scaler
+    st = fit_static_scaler(Fixtures(spark, sf_dir).static)
+    return st.select(F.col("idx").cast("int").alias("idx"), r4("mean"), r4("std"))
+
+
+@register("attach_static", with_views(
+    "SELECT c.basin_id, c.split, strftime(c.issue_date, '%Y-%m-%d') AS forecast_date, "
+    + ", ".join(
+        f"round((s.features[{i + 1}] - (SELECT mean FROM st WHERE idx = {i})) / "
+        f"((SELECT std FROM st WHERE idx = {i}) + 1e-6), 6) AS s{i}" for i in range(4))
+    + " FROM cand c JOIN static s ON s.gauge_id = c.basin_id",
+    "gauges", "flow", "static", extra={"cal": fx.calendar_sql(MIXED_BLOCKS, 5),
+                                       "cand": osql.mixed_ctes()["cand"], "st": _STATIC_STATS_SQL}))
+def q_attach_static(spark, sf_dir):
+    """J7 + F1: normalised static vector attached to every candidate sample."""
+    from ..operators.scaling import attach_static, fit_static_scaler, normalize_static
+    f = Fixtures(spark, sf_dir)
+    st = normalize_static(f.static, fit_static_scaler(f.static))
+    j = attach_static(mixed_candidates(f), st, "basin_id", "gauge_id", how="error")
+    return j.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+                    *[F.round(F.col("features")[i], 6).alias(f"s{i}") for i in range(4)])
+
+
+@register("gauge_names", with_views(
+    "SELECT g.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name FROM "
+    "(SELECT DISTINCT string_split(gauge_id, '_')[-1] AS basin_id FROM gauges) g "
+    "LEFT JOIN (SELECT gauge_id, MIN(gauge_name) AS gauge_name FROM gauge_names GROUP BY 1) n "
+    "ON n.gauge_id = TRY_CAST(g.basin_id AS INTEGER)", "gauges", "gauge_names"))
+def q_gauge_names(spark, sf_dir):
+    """J8 + S6: name lookup on the integer id via the landed ``;`` file."""
+    from ..operators.evaluate import with_gauge_name
+    from ..sources.readers import read_gauge_names
+    f = Fixtures(spark, sf_dir)
+    names = read_gauge_names(spark, f.names_csv)
+    g = f.gauges.select(gauge_suffix("gauge_id").alias("basin_id")).distinct()
+    return with_gauge_name(g, names, "basin_id").select("basin_id", "gauge_name")
+
+
+MIN_END = "2001-07-25"
+
+_PARSED_FLOW_SQL = ("SELECT gauge_id, date, TRY_CAST(value AS DOUBLE) * 0.0283168 AS streamflow_cms "
+                    "FROM flow_text WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL")
+_COVER_SQL = ("SELECT gauge_id, COUNT(*) AS n_rows, MAX(date) AS last_date, "
+              f"CASE WHEN MAX(date) < DATE '{MIN_END}' THEN 'stale' END AS reason FROM pf GROUP BY gauge_id")
+
+
+def _parsed_flow(f: Fixtures) -> DataFrame:
+    from ..functions.columns import cfs_to_cms, to_number
+    return f.flow_text.select("gauge_id", "date", cfs_to_cms(to_number("value")).alias("streamflow_cms"))
+
+
+@register("usable_gauges", with_views(
+    "SELECT g.gauge_id, c.n_rows, strftime(c.last_date, '%Y-%m-%d') AS last_date FROM "
+    "(SELECT string_split(gauge_id, '_')[-1] AS gauge_id FROM gauges) g JOIN cov c "
+    "ON c.gauge_id = g.gauge_id WHERE c.reason IS NULL", "gauges", "flow_text",
+    extra={"pf": _PARSED_FLOW_SQL, "cov": _COVER_SQL}))
+def q_usable_gauges(spark, sf_dir):
+    """Gauges whose record is non-empty and reaches the required end."""
+    from ..operators.quality import coverage
+    f = Fixtures(spark, sf_dir)
+    g = f.gauges.select(gauge_suffix("gauge_id").alias("gauge_id"))
+    cov = coverage(_parsed_flow(f), MIN_END)
+    good = g.join(cov.where(F.col("reason").isNull()), "gauge_id")
+    return good.select("gauge_id", "n_rows", iso_date("last_date").alias("last_date"))
+
+
+@register("skipped_gauges", with_views(
+    "SELECT g.gauge_id, COALESCE(c.reason, 'no_data') AS reason, "
+    "strftime(c.last_date, '%Y-%m-%d') AS last_date FROM "
+    "(SELECT string_split(gauge_id, '_')[-1] AS gauge_id FROM gauges) g LEFT JOIN cov c "
+    "ON c.gauge_id = g.gauge_id WHERE c.reason IS NOT NULL OR c.gauge_id IS NULL",
+    "gauges", "flow_text", extra={"pf": _PARSED_FLOW_SQL, "cov": _COVER_SQL}))
+def q_skipped_gauges(spark, sf_dir):
+    """Gauges without usable streamflow and why (anti-join)."""
+    from ..operators.quality import skipped_gauges
+    f = Fixtures(spark, sf_dir)
+    g = f.gauges.select(gauge_suffix("gauge_id").alias("gauge_id"))
+    s = skipped_gauges(g, _parsed_flow(f), MIN_END)
+    return s.select("gauge_id", "reason", iso_date("last_date").alias("last_date"))
+
+
+# --------------------------------------------------------------------------
+# target side, batches and resume
+# --------------------------------------------------------------------------
+
+def target_steps(f: Fixtures) -> DataFrame:
+    return smp.target_steps(f.flow, MIXED_BLOCKS, 5)
+
+
+def accepted_targets(f: Fixtures) -> DataFrame:
+    """Samples whose streamflow side passes both gates (one row per sample)."""
+    st = target_steps(f).where(F.col("reason").isNull())
+    return (st.groupBy("basin_id", "block", "split", "issue_date").agg(F.count(F.lit(1)).alias("n"))
+            .select("basin_id", "split", "issue_date", iso_date("issue_date").alias("forecast_date")))
+
+
+_TARGET = osql.target_ctes()
+
+
+@register("target_segments", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, seg, "
+    + osql.r4("target") + " FROM target WHERE reason IS NULL", "flow", extra=_TARGET))
+def q_target_segments(spark, sf_dir):
+    """Weekly ++ daily ++ horizon streamflow of every valid sample."""
+    st = target_steps(Fixtures(spark, sf_dir)).where(F.col("reason").isNull())
+    return st.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+                     "step", "seg", r4("target"))
+
+
+@register("resample_weekly", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, "
+    "CAST(floor(date_diff('day', anchor, date) / 7) AS INTEGER) AS bin, "
+    "strftime(MIN(anchor), '%Y-%m-%d') AS anchor, COUNT(*) AS n_days, round(AVG(v0), 4) AS mean_flow "
+    "FROM tbins WHERE seg = 0 GROUP BY basin_id, split, issue_date, bin", "flow", extra=_TARGET))
+def q_resample_weekly(spark, sf_dir):
+    """7-day means anchored at the first present day of the slice."""
+    from ..operators.samples import SAMPLE_KEYS
+    from ..operators.windows import fan_out, weekly_bins
+    f = Fixtures(spark, sf_dir)
+    ser = f.flow.select(F.col("gauge_id").alias("basin_id"), "date", "streamflow_cms")
+    fan = fan_out(ser, "basin_id", MIXED_BLOCKS, 5, -305, 10)
+    fan = weekly_bins(fan, SAMPLE_KEYS, F.col("off") < -60).where(F.col("bin").isNotNull())
+    g = fan.groupBy(*SAMPLE_KEYS, "bin").agg(
+        F.min("anchor").alias("anchor"), F.count(F.lit(1)).alias("n_days"),
+        F.round(F.avg("streamflow_cms"), 4).alias("mean_flow"))
+    return g.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "bin",
+                    iso_date("anchor").alias("anchor"), "n_days", "mean_flow")
+
+
+_BATCH_SQL = ("SELECT *, CAST(floor((rn - 1) / {size}) AS INTEGER) AS batch_id, "
+              "CAST((rn - 1) % {size} AS INTEGER) AS pos_in_batch FROM (SELECT basin_id, split, issue_date, "
+              "ROW_NUMBER() OVER (PARTITION BY split ORDER BY basin_id, issue_date) AS rn "
+              "FROM target WHERE reason IS NULL GROUP BY basin_id, split, issue_date)")
+
+
+def _batched(f: Fixtures, size: int) -> DataFrame:
+    from ..operators.ranking import assign_batches
+    return assign_batches(accepted_targets(f), size, ["basin_id", "issue_date"], within=["split"])
+
+
+@register("assign_batches", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, batch_id, pos_in_batch, "
+    "split || '_data_batch' || lpad(CAST(batch_id AS VARCHAR), 5, '0') AS file_name FROM b",
+    "flow", extra=dict(_TARGET, b=_BATCH_SQL.format(size=200))))
+def q_assign_batches(spark, sf_dir):
+    """200 samples per numbered batch file within each split."""
+    from ..operators.ranking import batch_names
+    b = batch_names(_batched(Fixtures(spark, sf_dir), 200))
+    return b.select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch", "file_name")
+
+
+@register("shuffle_batches", None)
+def q_shuffle_batches(spark, sf_dir):
+    """Per-epoch shuffled batches of 16 (hash order; rows-only check)."""
+    from ..operators.ranking import assign_batches, shuffle_key
+    s = accepted_targets(Fixtures(spark, sf_dir)).withColumn(
+        "_h", shuffle_key(["basin_id", "forecast_date"], seed=1))
+    b = assign_batches(s, 16, ["_h", "basin_id", "issue_date"], within=["split"])
+    return b.select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch")
+
+
+_DONE_BATCHES = 10
+
+
+@register("resume", with_views(
+    "SELECT c.basin_id, c.split, strftime(c.issue_date, '%Y-%m-%d') AS forecast_date FROM cand c "
+    f"ANTI JOIN (SELECT * FROM b WHERE split = 'train' AND batch_id < {_DONE_BATCHES}) d "
+    "ON d.basin_id = c.basin_id AND d.split = c.split AND d.issue_date = c.issue_date",
+    "gauges", "flow", extra=dict(_TARGET, cal=fx.calendar_sql(MIXED_BLOCKS, 5),
+                                 cand=osql.mixed_ctes()["cand"], b=_BATCH_SQL.format(size=200))))
+def q_resume(spark, sf_dir):
+    """Candidates left after an earlier run wrote the first train batches."""
+    from ..operators.ranking import resume_candidates
+    f = Fixtures(spark, sf_dir)
+    done = _batched(f, 200).where((F.col("split") == "train") & (F.col("batch_id") < _DONE_BATCHES))
+    r = resume_candidates(mixed_candidates(f), done)
+    return r.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"))
+
+
+@register("resume_state", with_views(
+    "SELECT s.split, l.basin_id AS last_basin, strftime(l.issue_date, '%Y-%m-%d') AS last_date, "
+    "COALESCE(l.batch_id + 1, 0) AS next_batch FROM (VALUES ('train'), ('validation'), ('test'), ('holdout')) s(split) "
+    "LEFT JOIN (SELECT split, arg_max(basin_id, rn) AS basin_id, arg_max(issue_date, rn) AS issue_date, "
+    "MAX(batch_id) AS batch_id FROM b GROUP BY split) l ON l.split = s.split",
+    "flow", extra=dict(_TARGET, b=_BATCH_SQL.format(size=200))))
+def q_resume_state(spark, sf_dir):
+    """Last written key and next batch number per split (0 if none)."""
+    from ..operators.ranking import resume_state
+    b = _batched(Fixtures(spark, sf_dir), 200)
+    return resume_state(b, ["train", "validation", "test", "holdout"])
