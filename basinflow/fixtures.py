@@ -38,10 +38,12 @@ FCST_WEIGHT = 0.9          # value = 0.9 * obs(issue + lead) + 0.1 * lead
 FCST_LEAD_BIAS = 0.1
 STATIC_NULL_MOD = 7        # second static element NULL when k % 7 == 0
 NAMED_BELOW = 22           # gauge names exist for k < 22
-# Missing cells of the "holes" weather grid: precip NULL when
-# (day + 3k) % 503 == 0, temp NULL when (day + 7k) % 331 == 0.
-HOLE_PRECIP = (3, 503)
-HOLE_TEMP = (7, 331)
+# Missing cells of the "holes" weather grid: for basins with k % 5 == 1
+# precip is NULL when (day + 3k) % 503 == 0; for k % 5 == 2 temp is NULL
+# when (day + 7k) % 331 == 0.  Other basins are complete.
+HOLE_PRECIP = (3, 503, 1)
+HOLE_TEMP = (7, 331, 2)
+HOLE_BASIN_MOD = 5
 # Gauge-service text: value "Ice" when (day + k) % 29 == 0; the files of
 # gauges with k % 12 == 11 carry no discharge column (and are skipped).
 ICE_MOD = 29
@@ -184,7 +186,8 @@ class Fixtures:
         k = gauge_suffix("basin_id").cast("int")
 
         def hole(col, rule):
-            return F.when((day + rule[0] * k) % rule[1] != 0, F.col(col)).alias(col)
+            gone = ((k % HOLE_BASIN_MOD) == rule[2]) & ((day + rule[0] * k) % rule[1] == 0)
+            return F.when(~gone, F.col(col)).alias(col)
 
         return self.obs.select("basin_id", "date", hole("precip", HOLE_PRECIP),
                                hole("temp", HOLE_TEMP), "net_solar", "u_wind", "v_wind", "dew_point")
@@ -333,11 +336,12 @@ SQL_VIEWS: dict[str, str] = {
         "FROM flow_daily"),
     "obs_holes": (
         "SELECT basin_id, date, "
-        f"CASE WHEN (date_diff('day', {_d(FIRST_DAY)}, date) + {HOLE_PRECIP[0]} * "
-        f"CAST(string_split(basin_id, '_')[-1] AS INTEGER)) % {HOLE_PRECIP[1]} <> 0 THEN precip END AS precip, "
-        f"CASE WHEN (date_diff('day', {_d(FIRST_DAY)}, date) + {HOLE_TEMP[0]} * "
-        f"CAST(string_split(basin_id, '_')[-1] AS INTEGER)) % {HOLE_TEMP[1]} <> 0 THEN temp END AS temp, "
-        "net_solar, u_wind, v_wind, dew_point FROM obs"),
+        + ", ".join(
+            f"CASE WHEN NOT (k % {HOLE_BASIN_MOD} = {r[2]} AND (date_diff('day', {_d(FIRST_DAY)}, date) "
+            f"+ {r[0]} * k) % {r[1]} = 0) THEN {c} END AS {c}"
+            for c, r in (("precip", HOLE_PRECIP), ("temp", HOLE_TEMP)))
+        + ", net_solar, u_wind, v_wind, dew_point FROM "
+        "(SELECT *, CAST(string_split(basin_id, '_')[-1] AS INTEGER) AS k FROM obs)"),
     "flow_text": (
         "SELECT gauge_id, date, CASE WHEN (date_diff('day', "
         f"{_d(FIRST_DAY)}, date) + CAST(gauge_id AS INTEGER)) % {ICE_MOD} = 0 THEN 'Ice' "

@@ -19,7 +19,7 @@ def tail_crop(pred: DataFrame, keys: list[str], seq_len: int | None,
     if not seq_len:
         return pred
     last = F.max(step).over(Window.partitionBy(*keys))
-    return pred.where(F.col(step) > last - seq_len)
+    return pred.withColumn("_last", last).where(F.col(step) > F.col("_last") - seq_len).drop("_last")
 
 
 def mse(pred: DataFrame, seq_len: int | None = None, keys: list[str] | None = None) -> DataFrame:
@@ -88,8 +88,11 @@ def mean_of_batches(per_batch: DataFrame, value: str) -> DataFrame:
     return per_batch.agg(F.avg(value).alias(f"avg_{value}"))
 
 
+def nan_median_col(value: str) -> Column:
+    """A15 as an aggregate expression: lower median, NaN/NULL skipped."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY nanvl(`{value}`, NULL))")
+
+
 def nan_median(df: DataFrame, value: str, out: str | None = None) -> DataFrame:
-    """Lower median, NaN/NULL skipped (``percentile_disc(0.5)``)."""
-    v = F.col(value)
-    clean = df.select(F.when(~F.isnan(v), v).alias("_v"))
-    return clean.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _v)").alias(out or f"median_{value}"))
+    """Lower median (``percentile_disc(0.5)``), NaN/NULL skipped."""
+    return df.agg(nan_median_col(value).alias(out or f"median_{value}"))

@@ -521,3 +521,460 @@ def q_resume_state(spark, sf_dir):
     from ..operators.ranking import resume_state
     b = _batched(Fixtures(spark, sf_dir), 200)
     return resume_state(b, ["train", "validation", "test", "holdout"])
+
+
+# --------------------------------------------------------------------------
+# quality gates and reports
+# --------------------------------------------------------------------------
+
+def _sample_counts(steps: DataFrame) -> DataFrame:
+    """Per sample: lengths, non-missing step counts, gate reason (no exchange)."""
+    return steps.groupBy("basin_id", "block", "split", "issue_date").agg(
+        F.max("len_target").alias("len_target"), F.max("len_weather").alias("len_weather"),
+        F.count("precip").alias("n_precip"), F.count("temp").alias("n_temp"),
+        F.count("net_solar").alias("n_solar"), F.count("target").alias("n_target"),
+        F.max("reason").alias("reason"))
+
+
+_MIX = osql.mixed_ctes()
+_MIX_HOLES = osql.mixed_ctes(obs="obs_holes")
+_SAMPLE_SQL = ("SELECT basin_id, split, issue_date, strftime(issue_date, '%Y-%m-%d') AS forecast_date, "
+               "MAX(len_target) AS len_target, MAX(len_weather) AS len_weather, COUNT(precip) AS n_precip, "
+               "COUNT(temp) AS n_temp, COUNT(net_solar) AS n_solar, COUNT(target) AS n_target, "
+               "MAX(reason) AS reason FROM mixed GROUP BY basin_id, split, issue_date")
+
+
+@register("sequence_length", with_views(
+    "SELECT basin_id, split, forecast_date, len_target, len_weather FROM sq",
+    "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sq=_SAMPLE_SQL)))
+def q_sequence_length(spark, sf_dir):
+    """A2: target and weather sequence length of every sample."""
+    s = _sample_counts(mixed_steps(Fixtures(spark, sf_dir)))
+    return s.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+                    "len_target", "len_weather")
+
+
+@register("length_histogram", with_views(
+    "SELECT split, len_target, len_weather, COUNT(*) AS n_samples, "
+    "(len_target = 106 AND len_weather = 106) AS expected FROM sq GROUP BY split, len_target, len_weather",
+    "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sq=_SAMPLE_SQL)))
+def q_length_histogram(spark, sf_dir):
+    """Samples per length and whether it is the declared length."""
+    from ..operators.quality import length_histogram
+    s = _sample_counts(mixed_steps(Fixtures(spark, sf_dir)))
+    return length_histogram(s, smp.MixedRecipe().expected_len)
+
+
+@register("sample_quality", with_views(
+    "SELECT basin_id, split, forecast_date, len_target, len_weather, n_precip, n_temp, n_solar, n_target, "
+    "(n_precip < len_weather OR n_target < len_target) AS bad_precip_target, "
+    "(n_precip < len_weather OR n_temp < len_weather OR n_solar < len_weather OR n_target < len_target) AS bad_all "
+    "FROM sq", "gauges", "flow", "obs_holes", "fcst", extra=dict(_MIX_HOLES, sq=_SAMPLE_SQL)))
+def q_sample_quality(spark, sf_dir):
+    """A4: missing values per sample under both NaN policies (grid with holes)."""
+    f = Fixtures(spark, sf_dir)
+    s = _sample_counts(mixed_steps(f, obs=f.obs_holes))
+    lw, lt = F.col("len_weather"), F.col("len_target")
+    return s.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
+                    "len_target", "len_weather", "n_precip", "n_temp", "n_solar", "n_target",
+                    ((F.col("n_precip") < lw) | (F.col("n_target") < lt)).alias("bad_precip_target"),
+                    ((F.col("n_precip") < lw) | (F.col("n_temp") < lw) | (F.col("n_solar") < lw)
+                     | (F.col("n_target") < lt)).alias("bad_all"))
+
+
+@register("drop_bad_groups", with_views(
+    "SELECT basin_id, split, COUNT(*) AS n_candidates, "
+    "COUNT(*) FILTER (WHERE reason IS NULL) AS n_kept_sample, "
+    "CASE WHEN COUNT(*) FILTER (WHERE reason = 'missing_values') > 0 THEN 0 "
+    "ELSE COUNT(*) FILTER (WHERE reason IS NULL) END AS n_kept_group FROM sq GROUP BY basin_id, split",
+    "gauges", "flow", "obs_holes", "fcst", extra=dict(_MIX_HOLES, sq=_SAMPLE_SQL)))
+def q_drop_bad_groups(spark, sf_dir):
+    """A5: samples kept per (gauge, split) in sample scope and in group scope."""
+    f = Fixtures(spark, sf_dir)
+    steps = mixed_steps(f, obs=f.obs_holes)
+    cnt = _sample_counts(steps).groupBy("basin_id", "split").agg(
+        F.count(F.lit(1)).alias("n_candidates"),
+        F.count(F.when(F.col("reason").isNull(), 1)).alias("n_kept_sample"))
+    grp = (_sample_counts(smp.apply_scope(steps, "group"))
+           .groupBy("basin_id", "split").agg(F.count(F.lit(1)).alias("n_kept_group")))
+    return (cnt.join(grp, ["basin_id", "split"], "left")
+            .select("basin_id", "split", "n_candidates", "n_kept_sample",
+                    F.coalesce("n_kept_group", F.lit(0)).alias("n_kept_group")))
+
+
+@register("combine_splits", with_views(
+    "SELECT split, COUNT(DISTINCT basin_id) AS n_files, COUNT(*) AS n_samples FROM sq s WHERE reason IS NULL "
+    "AND NOT EXISTS (SELECT 1 FROM sq b WHERE b.basin_id = s.basin_id AND b.split = s.split "
+    "AND b.reason = 'missing_values') GROUP BY split",
+    "gauges", "flow", "obs_holes", "fcst", extra=dict(_MIX_HOLES, sq=_SAMPLE_SQL)))
+def q_combine_splits(spark, sf_dir):
+    """Per split, the (gauge) files that survive the NaN check, combined."""
+    f = Fixtures(spark, sf_dir)
+    kept = _sample_counts(smp.apply_scope(mixed_steps(f, obs=f.obs_holes), "group"))
+    return kept.groupBy("split").agg(F.countDistinct("basin_id").alias("n_files"),
+                                     F.count(F.lit(1)).alias("n_samples"))
+
+
+@register("drop_report", with_views(
+    "SELECT c.split, CASE WHEN s.basin_id IS NULL THEN 'no_data' ELSE COALESCE(s.reason, 'accepted') END "
+    "AS outcome, COUNT(*) AS n_samples FROM cand c LEFT JOIN sq s ON s.basin_id = c.basin_id "
+    "AND s.split = c.split AND s.issue_date = c.issue_date GROUP BY ALL",
+    "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sq=_SAMPLE_SQL)))
+def q_drop_report(spark, sf_dir):
+    """Candidates per split and outcome (accepted or first failed gate)."""
+    from ..operators.quality import drop_report
+    f = Fixtures(spark, sf_dir)
+    stats = _sample_counts(mixed_steps(f))
+    return drop_report(mixed_candidates(f), stats)
+
+
+@register("run_summary", with_views(
+    "SELECT basin_id, split, COUNT(DISTINCT issue_date) AS n_samples, "
+    "split || '_' || basin_id || '_' || CAST(COUNT(DISTINCT issue_date) AS VARCHAR) AS filename "
+    "FROM mixed WHERE reason IS NULL GROUP BY basin_id, split",
+    "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_run_summary(spark, sf_dir):
+    """Accepted samples per (gauge, split) and the group file label."""
+    from ..operators.quality import run_summary
+    s = smp.apply_scope(mixed_steps(Fixtures(spark, sf_dir)), "sample")
+    return run_summary(s, "basin_id", "split", "issue_date")
+
+
+@register("null_report", with_views(
+    "SELECT c AS column, CAST(n AS BIGINT) AS n_missing, n > 0 AS any_missing FROM (SELECT "
+    + ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS {c}" for c in smp.WEATHER6 + ["target"])
+    + " FROM annual WHERE reason IS NULL AND split = 'train') UNPIVOT (n FOR c IN ("
+    + ", ".join(smp.WEATHER6 + ["target"]) + "))",
+    "flow_dense", "obs_holes", extra=osql.annual_ctes(obs="obs_holes")))
+def q_null_report(spark, sf_dir):
+    """Missing cells per column of the written train set (annual recipe)."""
+    from ..operators.quality import null_report
+    f = Fixtures(spark, sf_dir)
+    st = smp.annual_steps(f.flow_dense, f.obs_holes, fx.ANNUAL_BLOCKS)
+    acc = st.where(F.col("reason").isNull() & (F.col("split") == "train"))
+    return null_report(acc, smp.WEATHER6 + ["target"])
+
+
+# --------------------------------------------------------------------------
+# scaling (A8, F1-F4)
+# --------------------------------------------------------------------------
+
+DYN_FEATURES = WEATHER3 + ["flag"]
+_TRAIN_MIX = "(SELECT * FROM mixed WHERE reason IS NULL AND split = 'train')"
+
+
+def _accepted_mixed(f: Fixtures, split: str | None = None) -> DataFrame:
+    s = smp.apply_scope(mixed_steps(f), "sample")
+    return s.where(F.col("split") == split) if split else s
+
+
+def _mixed_scaler(f: Fixtures) -> DataFrame:
+    from ..operators.scaling import fit_scaler
+    return fit_scaler(_accepted_mixed(f, "train"), DYN_FEATURES + ["target"])
+
+
+@register("fit_scaler", with_views(
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(AVG(CAST({c} AS DOUBLE)), 4) AS mean, "
+        f"round(STDDEV_POP(CAST({c} AS DOUBLE)), 4) AS std FROM {_TRAIN_MIX}"
+        for c in DYN_FEATURES + ["target"]),
+    "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_fit_scaler(spark, sf_dir):
+    """Train-only per-feature mean and population std (samples x time)."""
+    s = _mixed_scaler(Fixtures(spark, sf_dir))
+    return s.select("feature", r4("mean"), r4("std"))
+
+
+_SCALE_CTE = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) AS m, STDDEV_POP(CAST({c} AS DOUBLE)) AS sd "
+    f"FROM {_TRAIN_MIX}" for c in DYN_FEATURES + ["target"])
+
+
+def _sc(c: str, what: str) -> str:
+    return f"(SELECT {what} FROM sc WHERE feature = '{c}')"
+
+
+def _norm_sql(c: str) -> str:
+    return f"(CAST({c} AS DOUBLE) - {_sc(c, 'm')}) / ({_sc(c, 'sd')} + 1e-6)"
+
+
+@register("normalize", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(f"round({_norm_sql(c)}, 6) AS {c}_n" for c in DYN_FEATURES + ["target"])
+    + " FROM mixed WHERE reason IS NULL AND split = 'test'",
+    "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
+def q_normalize(spark, sf_dir):
+    """test samples normalised with the train scaler."""
+    from ..operators.scaling import apply_normalize
+    f = Fixtures(spark, sf_dir)
+    feats = DYN_FEATURES + ["target"]
+    n = apply_normalize(_accepted_mixed(f, "test"), _mixed_scaler(f), feats)
+    return n.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[F.round(f"{c}_n", 6).alias(f"{c}_n") for c in feats])
+
+
+@register("denormalize", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(f"round({_norm_sql(c)} * ({_sc(c, 'sd')} + 1e-6) + {_sc(c, 'm')}, 4) AS {c}_d"
+                for c in DYN_FEATURES + ["target"])
+    + " FROM mixed WHERE reason IS NULL AND split = 'test'",
+    "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
+def q_denormalize(spark, sf_dir):
+    """denormalise(normalise(x)) on the test split (round trip)."""
+    from ..operators.scaling import apply_denormalize, apply_normalize, scaler_params
+    f = Fixtures(spark, sf_dir)
+    feats = DYN_FEATURES + ["target"]
+    params = scaler_params(_mixed_scaler(f))
+    n = apply_normalize(_accepted_mixed(f, "test"), params, feats)
+    n = n.select("basin_id", "issue_date", "step", *[F.col(f"{c}_n").alias(c) for c in feats])
+    d = apply_denormalize(n, params, feats)
+    return d.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[F.round(f"{c}_d", 4).alias(f"{c}_d") for c in feats])
+
+
+ANNUAL_FEATURES = smp.WEATHER6 + ["target"]
+_ANN = osql.annual_ctes()
+_TRAIN_ANN = "(SELECT * FROM annual WHERE reason IS NULL AND split = 'train')"
+_ASCALE_CTE = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) AS m, STDDEV_POP(CAST({c} AS DOUBLE)) AS sd "
+    f"FROM {_TRAIN_ANN}" for c in ANNUAL_FEATURES)
+
+
+def _annual(f: Fixtures, split: str | None = None) -> DataFrame:
+    st = smp.annual_steps(f.flow_dense, f.obs, fx.ANNUAL_BLOCKS).where(F.col("reason").isNull())
+    return st.where(F.col("split") == split) if split else st
+
+
+def _std_sql(c: str) -> str:
+    return f"(CAST({c} AS DOUBLE) - {_sc(c, 'm')}) / NULLIF({_sc(c, 'sd')}, 0)"
+
+
+@register("standardize", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(f"round({_std_sql(c)}, 6) AS {c}_s" for c in ANNUAL_FEATURES)
+    + " FROM annual WHERE reason IS NULL AND split = 'test'",
+    "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
+def q_standardize(spark, sf_dir):
+    """F3 (+A8): annual test samples standardised with train statistics."""
+    from ..operators.scaling import apply_standardize, fit_scaler
+    f = Fixtures(spark, sf_dir)
+    sc = fit_scaler(_annual(f, "train"), ANNUAL_FEATURES)
+    s = apply_standardize(_annual(f, "test"), sc, ANNUAL_FEATURES)
+    return s.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[F.round(f"{c}_s", 6).alias(f"{c}_s") for c in ANNUAL_FEATURES])
+
+
+@register("unstandardize", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(f"round({_std_sql(c)} * {_sc(c, 'sd')} + {_sc(c, 'm')}, 4) AS {c}_u" for c in ANNUAL_FEATURES)
+    + " FROM annual WHERE reason IS NULL AND split = 'test'",
+    "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
+def q_unstandardize(spark, sf_dir):
+    """unstandardise(standardise(x)) round trip."""
+    from ..operators.scaling import apply_standardize, apply_unstandardize, fit_scaler, scaler_params
+    f = Fixtures(spark, sf_dir)
+    params = scaler_params(fit_scaler(_annual(f, "train"), ANNUAL_FEATURES))
+    s = apply_standardize(_annual(f, "test"), params, ANNUAL_FEATURES)
+    s = s.select("basin_id", "issue_date", "step", *[F.col(f"{c}_s").alias(c) for c in ANNUAL_FEATURES])
+    u = apply_unstandardize(s, params, ANNUAL_FEATURES)
+    return u.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[F.round(f"{c}_u", 4).alias(f"{c}_u") for c in ANNUAL_FEATURES])
+
+
+@register("annual_samples", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(osql.r4(c) for c in ANNUAL_FEATURES) + " FROM annual WHERE reason IS NULL",
+    "flow_dense", "obs", extra=_ANN))
+def q_annual_samples(spark, sf_dir):
+    """Annual recipe (J5, C2): 366 daily steps of six weather variables + flow."""
+    a = _annual(Fixtures(spark, sf_dir))
+    return a.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[r4(c) for c in ANNUAL_FEATURES])
+
+
+# --------------------------------------------------------------------------
+# metrics on predictions
+# --------------------------------------------------------------------------
+
+PRED_KEYS = ["basin_id", "block", "split", "issue_date"]
+
+
+def predictions(f: Fixtures) -> DataFrame:
+    """Persistence forecast of the test split: ``y_hat`` = previous step's ``y``.
+
+    A test aid standing in for model output (the model is not data work).
+    """
+    from pyspark.sql import Window
+    st = target_steps(f).where(F.col("reason").isNull() & (F.col("split") == "test"))
+    y = F.col("target").cast("double")
+    w = Window.partitionBy(*PRED_KEYS).orderBy("step")
+    return st.select(*PRED_KEYS, iso_date("issue_date").alias("forecast_date"), "step",
+                     y.alias("y"), F.coalesce(F.lag(y).over(w), y).alias("y_hat"))
+
+
+def _target_scaler(f: Fixtures):
+    from ..operators.scaling import fit_scaler, scaler_params
+    st = target_steps(f).where(F.col("reason").isNull() & (F.col("split") == "train"))
+    return scaler_params(fit_scaler(st, ["target"]))["target"]
+
+
+def _normalized_pred(f: Fixtures) -> DataFrame:
+    from ..functions.columns import normalize
+    m, sd = _target_scaler(f)
+    p = predictions(f)
+    return p.withColumn("y", normalize("y", F.lit(m), F.lit(sd))).withColumn(
+        "y_hat", normalize("y_hat", F.lit(m), F.lit(sd)))
+
+
+_NSE_SQL = ("SELECT basin_id, split, issue_date, forecast_date, "
+            "1 - SUM(POWER(y - y_hat, 2)) / (SUM(POWER(y - my, 2)) + 1e-6) AS nse "
+            "FROM (SELECT *, AVG(y) OVER s AS my FROM pred WINDOW s AS (PARTITION BY basin_id, split, issue_date)) "
+            "GROUP BY ALL")
+_KGE_SQL = (
+    "SELECT basin_id, split, issue_date, forecast_date, r, alpha, beta, "
+    "1 - SQRT(POWER(r - 1, 2) + POWER(alpha - 1, 2) + POWER(beta - 1, 2)) AS kge FROM ("
+    "SELECT basin_id, split, issue_date, forecast_date, "
+    "SUM((y - my) * (y_hat - mh)) / (SQRT(SUM(POWER(y - my, 2))) * SQRT(SUM(POWER(y_hat - mh, 2))) + 1e-6) AS r, "
+    "(STDDEV_SAMP(y_hat) + 1e-6) / (STDDEV_SAMP(y) + 1e-6) AS alpha, AVG(y_hat) / (AVG(y) + 1e-6) AS beta "
+    "FROM (SELECT *, AVG(y) OVER s AS my, AVG(y_hat) OVER s AS mh FROM pred "
+    "WINDOW s AS (PARTITION BY basin_id, split, issue_date)) GROUP BY ALL)")
+_PRED_CTES = dict(_TARGET, nse=_NSE_SQL, kge=_KGE_SQL)
+
+
+@register("mse", with_views(
+    "SELECT round(AVG(POWER((y_hat - m) / (sd + 1e-6) - (y - m) / (sd + 1e-6), 2)), 8) AS mse "
+    "FROM pred, tscale", "flow", extra=_PRED_CTES))
+def q_mse(spark, sf_dir):
+    """A10: MSE loss over all test samples x steps (normalised targets)."""
+    from ..operators.metrics import mse
+    return mse(_normalized_pred(Fixtures(spark, sf_dir))).select(F.round("mse", 8).alias("mse"))
+
+
+@register("nse", with_views("SELECT basin_id, forecast_date, round(nse, 6) AS nse FROM nse",
+                            "flow", extra=_PRED_CTES))
+def q_nse(spark, sf_dir):
+    """Nash-Sutcliffe efficiency per test sample."""
+    from ..operators.metrics import nse
+    n = nse(predictions(Fixtures(spark, sf_dir)), PRED_KEYS + ["forecast_date"])
+    return n.select("basin_id", "forecast_date", F.round("nse", 6).alias("nse"))
+
+
+@register("kge", with_views(
+    "SELECT basin_id, forecast_date, round(kge, 6) AS kge, round(r, 6) AS r, round(alpha, 6) AS alpha, "
+    "round(beta, 6) AS beta FROM kge", "flow", extra=_PRED_CTES))
+def q_kge(spark, sf_dir):
+    """Kling-Gupta efficiency and its components per test sample."""
+    from ..operators.metrics import kge
+    k = kge(predictions(Fixtures(spark, sf_dir)), PRED_KEYS + ["forecast_date"], components=True)
+    return k.select("basin_id", "forecast_date", *[F.round(c, 6).alias(c) for c in ("kge", "r", "alpha", "beta")])
+
+
+@register("tail_crop", with_views(
+    "SELECT basin_id, forecast_date, COUNT(*) AS n_steps, "
+    "round(1 - SUM(POWER(y - y_hat, 2)) / (SUM(POWER(y - my, 2)) + 1e-6), 6) AS nse_tail FROM "
+    "(SELECT *, AVG(y) OVER s AS my FROM pred WHERE step > 95 WINDOW s AS (PARTITION BY basin_id, split, issue_date)) "
+    "GROUP BY basin_id, split, issue_date, forecast_date", "flow", extra=_PRED_CTES))
+def q_tail_crop(spark, sf_dir):
+    """NSE over the last 10 steps of every sample (loss_seq_len = 10)."""
+    from ..operators.metrics import nse, tail_crop
+    keys = PRED_KEYS + ["forecast_date"]
+    p = tail_crop(predictions(Fixtures(spark, sf_dir)), keys, 10)
+    n = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps")).join(nse(p, keys), keys)
+    return n.select("basin_id", "forecast_date", "n_steps", F.round("nse", 6).alias("nse_tail"))
+
+
+EVAL_BATCH = 16
+_BATCH_PRED_SQL = (
+    "SELECT k.*, n.nse, CAST(floor((ROW_NUMBER() OVER (ORDER BY k.basin_id, k.issue_date) - 1) / 16) AS INTEGER) "
+    "AS batch_id FROM kge k JOIN nse n USING (basin_id, split, issue_date)")
+def _per_batch(f: Fixtures) -> DataFrame:
+    from ..operators.metrics import kge, nse
+    from ..operators.ranking import assign_batches
+    keys = PRED_KEYS + ["forecast_date"]
+    pred = predictions(f)
+    scores = kge(pred, keys).join(nse(pred, keys), keys)
+    b = assign_batches(scores, EVAL_BATCH, ["basin_id", "issue_date"])
+    npred = _normalized_pred(f).join(b.select(*keys, "batch_id"), keys)
+    loss = npred.groupBy("batch_id").agg(F.avg(F.pow(F.col("y_hat") - F.col("y"), 2)).alias("loss"))
+    means = b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_samples"),
+                                      F.avg("kge").alias("mean_kge"), F.avg("nse").alias("mean_nse"))
+    return means.join(loss, "batch_id")
+
+
+_PER_BATCH_SQL = (
+    "SELECT b.batch_id, b.n_samples, b.mean_kge, b.mean_nse, l.loss FROM "
+    "(SELECT batch_id, COUNT(*) AS n_samples, AVG(kge) AS mean_kge, AVG(nse) AS mean_nse FROM bk GROUP BY batch_id) b "
+    "JOIN (SELECT bk.batch_id, AVG(POWER((p.y_hat - t.m) / (t.sd + 1e-6) - (p.y - t.m) / (t.sd + 1e-6), 2)) AS loss "
+    "FROM pred p JOIN bk USING (basin_id, split, issue_date) CROSS JOIN tscale t GROUP BY bk.batch_id) l "
+    "USING (batch_id)")
+_METRIC_CTES = dict(_PRED_CTES, bk=_BATCH_PRED_SQL, pb=_PER_BATCH_SQL)
+
+
+@register("metric_means", with_views(
+    "SELECT batch_id, n_samples, round(mean_kge, 6) AS mean_kge, round(mean_nse, 6) AS mean_nse, "
+    "round(loss, 8) AS loss FROM pb", "flow", extra=_METRIC_CTES))
+def q_metric_means(spark, sf_dir):
+    """Per evaluation batch (16 samples) mean KGE, NSE and MSE loss."""
+    b = _per_batch(Fixtures(spark, sf_dir))
+    return b.select("batch_id", "n_samples", F.round("mean_kge", 6).alias("mean_kge"),
+                    F.round("mean_nse", 6).alias("mean_nse"), F.round("loss", 8).alias("loss"))
+
+
+@register("nan_median", with_views(
+    "SELECT round(quantile_disc(mean_kge, 0.5), 6) AS median_kge, round(quantile_disc(mean_nse, 0.5), 6) "
+    "AS median_nse, round(AVG(loss), 8) AS avg_loss FROM pb", "flow", extra=_METRIC_CTES))
+def q_nan_median(spark, sf_dir):
+    """A15 (+A14): lower nan-median of batch means; mean of batch losses."""
+    from ..operators.metrics import nan_median_col
+    b = _per_batch(Fixtures(spark, sf_dir))
+    return b.agg(F.round(nan_median_col("mean_kge"), 6).alias("median_kge"),
+                 F.round(nan_median_col("mean_nse"), 6).alias("median_nse"),
+                 F.round(F.avg("loss"), 8).alias("avg_loss"))
+
+
+def _scores(f: Fixtures) -> DataFrame:
+    from ..operators.metrics import kge
+    return kge(predictions(f), PRED_KEYS + ["forecast_date"])
+
+
+@register("kge_cdf", with_views(
+    "SELECT basin_id, forecast_date, round(kge, 6) AS kge, "
+    "ROW_NUMBER() OVER (ORDER BY kge NULLS FIRST, basin_id, issue_date) AS rank, "
+    "round(ROW_NUMBER() OVER (ORDER BY kge NULLS FIRST, basin_id, issue_date) / COUNT(*) OVER (), 8) AS cdf "
+    "FROM kge", "flow", extra=_PRED_CTES))
+def q_kge_cdf(spark, sf_dir):
+    """Empirical CDF of per-sample KGE (distributed ranking)."""
+    from ..operators.evaluate import empirical_cdf
+    c = empirical_cdf(_scores(Fixtures(spark, sf_dir)), "kge", ["basin_id", "issue_date"])
+    return c.select("basin_id", "forecast_date", F.round("kge", 6).alias("kge"), "rank",
+                    F.round("cdf", 8).alias("cdf"))
+
+
+_NAMES_JOIN = ("LEFT JOIN (SELECT gauge_id, MIN(gauge_name) AS gauge_name FROM gauge_names GROUP BY 1) n "
+               "ON n.gauge_id = TRY_CAST(t.basin_id AS INTEGER)")
+
+
+@register("best_k", with_views(
+    "SELECT CAST(rank AS INTEGER) AS rank, t.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name, "
+    "t.forecast_date, round(t.kge, 6) AS kge FROM (SELECT *, ROW_NUMBER() OVER "
+    "(ORDER BY kge DESC NULLS LAST, basin_id, issue_date) AS rank FROM kge) t " + _NAMES_JOIN
+    + " WHERE rank <= 10", "flow", "gauge_names", extra=_PRED_CTES))
+def q_best_k(spark, sf_dir):
+    """T2 + J8: the 10 best samples by KGE with gauge names."""
+    from ..operators.evaluate import best_k, with_gauge_name
+    f = Fixtures(spark, sf_dir)
+    b = with_gauge_name(best_k(_scores(f), "kge", 10, ["basin_id", "issue_date"]), f.gauge_names)
+    return b.select("rank", "basin_id", "gauge_name", "forecast_date", F.round("kge", 6).alias("kge"))
+
+
+@register("worst_k", with_views(
+    "SELECT CAST(ROW_NUMBER() OVER (ORDER BY kge DESC NULLS LAST, basin_id, issue_date) AS INTEGER) AS rank, "
+    "t.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name, t.forecast_date, round(t.kge, 6) AS kge "
+    "FROM (SELECT * FROM kge ORDER BY kge ASC NULLS FIRST, basin_id DESC, issue_date DESC LIMIT 10) t "
+    + _NAMES_JOIN, "flow", "gauge_names", extra=_PRED_CTES))
+def q_worst_k(spark, sf_dir):
+    """T3 + J8: the 10 worst samples by KGE, listed high to low."""
+    from ..operators.evaluate import with_gauge_name, worst_k
+    f = Fixtures(spark, sf_dir)
+    w = with_gauge_name(worst_k(_scores(f), "kge", 10, ["basin_id", "issue_date"]), f.gauge_names)
+    return w.select("rank", "basin_id", "gauge_name", "forecast_date", F.round("kge", 6).alias("kge"))
