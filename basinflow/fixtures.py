@@ -227,14 +227,17 @@ class Fixtures:
         t = self.flow_text.withColumn("k", F.col("gauge_id").cast("int"))
         no_value = (F.col("k") % RDB_NO_VALUE[0]) == RDB_NO_VALUE[1]
         g = t.select("gauge_id", "k").distinct()
+        def line(i, text):
+            return F.struct(F.lit(i).alias("ord"), text.alias("line"))
+
         head = g.select("gauge_id", F.explode(F.array(
-            F.struct(F.lit(0).alias("ord"), F.lit("# data provided by a gauge service").alias("line")),
-            F.struct(F.lit(1), F.concat(F.lit("# site "), F.col("gauge_id"))),
-            F.struct(F.lit(2), F.when(no_value, F.lit("agency_cd\tsite_no\tdatetime\tcode"))
-                     .otherwise(F.lit("agency_cd\tsite_no\tdatetime\t01_00060_00003\t"
-                                      "01_00060_00003_cd\t02_00065_00003"))),
-            F.struct(F.lit(3), F.when(no_value, F.lit("5s\t15s\t20d\t10s"))
-                     .otherwise(F.lit("5s\t15s\t20d\t14n\t10s\t14n"))))).alias("r"))
+            line(0, F.lit("# data provided by a gauge service")),
+            line(1, F.concat(F.lit("# site "), F.col("gauge_id"))),
+            line(2, F.when(no_value, F.lit("agency_cd\tsite_no\tdatetime\tcode"))
+                 .otherwise(F.lit("agency_cd\tsite_no\tdatetime\t01_00060_00003\t"
+                                  "01_00060_00003_cd\t02_00065_00003"))),
+            line(3, F.when(no_value, F.lit("5s\t15s\t20d\t10s"))
+                 .otherwise(F.lit("5s\t15s\t20d\t14n\t10s\t14n"))))).alias("r"))
         head = head.select("gauge_id", F.col("r.ord").alias("ord"), F.col("r.line").alias("line"))
         body = t.select("gauge_id", (F.unix_date("date") + 10).alias("ord"), F.when(
             no_value, F.concat_ws("\t", F.lit("USGS"), "gauge_id", F.col("date").cast("string"), F.lit("A")))

@@ -978,3 +978,128 @@ def q_worst_k(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
     w = with_gauge_name(worst_k(_scores(f), "kge", 10, ["basin_id", "issue_date"]), f.gauge_names)
     return w.select("rank", "basin_id", "gauge_name", "forecast_date", F.round("kge", 6).alias("kge"))
+
+
+# --------------------------------------------------------------------------
+# segment union, packing
+# --------------------------------------------------------------------------
+
+@register("concat_segments", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, flag, "
+    + ", ".join(osql.r4(c) for c in WEATHER3)
+    + " FROM mixed WHERE len_weather = 106 AND c_p = 106 AND c_t = 106 AND c_s = 106 AND flag IS NOT NULL",
+    "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_concat_segments(spark, sf_dir):
+    """Weekly ++ daily ++ forecast weather of every complete weather sequence."""
+    from pyspark.sql import Window
+    st = mixed_steps(Fixtures(spark, sf_dir))
+    w = Window.partitionBy(*smp.SAMPLE_KEYS)
+    full = F.lit(True)
+    for c in WEATHER3:
+        full = full & (F.count(c).over(w) == 106)
+    st = st.withColumn("_full", full).where((F.col("len_weather") == 106) & F.col("_full")
+                                            & F.col("flag").isNotNull())
+    return st.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step", "flag",
+                     *[r4(c) for c in WEATHER3])
+
+
+def _packed(f: Fixtures) -> DataFrame:
+    acc = _accepted_mixed(f).withColumn("forecast_date", iso_date("issue_date"))
+    return smp.pack_samples(acc, DYN_FEATURES)
+
+
+@register("pack_samples", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, CAST(COUNT(*) AS INTEGER) AS n_time, "
+    "4 AS n_feature, round(SUM(CAST(precip AS DOUBLE) + CAST(temp AS DOUBLE) + CAST(net_solar AS DOUBLE) + flag), 2) "
+    "AS sum_inputs, round(SUM((step + 1) * CAST(target AS DOUBLE)), 2) AS weighted_targets, "
+    "round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL "
+    "GROUP BY basin_id, split, issue_date", "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_pack_samples(spark, sf_dir):
+    """[time][feature] input arrays and target arrays per sample (checksums)."""
+    p = _packed(Fixtures(spark, sf_dir))
+    flat = F.flatten("dynamic_inputs")
+    return p.select(
+        "basin_id", "split", "forecast_date", F.size("dynamic_inputs").alias("n_time"),
+        F.size(F.col("dynamic_inputs")[0]).alias("n_feature"),
+        F.round(F.aggregate(flat, F.lit(0.0), lambda a, x: a + x), 2).alias("sum_inputs"),
+        F.round(F.aggregate(F.transform("targets", lambda x, i: x * (i + 1)), F.lit(0.0),
+                            lambda a, x: a + x), 2).alias("weighted_targets"),
+        F.round(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
+
+
+@register("feature_split", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(osql.r4(c, f"feat{i}") for i, c in enumerate(DYN_FEATURES)) + ", " + osql.r4("target")
+    + " FROM mixed WHERE reason IS NULL", "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_feature_split(spark, sf_dir):
+    """Packed inputs split back into named ``feat{i}`` columns."""
+    from ..functions.columns import feature_names
+    names = feature_names("feat", len(DYN_FEATURES))
+    u = smp.unpack_samples(_packed(Fixtures(spark, sf_dir)), names)
+    return u.select("basin_id", "split", "forecast_date", F.col("step").cast("int").alias("step"),
+                    *[r4(c) for c in names], r4("target"))
+
+
+# --------------------------------------------------------------------------
+# sources and sinks over landed files
+# --------------------------------------------------------------------------
+
+@register("csv_flow", REGISTRY["date_parts"][1])
+def q_csv_flow(spark, sf_dir):
+    """S3: per-gauge CSV files read in one scan, site id from the path."""
+    from ..sources.readers import read_flow_csv
+    f = Fixtures(spark, sf_dir)
+    c = read_flow_csv(spark, f.flow_csv_dir)
+    return c.select("site_no", "year", "month", "day", F.round("streamflow", 4).alias("streamflow"),
+                    iso_date("datetime").alias("datetime"))
+
+
+@register("rdb_flow", with_views(
+    "SELECT gauge_id AS site_no, strftime(date, '%Y-%m-%d') AS date, "
+    "round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms FROM flow_text "
+    f"WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL AND CAST(gauge_id AS INTEGER) % {fx.RDB_NO_VALUE[0]} "
+    f"<> {fx.RDB_NO_VALUE[1]}", "flow_text"))
+def q_rdb_flow(spark, sf_dir):
+    """Landed gauge-service text parsed by its format-code row."""
+    from ..sources.readers import parse_rdb, read_rdb_text
+    f = Fixtures(spark, sf_dir)
+    p = parse_rdb(read_rdb_text(spark, f.rdb_dir))
+    return p.select(F.regexp_extract("file", r"camels_(\d+)", 1).alias("site_no"),
+                    iso_date("date").alias("date"), F.round("streamflow_cms", 4).alias("streamflow_cms"))
+
+
+@register("relayout", with_views(
+    "SELECT basin_id, COUNT(*) AS n_rows, strftime(MIN(date), '%Y-%m-%d') AS first_date, "
+    "strftime(MAX(date), '%Y-%m-%d') AS last_date, round(SUM(CAST(precip AS DOUBLE)), 2) AS total_precip "
+    "FROM obs GROUP BY basin_id", "obs"))
+def q_relayout(spark, sf_dir):
+    """K6: grid rewritten basin-contiguous and date-sorted; content unchanged."""
+    from ..sinks.tables import committed
+    from ..sinks.writers import relayout
+    f = Fixtures(spark, sf_dir)
+    path = f._land_path("obs_relayout")
+    if not committed(spark, path):
+        relayout(f.obs, path)
+    r = spark.read.parquet(path)
+    return r.groupBy("basin_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), iso_date(F.min("date")).alias("first_date"),
+        iso_date(F.max("date")).alias("last_date"),
+        F.round(F.sum(F.col("precip").cast("double")), 2).alias("total_precip"))
+
+
+@register("sample_store", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, CAST(COUNT(*) AS INTEGER) AS n_time, "
+    "round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL AND split = 'test' "
+    "GROUP BY basin_id, issue_date", "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_sample_store(spark, sf_dir):
+    """K3 + S8: samples written one folder per split, the test split read back."""
+    from ..sinks.tables import committed
+    from ..sinks.writers import write_splits
+    from ..sources.readers import read_samples
+    f = Fixtures(spark, sf_dir)
+    path = f._land_path("samples_by_split")
+    if not committed(spark, path):
+        write_splits(_packed(f), path, features=DYN_FEATURES)
+    t = read_samples(spark, path, "test")
+    return t.select("basin_id", "forecast_date", F.size("targets").alias("n_time"),
+                    F.round(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
