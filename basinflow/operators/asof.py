@@ -5,12 +5,12 @@ that is nearest in either direction, with no distance limit (dates outside the
 right side's coverage clamp to its first/last date) and ties going to the later
 date.
 
-It never pairs every left row with every right row of a key.  Both sides are
-cut into time blocks; inside a block one sorted pass over the union gives the
-previous and next right date; for left rows whose block has no right date on
-one side, the nearest one comes from a per-block summary (max/min right date),
-scanned once per key in block order.  The summary has one row per non-empty
-block, so even a key holding a third of all rows is split across tasks.
+It never pairs every left row with every right row of a key: the *distinct*
+dates of both sides are unioned and scanned once per key in date order (last
+right date so far, first right date from here on).  A key's group therefore
+holds at most one row per distinct day on each side -- bounded by the length
+of the period, not by how many rows the key has -- so a key with a third of
+all rows still has a small group.
 """
 
 from __future__ import annotations
@@ -18,50 +18,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import block_of
-
-ASOF_BLOCK_DAYS = 64
-
 
 def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_on: str,
-                 right_on: str, out: str = "matched",
-                 block_days: int = ASOF_BLOCK_DAYS) -> DataFrame:
-    """``left`` plus column ``out``: nearest ``right_on`` date per ``by``."""
-    keys = left.select(by, F.col(left_on).alias("_x")).distinct()
-    rights = right.select(by, F.col(right_on).alias("_x")).distinct()
-    u = (keys.select(by, "_x", F.lit(1).alias("_kind"))
-         .unionByName(rights.select(by, "_x", F.lit(0).alias("_kind")))
-         .withColumn("_blk", block_of("_x", block_days)))
+                 right_on: str, out: str = "matched") -> DataFrame:
+    """``left`` plus column ``out``: nearest ``right_on`` date per ``by``.
+
+    ``left`` rows are carried through the scan (no join back), so any number
+    of left rows per (key, date) is fine.
+    """
+    extra = [c for c in left.columns if c not in (by, left_on)]
+    lrows = left.select(by, F.col(left_on).alias("_x"), F.lit(1).alias("_kind"), *extra)
+    rrows = (right.select(by, F.col(right_on).alias("_x")).distinct()
+             .select(by, "_x", F.lit(0).alias("_kind"),
+                     *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in extra]))
+    u = lrows.unionByName(rrows)
     # kind 0 (right) sorts before kind 1 (left) at equal dates: an exact match
     # is the "previous" date at distance 0.
-    w = Window.partitionBy(by, "_blk").orderBy("_x", "_kind")
+    w = Window.partitionBy(by).orderBy("_x", "_kind")
     r_date = F.when(F.col("_kind") == 0, F.col("_x"))
-    u = (u.withColumn("_prev", F.last(r_date, ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-         .withColumn("_next", F.first(r_date, ignorenulls=True).over(
-            w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-         .where(F.col("_kind") == 1))
-
-    # Carry from other blocks: per key, the latest right date of any earlier
-    # block and the earliest of any later block.
-    summary = (rights.withColumn("_blk", block_of("_x", block_days))
-               .groupBy(by, "_blk").agg(F.max("_x").alias("_rmax"), F.min("_x").alias("_rmin")))
-    lblocks = u.select(by, "_blk").distinct()
-    wb = Window.partitionBy(by).orderBy("_blk")
-    carry = (summary.join(lblocks, [by, "_blk"], "full")
-             .withColumn("_cprev", F.max("_rmax").over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-             .withColumn("_cnext", F.min("_rmin").over(wb.rowsBetween(1, Window.unboundedFollowing)))
-             .select(by, "_blk", "_cprev", "_cnext"))
-    u = (u.join(carry, [by, "_blk"], "left")
-         .select(by, "_x",
-                 F.coalesce("_prev", "_cprev").alias("_p"),
-                 F.coalesce("_next", "_cnext").alias("_n")))
+    p = F.last(r_date, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    n = F.first(r_date, ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    u = u.select("*", p.alias("_p"), n.alias("_n")).where(F.col("_kind") == 1)
     nearest = (F.when(F.col("_p").isNull(), F.col("_n"))
                .when(F.col("_n").isNull(), F.col("_p"))
                .when(F.datediff("_x", "_p") < F.datediff("_n", "_x"), F.col("_p"))
                .otherwise(F.col("_n")))
-    matched = u.select(by, F.col("_x").alias(left_on), nearest.alias(out))
-    return left.join(matched, [by, left_on], "left")
+    return u.select(by, F.col("_x").alias(left_on), *extra, nearest.alias(out))
 
 
 def first_leads(fcst: DataFrame, by: str, n: int = 10, issue: str = "issue_date",

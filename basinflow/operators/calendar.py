@@ -67,14 +67,6 @@ def issue_calendar(spark: SparkSession, blocks: Blocks, stride: str | int = 5) -
     return spec.select("split", F.explode(seq).alias("issue_date"))
 
 
-def calendar_literal(blocks: Blocks, stride: str | int = 5) -> Column:
-    """The calendar as a literal ``array<struct<split, issue_date>>`` column."""
-    return F.array(*[
-        F.struct(F.lit(s).alias("split"), F.lit(d).alias("issue_date"))
-        for s, d in calendar_dates(blocks, stride)
-    ])
-
-
 def split_of(date_col: Column | str, blocks: Blocks) -> Column:
     """C4: split name of an arbitrary date (NULL outside every block)."""
     c = F.col(date_col) if isinstance(date_col, str) else date_col
@@ -85,11 +77,37 @@ def split_of(date_col: Column | str, blocks: Blocks) -> Column:
     return expr
 
 
+def calendar_generator(blocks: Blocks, stride: str | int = 5) -> Column:
+    """The calendar as a generated ``array<struct<split, issue_date>>``.
+
+    One ``sequence`` per split, evaluated at run time, so the plan stays small
+    however long the calendar is.
+    """
+    per_split = []
+    for split, (start, end) in blocks.items():
+        lo, hi = F.lit(_to_date(start)), F.lit(_to_date(end))
+        if stride == "year-start":
+            d = _to_date(start)
+            first = F.lit(d if (d.month, d.day) == (1, 1) else dt.date(d.year + 1, 1, 1))
+            seq = F.sequence(first, hi, F.expr("INTERVAL 1 YEAR"))
+            seq = F.when(first <= hi, seq).otherwise(F.array().cast("array<date>"))
+        else:
+            seq = F.sequence(lo, hi, F.expr(f"INTERVAL {int(stride)} DAYS"))
+        per_split.append(F.transform(seq, _tag(split)))
+    return F.flatten(F.array(*per_split))
+
+
+def _tag(split: str):
+    def fn(d):
+        return F.struct(F.lit(split).alias("split"), d.alias("issue_date"))
+    return fn
+
+
 def candidates(gauges: DataFrame, blocks: Blocks, stride: str | int = 5,
                key: str = "gauge_id") -> DataFrame:
     """Every gauge x every issue date of every split.
 
-    The calendar is a driver-side parameter of bounded size, so each gauge row
-    simply generates its issue dates (a ``Generate``, no join, no shuffle).
+    The calendar is a parameter of bounded size, so each gauge row generates
+    its issue dates (a ``Generate``: no join, no shuffle).
     """
-    return gauges.select(key, F.inline(calendar_literal(blocks, stride)))
+    return gauges.select(key, F.inline(calendar_generator(blocks, stride)))

@@ -26,7 +26,12 @@ from ..functions.columns import gauge_suffix, iso_date
 from .asof import first_leads, nearest_asof
 from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, fan_partitions, weekly_bins
 
-SAMPLE_KEYS = ["basin_id", "block", "split", "issue_date"]
+# Grouping keys of a sample: issue day number first (a cheap, selective sort
+# prefix), then the basin and the time block the rows are partitioned by.
+# ``split`` and ``issue_date`` depend on ``sday`` and are carried along.
+SAMPLE_KEYS = ["sday", "basin_id", "block"]
+def carried():
+    return [F.max("split").alias("split"), F.max("issue_date").alias("issue_date")]
 WEATHER3 = ["precip", "temp", "net_solar"]
 WEATHER6 = ["precip", "temp", "u_wind", "v_wind", "dew_point", "net_solar"]
 NAN_POLICIES = ("precip_target", "all")
@@ -142,7 +147,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
     fan = weekly_bins(fan.withColumn("seg", seg), part, F.col("seg") == 0, r.week_days,
                       extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
     fan = fan.select(
-        *SAMPLE_KEYS, "src", "seg",
+        *SAMPLE_KEYS, "split", "issue_date", "src", "seg",
         F.when(F.col("seg") == 0, F.col("bin"))
         .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)).alias("step"),
         (F.col("n_bins") + F.col("n_rest")).alias("src_len"),
@@ -156,7 +161,8 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
         "basin_id", F.col("issue_date").alias("fc_issue"), "lead_rank",
         *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(WEATHER3)])
     frows = (near.join(leads, ["basin_id", "fc_issue"])
-             .select("basin_id", block_of("issue_date", block_days).alias("block"),
+             .select(F.unix_date("issue_date").alias("sday"), "basin_id",
+                     block_of("issue_date", block_days).alias("block"),
                      "split", "issue_date", F.lit(2).alias("src"), F.lit(2).alias("seg"),
                      (F.col("lead_rank") + r.lead_step0).alias("step"),
                      F.lit(None).cast("long").alias("src_len"), "v0", "v1", "v2")
@@ -165,7 +171,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
     rows = fan.unionByName(frows)
     is_w = F.col("src") != 0
     steps = rows.groupBy(*SAMPLE_KEYS, "step").agg(
-        F.max(F.when(is_w, F.col("seg"))).alias("flag"),
+        *carried(), F.max(F.when(is_w, F.col("seg"))).alias("flag"),
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c)
           for i, c in enumerate(WEATHER3)],
         F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
@@ -199,7 +205,7 @@ def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedR
     step = (F.when(F.col("seg") == 0, F.col("bin"))
             .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)))
     steps = (fan.groupBy(*SAMPLE_KEYS, step.alias("step"))
-             .agg(F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
+             .agg(*carried(), F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
                   F.max(F.col("n_bins") + F.col("n_rest")).alias("_len")))
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = steps.withColumn("len_target", F.max("_len").over(w2).cast("int")).drop("_len")
@@ -229,7 +235,7 @@ def sample_stats(steps: DataFrame) -> DataFrame:
     Grouped on the keys the steps are already partitioned by: no exchange.
     """
     return steps.groupBy(*SAMPLE_KEYS).agg(
-        F.max("len_target").alias("len_target"),
+        *carried(), F.max("len_target").alias("len_target"),
         F.max("len_weather").alias("len_weather"),
         F.max("reason").alias("reason"))
 
@@ -250,6 +256,7 @@ def annual_steps(flow: DataFrame, obs: DataFrame, blocks, recipe: AnnualRecipe =
     fan = fan.withColumn("step", F.col("off") - r.lo)
     is_w = F.col("src") != 0
     steps = fan.groupBy(*SAMPLE_KEYS, "step").agg(
+        *carried(),
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c) for i, c in enumerate(weather)],
         F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
         F.count(F.when(~is_w, 1)).alias("_nf"),

@@ -40,9 +40,10 @@ def block_of(date_col, block_days: int = DEFAULT_BLOCK_DAYS) -> Column:
 
 def window_map(spark: SparkSession, blocks: Blocks, stride, lo: int, hi: int,
                block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
-    """(split, issue_date, block, off, date) for every calendar date and offset."""
+    """(split, issue_date, sday, block, off, date) for every calendar date and
+    offset; ``sday`` is the issue date as a day number (a cheap sort key)."""
     cal = issue_calendar(spark, blocks, stride)
-    return (cal.select("split", "issue_date",
+    return (cal.select("split", "issue_date", F.unix_date("issue_date").alias("sday"),
                        block_of("issue_date", block_days).alias("block"),
                        F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("off"))
             .withColumn("date", F.date_add("issue_date", F.col("off"))))
