@@ -28,10 +28,11 @@ from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, fan_partitions, week
 
 # Grouping keys of a sample: issue day number first (a cheap, selective sort
 # prefix), then the basin and the time block the rows are partitioned by.
-# ``split`` and ``issue_date`` depend on ``sday`` and are carried along.
+# ``split`` and ``issue_date`` depend on ``sday``; aggregates carry them as
+# extra grouping keys (hashed, never sorted on, and never put in an
+# aggregation buffer -- a string buffer would force a sort-based aggregate).
 SAMPLE_KEYS = ["sday", "basin_id", "block"]
-def carried():
-    return [F.max("split").alias("split"), F.max("issue_date").alias("issue_date")]
+SAMPLE_GROUP = SAMPLE_KEYS + ["split", "issue_date"]
 WEATHER3 = ["precip", "temp", "net_solar"]
 WEATHER6 = ["precip", "temp", "u_wind", "v_wind", "dew_point", "net_solar"]
 NAN_POLICIES = ("precip_target", "all")
@@ -170,8 +171,8 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
 
     rows = fan.unionByName(frows)
     is_w = F.col("src") != 0
-    steps = rows.groupBy(*SAMPLE_KEYS, "step").agg(
-        *carried(), F.max(F.when(is_w, F.col("seg"))).alias("flag"),
+    steps = rows.groupBy(*SAMPLE_GROUP, "step").agg(
+        F.max(F.when(is_w, F.col("seg"))).alias("flag"),
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c)
           for i, c in enumerate(WEATHER3)],
         F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
@@ -204,8 +205,8 @@ def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedR
                       extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
     step = (F.when(F.col("seg") == 0, F.col("bin"))
             .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)))
-    steps = (fan.groupBy(*SAMPLE_KEYS, step.alias("step"))
-             .agg(*carried(), F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
+    steps = (fan.groupBy(*SAMPLE_GROUP, step.alias("step"))
+             .agg(F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
                   F.max(F.col("n_bins") + F.col("n_rest")).alias("_len")))
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = steps.withColumn("len_target", F.max("_len").over(w2).cast("int")).drop("_len")
@@ -234,8 +235,8 @@ def sample_stats(steps: DataFrame) -> DataFrame:
 
     Grouped on the keys the steps are already partitioned by: no exchange.
     """
-    return steps.groupBy(*SAMPLE_KEYS).agg(
-        *carried(), F.max("len_target").alias("len_target"),
+    return steps.groupBy(*SAMPLE_GROUP).agg(
+        F.max("len_target").alias("len_target"),
         F.max("len_weather").alias("len_weather"),
         F.max("reason").alias("reason"))
 
@@ -255,8 +256,7 @@ def annual_steps(flow: DataFrame, obs: DataFrame, blocks, recipe: AnnualRecipe =
     fan = fan_out(_series(flow, obs, weather), "basin_id", blocks, "year-start", r.lo, 0, block_days)
     fan = fan.withColumn("step", F.col("off") - r.lo)
     is_w = F.col("src") != 0
-    steps = fan.groupBy(*SAMPLE_KEYS, "step").agg(
-        *carried(),
+    steps = fan.groupBy(*SAMPLE_GROUP, "step").agg(
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c) for i, c in enumerate(weather)],
         F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
         F.count(F.when(~is_w, 1)).alias("_nf"),

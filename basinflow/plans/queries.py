@@ -453,8 +453,8 @@ def q_resample_weekly(spark, sf_dir):
     ser = f.flow.select(F.col("gauge_id").alias("basin_id"), "date", "streamflow_cms")
     fan = fan_out(ser, "basin_id", MIXED_BLOCKS, 5, -305, 10)
     fan = weekly_bins(fan, SAMPLE_KEYS, F.col("off") < -60).where(F.col("bin").isNotNull())
-    g = fan.groupBy(*SAMPLE_KEYS, "bin").agg(
-        *smp.carried(), F.min("anchor").alias("anchor"), F.count(F.lit(1)).alias("n_days"),
+    g = fan.groupBy(*smp.SAMPLE_GROUP, "bin").agg(
+        F.min("anchor").alias("anchor"), F.count(F.lit(1)).alias("n_days"),
         F.round(F.avg("streamflow_cms"), 4).alias("mean_flow"))
     return g.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "bin",
                     iso_date("anchor").alias("anchor"), "n_days", "mean_flow")
@@ -529,8 +529,8 @@ def q_resume_state(spark, sf_dir):
 
 def _sample_counts(steps: DataFrame) -> DataFrame:
     """Per sample: lengths, non-missing step counts, gate reason (no exchange)."""
-    return steps.groupBy(*smp.SAMPLE_KEYS).agg(
-        *smp.carried(), F.max("len_target").alias("len_target"), F.max("len_weather").alias("len_weather"),
+    return steps.groupBy(*smp.SAMPLE_GROUP).agg(
+        F.max("len_target").alias("len_target"), F.max("len_weather").alias("len_weather"),
         F.count("precip").alias("n_precip"), F.count("temp").alias("n_temp"),
         F.count("net_solar").alias("n_solar"), F.count("target").alias("n_target"),
         F.max("reason").alias("reason"))
