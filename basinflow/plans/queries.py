@@ -1103,3 +1103,25 @@ def q_sample_store(spark, sf_dir):
     t = read_samples(spark, path, "test")
     return t.select("basin_id", "forecast_date", F.size("targets").alias("n_time"),
                     F.round(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
+
+
+# --------------------------------------------------------------------------
+# incremental build (streaming re-expression of flush + resume)
+# --------------------------------------------------------------------------
+
+@register("incremental_samples", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, flag, "
+    + ", ".join(osql.r4(c) for c in WEATHER3 + ["target"]) + " FROM mixed WHERE reason IS NULL",
+    "gauges", "flow_dense", "obs", "fcst", extra=osql.mixed_ctes(flow="flow_dense")))
+def q_incremental_samples(spark, sf_dir):
+    """Landed per-gauge flow files streamed in (availableNow), samples written
+    per (split, gauge); a second run finds nothing new (resume)."""
+    from ..streaming import incremental_build
+    f = Fixtures(spark, sf_dir)
+    out, ckpt = f._land_path("incremental_out"), f._land_path("incremental_ckpt")
+    from ..sources.readers import read_partitioned
+    incremental_build(spark, f.flow_csv_dir, f.obs, f.fcst, MIXED_BLOCKS, out, ckpt,
+                      max_files_per_trigger=10)
+    r = read_partitioned(spark, out)
+    return r.select("basin_id", "split", "forecast_date", "step", "flag",
+                    *[r4(c) for c in WEATHER3 + ["target"]])

@@ -140,9 +140,25 @@ def read_static(spark: SparkSession, path: str, feature_cols: list[str] | None =
     return df.select(gid, "features")
 
 
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet folder with ``key=value`` partitions read as *string* columns.
+
+    Gauge ids such as ``01013500`` must not be inferred as integers; the
+    partition schema is fixed when the DataFrame is created, so inference is
+    switched off just for that.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, old)
+
+
 def read_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """A written sample set; ``split`` prunes partitions."""
-    df = spark.read.parquet(path)
+    df = read_partitioned(spark, path)
     return df.where(F.col("split") == split) if split is not None else df
 
 

@@ -1,0 +1,5 @@
+"""Structured Streaming entry points (incremental, resumable sample builds)."""
+
+from .incremental import build_batch, flow_file_stream, incremental_build
+
+__all__ = ["build_batch", "flow_file_stream", "incremental_build"]
