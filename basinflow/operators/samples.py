@@ -234,11 +234,12 @@ def sample_stats(steps: DataFrame) -> DataFrame:
     """A2: one row per sample with lengths and the gate reason.
 
     Grouped on the keys the steps are already partitioned by: no exchange.
+    ``reason`` is constant per sample, so it is a grouping key too (a string
+    in the aggregation buffer would force a sort-based aggregate).
     """
-    return steps.groupBy(*SAMPLE_GROUP).agg(
+    return steps.groupBy(*SAMPLE_GROUP, "reason").agg(
         F.max("len_target").alias("len_target"),
-        F.max("len_weather").alias("len_weather"),
-        F.max("reason").alias("reason"))
+        F.max("len_weather").alias("len_weather"))
 
 
 # ---------------------------------------------------------------------------

@@ -529,11 +529,10 @@ def q_resume_state(spark, sf_dir):
 
 def _sample_counts(steps: DataFrame) -> DataFrame:
     """Per sample: lengths, non-missing step counts, gate reason (no exchange)."""
-    return steps.groupBy(*smp.SAMPLE_GROUP).agg(
+    return steps.groupBy(*smp.SAMPLE_GROUP, "reason").agg(
         F.max("len_target").alias("len_target"), F.max("len_weather").alias("len_weather"),
         F.count("precip").alias("n_precip"), F.count("temp").alias("n_temp"),
-        F.count("net_solar").alias("n_solar"), F.count("target").alias("n_target"),
-        F.max("reason").alias("reason"))
+        F.count("net_solar").alias("n_solar"), F.count("target").alias("n_target"))
 
 
 _MIX = osql.mixed_ctes()
