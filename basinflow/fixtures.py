@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .functions.columns import basin_key, gauge_suffix, nan_to_null
 from .session import checkpoint_dir, ensure_conf
-from .sinks.tables import committed, materialize
+from .sinks.tables import committed, materialize, read_parquet
 
 # Fixed values of the fixture definition (FIXTURES.md section 2).
 FIRST_DAY = dt.date(1995, 1, 2)
@@ -85,7 +85,7 @@ class Fixtures:
         ensure_conf(self.spark)
 
     def table(self, name: str, *cols: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df
 
     # -- basins -----------------------------------------------------------
@@ -120,7 +120,7 @@ class Fixtures:
         """
         key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
         path = f"{checkpoint_dir(self.spark)}/basinflow-views/{key}/{name}"
-        return materialize(build(), path)
+        return materialize(build, path, spark=self.spark)
 
     @cached_property
     def flow_dense(self) -> DataFrame:

@@ -33,6 +33,14 @@ from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, fan_partitions, week
 # aggregation buffer -- a string buffer would force a sort-based aggregate).
 SAMPLE_KEYS = ["sday", "basin_id", "block"]
 SAMPLE_GROUP = SAMPLE_KEYS + ["split", "issue_date"]
+
+
+def _with_carried(df: DataFrame, blocks) -> DataFrame:
+    """Re-derive ``issue_date`` and ``split`` after a hot aggregate keyed on
+    ``SAMPLE_KEYS`` only (fewer and narrower hash keys per fanned-out row)."""
+    from .calendar import split_of
+    d = F.date_from_unix_date("sday")
+    return df.withColumn("issue_date", d).withColumn("split", split_of(d, blocks))
 WEATHER3 = ["precip", "temp", "net_solar"]
 WEATHER6 = ["precip", "temp", "u_wind", "v_wind", "dew_point", "net_solar"]
 NAN_POLICIES = ("precip_target", "all")
@@ -171,7 +179,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
 
     rows = fan.unionByName(frows)
     is_w = F.col("src") != 0
-    steps = rows.groupBy(*SAMPLE_GROUP, "step").agg(
+    steps = rows.groupBy(*SAMPLE_KEYS, "step").agg(
         F.max(F.when(is_w, F.col("seg"))).alias("flag"),
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c)
           for i, c in enumerate(WEATHER3)],
@@ -179,6 +187,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
         F.max(F.when(F.col("src") == 0, F.col("src_len"))).alias("_lf"),
         F.max(F.when(F.col("src") == 1, F.col("src_len"))).alias("_lo"),
         F.count(F.when(F.col("src") == 2, 1)).alias("_nf"))
+    steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = (steps
              .withColumn("len_target", F.coalesce(F.max("_lf").over(w2), F.lit(0)).cast("int"))
@@ -205,9 +214,10 @@ def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedR
                       extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
     step = (F.when(F.col("seg") == 0, F.col("bin"))
             .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)))
-    steps = (fan.groupBy(*SAMPLE_GROUP, step.alias("step"))
+    steps = (fan.groupBy(*SAMPLE_KEYS, step.alias("step"))
              .agg(F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
                   F.max(F.col("n_bins") + F.col("n_rest")).alias("_len")))
+    steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = steps.withColumn("len_target", F.max("_len").over(w2).cast("int")).drop("_len")
     return steps.withColumn(
@@ -257,11 +267,12 @@ def annual_steps(flow: DataFrame, obs: DataFrame, blocks, recipe: AnnualRecipe =
     fan = fan_out(_series(flow, obs, weather), "basin_id", blocks, "year-start", r.lo, 0, block_days)
     fan = fan.withColumn("step", F.col("off") - r.lo)
     is_w = F.col("src") != 0
-    steps = fan.groupBy(*SAMPLE_GROUP, "step").agg(
+    steps = fan.groupBy(*SAMPLE_KEYS, "step").agg(
         *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c) for i, c in enumerate(weather)],
         F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
         F.count(F.when(~is_w, 1)).alias("_nf"),
         F.count(F.when(is_w, 1)).alias("_nw"))
+    steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     bad = (F.col("precip").isNull() | F.isnan("precip") | (F.abs("precip") == float("inf"))
            | F.col("target").isNull() | F.isnan("target") | (F.abs("target") == float("inf")))

@@ -18,7 +18,7 @@ def short(c: str) -> str:
 
 
 def r4(c: str, alias: str | None = None) -> str:
-    return f"round(CAST({c} AS DOUBLE), 4) AS {alias or c}"
+    return f"0.0::DOUBLE + round(CAST({c} AS DOUBLE), 4) AS {alias or c}"
 
 
 def mixed_ctes(policy: str = "all", flow: str = "flow", obs: str = "obs",

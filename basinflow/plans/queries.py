@@ -30,8 +30,14 @@ def register(name: str, sql: str | None):
     return deco
 
 
+def rnd(col, digits: int):
+    """Rounded output value; ``+ 0.0`` turns -0.0 into 0.0 so the sign of a
+    zero never depends on summation order."""
+    return F.round(col, digits) + F.lit(0.0)
+
+
 def r4(col: str, alias: str | None = None):
-    return F.round(F.col(col).cast("double"), 4).alias(alias or col)
+    return rnd(F.col(col).cast("double"), 4).alias(alias or col)
 
 
 def mixed_candidates(f: Fixtures) -> DataFrame:
@@ -99,7 +105,7 @@ def q_gauge_suffix(spark, sf_dir):
 
 @register("cfs_to_cms", with_views(
     "SELECT gauge_id, strftime(date, '%Y-%m-%d') AS date, "
-    "round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms "
+    "0.0::DOUBLE + round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms "
     "FROM flow_text WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL", "flow_text"))
 def q_cfs_to_cms(spark, sf_dir):
     """Text to number (``Ice`` -> missing), drop missing, cfs -> cms."""
@@ -107,12 +113,12 @@ def q_cfs_to_cms(spark, sf_dir):
     t = Fixtures(spark, sf_dir).flow_text
     v = t.select("gauge_id", "date", to_number("value").alias("cfs")).dropna(subset=["cfs"])
     return v.select("gauge_id", iso_date("date").alias("date"),
-                    F.round(cfs_to_cms("cfs"), 4).alias("streamflow_cms"))
+                    rnd(cfs_to_cms("cfs"), 4).alias("streamflow_cms"))
 
 
 @register("date_parts", with_views(
     "SELECT gauge_id AS site_no, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
-    "CAST(day(date) AS INTEGER) AS day, round(streamflow_cms, 4) AS streamflow, "
+    "CAST(day(date) AS INTEGER) AS day, 0.0::DOUBLE + round(streamflow_cms, 4) AS streamflow, "
     "strftime(make_date(year(date), month(date), day(date)), '%Y-%m-%d') AS datetime "
     "FROM flow_dense WHERE date BETWEEN DATE '1981-01-01' AND DATE '2011-01-31'", "flow_dense"))
 def q_date_parts(spark, sf_dir):
@@ -122,7 +128,7 @@ def q_date_parts(spark, sf_dir):
         F.col("date").between(F.lit("1981-01-01").cast("date"), F.lit("2011-01-31").cast("date")))
     p = fl.select(F.col("gauge_id").alias("site_no"), F.year("date").alias("year"),
                   F.month("date").alias("month"), F.dayofmonth("date").alias("day"),
-                  F.round("streamflow_cms", 4).alias("streamflow"))
+                  rnd("streamflow_cms", 4).alias("streamflow"))
     return p.withColumn("datetime", iso_date(date_from_parts("year", "month", "day")))
 
 
@@ -216,7 +222,7 @@ def _flow_window_stats(spark, sf_dir, lo, hi, blocks=MIXED_BLOCKS, stride=5, den
         F.count(F.lit(1)).alias("n_rows"),
         F.date_format(F.min("date"), "yyyy-MM-dd").alias("first_date"),
         F.date_format(F.max("date"), "yyyy-MM-dd").alias("last_date"),
-        F.round(F.sum("streamflow_cms"), 2).alias("total")
+        rnd(F.sum("streamflow_cms"), 2).alias("total")
     ).select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
              "n_rows", "first_date", "last_date", "total")
 
@@ -225,7 +231,7 @@ def _flow_window_sql(lo, hi, cal_sql, flow="flow"):
     return with_views(
         "SELECT f.gauge_id AS basin_id, c.split, strftime(c.issue_date, '%Y-%m-%d') AS forecast_date, "
         "COUNT(*) AS n_rows, strftime(MIN(f.date), '%Y-%m-%d') AS first_date, "
-        "strftime(MAX(f.date), '%Y-%m-%d') AS last_date, round(SUM(f.streamflow_cms), 2) AS total "
+        "strftime(MAX(f.date), '%Y-%m-%d') AS last_date, 0.0::DOUBLE + round(SUM(f.streamflow_cms), 2) AS total "
         f"FROM c JOIN {flow} f ON f.date BETWEEN c.issue_date + ({lo}) AND c.issue_date + ({hi}) "
         "GROUP BY ALL", flow, extra={"c": cal_sql})
 
@@ -327,7 +333,7 @@ _STATIC_STATS_SQL = (
 
 
 @register("fit_static_scaler", with_views(
-    "SELECT CAST(idx AS INTEGER) AS idx, round(mean, 4) AS mean, round(std, 4) AS std FROM st",
+    "SELECT CAST(idx AS INTEGER) AS idx, 0.0::DOUBLE + round(mean, 4) AS mean, 0.0::DOUBLE + round(std, 4) AS std FROM st",
     "static", extra={"st": _STATIC_STATS_SQL}))
 def q_fit_static_scaler(spark, sf_dir):
     """Per-position nan-mean / population nan-std of the static vectors."""
@@ -339,7 +345,7 @@ def q_fit_static_scaler(spark, sf_dir):
 @register("attach_static", with_views(
     "SELECT c.basin_id, c.split, strftime(c.issue_date, '%Y-%m-%d') AS forecast_date, "
     + ", ".join(
-        f"round((s.features[{i + 1}] - (SELECT mean FROM st WHERE idx = {i})) / "
+        f"0.0::DOUBLE + round((s.features[{i + 1}] - (SELECT mean FROM st WHERE idx = {i})) / "
         f"((SELECT std FROM st WHERE idx = {i}) + 1e-6), 6) AS s{i}" for i in range(4))
     + " FROM cand c JOIN static s ON s.gauge_id = c.basin_id",
     "gauges", "flow", "static", extra={"cal": fx.calendar_sql(MIXED_BLOCKS, 5),
@@ -351,7 +357,7 @@ def q_attach_static(spark, sf_dir):
     st = normalize_static(f.static, fit_static_scaler(f.static))
     j = attach_static(mixed_candidates(f), st, "basin_id", "gauge_id", how="error")
     return j.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"),
-                    *[F.round(F.col("features")[i], 6).alias(f"s{i}") for i in range(4)])
+                    *[rnd(F.col("features")[i], 6).alias(f"s{i}") for i in range(4)])
 
 
 @register("gauge_names", with_views(
@@ -443,7 +449,7 @@ def q_target_segments(spark, sf_dir):
 @register("resample_weekly", with_views(
     "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, "
     "CAST(floor(date_diff('day', anchor, date) / 7) AS INTEGER) AS bin, "
-    "strftime(MIN(anchor), '%Y-%m-%d') AS anchor, COUNT(*) AS n_days, round(AVG(v0), 4) AS mean_flow "
+    "strftime(MIN(anchor), '%Y-%m-%d') AS anchor, COUNT(*) AS n_days, 0.0::DOUBLE + round(AVG(v0), 4) AS mean_flow "
     "FROM tbins WHERE seg = 0 GROUP BY basin_id, split, issue_date, bin", "flow", extra=_TARGET))
 def q_resample_weekly(spark, sf_dir):
     """7-day means anchored at the first present day of the slice."""
@@ -455,7 +461,7 @@ def q_resample_weekly(spark, sf_dir):
     fan = weekly_bins(fan, SAMPLE_KEYS, F.col("off") < -60).where(F.col("bin").isNotNull())
     g = fan.groupBy(*smp.SAMPLE_GROUP, "bin").agg(
         F.min("anchor").alias("anchor"), F.count(F.lit(1)).alias("n_days"),
-        F.round(F.avg("streamflow_cms"), 4).alias("mean_flow"))
+        rnd(F.avg("streamflow_cms"), 4).alias("mean_flow"))
     return g.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "bin",
                     iso_date("anchor").alias("anchor"), "n_days", "mean_flow")
 
@@ -674,8 +680,8 @@ def _mixed_scaler(f: Fixtures) -> DataFrame:
 
 @register("fit_scaler", with_views(
     " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, round(AVG(CAST({c} AS DOUBLE)), 4) AS mean, "
-        f"round(STDDEV_POP(CAST({c} AS DOUBLE)), 4) AS std FROM {_TRAIN_MIX}"
+        f"SELECT '{c}' AS feature, 0.0::DOUBLE + round(AVG(CAST({c} AS DOUBLE)), 4) AS mean, "
+        f"0.0::DOUBLE + round(STDDEV_POP(CAST({c} AS DOUBLE)), 4) AS std FROM {_TRAIN_MIX}"
         for c in DYN_FEATURES + ["target"]),
     "gauges", "flow", "obs", "fcst", extra=_MIX))
 def q_fit_scaler(spark, sf_dir):
@@ -699,7 +705,7 @@ def _norm_sql(c: str) -> str:
 
 @register("normalize", with_views(
     "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
-    + ", ".join(f"round({_norm_sql(c)}, 6) AS {c}_n" for c in DYN_FEATURES + ["target"])
+    + ", ".join(f"0.0::DOUBLE + round({_norm_sql(c)}, 6) AS {c}_n" for c in DYN_FEATURES + ["target"])
     + " FROM mixed WHERE reason IS NULL AND split = 'test'",
     "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
 def q_normalize(spark, sf_dir):
@@ -709,12 +715,12 @@ def q_normalize(spark, sf_dir):
     feats = DYN_FEATURES + ["target"]
     n = apply_normalize(_accepted_mixed(f, "test"), _mixed_scaler(f), feats)
     return n.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
-                    *[F.round(f"{c}_n", 6).alias(f"{c}_n") for c in feats])
+                    *[rnd(f"{c}_n", 6).alias(f"{c}_n") for c in feats])
 
 
 @register("denormalize", with_views(
     "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
-    + ", ".join(f"round({_norm_sql(c)} * ({_sc(c, 'sd')} + 1e-6) + {_sc(c, 'm')}, 4) AS {c}_d"
+    + ", ".join(f"0.0::DOUBLE + round({_norm_sql(c)} * ({_sc(c, 'sd')} + 1e-6) + {_sc(c, 'm')}, 4) AS {c}_d"
                 for c in DYN_FEATURES + ["target"])
     + " FROM mixed WHERE reason IS NULL AND split = 'test'",
     "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
@@ -728,7 +734,7 @@ def q_denormalize(spark, sf_dir):
     n = n.select("basin_id", "issue_date", "step", *[F.col(f"{c}_n").alias(c) for c in feats])
     d = apply_denormalize(n, params, feats)
     return d.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
-                    *[F.round(f"{c}_d", 4).alias(f"{c}_d") for c in feats])
+                    *[rnd(f"{c}_d", 4).alias(f"{c}_d") for c in feats])
 
 
 ANNUAL_FEATURES = smp.WEATHER6 + ["target"]
@@ -750,7 +756,7 @@ def _std_sql(c: str) -> str:
 
 @register("standardize", with_views(
     "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
-    + ", ".join(f"round({_std_sql(c)}, 6) AS {c}_s" for c in ANNUAL_FEATURES)
+    + ", ".join(f"0.0::DOUBLE + round({_std_sql(c)}, 6) AS {c}_s" for c in ANNUAL_FEATURES)
     + " FROM annual WHERE reason IS NULL AND split = 'test'",
     "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
 def q_standardize(spark, sf_dir):
@@ -760,12 +766,12 @@ def q_standardize(spark, sf_dir):
     sc = fit_scaler(_annual(f, "train"), ANNUAL_FEATURES)
     s = apply_standardize(_annual(f, "test"), sc, ANNUAL_FEATURES)
     return s.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
-                    *[F.round(f"{c}_s", 6).alias(f"{c}_s") for c in ANNUAL_FEATURES])
+                    *[rnd(f"{c}_s", 6).alias(f"{c}_s") for c in ANNUAL_FEATURES])
 
 
 @register("unstandardize", with_views(
     "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
-    + ", ".join(f"round({_std_sql(c)} * {_sc(c, 'sd')} + {_sc(c, 'm')}, 4) AS {c}_u" for c in ANNUAL_FEATURES)
+    + ", ".join(f"0.0::DOUBLE + round({_std_sql(c)} * {_sc(c, 'sd')} + {_sc(c, 'm')}, 4) AS {c}_u" for c in ANNUAL_FEATURES)
     + " FROM annual WHERE reason IS NULL AND split = 'test'",
     "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
 def q_unstandardize(spark, sf_dir):
@@ -777,7 +783,7 @@ def q_unstandardize(spark, sf_dir):
     s = s.select("basin_id", "issue_date", "step", *[F.col(f"{c}_s").alias(c) for c in ANNUAL_FEATURES])
     u = apply_unstandardize(s, params, ANNUAL_FEATURES)
     return u.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
-                    *[F.round(f"{c}_u", 4).alias(f"{c}_u") for c in ANNUAL_FEATURES])
+                    *[rnd(f"{c}_u", 4).alias(f"{c}_u") for c in ANNUAL_FEATURES])
 
 
 @register("annual_samples", with_views(
@@ -841,36 +847,36 @@ _PRED_CTES = dict(_TARGET, nse=_NSE_SQL, kge=_KGE_SQL)
 
 
 @register("mse", with_views(
-    "SELECT round(AVG(POWER((y_hat - m) / (sd + 1e-6) - (y - m) / (sd + 1e-6), 2)), 8) AS mse "
+    "SELECT 0.0::DOUBLE + round(AVG(POWER((y_hat - m) / (sd + 1e-6) - (y - m) / (sd + 1e-6), 2)), 8) AS mse "
     "FROM pred, tscale", "flow", extra=_PRED_CTES))
 def q_mse(spark, sf_dir):
     """A10: MSE loss over all test samples x steps (normalised targets)."""
     from ..operators.metrics import mse
-    return mse(_normalized_pred(Fixtures(spark, sf_dir))).select(F.round("mse", 8).alias("mse"))
+    return mse(_normalized_pred(Fixtures(spark, sf_dir))).select(rnd("mse", 8).alias("mse"))
 
 
-@register("nse", with_views("SELECT basin_id, forecast_date, round(nse, 6) AS nse FROM nse",
+@register("nse", with_views("SELECT basin_id, forecast_date, 0.0::DOUBLE + round(nse, 6) AS nse FROM nse",
                             "flow", extra=_PRED_CTES))
 def q_nse(spark, sf_dir):
     """Nash-Sutcliffe efficiency per test sample."""
     from ..operators.metrics import nse
     n = nse(predictions(Fixtures(spark, sf_dir)), PRED_KEYS + ["forecast_date"])
-    return n.select("basin_id", "forecast_date", F.round("nse", 6).alias("nse"))
+    return n.select("basin_id", "forecast_date", rnd("nse", 6).alias("nse"))
 
 
 @register("kge", with_views(
-    "SELECT basin_id, forecast_date, round(kge, 6) AS kge, round(r, 6) AS r, round(alpha, 6) AS alpha, "
-    "round(beta, 6) AS beta FROM kge", "flow", extra=_PRED_CTES))
+    "SELECT basin_id, forecast_date, 0.0::DOUBLE + round(kge, 6) AS kge, 0.0::DOUBLE + round(r, 6) AS r, 0.0::DOUBLE + round(alpha, 6) AS alpha, "
+    "0.0::DOUBLE + round(beta, 6) AS beta FROM kge", "flow", extra=_PRED_CTES))
 def q_kge(spark, sf_dir):
     """Kling-Gupta efficiency and its components per test sample."""
     from ..operators.metrics import kge
     k = kge(predictions(Fixtures(spark, sf_dir)), PRED_KEYS + ["forecast_date"], components=True)
-    return k.select("basin_id", "forecast_date", *[F.round(c, 6).alias(c) for c in ("kge", "r", "alpha", "beta")])
+    return k.select("basin_id", "forecast_date", *[rnd(c, 6).alias(c) for c in ("kge", "r", "alpha", "beta")])
 
 
 @register("tail_crop", with_views(
     "SELECT basin_id, forecast_date, COUNT(*) AS n_steps, "
-    "round(1 - SUM(POWER(y - y_hat, 2)) / (SUM(POWER(y - my, 2)) + 1e-6), 6) AS nse_tail FROM "
+    "0.0::DOUBLE + round(1 - SUM(POWER(y - y_hat, 2)) / (SUM(POWER(y - my, 2)) + 1e-6), 6) AS nse_tail FROM "
     "(SELECT *, AVG(y) OVER s AS my FROM pred WHERE step > 95 WINDOW s AS (PARTITION BY basin_id, split, issue_date)) "
     "GROUP BY basin_id, split, issue_date, forecast_date", "flow", extra=_PRED_CTES))
 def q_tail_crop(spark, sf_dir):
@@ -879,7 +885,7 @@ def q_tail_crop(spark, sf_dir):
     keys = PRED_KEYS + ["forecast_date"]
     p = tail_crop(predictions(Fixtures(spark, sf_dir)), keys, 10)
     n = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps")).join(nse(p, keys), keys)
-    return n.select("basin_id", "forecast_date", "n_steps", F.round("nse", 6).alias("nse_tail"))
+    return n.select("basin_id", "forecast_date", "n_steps", rnd("nse", 6).alias("nse_tail"))
 
 
 EVAL_BATCH = 16
@@ -910,25 +916,25 @@ _METRIC_CTES = dict(_PRED_CTES, bk=_BATCH_PRED_SQL, pb=_PER_BATCH_SQL)
 
 
 @register("metric_means", with_views(
-    "SELECT batch_id, n_samples, round(mean_kge, 6) AS mean_kge, round(mean_nse, 6) AS mean_nse, "
-    "round(loss, 8) AS loss FROM pb", "flow", extra=_METRIC_CTES))
+    "SELECT batch_id, n_samples, 0.0::DOUBLE + round(mean_kge, 6) AS mean_kge, 0.0::DOUBLE + round(mean_nse, 6) AS mean_nse, "
+    "0.0::DOUBLE + round(loss, 8) AS loss FROM pb", "flow", extra=_METRIC_CTES))
 def q_metric_means(spark, sf_dir):
     """Per evaluation batch (16 samples) mean KGE, NSE and MSE loss."""
     b = _per_batch(Fixtures(spark, sf_dir))
-    return b.select("batch_id", "n_samples", F.round("mean_kge", 6).alias("mean_kge"),
-                    F.round("mean_nse", 6).alias("mean_nse"), F.round("loss", 8).alias("loss"))
+    return b.select("batch_id", "n_samples", rnd("mean_kge", 6).alias("mean_kge"),
+                    rnd("mean_nse", 6).alias("mean_nse"), rnd("loss", 8).alias("loss"))
 
 
 @register("nan_median", with_views(
-    "SELECT round(quantile_disc(mean_kge, 0.5), 6) AS median_kge, round(quantile_disc(mean_nse, 0.5), 6) "
-    "AS median_nse, round(AVG(loss), 8) AS avg_loss FROM pb", "flow", extra=_METRIC_CTES))
+    "SELECT 0.0::DOUBLE + round(quantile_disc(mean_kge, 0.5), 6) AS median_kge, 0.0::DOUBLE + round(quantile_disc(mean_nse, 0.5), 6) "
+    "AS median_nse, 0.0::DOUBLE + round(AVG(loss), 8) AS avg_loss FROM pb", "flow", extra=_METRIC_CTES))
 def q_nan_median(spark, sf_dir):
     """A15 (+A14): lower nan-median of batch means; mean of batch losses."""
     from ..operators.metrics import nan_median_col
     b = _per_batch(Fixtures(spark, sf_dir))
-    return b.agg(F.round(nan_median_col("mean_kge"), 6).alias("median_kge"),
-                 F.round(nan_median_col("mean_nse"), 6).alias("median_nse"),
-                 F.round(F.avg("loss"), 8).alias("avg_loss"))
+    return b.agg(rnd(nan_median_col("mean_kge"), 6).alias("median_kge"),
+                 rnd(nan_median_col("mean_nse"), 6).alias("median_nse"),
+                 rnd(F.avg("loss"), 8).alias("avg_loss"))
 
 
 def _scores(f: Fixtures) -> DataFrame:
@@ -937,16 +943,16 @@ def _scores(f: Fixtures) -> DataFrame:
 
 
 @register("kge_cdf", with_views(
-    "SELECT basin_id, forecast_date, round(kge, 6) AS kge, "
+    "SELECT basin_id, forecast_date, 0.0::DOUBLE + round(kge, 6) AS kge, "
     "ROW_NUMBER() OVER (ORDER BY kge NULLS FIRST, basin_id, issue_date) AS rank, "
-    "round(ROW_NUMBER() OVER (ORDER BY kge NULLS FIRST, basin_id, issue_date) / COUNT(*) OVER (), 8) AS cdf "
+    "0.0::DOUBLE + round(ROW_NUMBER() OVER (ORDER BY kge NULLS FIRST, basin_id, issue_date) / COUNT(*) OVER (), 8) AS cdf "
     "FROM kge", "flow", extra=_PRED_CTES))
 def q_kge_cdf(spark, sf_dir):
     """Empirical CDF of per-sample KGE (distributed ranking)."""
     from ..operators.evaluate import empirical_cdf
     c = empirical_cdf(_scores(Fixtures(spark, sf_dir)), "kge", ["basin_id", "issue_date"])
-    return c.select("basin_id", "forecast_date", F.round("kge", 6).alias("kge"), "rank",
-                    F.round("cdf", 8).alias("cdf"))
+    return c.select("basin_id", "forecast_date", rnd("kge", 6).alias("kge"), "rank",
+                    rnd("cdf", 8).alias("cdf"))
 
 
 _NAMES_JOIN = ("LEFT JOIN (SELECT gauge_id, MIN(gauge_name) AS gauge_name FROM gauge_names GROUP BY 1) n "
@@ -955,7 +961,7 @@ _NAMES_JOIN = ("LEFT JOIN (SELECT gauge_id, MIN(gauge_name) AS gauge_name FROM g
 
 @register("best_k", with_views(
     "SELECT CAST(rank AS INTEGER) AS rank, t.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name, "
-    "t.forecast_date, round(t.kge, 6) AS kge FROM (SELECT *, ROW_NUMBER() OVER "
+    "t.forecast_date, 0.0::DOUBLE + round(t.kge, 6) AS kge FROM (SELECT *, ROW_NUMBER() OVER "
     "(ORDER BY kge DESC NULLS LAST, basin_id, issue_date) AS rank FROM kge) t " + _NAMES_JOIN
     + " WHERE rank <= 10", "flow", "gauge_names", extra=_PRED_CTES))
 def q_best_k(spark, sf_dir):
@@ -963,12 +969,12 @@ def q_best_k(spark, sf_dir):
     from ..operators.evaluate import best_k, with_gauge_name
     f = Fixtures(spark, sf_dir)
     b = with_gauge_name(best_k(_scores(f), "kge", 10, ["basin_id", "issue_date"]), f.gauge_names)
-    return b.select("rank", "basin_id", "gauge_name", "forecast_date", F.round("kge", 6).alias("kge"))
+    return b.select("rank", "basin_id", "gauge_name", "forecast_date", rnd("kge", 6).alias("kge"))
 
 
 @register("worst_k", with_views(
     "SELECT CAST(ROW_NUMBER() OVER (ORDER BY kge DESC NULLS LAST, basin_id, issue_date) AS INTEGER) AS rank, "
-    "t.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name, t.forecast_date, round(t.kge, 6) AS kge "
+    "t.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name, t.forecast_date, 0.0::DOUBLE + round(t.kge, 6) AS kge "
     "FROM (SELECT * FROM kge ORDER BY kge ASC NULLS FIRST, basin_id DESC, issue_date DESC LIMIT 10) t "
     + _NAMES_JOIN, "flow", "gauge_names", extra=_PRED_CTES))
 def q_worst_k(spark, sf_dir):
@@ -976,7 +982,7 @@ def q_worst_k(spark, sf_dir):
     from ..operators.evaluate import with_gauge_name, worst_k
     f = Fixtures(spark, sf_dir)
     w = with_gauge_name(worst_k(_scores(f), "kge", 10, ["basin_id", "issue_date"]), f.gauge_names)
-    return w.select("rank", "basin_id", "gauge_name", "forecast_date", F.round("kge", 6).alias("kge"))
+    return w.select("rank", "basin_id", "gauge_name", "forecast_date", rnd("kge", 6).alias("kge"))
 
 
 # --------------------------------------------------------------------------
@@ -1009,9 +1015,9 @@ def _packed(f: Fixtures) -> DataFrame:
 
 @register("pack_samples", with_views(
     "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, CAST(COUNT(*) AS INTEGER) AS n_time, "
-    "4 AS n_feature, round(SUM(CAST(precip AS DOUBLE) + CAST(temp AS DOUBLE) + CAST(net_solar AS DOUBLE) + flag), 2) "
-    "AS sum_inputs, round(SUM((step + 1) * CAST(target AS DOUBLE)), 2) AS weighted_targets, "
-    "round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL "
+    "4 AS n_feature, 0.0::DOUBLE + round(SUM(CAST(precip AS DOUBLE) + CAST(temp AS DOUBLE) + CAST(net_solar AS DOUBLE) + flag), 2) "
+    "AS sum_inputs, 0.0::DOUBLE + round(SUM((step + 1) * CAST(target AS DOUBLE)), 2) AS weighted_targets, "
+    "0.0::DOUBLE + round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL "
     "GROUP BY basin_id, split, issue_date", "gauges", "flow", "obs", "fcst", extra=_MIX))
 def q_pack_samples(spark, sf_dir):
     """[time][feature] input arrays and target arrays per sample (checksums)."""
@@ -1020,10 +1026,10 @@ def q_pack_samples(spark, sf_dir):
     return p.select(
         "basin_id", "split", "forecast_date", F.size("dynamic_inputs").alias("n_time"),
         F.size(F.col("dynamic_inputs")[0]).alias("n_feature"),
-        F.round(F.aggregate(flat, F.lit(0.0), lambda a, x: a + x), 2).alias("sum_inputs"),
-        F.round(F.aggregate(F.transform("targets", lambda x, i: x * (i + 1)), F.lit(0.0),
+        rnd(F.aggregate(flat, F.lit(0.0), lambda a, x: a + x), 2).alias("sum_inputs"),
+        rnd(F.aggregate(F.transform("targets", lambda x, i: x * (i + 1)), F.lit(0.0),
                             lambda a, x: a + x), 2).alias("weighted_targets"),
-        F.round(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
+        rnd(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
 
 
 @register("feature_split", with_views(
@@ -1049,13 +1055,13 @@ def q_csv_flow(spark, sf_dir):
     from ..sources.readers import read_flow_csv
     f = Fixtures(spark, sf_dir)
     c = read_flow_csv(spark, f.flow_csv_dir)
-    return c.select("site_no", "year", "month", "day", F.round("streamflow", 4).alias("streamflow"),
+    return c.select("site_no", "year", "month", "day", rnd("streamflow", 4).alias("streamflow"),
                     iso_date("datetime").alias("datetime"))
 
 
 @register("rdb_flow", with_views(
     "SELECT gauge_id AS site_no, strftime(date, '%Y-%m-%d') AS date, "
-    "round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms FROM flow_text "
+    "0.0::DOUBLE + round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms FROM flow_text "
     f"WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL AND CAST(gauge_id AS INTEGER) % {fx.RDB_NO_VALUE[0]} "
     f"<> {fx.RDB_NO_VALUE[1]}", "flow_text"))
 def q_rdb_flow(spark, sf_dir):
@@ -1064,12 +1070,12 @@ def q_rdb_flow(spark, sf_dir):
     f = Fixtures(spark, sf_dir)
     p = parse_rdb(read_rdb_text(spark, f.rdb_dir))
     return p.select(F.regexp_extract("file", r"camels_(\d+)", 1).alias("site_no"),
-                    iso_date("date").alias("date"), F.round("streamflow_cms", 4).alias("streamflow_cms"))
+                    iso_date("date").alias("date"), rnd("streamflow_cms", 4).alias("streamflow_cms"))
 
 
 @register("relayout", with_views(
     "SELECT basin_id, COUNT(*) AS n_rows, strftime(MIN(date), '%Y-%m-%d') AS first_date, "
-    "strftime(MAX(date), '%Y-%m-%d') AS last_date, round(SUM(CAST(precip AS DOUBLE)), 2) AS total_precip "
+    "strftime(MAX(date), '%Y-%m-%d') AS last_date, 0.0::DOUBLE + round(SUM(CAST(precip AS DOUBLE)), 2) AS total_precip "
     "FROM obs GROUP BY basin_id", "obs"))
 def q_relayout(spark, sf_dir):
     """K6: grid rewritten basin-contiguous and date-sorted; content unchanged."""
@@ -1083,12 +1089,12 @@ def q_relayout(spark, sf_dir):
     return r.groupBy("basin_id").agg(
         F.count(F.lit(1)).alias("n_rows"), iso_date(F.min("date")).alias("first_date"),
         iso_date(F.max("date")).alias("last_date"),
-        F.round(F.sum(F.col("precip").cast("double")), 2).alias("total_precip"))
+        rnd(F.sum(F.col("precip").cast("double")), 2).alias("total_precip"))
 
 
 @register("sample_store", with_views(
     "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, CAST(COUNT(*) AS INTEGER) AS n_time, "
-    "round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL AND split = 'test' "
+    "0.0::DOUBLE + round(SUM(CAST(target AS DOUBLE)), 2) AS sum_targets FROM mixed WHERE reason IS NULL AND split = 'test' "
     "GROUP BY basin_id, issue_date", "gauges", "flow", "obs", "fcst", extra=_MIX))
 def q_sample_store(spark, sf_dir):
     """K3 + S8: samples written one folder per split, the test split read back."""
@@ -1101,7 +1107,7 @@ def q_sample_store(spark, sf_dir):
         write_splits(_packed(f), path, features=DYN_FEATURES)
     t = read_samples(spark, path, "test")
     return t.select("basin_id", "forecast_date", F.size("targets").alias("n_time"),
-                    F.round(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
+                    rnd(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
 
 
 # --------------------------------------------------------------------------

@@ -26,11 +26,32 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
-def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    spark = df.sparkSession
+# Read DataFrames of immutable inputs, per session: a plan is reusable, and
+# re-reading Parquet footers for every query costs driver time.
+_READS: dict[tuple, DataFrame] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """``spark.read.parquet`` of an input that does not change while the
+    session lives (landed tables, the given test tables)."""
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
+
+
+def materialize(df, path: str, partition_by: list[str] | None = None,
+                spark: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` once (``df`` may be a zero-argument builder, called only
+    when the table is not there yet) and return a DataFrame reading it."""
+    if spark is None:
+        spark = df.sparkSession
     if not committed(spark, path):
-        w = df.write.mode("overwrite")
+        frame = df() if callable(df) else df
+        w = frame.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-    return spark.read.parquet(path)
+        _READS.pop((id(spark), spark.sparkContext.applicationId, path), None)
+    return read_parquet(spark, path)
