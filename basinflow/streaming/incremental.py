@@ -4,9 +4,11 @@ The reference flushes finished samples every few results and, after a
 crash, resumes from what it had written.  Here gauge records land as files
 (one file or folder per gauge); a file stream with ``trigger(availableNow)``
 picks up every file not yet processed -- the stream checkpoint is the resume
-state -- and ``foreachBatch`` builds that batch's samples with the batch
-operators and writes them with a dynamic partition overwrite per
-(split, gauge).  Re-running an epoch after a failure rewrites the same
+state.  A micro-batch only says *which* gauges received files: ``foreachBatch``
+re-reads those gauges' complete records from the landing folder (a gauge whose
+files were split over two batches is simply rebuilt), builds their samples
+with the batch operators and writes them with a dynamic partition overwrite
+per (split, gauge).  Re-running an epoch after a failure rewrites the same
 groups, so the output is exactly-once in effect.
 """
 
@@ -23,15 +25,24 @@ from ..sinks.writers import write_partitioned
 FLOW_STREAM_SCHEMA = "date DATE, streamflow DOUBLE"
 
 
+def _flow_columns(df: DataFrame) -> DataFrame:
+    return df.select(F.regexp_extract(F.input_file_name(), r"camels_(\d+)", 1).alias("gauge_id"),
+                     "date", F.col("streamflow").alias("streamflow_cms"))
+
+
 def flow_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of per-gauge CSV files; gauge id from the file path."""
     r = (spark.readStream.schema(FLOW_STREAM_SCHEMA).option("header", True)
          .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (r.csv(path)
-            .select(F.regexp_extract(F.input_file_name(), r"camels_(\d+)", 1).alias("gauge_id"),
-                    "date", F.col("streamflow").alias("streamflow_cms")))
+    return _flow_columns(r.csv(path))
+
+
+def landed_flow(spark: SparkSession, path: str) -> DataFrame:
+    """Static read of everything landed so far (same layout as the stream)."""
+    return _flow_columns(spark.read.schema(FLOW_STREAM_SCHEMA).option("header", True)
+                         .option("recursiveFileLookup", True).csv(path))
 
 
 def build_batch(flow: DataFrame, obs: DataFrame, fcst: DataFrame, blocks, stride=5,
@@ -54,7 +65,9 @@ def incremental_build(spark: SparkSession, flow_dir: str, obs: DataFrame, fcst:
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         epochs.append(epoch_id)
-        out = build_batch(batch, obs, fcst, blocks, stride, nan_policy, scope)
+        touched = batch.select("gauge_id").distinct()
+        flow = landed_flow(spark, flow_dir).join(touched, "gauge_id", "left_semi")
+        out = build_batch(flow, obs, fcst, blocks, stride, nan_policy, scope)
         write_partitioned(out, out_path, keys=("split", "basin_id"))
 
     q = (flow_file_stream(spark, flow_dir, max_files_per_trigger).writeStream

@@ -32,3 +32,19 @@ def test_second_run_only_processes_new_gauges(spark):
     res = read_partitioned(spark, out)
     assert sorted(r.basin_id for r in res.select("basin_id").distinct().collect()) == ["0001", "0002"]
     assert res.count() == 2 * 106
+
+
+def test_gauge_split_over_two_batches_is_rebuilt_whole(spark):
+    root = tempfile.mkdtemp(prefix="bf-stream-", dir="/tmp")
+    flow, obs, fc, _ = mixed_inputs(spark, gauge="0003")
+    rows = flow.select("date", F.col("streamflow_cms").alias("streamflow")).orderBy("date").collect()
+    half = len(rows) // 2
+    blocks = {"test": (str(T0), str(T0))}
+    out, ckpt = f"{root}/out", f"{root}/ckpt"
+    for i, part in enumerate((rows[:half], rows[half:])):
+        spark.createDataFrame(part, "date date, streamflow double").coalesce(1).write.mode("overwrite") \
+            .option("header", True).csv(f"{root}/landing/camels_0003/part{i}")
+    # one file per micro-batch: the gauge's record arrives in two halves
+    n = incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt, max_files_per_trigger=1)
+    assert n == 2
+    assert read_partitioned(spark, out).count() == 106
