@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -115,12 +116,10 @@ class Fixtures:
 
         Obs, forecast and flow grids are landed source tables in the
         reference; here they are derived, so they are derived once per
-        scale-factor directory and then read back (pushdown, pruning) by
-        every query instead of being recomputed inside each plan.
+        scale-factor directory and fixture definition, then read back
+        (pushdown, pruning) by every query instead of being recomputed.
         """
-        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(self.spark)}/basinflow-views/{key}/{name}"
-        return materialize(build, path, spark=self.spark)
+        return materialize(build, self._land_path(name), spark=self.spark)
 
     @cached_property
     def flow_dense(self) -> DataFrame:
@@ -204,9 +203,16 @@ class Fixtures:
 
     # -- landed text files (S3, S4, S6) ------------------------------------------
     def _land_path(self, name: str) -> str:
-        key = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
+        """Folder of a landed input: keyed by the scale-factor directory and a
+        digest of the fixture definitions, so a changed rule never reads a
+        table landed under the old one."""
+        key = hashlib.sha1((os.path.abspath(self.sf_dir) + "|" + DEFINITION_DIGEST).encode()).hexdigest()[:16]
         return f"{checkpoint_dir(self.spark)}/basinflow-landed/{key}/{name}"
 
+    def scratch_path(self, name: str) -> str:
+        """A fresh folder for one call's output (never reused)."""
+        return f"{checkpoint_dir(self.spark)}/basinflow-runs/{uuid.uuid4().hex}/{name}"
+
     @cached_property
     def flow_csv_dir(self) -> str:
         """One CSV (``date,streamflow``) per gauge under ``site=camels_<id>/``."""
@@ -427,3 +433,12 @@ def with_views(body: str, *views: str, extra: dict[str, str] | None = None) -> s
     ctes = [f"{v} AS ({SQL_VIEWS[v]})" for v in order]
     ctes += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+
+
+# Digest of every definition above (landing rules included): part of the
+# landed-table folder names.
+DEFINITION_DIGEST = hashlib.sha1(repr((
+    sorted(SQL_VIEWS.items()), FIRST_DAY, LAST_DAY, GAP_MODULUS, GAP_BASIN_FACTOR, FCST_STRIDE,
+    FCST_LAST_ISSUE, FCST_LEADS, FCST_WEIGHT, FCST_LEAD_BIAS, STATIC_NULL_MOD, NAMED_BELOW,
+    OBS_VARS, HOLE_PRECIP, HOLE_TEMP, HOLE_BASIN_MOD, ICE_MOD, RDB_NO_VALUE, "landing-v2",
+)).encode()).hexdigest()

@@ -28,8 +28,9 @@ def global_row_number(df: DataFrame, order: list, out: str = "rn",
 
     ``total`` optionally names a column holding the overall row count.
     """
+    from .windows import fan_partitions
     spark = df.sparkSession
-    n = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    n = fan_partitions(spark, partitions)
     cols = _order_cols(order)
     checkpoint_dir(spark)
     # Written once so both passes below see identical partitions even if an

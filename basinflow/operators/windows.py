@@ -58,9 +58,17 @@ def fan_partitions(spark: SparkSession, n: int | None = None) -> int:
 
     Given explicitly: the rows multiply ~50x *after* this exchange, so sizes
     measured at the exchange (what AQE would coalesce on) say nothing about
-    the work behind it.  A by-number repartition is left alone by AQE.
+    the work behind it, and a by-number repartition is left alone by AQE.
+    Default: ``basinflow.partitions`` if set, else 3x the cluster's default
+    parallelism (total executor cores), so every core gets work and a slow
+    partition does not hold the stage.
     """
-    return int(n or spark.conf.get("spark.sql.shuffle.partitions"))
+    if n:
+        return int(n)
+    conf = spark.conf.get("basinflow.partitions", None)
+    if conf:
+        return int(conf)
+    return 3 * int(spark.sparkContext.defaultParallelism)
 
 
 def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: int,

@@ -1079,12 +1079,10 @@ def q_rdb_flow(spark, sf_dir):
     "FROM obs GROUP BY basin_id", "obs"))
 def q_relayout(spark, sf_dir):
     """K6: grid rewritten basin-contiguous and date-sorted; content unchanged."""
-    from ..sinks.tables import committed
     from ..sinks.writers import relayout
     f = Fixtures(spark, sf_dir)
-    path = f._land_path("obs_relayout")
-    if not committed(spark, path):
-        relayout(f.obs, path)
+    path = f.scratch_path("obs_relayout")
+    relayout(f.obs, path)
     r = spark.read.parquet(path)
     return r.groupBy("basin_id").agg(
         F.count(F.lit(1)).alias("n_rows"), iso_date(F.min("date")).alias("first_date"),
@@ -1098,13 +1096,11 @@ def q_relayout(spark, sf_dir):
     "GROUP BY basin_id, issue_date", "gauges", "flow", "obs", "fcst", extra=_MIX))
 def q_sample_store(spark, sf_dir):
     """K3 + S8: samples written one folder per split, the test split read back."""
-    from ..sinks.tables import committed
     from ..sinks.writers import write_splits
     from ..sources.readers import read_samples
     f = Fixtures(spark, sf_dir)
-    path = f._land_path("samples_by_split")
-    if not committed(spark, path):
-        write_splits(_packed(f), path, features=DYN_FEATURES)
+    path = f.scratch_path("samples_by_split")
+    write_splits(_packed(f), path, features=DYN_FEATURES)
     t = read_samples(spark, path, "test")
     return t.select("basin_id", "forecast_date", F.size("targets").alias("n_time"),
                     rnd(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
@@ -1123,7 +1119,7 @@ def q_incremental_samples(spark, sf_dir):
     per (split, gauge); a second run finds nothing new (resume)."""
     from ..streaming import incremental_build
     f = Fixtures(spark, sf_dir)
-    out, ckpt = f._land_path("incremental_out"), f._land_path("incremental_ckpt")
+    out, ckpt = f.scratch_path("incremental_out"), f.scratch_path("incremental_ckpt")
     from ..sources.readers import read_partitioned
     incremental_build(spark, f.flow_csv_dir, f.obs, f.fcst, MIXED_BLOCKS, out, ckpt,
                       max_files_per_trigger=10)
