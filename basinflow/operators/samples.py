@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import gauge_suffix, iso_date
 from .asof import first_leads, nearest_asof
-from .windows import DEFAULT_BLOCK_DAYS, block_of, fan_out, fan_partitions, weekly_bins
+from .windows import (DEFAULT_BLOCK_DAYS, block_of, cell_mean, combine_copies, fan_out,
+                      fan_partitions, weekly_bins)
 
 # Grouping keys of a sample: issue day number first (a cheap, selective sort
 # prefix), then the basin and the time block the rows are partitioned by.
@@ -78,13 +79,18 @@ class AnnualRecipe:
 # ---------------------------------------------------------------------------
 
 def _series(flow: DataFrame, obs: DataFrame, weather: list[str]) -> DataFrame:
-    """U1/U2 input: flow (src 0) and weather (src 1) in one long series."""
+    """U1/U2 input: flow (src 0) and weather (src 1) in one long series,
+    copies of a (basin, date, source) cell combined before any shuffle."""
     nulls = [F.lit(None).cast("double").alias(f"v{i}") for i in range(1, len(weather))]
     f = flow.select(F.col("gauge_id").alias("basin_id"), "date", F.lit(0).alias("src"),
                     F.col("streamflow_cms").cast("double").alias("v0"), *nulls)
     o = obs.select(gauge_suffix("basin_id").alias("basin_id"), "date", F.lit(1).alias("src"),
                    *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(weather)])
-    return f.unionByName(o)
+    return combine_copies(f.unionByName(o), "basin_id", [f"v{i}" for i in range(len(weather))])
+
+
+def _cells(n_values: int) -> list[str]:
+    return ["n"] + [x for i in range(n_values) for x in (f"s{i}", f"c{i}")]
 
 
 def _missing_count(cols: list[str], w) -> Column:
@@ -154,39 +160,40 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
            .otherwise(F.lit(2)))
     part = SAMPLE_KEYS + ["src"]
     fan = weekly_bins(fan.withColumn("seg", seg), part, F.col("seg") == 0, r.week_days,
-                      extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
+                      extra={"n_rest": F.sum(F.when(F.col("seg") > 0, F.col("n")))})
     fan = fan.select(
         *SAMPLE_KEYS, "split", "issue_date", "src", "seg",
         F.when(F.col("seg") == 0, F.col("bin"))
         .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)).alias("step"),
-        (F.col("n_bins") + F.col("n_rest")).alias("src_len"),
-        "v0", "v1", "v2")
+        (F.col("n_bins") + F.coalesce(F.col("n_rest"), F.lit(0))).alias("src_len"),
+        *_cells(len(WEATHER3)))
 
     # Forecast part: nearest issue per sample (J6), its first leads.
     fc = fcst.withColumn("basin_id", gauge_suffix("basin_id"))
     near = nearest_asof(candidates, fc.select("basin_id", "issue_date"),
                         "basin_id", "issue_date", "issue_date", out="fc_issue")
     leads = first_leads(fc, "basin_id", r.n_leads).select(
-        "basin_id", F.col("issue_date").alias("fc_issue"), "lead_rank",
-        *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(WEATHER3)])
+        "basin_id", F.col("issue_date").alias("fc_issue"), "lead_rank", F.lit(1).cast("long").alias("n"),
+        *[x for i, c in enumerate(WEATHER3)
+          for x in (F.col(c).cast("double").alias(f"s{i}"),
+                    F.when(F.col(c).isNotNull(), 1).otherwise(0).cast("long").alias(f"c{i}"))])
     frows = (near.join(leads, ["basin_id", "fc_issue"])
              .select(F.unix_date("issue_date").alias("sday"), "basin_id",
                      block_of("issue_date", block_days).alias("block"),
                      "split", "issue_date", F.lit(2).alias("src"), F.lit(2).alias("seg"),
                      (F.col("lead_rank") + r.lead_step0).alias("step"),
-                     F.lit(None).cast("long").alias("src_len"), "v0", "v1", "v2")
+                     F.lit(None).cast("long").alias("src_len"), *_cells(len(WEATHER3)))
              .repartition(fan_partitions(fcst.sparkSession), "basin_id", "block"))
 
     rows = fan.unionByName(frows)
     is_w = F.col("src") != 0
     steps = rows.groupBy(*SAMPLE_KEYS, "step").agg(
         F.max(F.when(is_w, F.col("seg"))).alias("flag"),
-        *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c)
-          for i, c in enumerate(WEATHER3)],
-        F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
+        *[cell_mean(i, is_w).cast("float").alias(c) for i, c in enumerate(WEATHER3)],
+        cell_mean(0, ~is_w).cast("float").alias("target"),
         F.max(F.when(F.col("src") == 0, F.col("src_len"))).alias("_lf"),
         F.max(F.when(F.col("src") == 1, F.col("src_len"))).alias("_lo"),
-        F.count(F.when(F.col("src") == 2, 1)).alias("_nf"))
+        F.coalesce(F.sum(F.when(F.col("src") == 2, F.col("n"))), F.lit(0)).alias("_nf"))
     steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = (steps
@@ -207,16 +214,17 @@ def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedR
     r = recipe
     ser = flow.select(F.col("gauge_id").alias("basin_id"), "date",
                       F.col("streamflow_cms").cast("double").alias("v0"))
+    ser = combine_copies(ser, "basin_id", ["v0"], extra_keys=())
     fan = fan_out(ser, "basin_id", blocks, stride, r.weekly_lo, r.target_hi, block_days)
     seg = (F.when(F.col("off") < r.daily_lo, F.lit(0))
            .when(F.col("off") < 0, F.lit(1)).otherwise(F.lit(2)))
     fan = weekly_bins(fan.withColumn("seg", seg), SAMPLE_KEYS, F.col("seg") == 0, r.week_days,
-                      extra={"n_rest": F.count(F.when(F.col("seg") > 0, 1))})
+                      extra={"n_rest": F.sum(F.when(F.col("seg") > 0, F.col("n")))})
     step = (F.when(F.col("seg") == 0, F.col("bin"))
             .otherwise(F.col("off") + (r.n_weekly - r.daily_lo)))
     steps = (fan.groupBy(*SAMPLE_KEYS, step.alias("step"))
-             .agg(F.max("seg").alias("seg"), F.avg("v0").cast("float").alias("target"),
-                  F.max(F.col("n_bins") + F.col("n_rest")).alias("_len")))
+             .agg(F.max("seg").alias("seg"), cell_mean(0).cast("float").alias("target"),
+                  F.max(F.col("n_bins") + F.coalesce(F.col("n_rest"), F.lit(0))).alias("_len")))
     steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     steps = steps.withColumn("len_target", F.max("_len").over(w2).cast("int")).drop("_len")
@@ -268,10 +276,10 @@ def annual_steps(flow: DataFrame, obs: DataFrame, blocks, recipe: AnnualRecipe =
     fan = fan.withColumn("step", F.col("off") - r.lo)
     is_w = F.col("src") != 0
     steps = fan.groupBy(*SAMPLE_KEYS, "step").agg(
-        *[F.avg(F.when(is_w, F.col(f"v{i}"))).cast("float").alias(c) for i, c in enumerate(weather)],
-        F.avg(F.when(~is_w, F.col("v0"))).cast("float").alias("target"),
-        F.count(F.when(~is_w, 1)).alias("_nf"),
-        F.count(F.when(is_w, 1)).alias("_nw"))
+        *[cell_mean(i, is_w).cast("float").alias(c) for i, c in enumerate(weather)],
+        cell_mean(0, ~is_w).cast("float").alias("target"),
+        F.coalesce(F.sum(F.when(~is_w, F.col("n"))), F.lit(0)).alias("_nf"),
+        F.coalesce(F.sum(F.when(is_w, F.col("n"))), F.lit(0)).alias("_nw"))
     steps = _with_carried(steps, blocks)
     w2 = Window.partitionBy(*SAMPLE_KEYS)
     bad = (F.col("precip").isNull() | F.isnan("precip") | (F.abs("precip") == float("inf"))

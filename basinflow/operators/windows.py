@@ -53,6 +53,30 @@ def map_rows(blocks: Blocks, stride, lo: int, hi: int) -> int:
     return len(calendar_dates(blocks, stride)) * (hi - lo + 1)
 
 
+def combine_copies(series: DataFrame, key: str, values: list[str],
+                   date_col: str = "date", extra_keys: tuple[str, ...] = ("src",)) -> DataFrame:
+    """Pre-aggregate copies of a (key, date) cell *before* the fan-out shuffle.
+
+    A group of copies may hold a large share of all rows; grouping first lets
+    Spark combine them map-side (partial aggregation), so no copy group
+    reaches one task whole.  Output per cell: ``n`` (rows, for length gates
+    that must see every copy), ``s{i}`` (sum of non-missing values) and
+    ``c{i}`` (their count), from which every mean is ``sum / count``.
+    """
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, v in enumerate(values):
+        aggs += [F.sum(v).alias(f"s{i}"), F.count(v).alias(f"c{i}")]
+    return series.groupBy(key, date_col, *extra_keys).agg(*aggs)
+
+
+def cell_mean(i: int, cond: Column | None = None) -> Column:
+    """Mean of value ``i`` over combined cells (NULL when nothing is there)."""
+    s, c = F.col(f"s{i}"), F.col(f"c{i}")
+    if cond is not None:
+        s, c = F.when(cond, s), F.when(cond, c)
+    return F.try_divide(F.sum(s), F.sum(c))
+
+
 def fan_partitions(spark: SparkSession, n: int | None = None) -> int:
     """Partition count of the (basin, block) exchange.
 

@@ -126,3 +126,21 @@ def test_pack_and_unpack_round_trip(spark):
     a = {r.step: (r.precip, r.target) for r in back.collect()}
     b = {r.step: (r.precip, r.target) for r in st.collect()}
     assert a == b
+
+
+def test_copies_are_combined_with_row_counts_kept(spark):
+    flow, obs, fc, cand = mixed_inputs(spark)
+    wk_day, daily_day = T0 - 300 * ONE, T0 - 20 * ONE
+    blocks = {"test": (str(T0), str(T0))}
+    # a copy inside the weekly slice: the bin mean counts it twice, length unchanged
+    dup = flow.where(F.col("date") == F.lit(wk_day))
+    st = smp.mixed_steps(flow.unionByName(dup), obs, fc, cand, blocks, 5)
+    assert sample_row(st).reason is None
+    vals = [float((T0 - (305 - i) * ONE).toordinal() % 17) for i in range(7)]
+    vals.append(float(wk_day.toordinal() % 17))
+    got = st.where(F.col("step") == 0).select("target").collect()[0][0]
+    assert abs(got - sum(vals) / 8) < 1e-4
+    # a copy of a daily row: one row too many, rejected on length
+    dup = flow.where(F.col("date") == F.lit(daily_day))
+    r = sample_row(smp.mixed_steps(flow.unionByName(dup), obs, fc, cand, blocks, 5))
+    assert (r.len_target, r.reason) == (107, "target_length")
