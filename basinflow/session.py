@@ -56,13 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is.  Only when it is unset (tests, local runs) is a fresh
-    scratch folder set for this process.
+    is used as is; running without it is an error there, since a driver-local
+    folder is invisible to executors.  Only a local session (tests, the bench)
+    gets a fresh scratch folder when the setting is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         current = tempfile.mkdtemp(prefix="basinflow-ckpt-",
                                    dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
