@@ -114,3 +114,17 @@ def test_relayout_keeps_content(spark):
     W.relayout(df, f"{root}/grid", partitions=3)
     back = spark.read.parquet(f"{root}/grid")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_summary_csv_and_batch_labels(spark):
+    from basinflow.functions.columns import batch_file_name, batch_number, group_file_name
+    root = _tmp()
+    s = spark.createDataFrame([("0101", "train", 3)], "gauge_id string, split string, n_samples int")
+    s = s.withColumn("filename", group_file_name("split", "gauge_id", F.col("n_samples")))
+    W.write_summary(s, f"{root}/summary")
+    back = spark.read.option("header", True).csv(f"{root}/summary").collect()[0]
+    assert (back.gauge_id, back.filename) == ("0101", "train_0101_3")
+    df = spark.createDataFrame([("train", 7)], "split string, b int")
+    row = df.select(batch_file_name("split", "b").alias("f")).select(
+        "f", batch_number("f").alias("n")).collect()[0]
+    assert (row.f, row.n) == ("train_data_batch00007", 7)
