@@ -73,8 +73,9 @@ def assign_batches(samples: DataFrame, size: int, order: list[str],
 
 
 def shuffle_key(keys: list[str], seed: int) -> Column:
-    """A per-epoch random but reproducible order (hash of keys and seed)."""
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    """A per-epoch random but reproducible order: MD5 of the keys and the
+    seed (a standard digest, so any engine can reproduce the order)."""
+    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
 def batch_names(batched: DataFrame, split_col: str = "split", batch_col: str = "batch_id") -> DataFrame:

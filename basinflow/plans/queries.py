@@ -488,9 +488,14 @@ def q_assign_batches(spark, sf_dir):
     return b.select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch", "file_name")
 
 
-@register("shuffle_batches", None)
+@register("shuffle_batches", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, "
+    "CAST(floor((rn - 1) / 16) AS INTEGER) AS batch_id, CAST((rn - 1) % 16 AS INTEGER) AS pos_in_batch "
+    "FROM (SELECT basin_id, split, issue_date, ROW_NUMBER() OVER (PARTITION BY split ORDER BY "
+    "md5(basin_id || '|' || strftime(issue_date, '%Y-%m-%d') || '|1'), basin_id, issue_date) AS rn "
+    "FROM target WHERE reason IS NULL GROUP BY basin_id, split, issue_date)", "flow", extra=_TARGET))
 def q_shuffle_batches(spark, sf_dir):
-    """Per-epoch shuffled batches of 16 (hash order; rows-only check)."""
+    """Per-epoch shuffled batches of 16 (MD5 order of keys and seed)."""
     from ..operators.ranking import assign_batches, shuffle_key
     s = accepted_targets(Fixtures(spark, sf_dir)).withColumn(
         "_h", shuffle_key(["basin_id", "forecast_date"], seed=1))

@@ -39,7 +39,7 @@ def test_entry_runs_and_queries_have_oracles(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     assert len(q) >= 55
-    assert set(q) - set(sql) == {"shuffle_batches"}
+    assert set(q) == set(sql)
 
 
 @pytest.mark.parametrize("name", ["gauge_suffix", "candidates", "nearest_issue", "kge"])
