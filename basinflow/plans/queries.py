@@ -40,17 +40,26 @@ def r4(col: str, alias: str | None = None):
     return rnd(F.col(col).cast("double"), 4).alias(alias or col)
 
 
-def mixed_candidates(f: Fixtures) -> DataFrame:
+def split_blocks(blocks, split: str | None):
+    """The calendar of one split only.  Samples of a split depend only on its
+    own issue dates, so a query needing one split fans out only that split's
+    windows (the calendar is generated, so Catalyst cannot push this down)."""
+    return blocks if split is None else {split: blocks[split]}
+
+
+def mixed_candidates(f: Fixtures, blocks=MIXED_BLOCKS) -> DataFrame:
     """C3 over the gauges that have streamflow."""
     g = f.gauges.select(gauge_suffix("gauge_id").alias("basin_id"))
     g = g.join(f.flow.select(F.col("gauge_id").alias("basin_id")).distinct(), "basin_id", "left_semi")
-    return cal.candidates(g, MIXED_BLOCKS, 5, key="basin_id")
+    return cal.candidates(g, blocks, 5, key="basin_id")
 
 
-def mixed_steps(f: Fixtures, nan_policy: str = "all", flow=None, obs=None) -> DataFrame:
+def mixed_steps(f: Fixtures, nan_policy: str = "all", flow=None, obs=None,
+                split: str | None = None) -> DataFrame:
+    blocks = split_blocks(MIXED_BLOCKS, split)
     return smp.mixed_steps(flow if flow is not None else f.flow,
                            obs if obs is not None else f.obs, f.fcst,
-                           mixed_candidates(f), MIXED_BLOCKS, 5, nan_policy=nan_policy)
+                           mixed_candidates(f, blocks), blocks, 5, nan_policy=nan_policy)
 
 
 WEATHER3 = smp.WEATHER3
@@ -422,8 +431,8 @@ def q_skipped_gauges(spark, sf_dir):
 # target side, batches and resume
 # --------------------------------------------------------------------------
 
-def target_steps(f: Fixtures) -> DataFrame:
-    return smp.target_steps(f.flow, MIXED_BLOCKS, 5)
+def target_steps(f: Fixtures, split: str | None = None) -> DataFrame:
+    return smp.target_steps(f.flow, split_blocks(MIXED_BLOCKS, split), 5)
 
 
 def accepted_targets(f: Fixtures) -> DataFrame:
@@ -660,8 +669,8 @@ def q_null_report(spark, sf_dir):
     """Missing cells per column of the written train set (annual recipe)."""
     from ..operators.quality import null_report
     f = Fixtures(spark, sf_dir)
-    st = smp.annual_steps(f.flow_dense, f.obs_holes, fx.ANNUAL_BLOCKS)
-    acc = st.where(F.col("reason").isNull() & (F.col("split") == "train"))
+    st = smp.annual_steps(f.flow_dense, f.obs_holes, split_blocks(fx.ANNUAL_BLOCKS, "train"))
+    acc = st.where(F.col("reason").isNull())
     return null_report(acc, smp.WEATHER6 + ["target"])
 
 
@@ -674,8 +683,7 @@ _TRAIN_MIX = "(SELECT * FROM mixed WHERE reason IS NULL AND split = 'train')"
 
 
 def _accepted_mixed(f: Fixtures, split: str | None = None) -> DataFrame:
-    s = smp.apply_scope(mixed_steps(f), "sample")
-    return s.where(F.col("split") == split) if split else s
+    return smp.apply_scope(mixed_steps(f, split=split), "sample")
 
 
 def _mixed_scaler(f: Fixtures) -> DataFrame:
@@ -751,8 +759,8 @@ _ASCALE_CTE = " UNION ALL ".join(
 
 
 def _annual(f: Fixtures, split: str | None = None) -> DataFrame:
-    st = smp.annual_steps(f.flow_dense, f.obs, fx.ANNUAL_BLOCKS).where(F.col("reason").isNull())
-    return st.where(F.col("split") == split) if split else st
+    blocks = split_blocks(fx.ANNUAL_BLOCKS, split)
+    return smp.annual_steps(f.flow_dense, f.obs, blocks).where(F.col("reason").isNull())
 
 
 def _std_sql(c: str) -> str:
@@ -815,7 +823,7 @@ def predictions(f: Fixtures) -> DataFrame:
     A test aid standing in for model output (the model is not data work).
     """
     from pyspark.sql import Window
-    st = target_steps(f).where(F.col("reason").isNull() & (F.col("split") == "test"))
+    st = target_steps(f, "test").where(F.col("reason").isNull())
     y = F.col("target").cast("double")
     w = Window.partitionBy(*PRED_KEYS).orderBy("step")
     return st.select(*PRED_KEYS, iso_date("issue_date").alias("forecast_date"), "step",
@@ -824,7 +832,7 @@ def predictions(f: Fixtures) -> DataFrame:
 
 def _target_scaler(f: Fixtures):
     from ..operators.scaling import fit_scaler, scaler_params
-    st = target_steps(f).where(F.col("reason").isNull() & (F.col("split") == "train"))
+    st = target_steps(f, "train").where(F.col("reason").isNull())
     return scaler_params(fit_scaler(st, ["target"]))["target"]
 
 
