@@ -74,16 +74,35 @@ def _day_grid(keys: DataFrame) -> DataFrame:
     )
 
 
+_INSTANCES: dict[tuple, "Fixtures"] = {}
+
+
 @dataclass
 class Fixtures:
-    """Lazily built hydrology views over one scale-factor directory."""
+    """Lazily built hydrology views over one scale-factor directory.
+
+    ``Fixtures(spark, sf_dir)`` returns the session's existing instance for
+    that directory: its DataFrames are immutable plans, so every query reuses
+    them instead of rebuilding them on the driver.
+    """
 
     spark: SparkSession
     sf_dir: str
     _cache: dict = field(default_factory=dict)
 
-    def __post_init__(self):
+    def __new__(cls, spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        inst = _INSTANCES.get(key)
+        if inst is None:
+            inst = _INSTANCES[key] = super().__new__(cls)
+        return inst
+
+    def __init__(self, spark: SparkSession, sf_dir: str, _cache: dict | None = None):
+        if getattr(self, "_ready", False):
+            return
+        self.spark, self.sf_dir, self._cache = spark, sf_dir, _cache or {}
         ensure_conf(self.spark)
+        self._ready = True
 
     def table(self, name: str, *cols: str) -> DataFrame:
         df = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
