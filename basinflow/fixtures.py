@@ -17,7 +17,6 @@ import datetime as dt
 import hashlib
 import os
 import uuid
-from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,7 +76,6 @@ def _day_grid(keys: DataFrame) -> DataFrame:
 _INSTANCES: dict[tuple, "Fixtures"] = {}
 
 
-@dataclass
 class Fixtures:
     """Lazily built hydrology views over one scale-factor directory.
 
@@ -86,24 +84,15 @@ class Fixtures:
     them instead of rebuilding them on the driver.
     """
 
-    spark: SparkSession
-    sf_dir: str
-    _cache: dict = field(default_factory=dict)
-
-    def __new__(cls, spark: SparkSession, sf_dir: str, *args, **kwargs):
+    def __new__(cls, spark: SparkSession, sf_dir: str):
         key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
         inst = _INSTANCES.get(key)
         if inst is None:
             inst = _INSTANCES[key] = super().__new__(cls)
+            inst.spark, inst.sf_dir = spark, sf_dir
+            ensure_conf(spark)
         return inst
 
-    def __init__(self, spark: SparkSession, sf_dir: str, _cache: dict | None = None):
-        if getattr(self, "_ready", False):
-            return
-        self.spark, self.sf_dir, self._cache = spark, sf_dir, _cache or {}
-        ensure_conf(self.spark)
-        self._ready = True
-
     def table(self, name: str, *cols: str) -> DataFrame:
         df = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df

@@ -93,10 +93,6 @@ def _cells(n_values: int) -> list[str]:
     return ["n"] + [x for i in range(n_values) for x in (f"s{i}", f"c{i}")]
 
 
-def _missing_count(cols: list[str], w) -> Column:
-    return sum((F.count(F.col(c)).over(w) for c in cols), F.lit(0))
-
-
 def _gate(steps: DataFrame, expected: int, nan_cols: list[str], w) -> DataFrame:
     """Adds ``reason``: first failed gate, NULL when the sample is accepted."""
     ok_counts = [F.count(F.col(c)).over(w) for c in nan_cols]
