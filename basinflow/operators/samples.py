@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import gauge_suffix, iso_date
-from .asof import first_leads, nearest_asof
+from .asof import nearest_asof
 from .windows import (DEFAULT_BLOCK_DAYS, block_of, cell_mean, combine_copies, fan_out,
                       fan_partitions, weekly_bins)
 
@@ -164,21 +164,26 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
         (F.col("n_bins") + F.coalesce(F.col("n_rest"), F.lit(0))).alias("src_len"),
         *_cells(len(WEATHER3)))
 
-    # Forecast part: nearest issue per sample (J6), its first leads.
+    # Forecast part: nearest issue per sample (J6), then its first leads
+    # ranked inside the join -- only matched issues are ranked, and the rank
+    # window reuses the join's (basin, issue) partitioning.
     fc = fcst.withColumn("basin_id", gauge_suffix("basin_id"))
     near = nearest_asof(candidates, fc.select("basin_id", "issue_date"),
                         "basin_id", "issue_date", "issue_date", out="fc_issue")
-    leads = first_leads(fc, "basin_id", r.n_leads).select(
-        "basin_id", F.col("issue_date").alias("fc_issue"), "lead_rank", F.lit(1).cast("long").alias("n"),
-        *[x for i, c in enumerate(WEATHER3)
-          for x in (F.col(c).cast("double").alias(f"s{i}"),
-                    F.when(F.col(c).isNotNull(), 1).otherwise(0).cast("long").alias(f"c{i}"))])
-    frows = (near.join(leads, ["basin_id", "fc_issue"])
+    leads = fc.select("basin_id", F.col("issue_date").alias("fc_issue"), "lead_days",
+                      *[F.col(c).cast("double").alias(f"_w{i}") for i, c in enumerate(WEATHER3)])
+    matched = near.join(leads, ["basin_id", "fc_issue"])
+    rank = F.row_number().over(Window.partitionBy("basin_id", "fc_issue", "issue_date").orderBy("lead_days"))
+    matched = matched.withColumn("lead_rank", rank).where(F.col("lead_rank") <= r.n_leads)
+    frows = (matched
              .select(F.unix_date("issue_date").alias("sday"), "basin_id",
                      block_of("issue_date", block_days).alias("block"),
                      "split", "issue_date", F.lit(2).alias("src"), F.lit(2).alias("seg"),
                      (F.col("lead_rank") + r.lead_step0).alias("step"),
-                     F.lit(None).cast("long").alias("src_len"), *_cells(len(WEATHER3)))
+                     F.lit(None).cast("long").alias("src_len"), F.lit(1).cast("long").alias("n"),
+                     *[x for i in range(len(WEATHER3))
+                       for x in (F.col(f"_w{i}").alias(f"s{i}"),
+                                 F.when(F.col(f"_w{i}").isNotNull(), 1).otherwise(0).cast("long").alias(f"c{i}"))])
              .repartition(fan_partitions(fcst.sparkSession), "basin_id", "block"))
 
     rows = fan.unionByName(frows)
