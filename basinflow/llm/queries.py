@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import quality_rules
+from basinflow.llm import quality_rules, secret_scan
 from basinflow.llm.store import read_table
 
 
@@ -21,6 +21,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("verdict.base_failed"), F.col("verdict.kept"), F.col("verdict.rule"))
 
 
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.judged(secret_scan.candidates(read_table(spark, sf_dir, "documents")))
+    base = F.filter("spans", lambda s: s["kind"] != "reuse")
+
+    def count(test):
+        return F.size(F.filter("spans", test)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_copied"),
+        count(lambda s: s["kind"] == "reuse").alias("n_reuse"))
+
+
 QUERIES = {
+    "op6_secret_ownership": (op6_secret_ownership, None),
     "op7_quality_rules": (op7_quality_rules, None),
 }
