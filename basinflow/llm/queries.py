@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import quality_rules, secret_scan
+from basinflow.llm import quality_fm, quality_rules, secret_scan, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -21,6 +21,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("verdict.base_failed"), F.col("verdict.kept"), F.col("verdict.rule"))
 
 
+def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
+    scored = toxicity.with_score(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _scored(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")), 0.5)
+
+
+def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return _scored(docs, quality_fm.fit(docs, read_table(spark, sf_dir, "labels")), 0.3)
+
+
 def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.judged(secret_scan.candidates(read_table(spark, sf_dir, "documents")))
     base = F.filter("spans", lambda s: s["kind"] != "reuse")
@@ -38,6 +55,8 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": (op4_toxicity, None),
+    "op9_quality_fm": (op9_quality_fm, None),
     "op6_secret_ownership": (op6_secret_ownership, None),
     "op7_quality_rules": (op7_quality_rules, None),
 }
