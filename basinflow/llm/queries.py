@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import quality_fm, quality_rules, secret_scan, toxicity
+from basinflow.llm import packing, quality_fm, quality_rules, secret_scan, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -21,6 +21,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("verdict.base_failed"), F.col("verdict.kept"), F.col("verdict.rule"))
 
 
+def byte_bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"), byte_bpe_path())
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -55,6 +65,7 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op4_toxicity": (op4_toxicity, None),
     "op9_quality_fm": (op9_quality_fm, None),
     "op6_secret_ownership": (op6_secret_ownership, None),
