@@ -55,13 +55,16 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(test):
         return F.size(F.filter("spans", test)).cast("long")
 
+    def of_kind(kind):
+        return count(lambda s: s["kind"] == kind)
+
     return found.select(
         F.col("id").alias("doc_id"),
-        *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        *[of_kind(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(secret_scan.span_text(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.span_text(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_copied"),
-        count(lambda s: s["kind"] == "reuse").alias("n_reuse"))
+        of_kind("reuse").alias("n_reuse"))
 
 
 QUERIES = {

@@ -78,8 +78,12 @@ def test_empty_table(spark):
 
 def test_query_digest(spark):
     from basinflow.llm.queries import QUERIES
-    out = {r["doc_id"]: r for r in QUERIES["op6_secret_ownership"][0](spark, "/root/testdata/sf0.001").collect()}
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    out = {r["doc_id"]: r for r in QUERIES["op6_secret_ownership"][0](spark, "/root/testdata/sf0.01").collect()}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    assert sum(r["n_assign"] for r in out.values()) > 0
     assert len(out) == len(docs)
     for d in docs:
+        kinds = [x.split(":")[0] for x in brute(d["text"]).split(",") if x]
+        for kind in ("assign", "access", "hex"):
+            assert out[d["doc_id"]][f"n_{kind}"] == kinds.count(kind)
         assert out[d["doc_id"]]["base_sha256"] == hashlib.sha256(brute(d["text"]).encode()).hexdigest()
