@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import packing, quality_fm, quality_rules, secret_scan, toxicity
+from basinflow.llm import mixing, packing, quality_fm, quality_rules, secret_scan, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -31,6 +31,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+# Production mixture: shares of tokens by source, language and topic group.
+MIX_TOPICS = 8
+MIX_TARGETS = {
+    "source": {f"src{k}": 0.05 for k in range(20)},
+    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    "topic": {str(k): 1 / MIX_TOPICS for k in range(MIX_TOPICS)},
+}
+MIX_FRACTION = 0.5
+
+
+def op2_mix_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = mixing.mix(docs, MIX_TARGETS, MIX_FRACTION, topics=MIX_TOPICS)
+    return out.select("doc_id", "mix.*")
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -68,6 +84,7 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mix_raking": (op2_mix_raking, None),
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op4_toxicity": (op4_toxicity, None),
     "op9_quality_fm": (op9_quality_fm, None),
