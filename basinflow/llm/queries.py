@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import mixing, packing, quality_fm, quality_rules, secret_scan, toxicity
+from basinflow.llm import mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -47,6 +47,11 @@ def op2_mix_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "mix.*")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), keep_text=False)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -83,7 +88,27 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         of_kind("reuse").alias("n_reuse"))
 
 
+OP3_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)
+), first AS (SELECT g, min(doc_id) AS owner FROM win GROUP BY g),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM win JOIN first USING (g) WHERE owner < doc_id
+), word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS txt, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
 QUERIES = {
+    "op3_substring_dedup": (op3_substring_dedup, OP3_SQL),
     "op2_mix_raking": (op2_mix_raking, None),
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op4_toxicity": (op4_toxicity, None),
