@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
+from basinflow.llm import jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -52,6 +52,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -107,7 +111,35 @@ SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha2
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 """
 
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [1]
+                                       ELSE range(1, len(ws) - 3) END) AS i FROM w)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM both_have JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * c >= 80 * (nx.n + ny.n - c)
+), reach(node, label) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT link.y, reach.label FROM reach JOIN link ON link.x = reach.node WHERE reach.label < link.y
+)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+JOIN (SELECT node, min(label) AS component_id FROM reach GROUP BY node) r ON r.node = w.doc_id
+"""
+
 QUERIES = {
+    "op10_jaccard_join": (op10_jaccard_join, OP10_SQL),
     "op3_substring_dedup": (op3_substring_dedup, OP3_SQL),
     "op2_mix_raking": (op2_mix_raking, None),
     "op1_best_fit_packing": (op1_best_fit_packing, None),
