@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
+from basinflow.llm import imatch, jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
 from basinflow.llm.store import read_table
 
 
@@ -56,6 +56,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read_table(spark, sf_dir, "documents"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_neighbours(read_table(spark, sf_dir, "documents"))
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -139,6 +143,7 @@ JOIN (SELECT node, min(label) AS component_id FROM reach GROUP BY node) r ON r.n
 """
 
 QUERIES = {
+    "op8_imatch": (op8_imatch, None),
     "op10_jaccard_join": (op10_jaccard_join, OP10_SQL),
     "op3_substring_dedup": (op3_substring_dedup, OP3_SQL),
     "op2_mix_raking": (op2_mix_raking, None),
