@@ -6,10 +6,14 @@ parameters to its whole table and returns the contract's columns.
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import imatch, jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
+from basinflow.llm import context_mixing, imatch, jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
+from basinflow.llm.exchange import NO_ID
 from basinflow.llm.store import read_table
 
 
@@ -60,6 +64,18 @@ def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_neighbours(read_table(spark, sf_dir, "documents"))
 
 
+def _is_training(ids: np.ndarray) -> np.ndarray:
+    return np.array([i == NO_ID or zlib.crc32(str(i).encode()) % 7 != 2 for i in ids.tolist()], bool)
+
+
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    out = context_mixing.score(docs, ~held_out, _is_training)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                      "bits_per_byte")
+
+
 def _scored(docs: DataFrame, model, threshold: float) -> DataFrame:
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -143,6 +159,7 @@ JOIN (SELECT node, min(label) AS component_id FROM reach GROUP BY node) r ON r.n
 """
 
 QUERIES = {
+    "op5_context_mixing": (op5_context_mixing, None),
     "op8_imatch": (op8_imatch, None),
     "op10_jaccard_join": (op10_jaccard_join, OP10_SQL),
     "op3_substring_dedup": (op3_substring_dedup, OP3_SQL),
