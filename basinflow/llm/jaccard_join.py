@@ -253,3 +253,11 @@ def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_
     without = rows.where(F.col("prefix").isNull())
     return (with_class.select("doc_id", "n_shingles", "component_id")
             .unionByName(without.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
+
+
+def keep_first(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller id.  Rows of a
+    null id stay; of rows that share the smallest id, all stay."""
+    found = join(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, **how)
+    gone = found.where("component_id < doc_id").select(F.col("doc_id").alias("_copy")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("_copy"), "left_anti")
