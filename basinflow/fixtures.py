@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 import uuid
 from functools import cached_property
 
@@ -24,16 +23,17 @@ from pyspark.sql import functions as F
 
 from .functions.columns import basin_key, gauge_suffix, nan_to_null
 from .session import checkpoint_dir, ensure_conf
-from .sinks.tables import committed, materialize, read_parquet
+from .sinks.tables import committed, file_state, materialize
 
-# Fixed values of the fixture definition (FIXTURES.md section 2).
-FIRST_DAY = dt.date(1995, 1, 2)
-LAST_DAY = dt.date(2001, 7, 31)
+# Fixed values of the fixture definition (FIXTURES.md section 2).  ORIGIN is
+# only the day that the periodic rules count from; the period itself is that
+# of the tables (``Fixtures.period``, the ``period`` view in SQL).
+ORIGIN = dt.date(1995, 1, 2)
 GAP_MODULUS = 211          # a flow row is removed when (day + 13*k) % 211 == 0
 GAP_BASIN_FACTOR = 13
-FCST_STRIDE = 4            # forecast issued every 4th day from FIRST_DAY
-FCST_LAST_ISSUE = dt.date(2001, 7, 19)
-FCST_LEADS = 12            # leads 1..12, so "first 10" drops two
+FCST_STRIDE = 4            # forecast issued every 4th day from the first day
+FCST_LEADS = 12            # leads 1..12, so "first 10" drops two; the last
+                           # issue is FCST_LEADS days before the last day
 FCST_WEIGHT = 0.9          # value = 0.9 * obs(issue + lead) + 0.1 * lead
 FCST_LEAD_BIAS = 0.1
 STATIC_NULL_MOD = 7        # second static element NULL when k % 7 == 0
@@ -65,38 +65,49 @@ ANNUAL_BLOCKS = {
 }
 
 
-def _day_grid(keys: DataFrame) -> DataFrame:
-    """One row per (key row, day) of the fixture period, as a generator."""
-    return keys.select(
-        "*",
-        F.explode(F.sequence(F.lit(FIRST_DAY), F.lit(LAST_DAY))).alias("date"),
-    )
+def _day_grid(keys: DataFrame, period: tuple[dt.date, dt.date]) -> DataFrame:
+    """One row per (key row, day) of the period, as a generator."""
+    first, last = period
+    return keys.select("*", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date"))
 
 
 _INSTANCES: dict[tuple, "Fixtures"] = {}
+INPUT_TABLES = ("nation", "customer", "supplier", "orders", "lineitem")
 
 
 class Fixtures:
     """Lazily built hydrology views over one scale-factor directory.
 
     ``Fixtures(spark, sf_dir)`` returns the session's existing instance for
-    that directory: its DataFrames are immutable plans, so every query reuses
-    them instead of rebuilding them on the driver.
+    that directory while its files stay as they are: its DataFrames are
+    immutable plans, so every query reuses them instead of rebuilding them on
+    the driver.  A file that changes gives a new instance and new landed inputs.
     """
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
-        key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+        state = file_state(spark, [f"{sf_dir}/{t}.parquet" for t in INPUT_TABLES])
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir, state)
         inst = _INSTANCES.get(key)
         if inst is None:
             inst = _INSTANCES[key] = super().__new__(cls)
-            inst.spark, inst.sf_dir = spark, sf_dir
+            inst.spark, inst.sf_dir, inst.state, inst._tables = spark, sf_dir, state, {}
             ensure_conf(spark)
         return inst
 
     def table(self, name: str, *cols: str) -> DataFrame:
-        df = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        df = self._tables.get(name)
+        if df is None:
+            df = self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df
 
+    @cached_property
+    def period(self) -> tuple[dt.date, dt.date]:
+        """First and last day of the orders and line items (one aggregate)."""
+        days = (self.table("orders").select(F.to_date("o_orderdate").alias("d"))
+                .unionByName(self.table("lineitem").select(F.to_date("l_shipdate").alias("d"))))
+        r = days.agg(F.min("d").alias("a"), F.max("d").alias("b")).first()
+        return (r["a"], r["b"]) if r["a"] else (ORIGIN, ORIGIN)
+
     # -- basins -----------------------------------------------------------
     @cached_property
     def nations(self) -> DataFrame:
@@ -134,7 +145,7 @@ class Fixtures:
         return self._landed("flow_dense", self._flow_dense)
 
     def _flow_dense(self) -> DataFrame:
-        grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")))
+        grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")), self.period)
         return (grid.join(self.flow_daily, ["k", "date"], "left")
                 .select("k",
                         F.lpad(F.col("k").cast("string"), 8, "0").alias("gauge_id"),
@@ -144,7 +155,7 @@ class Fixtures:
     @cached_property
     def flow(self) -> DataFrame:
         """``flow(gauge_id, date, streamflow_cms)`` with periodic gaps."""
-        keep = ((F.datediff("date", F.lit(FIRST_DAY)) + GAP_BASIN_FACTOR * F.col("k"))
+        keep = ((F.datediff("date", F.lit(ORIGIN)) + GAP_BASIN_FACTOR * F.col("k"))
                 % GAP_MODULUS) != 0
         return self.flow_dense.where(keep).select("gauge_id", "date", "streamflow_cms")
 
@@ -178,7 +189,7 @@ class Fixtures:
     def _obs(self) -> DataFrame:
         """``obs(basin_id, date, precip, temp, net_solar, u_wind, v_wind,
         dew_point)`` float32 grid (the last three feed the annual recipe)."""
-        grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")))
+        grid = _day_grid(self.nations.select(F.col("n_nationkey").alias("k")), self.period)
         j = grid.join(self.obs_daily, ["k", "date"], "left")
         return j.select(
             basin_key(F.lpad(F.col("k").cast("string"), 8, "0")).alias("basin_id"),
@@ -189,7 +200,7 @@ class Fixtures:
     @cached_property
     def obs_holes(self) -> DataFrame:
         """Weather grid with missing cells (precip and temp, different days)."""
-        day = F.datediff("date", F.lit(FIRST_DAY))
+        day = F.datediff("date", F.lit(ORIGIN))
         k = gauge_suffix("basin_id").cast("int")
 
         def hole(col, rule):
@@ -203,7 +214,7 @@ class Fixtures:
     def flow_text(self) -> DataFrame:
         """Gauge-service style text values (cubic feet/s, ``Ice`` when frozen)."""
         k = F.col("gauge_id").cast("int")
-        ice = (F.datediff("date", F.lit(FIRST_DAY)) + k) % ICE_MOD == 0
+        ice = (F.datediff("date", F.lit(ORIGIN)) + k) % ICE_MOD == 0
         return self.flow_sparse.select(
             "gauge_id", "date",
             F.when(ice, F.lit("Ice"))
@@ -211,10 +222,10 @@ class Fixtures:
 
     # -- landed text files (S3, S4, S6) ------------------------------------------
     def _land_path(self, name: str) -> str:
-        """Folder of a landed input: keyed by the scale-factor directory and a
-        digest of the fixture definitions, so a changed rule never reads a
-        table landed under the old one."""
-        key = hashlib.sha1((os.path.abspath(self.sf_dir) + "|" + DEFINITION_DIGEST).encode()).hexdigest()[:16]
+        """Folder of a landed input: keyed by the input files (names, sizes,
+        modification times) and a digest of the fixture definitions, so neither
+        changed data nor a changed rule reads a table landed before."""
+        key = hashlib.sha1((self.state + "|" + DEFINITION_DIGEST).encode()).hexdigest()[:16]
         return f"{checkpoint_dir(self.spark)}/basinflow-landed/{key}/{name}"
 
     def scratch_path(self, name: str) -> str:
@@ -284,10 +295,11 @@ class Fixtures:
         lead = F.explode(F.sequence(F.lit(1), F.lit(FCST_LEADS))).alias("lead_days")
         rows = self.obs.select("*", lead).withColumn(
             "issue_date", F.date_sub("date", F.col("lead_days")))
+        first, last = self.period
         rows = rows.where(
-            (F.col("issue_date") >= F.lit(FIRST_DAY))
-            & (F.col("issue_date") <= F.lit(FCST_LAST_ISSUE))
-            & (F.datediff("issue_date", F.lit(FIRST_DAY)) % FCST_STRIDE == 0))
+            (F.col("issue_date") >= F.lit(first))
+            & (F.col("issue_date") <= F.lit(last - dt.timedelta(days=FCST_LEADS)))
+            & (F.datediff("issue_date", F.lit(first)) % FCST_STRIDE == 0))
 
         def mix(c):
             return (F.lit(FCST_WEIGHT) * F.col(c).cast("double")
@@ -331,11 +343,14 @@ def _d(x: dt.date) -> str:
 
 
 def _day_grid_sql(keys_sql: str) -> str:
-    return (f"SELECT g.*, CAST(t.d AS DATE) AS date FROM ({keys_sql}) g, "
-            f"range({_d(FIRST_DAY)}, {_d(LAST_DAY + dt.timedelta(days=1))}, INTERVAL 1 DAY) t(d)")
+    return (f"SELECT g.*, CAST(UNNEST(generate_series(p.first_day, p.last_day, INTERVAL 1 DAY)) AS DATE) AS date "
+            f"FROM ({keys_sql}) g, period p")
 
 
 SQL_VIEWS: dict[str, str] = {
+    "period": (
+        "SELECT MIN(d) AS first_day, MAX(d) AS last_day FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders "
+        "UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)"),
     "flow_daily": (
         "SELECT c_nationkey AS k, CAST(o_orderdate AS DATE) AS date, SUM(o_totalprice) AS q "
         "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"),
@@ -346,7 +361,7 @@ SQL_VIEWS: dict[str, str] = {
         "LEFT JOIN flow_daily f ON f.k = g.k AND f.date = g.date"),
     "flow": (
         "SELECT gauge_id, date, streamflow_cms FROM flow_dense "
-        f"WHERE (date_diff('day', {_d(FIRST_DAY)}, date) + {GAP_BASIN_FACTOR} * k) "
+        f"WHERE (date_diff('day', {_d(ORIGIN)}, date) + {GAP_BASIN_FACTOR} * k) "
         f"% {GAP_MODULUS} <> 0"),
     "flow_sparse": (
         "SELECT lpad(CAST(k AS VARCHAR), 8, '0') AS gauge_id, date, q AS streamflow_cms "
@@ -354,14 +369,14 @@ SQL_VIEWS: dict[str, str] = {
     "obs_holes": (
         "SELECT basin_id, date, "
         + ", ".join(
-            f"CASE WHEN NOT (k % {HOLE_BASIN_MOD} = {r[2]} AND (date_diff('day', {_d(FIRST_DAY)}, date) "
+            f"CASE WHEN NOT (k % {HOLE_BASIN_MOD} = {r[2]} AND (date_diff('day', {_d(ORIGIN)}, date) "
             f"+ {r[0]} * k) % {r[1]} = 0) THEN {c} END AS {c}"
             for c, r in (("precip", HOLE_PRECIP), ("temp", HOLE_TEMP)))
         + ", net_solar, u_wind, v_wind, dew_point FROM "
         "(SELECT *, CAST(string_split(basin_id, '_')[-1] AS INTEGER) AS k FROM obs)"),
     "flow_text": (
         "SELECT gauge_id, date, CASE WHEN (date_diff('day', "
-        f"{_d(FIRST_DAY)}, date) + CAST(gauge_id AS INTEGER)) % {ICE_MOD} = 0 THEN 'Ice' "
+        f"{_d(ORIGIN)}, date) + CAST(gauge_id AS INTEGER)) % {ICE_MOD} = 0 THEN 'Ice' "
         "ELSE CAST(CAST(round(streamflow_cms) AS BIGINT) AS VARCHAR) END AS value FROM flow_sparse"),
     "gauges": (
         "SELECT 'camels_' || lpad(CAST(n_nationkey AS VARCHAR), 8, '0') AS gauge_id FROM nation"),
@@ -380,9 +395,9 @@ SQL_VIEWS: dict[str, str] = {
         + ", ".join(
             f"CAST({FCST_WEIGHT!r}::DOUBLE * CAST({c} AS DOUBLE) + {FCST_LEAD_BIAS!r}::DOUBLE * l.lead_days AS FLOAT) AS {c}"
             for c in ("precip", "temp", "net_solar"))
-        + f" FROM obs, (SELECT CAST(i AS INTEGER) AS lead_days FROM range(1, {FCST_LEADS + 1}) r(i)) l "
-        f"WHERE date - l.lead_days >= {_d(FIRST_DAY)} AND date - l.lead_days <= {_d(FCST_LAST_ISSUE)} "
-        f"AND date_diff('day', {_d(FIRST_DAY)}, CAST(date - l.lead_days AS DATE)) % {FCST_STRIDE} = 0"),
+        + f" FROM obs, period, (SELECT CAST(i AS INTEGER) AS lead_days FROM range(1, {FCST_LEADS + 1}) r(i)) l "
+        f"WHERE date - l.lead_days >= first_day AND date - l.lead_days <= last_day - {FCST_LEADS} "
+        f"AND date_diff('day', first_day, CAST(date - l.lead_days AS DATE)) % {FCST_STRIDE} = 0"),
     "static": (
         "SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 8, '0') AS gauge_id, "
         "[CAST(n.n_regionkey AS DOUBLE), "
@@ -400,11 +415,11 @@ SQL_VIEWS: dict[str, str] = {
 
 # Dependencies between the views, so a query only carries the CTEs it uses.
 _SQL_DEPS = {
-    "flow_dense": ["flow_daily"],
+    "flow_dense": ["flow_daily", "period"],
     "flow": ["flow_dense"],
     "flow_sparse": ["flow_daily"],
-    "obs": ["obs_daily"],
-    "fcst": ["obs"],
+    "obs": ["obs_daily", "period"],
+    "fcst": ["obs", "period"],
     "obs_holes": ["obs"],
     "flow_text": ["flow_sparse"],
 }
@@ -446,7 +461,6 @@ def with_views(body: str, *views: str, extra: dict[str, str] | None = None) -> s
 # Digest of every definition above (landing rules included): part of the
 # landed-table folder names.
 DEFINITION_DIGEST = hashlib.sha1(repr((
-    sorted(SQL_VIEWS.items()), FIRST_DAY, LAST_DAY, GAP_MODULUS, GAP_BASIN_FACTOR, FCST_STRIDE,
-    FCST_LAST_ISSUE, FCST_LEADS, FCST_WEIGHT, FCST_LEAD_BIAS, STATIC_NULL_MOD, NAMED_BELOW,
-    OBS_VARS, HOLE_PRECIP, HOLE_TEMP, HOLE_BASIN_MOD, ICE_MOD, RDB_NO_VALUE, "landing-v2",
+    sorted(SQL_VIEWS.items()), ORIGIN, GAP_MODULUS, GAP_BASIN_FACTOR, FCST_STRIDE, FCST_LEADS, FCST_WEIGHT, FCST_LEAD_BIAS, STATIC_NULL_MOD, NAMED_BELOW,
+    OBS_VARS, HOLE_PRECIP, HOLE_TEMP, HOLE_BASIN_MOD, ICE_MOD, RDB_NO_VALUE, "landing-v3",
 )).encode()).hexdigest()

@@ -8,6 +8,8 @@ committed (``_SUCCESS`` present) is reused; an unfinished one is overwritten.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,6 +28,24 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def file_state(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of the names, sizes and modification times of the files under
+    ``paths``, listed through Hadoop (any file system Spark reads)."""
+    found = []
+
+    def walk(fs, status):
+        if status.isDirectory():
+            for child in fs.listStatus(status.getPath()):
+                walk(fs, child)
+        else:
+            found.append(f"{status.getPath().toString()}|{status.getLen()}|{status.getModificationTime()}")
+
+    for path in paths:
+        fs, p = _fs(spark, path)
+        walk(fs, fs.getFileStatus(p))
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
+
+
 # Read DataFrames of immutable inputs, per session: a plan is reusable, and
 # re-reading Parquet footers for every query costs driver time.
 _READS: dict[tuple, DataFrame] = {}
