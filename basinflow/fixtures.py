@@ -453,8 +453,9 @@ def with_views(body: str, *views: str, extra: dict[str, str] | None = None) -> s
 
     for v in views:
         add(v)
-    ctes = [f"{v} AS ({SQL_VIEWS[v]})" for v in order]
-    ctes += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
+    # Materialised: several views read another one more than once.
+    ctes = [f"{v} AS MATERIALIZED ({SQL_VIEWS[v]})" for v in order]
+    ctes += [f"{k} AS MATERIALIZED ({v})" for k, v in (extra or {}).items()]
     return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
 
 

@@ -23,14 +23,11 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_on: str,
                  right_on: str, out: str = "matched") -> DataFrame:
     """``left`` plus column ``out``: nearest ``right_on`` date per ``by``.
 
-    ``left`` rows are carried through the scan (no join back), so any number
-    of left rows per (key, date) is fine.
+    Only distinct (key, date) pairs are scanned; the left rows, any number of
+    them per date, meet their date's match in an equi-join that can be split.
     """
-    extra = [c for c in left.columns if c not in (by, left_on)]
-    lrows = left.select(by, F.col(left_on).alias("_x"), F.lit(1).alias("_kind"), *extra)
-    rrows = (right.select(by, F.col(right_on).alias("_x")).distinct()
-             .select(by, "_x", F.lit(0).alias("_kind"),
-                     *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in extra]))
+    lrows = left.select(by, F.col(left_on).alias("_x")).distinct().withColumn("_kind", F.lit(1))
+    rrows = right.select(by, F.col(right_on).alias("_x")).distinct().withColumn("_kind", F.lit(0))
     u = lrows.unionByName(rrows)
     # kind 0 (right) sorts before kind 1 (left) at equal dates: an exact match
     # is the "previous" date at distance 0.
@@ -43,7 +40,7 @@ def nearest_asof(left: DataFrame, right: DataFrame, by: str, left_on: str,
                .when(F.col("_n").isNull(), F.col("_p"))
                .when(F.datediff("_x", "_p") < F.datediff("_n", "_x"), F.col("_p"))
                .otherwise(F.col("_n")))
-    return u.select(by, F.col("_x").alias(left_on), *extra, nearest.alias(out))
+    return left.join(u.select(by, F.col("_x").alias(left_on), nearest.alias(out)), [by, left_on])
 
 
 def first_leads(fcst: DataFrame, by: str, n: int = 10, issue: str = "issue_date",

@@ -28,8 +28,13 @@ def calendar_dates(blocks: Blocks, stride: str | int = 5) -> list[tuple[str, dt.
     """(split, issue_date) pairs; end inclusive, like a fixed-frequency range.
 
     ``stride`` is a day count or ``'year-start'`` (first day of each year that
-    is not before the range start).
+    is not before the range start).  Overlapping ranges are an error: a sample
+    belongs to one split.
     """
+    spans = sorted((_to_date(a), _to_date(b), s) for s, (a, b) in blocks.items())
+    for (_, end, s), (start, _, t) in zip(spans, spans[1:], strict=False):
+        if start <= end:
+            raise ValueError(f"splits {s!r} and {t!r} overlap")
     out: list[tuple[str, dt.date]] = []
     for split, (start, end) in blocks.items():
         lo, hi = _to_date(start), _to_date(end)
@@ -103,6 +108,41 @@ def _tag(split: str):
     return fn
 
 
+def issue_days_between(lo: Column, hi: Column, blocks: Blocks, stride: str | int = 5) -> Column:
+    """``array<struct<split, sday>>`` of the issue dates (as day numbers) in
+    ``[lo, hi]``.  A fixed stride needs arithmetic only, not a calendar."""
+    per_split = []
+    for split, (start, end) in blocks.items():
+        first, last = _to_date(start), _to_date(end)
+        if stride == "year-start":
+            days = [_day_number(d) for _, d in calendar_dates({split: (start, end)}, stride)]
+            seq = F.filter(F.array(*map(F.lit, days)).cast("array<int>"), _between(lo, hi))
+        else:
+            step, zero = int(stride), _day_number(first)
+            a = F.greatest(F.lit(0), F.ceil((lo - zero) / step).cast("int"))
+            b = F.least(F.lit((_day_number(last) - zero) // step), F.floor((hi - zero) / step).cast("int"))
+            seq = F.when(a <= b, F.transform(F.sequence(a, b), _times(step, zero))).otherwise(
+                F.array().cast("array<int>"))
+        per_split.append(F.transform(seq, _day_tag(split)))
+    return F.flatten(F.array(*per_split))
+
+
+def _day_number(d: dt.date) -> int:
+    return (d - dt.date(1970, 1, 1)).days
+
+
+def _between(lo, hi):
+    return lambda d: (d >= lo) & (d <= hi)
+
+
+def _times(step, zero):
+    return lambda i: i * step + zero
+
+
+def _day_tag(split: str):
+    return lambda d: F.struct(F.lit(split).alias("split"), d.alias("sday"))
+
+
 def candidates(gauges: DataFrame, blocks: Blocks, stride: str | int = 5,
                key: str = "gauge_id") -> DataFrame:
     """Every gauge x every issue date of every split.

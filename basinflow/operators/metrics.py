@@ -22,70 +22,84 @@ def tail_crop(pred: DataFrame, keys: list[str], seq_len: int | None,
     return pred.withColumn("_last", last).where(F.col(step) > F.col("_last") - seq_len).drop("_last")
 
 
-def mse(pred: DataFrame, seq_len: int | None = None, keys: list[str] | None = None) -> DataFrame:
-    """A10: mean squared error over all samples x steps (one row)."""
-    p = tail_crop(pred, keys or [], seq_len) if seq_len else pred
-    return p.agg(F.avg(F.pow(F.col("y_hat") - F.col("y"), 2)).alias("mse"))
+def mse(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
+    """A10: mean squared error per sample (``squares`` and ``steps`` add up)."""
+    return scores(pred, keys, seq_len).select(*keys, "mse", "squares", "steps")
 
 
 def nse(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
     """``1 - sum((y-yh)^2) / (sum((y-mean y)^2) + 1e-6)`` per sample."""
-    p = tail_crop(pred, keys, seq_len)
-    return p.groupBy(*keys).agg(
-        (F.lit(1.0) - F.sum(F.pow(F.col("y") - F.col("y_hat"), 2))
-         / (F.var_pop("y") * F.count("y") + F.lit(EPS))).alias("nse"))
-
-
-def kge_column() -> list[Column]:
-    n = F.count("y")
-    r = (n * F.covar_pop("y", "y_hat")
-         / (F.sqrt(n * F.var_pop("y")) * F.sqrt(n * F.var_pop("y_hat")) + F.lit(EPS)))
-    alpha = (F.stddev_samp("y_hat") + F.lit(EPS)) / (F.stddev_samp("y") + F.lit(EPS))
-    beta = F.avg("y_hat") / (F.avg("y") + F.lit(EPS))
-    return [r.alias("r"), alpha.alias("alpha"), beta.alias("beta")]
+    return scores(pred, keys, seq_len).select(*keys, "nse")
 
 
 def kge(pred: DataFrame, keys: list[str], seq_len: int | None = None,
         components: bool = False) -> DataFrame:
-    """Kling-Gupta efficiency per sample.
+    """Kling-Gupta efficiency per sample (evaluation form).
 
     ``r`` from population moments with epsilon in the denominator, ``alpha``
     from sample standard deviations each with epsilon, ``beta`` with epsilon
     on the observed mean (exact placement of the reference's evaluation form).
     """
-    p = tail_crop(pred, keys, seq_len)
-    parts = p.groupBy(*keys).agg(*kge_column())
-    score = F.lit(1.0) - F.sqrt(F.pow(F.col("r") - 1, 2) + F.pow(F.col("alpha") - 1, 2)
-                                + F.pow(F.col("beta") - 1, 2))
-    out = parts.withColumn("kge", score)
-    return out if components else out.drop("r", "alpha", "beta")
+    return scores(pred, keys, seq_len).select(*keys, *(["r", "alpha", "beta"] if components else []), "kge")
+
+
+def _distance(alpha: str) -> Column:
+    return F.lit(1.0) - F.sqrt(F.pow(F.col("r") - 1, 2) + F.pow(F.col(alpha) - 1, 2) + F.pow(F.col("beta") - 1, 2))
+
+
+def scores(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
+    """Every per-sample metric in one grouped aggregate: squared-error sum and
+    steps, mse, nse, kge with its parts, and the loss form of kge (epsilon on
+    the observed standard deviation only)."""
+    n, error = F.count("y"), F.pow(F.col("y") - F.col("y_hat"), 2)
+    spread, sd, sd_hat = F.var_pop("y") * n, F.stddev_samp("y"), F.stddev_samp("y_hat")
+    out = tail_crop(pred, keys, seq_len).groupBy(*keys).agg(
+        F.sum(error).alias("squares"), n.alias("steps"), F.avg(error).alias("mse"),
+        (F.lit(1.0) - F.sum(error) / (spread + F.lit(EPS))).alias("nse"),
+        (n * F.covar_pop("y", "y_hat") / (F.sqrt(spread) * F.sqrt(n * F.var_pop("y_hat")) + F.lit(EPS))).alias("r"),
+        ((sd_hat + F.lit(EPS)) / (sd + F.lit(EPS))).alias("alpha"), (sd_hat / (sd + F.lit(EPS))).alias("alpha_loss"),
+        (F.avg("y_hat") / (F.avg("y") + F.lit(EPS))).alias("beta"))
+    return out.withColumn("kge", _distance("alpha")).withColumn("kge_loss", _distance("alpha_loss")).drop("alpha_loss")
+
+
+def mse_loss(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
+    """A10: mean over all samples x (tail) steps, one row."""
+    s = scores(pred, keys, seq_len)
+    return s.agg((F.sum("squares") / F.sum("steps")).alias("loss"))
+
+
+def nse_loss(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
+    """Negative mean of the per-sample NSE, one row."""
+    return scores(pred, keys, seq_len).agg((-F.avg("nse")).alias("loss"))
 
 
-METRICS = {"mse": mse, "nse": nse, "kge": kge}
+def kge_loss(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
+    """Negative mean of the per-sample KGE in its loss form, one row."""
+    return scores(pred, keys, seq_len).agg((-F.avg("kge_loss")).alias("loss"))
 
 
-def metric(name: str):
-    """Metric by name; unknown names are an error."""
-    try:
-        return METRICS[name]
-    except KeyError:
-        raise ValueError(f"Unknown loss type: {name}") from None
+LOSSES = {"mse": mse_loss, "nse": nse_loss, "kge": kge_loss}
 
 
-def batch_means(per_sample: DataFrame, value: str, batch_col: str = "batch_id") -> DataFrame:
-    """Mean of a per-sample metric in every batch."""
-    return per_sample.groupBy(batch_col).agg(F.avg(value).alias(f"mean_{value}"))
+def metric(name: str, seq_len: int | None = None):
+    """``loss(pred, keys)`` by name over the last ``seq_len`` steps; all
+    three are interchangeable, and unknown names are an error."""
+    if name not in LOSSES:
+        raise ValueError(f"Unknown loss type: {name}")
+    return lambda pred, keys: LOSSES[name](pred, keys, seq_len)
 
 
-def batch_mse(pred_batched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """A14 input: the MSE loss of every batch."""
-    return pred_batched.groupBy(batch_col).agg(
-        F.avg(F.pow(F.col("y_hat") - F.col("y"), 2)).alias("loss"))
+def batch_means(scored: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """A13/A14 input: per batch the samples, mean KGE, mean NSE and MSE loss."""
+    return scored.groupBy(batch_col).agg(
+        F.count(F.lit(1)).alias("n_samples"), F.avg("kge").alias("mean_kge"), F.avg("nse").alias("mean_nse"),
+        (F.sum("squares") / F.sum("steps")).alias("loss"))
 
 
-def mean_of_batches(per_batch: DataFrame, value: str) -> DataFrame:
-    """Unweighted mean over batches (NULL when there is no batch)."""
-    return per_batch.agg(F.avg(value).alias(f"avg_{value}"))
+def mean_of_batches(per_batch: DataFrame) -> DataFrame:
+    """Mean batch loss and the lower medians of the batch means."""
+    return per_batch.agg(nan_median_col("mean_kge").alias("median_kge"), nan_median_col("mean_nse").alias("median_nse"),
+                         F.avg("loss").alias("avg_loss"))
 
 
 def nan_median_col(value: str) -> Column:

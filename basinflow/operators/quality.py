@@ -6,7 +6,7 @@ split, reason, length), so they partial-aggregate before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import group_file_name, is_missing
@@ -59,14 +59,22 @@ def null_report(df: DataFrame, cols: list[str]) -> DataFrame:
             .withColumn("any_missing", F.col("n_missing") > 0))
 
 
-def drop_report(candidates: DataFrame, stats: DataFrame,
-                keys: tuple[str, ...] = ("basin_id", "split", "issue_date")) -> DataFrame:
-    """Candidates per (split, outcome); a candidate without any rows is
-    ``no_data`` (so the report starts from the candidate grid)."""
-    j = candidates.join(stats.select(*keys, F.lit(1).alias("_seen"), "reason"), list(keys), "left")
-    outcome = (F.when(F.col("_seen").isNull(), F.lit("no_data"))
-               .otherwise(F.coalesce(F.col("reason"), F.lit("accepted"))))
-    return j.groupBy("split", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n_samples"))
+def drop_report(candidates: DataFrame, stats: DataFrame) -> DataFrame:
+    """Candidates per (split, outcome).
+
+    ``stats`` holds one row per candidate sample that has any data, so the
+    ``no_data`` candidates are the difference of two counts per split: no join
+    of candidates and samples."""
+    outcome = F.coalesce(F.col("reason"), F.lit("accepted")).alias("outcome")
+    seen = stats.groupBy("split", outcome).agg(F.count(F.lit(1)).alias("n"))
+    marks = (candidates.select("basin_id", "split", "issue_date").distinct()
+             .groupBy("split").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit("no_data")))
+    both = seen.withColumn("total", F.lit(0).cast("long")).unionByName(
+        marks.withColumn("total", F.col("n")).withColumn("n", F.lit(0).cast("long")))
+    per_split = Window.partitionBy("split")
+    both = both.withColumn("n", F.when(F.col("outcome") == "no_data", F.sum("total").over(per_split)
+                                       - F.sum("n").over(per_split)).otherwise(F.col("n")))
+    return both.where("n > 0").select("split", "outcome", F.col("n").alias("n_samples"))
 
 
 def run_summary(samples: DataFrame, key: str = "basin_id", split: str = "split",

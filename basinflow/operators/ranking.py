@@ -18,60 +18,72 @@ from ..functions.columns import batch_file_name
 from ..session import checkpoint_dir
 
 
+MAX_OFFSET_ROWS = 200_000
+
+
 def _order_cols(order):
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def _ranged(df: DataFrame, cols: list[Column], partitions: int | None) -> DataFrame:
+    """Rows range-partitioned and sorted, with partition and place numbers.
+
+    Written once: the partitions and their row order are then fixed, even if
+    an executor is lost later, so a row's place in its partition is simply the
+    low bits of monotonically_increasing_id (no second shuffle, no window)."""
+    from .windows import fan_partitions
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    return (df.repartitionByRange(fan_partitions(spark, partitions), *cols).sortWithinPartitions(*cols)
+            .checkpoint(eager=True)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright("_mid", 33))
+            .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+            .drop("_mid"))
+
+
+def _with_offsets(ranked: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    """Join the offsets, broadcast where their checked number is small."""
+    small = offsets.limit(MAX_OFFSET_ROWS + 1).count() <= MAX_OFFSET_ROWS
+    return ranked.join(F.broadcast(offsets) if small else offsets, keys)
+
+
 def global_row_number(df: DataFrame, order: list, out: str = "rn",
                       partitions: int | None = None, total: str | None = None) -> DataFrame:
     """``out`` = 1-based position of each row in ``order`` (keys must be unique).
 
     ``total`` optionally names a column holding the overall row count.
     """
-    from .windows import fan_partitions
-    spark = df.sparkSession
-    n = fan_partitions(spark, partitions)
-    cols = _order_cols(order)
-    checkpoint_dir(spark)
-    # Range-partitioned, sorted inside each partition, and written once: the
-    # partitions and their row order are then fixed, even if an executor is
-    # lost later, so a row's position inside its partition is simply the low
-    # bits of monotonically_increasing_id (no second shuffle, no window sort).
-    ranked = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .checkpoint(eager=True)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", 33))
-              .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1))
+    ranked = _ranged(df, _order_cols(order), partitions)
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"),
                             F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
-    return (ranked.join(F.broadcast(offsets), "_pid")
+    return (_with_offsets(ranked, offsets, ["_pid"])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
             .withColumnRenamed("_total", total or "_total")
-            .drop("_pid", "_local", "_off", "_mid", *([] if total else ["_total"])))
+            .drop("_pid", "_local", "_off", *([] if total else ["_total"])))
 
 
 def assign_batches(samples: DataFrame, size: int, order: list[str],
                    within: list[str] | None = None, out: str = "batch_id") -> DataFrame:
     """Samples in ``order``, ``size`` per batch, the last batch short.
 
-    Numbering restarts in every ``within`` group (e.g. per split).  The
-    position is a distributed global row number (see module doc); the group
-    offsets come from a per-group count table.
+    Numbering restarts in every ``within`` group (e.g. per split).  Ordered by
+    group first, a group's rows are contiguous in each partition, so counts per
+    (partition, group) give the start of each run; there are at most partitions
+    + groups of them, and the samples themselves move once.
     """
     within = within or []
-    keyed = global_row_number(samples, within + order, out="_g")
-    if within:
-        first = keyed.groupBy(*within).agg(F.min("_g").alias("_g0"))
-        keyed = keyed.join(first, within)
-        pos = F.col("_g") - F.col("_g0")
-    else:
-        pos = F.col("_g") - 1
-    return (keyed.withColumn("pos", pos.cast("long"))
+    ranked = _ranged(samples, _order_cols(within + order), None)
+    runs = ranked.groupBy("_pid", *within).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_local").alias("_first"))
+    before = Window.partitionBy(*within).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select("_pid", *within, (F.coalesce(F.sum("_cnt").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    keyed = _with_offsets(ranked, offsets, ["_pid", *within])
+    return (keyed.withColumn("pos", (F.col("_local") + F.col("_off")).cast("long"))
             .withColumn(out, F.floor(F.col("pos") / size).cast("int"))
             .withColumn("pos_in_batch", (F.col("pos") % size).cast("int"))
-            .drop("_g", "_g0"))
+            .drop("_pid", "_local", "_off"))
 
 
 def shuffle_key(keys: list[str], seed: int) -> Column:

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import gauge_suffix, iso_date
+from ..functions.columns import gauge_suffix, iso_date, nan_to_null
 from .asof import nearest_asof
 from .windows import (DEFAULT_BLOCK_DAYS, block_of, cell_mean, combine_copies, fan_out,
                       fan_partitions, weekly_bins)
@@ -83,9 +83,9 @@ def _series(flow: DataFrame, obs: DataFrame, weather: list[str]) -> DataFrame:
     copies of a (basin, date, source) cell combined before any shuffle."""
     nulls = [F.lit(None).cast("double").alias(f"v{i}") for i in range(1, len(weather))]
     f = flow.select(F.col("gauge_id").alias("basin_id"), "date", F.lit(0).alias("src"),
-                    F.col("streamflow_cms").cast("double").alias("v0"), *nulls)
+                    nan_to_null(F.col("streamflow_cms").cast("double")).alias("v0"), *nulls)
     o = obs.select(gauge_suffix("basin_id").alias("basin_id"), "date", F.lit(1).alias("src"),
-                   *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(weather)])
+                   *[nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(weather)])
     return combine_copies(f.unionByName(o), "basin_id", [f"v{i}" for i in range(len(weather))])
 
 
@@ -118,17 +118,29 @@ def apply_scope(steps: DataFrame, scope: str) -> DataFrame:
     """A5: ``sample`` drops failed samples; ``group`` also drops every sample of
     a (basin, split) group that holds a sample failing only the NaN gate.
 
-    The bad-group list is an aggregate (one row per group) anti-joined back,
-    so the step rows are never re-shuffled.
+    Group scope is decided on one row per sample (``scope_samples``); what is
+    kept comes back as one array of issue days per (basin, block), the keys the
+    step rows are partitioned by, so the step rows are not shuffled again.
     """
     if scope not in SCOPES:
         raise ValueError(f"unknown scope {scope!r}")
     kept = steps.where(F.col("reason").isNull())
     if scope == "sample":
         return kept
-    bad = (steps.where(F.col("reason") == "missing_values")
-           .groupBy("basin_id", "split").agg(F.lit(1).alias("_bad")).drop("_bad"))
-    return kept.join(bad, ["basin_id", "split"], "left_anti")
+    good = (scope_samples(sample_stats(steps), scope)
+            .groupBy("basin_id", "block").agg(F.collect_set("sday").alias("_good"))
+            .repartition(fan_partitions(steps.sparkSession), "basin_id", "block"))
+    return (kept.join(good.hint("shuffle_hash"), ["basin_id", "block"])
+            .where(F.array_contains("_good", F.col("sday"))).drop("_good"))
+
+
+def scope_samples(stats: DataFrame, scope: str) -> DataFrame:
+    """The accepted rows of a per-sample table (``sample_stats``) in either
+    scope: one pass, one row per sample moved."""
+    if scope == "group":
+        bad = F.max((F.col("reason") == "missing_values").cast("int")).over(Window.partitionBy("basin_id", "split"))
+        stats = stats.withColumn("_bad", bad).where(F.coalesce("_bad", F.lit(0)) == 0).drop("_bad")
+    return stats.where(F.col("reason").isNull())
 
 
 # ---------------------------------------------------------------------------
@@ -142,14 +154,16 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
 
     ``flow(gauge_id, date, streamflow_cms)``, ``obs(basin_id='camels_<id>', date,
     precip, temp, net_solar)``, ``fcst(basin_id, issue_date, lead_days, ...)``,
-    ``candidates(basin_id, split, issue_date)`` (short ids).
+    ``candidates(basin_id, split, issue_date)`` (short ids).  Only candidate
+    samples are built.
 
     Output: ``basin_id, block, split, issue_date, step, flag, precip, temp,
     net_solar, target, len_target, len_weather, reason`` (one row per step).
     """
     r = recipe
+    candidates = candidates.select("basin_id", "split", "issue_date")
     fan = fan_out(_series(flow, obs, WEATHER3), "basin_id", blocks, stride,
-                  r.weekly_lo, r.target_hi, block_days)
+                  r.weekly_lo, r.target_hi, block_days, candidates=candidates)
     fan = fan.where((F.col("src") == 0) | (F.col("off") <= r.weather_daily_hi))
     seg = (F.when(F.col("off") < r.daily_lo, F.lit(0))
            .when((F.col("src") == 1) | (F.col("off") < 0), F.lit(1))
@@ -171,7 +185,7 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
     near = nearest_asof(candidates, fc.select("basin_id", "issue_date"),
                         "basin_id", "issue_date", "issue_date", out="fc_issue")
     leads = fc.select("basin_id", F.col("issue_date").alias("fc_issue"), "lead_days",
-                      *[F.col(c).cast("double").alias(f"_w{i}") for i, c in enumerate(WEATHER3)])
+                      *[nan_to_null(F.col(c).cast("double")).alias(f"_w{i}") for i, c in enumerate(WEATHER3)])
     matched = near.join(leads, ["basin_id", "fc_issue"])
     rank = F.row_number().over(Window.partitionBy("basin_id", "fc_issue", "issue_date").orderBy("lead_days"))
     matched = matched.withColumn("lead_rank", rank).where(F.col("lead_rank") <= r.n_leads)
@@ -214,7 +228,7 @@ def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedR
     """
     r = recipe
     ser = flow.select(F.col("gauge_id").alias("basin_id"), "date",
-                      F.col("streamflow_cms").cast("double").alias("v0"))
+                      nan_to_null(F.col("streamflow_cms").cast("double")).alias("v0"))
     ser = combine_copies(ser, "basin_id", ["v0"], extra_keys=())
     fan = fan_out(ser, "basin_id", blocks, stride, r.weekly_lo, r.target_hi, block_days)
     seg = (F.when(F.col("off") < r.daily_lo, F.lit(0))

@@ -10,13 +10,13 @@ Physical plan (SURVEY section 4.1, "plan D", made skew-proof):
   copies are hash-partitioned by ``(basin, block)``.  That is the only
   shuffle of source rows.  A basin with a long or dense record is spread over
   many blocks, so no basin lands in a single task.
-* The fan-out itself is an equi-join on ``(date, block)`` against the
-  window map ``calendar x offsets``.  The map's row count is known on the
-  driver from the calendar parameters (no data is read to size it), so it is
-  broadcast only below ``MAX_BROADCAST_ROWS`` and shuffle-joined above.
-* Broadcast hash join keeps the stream side's partitioning, so every later
-  window and aggregate keyed by (basin, block, issue, ...) runs without
-  another exchange.
+* Each row generates its issue dates: by arithmetic from a fixed stride, or
+  from the candidates of its (basin, block) when these are given.  Candidates
+  are brought to the same (basin, block) partitioning as one short array a
+  key, so a basin or date that is no candidate is never fanned out, and there
+  is no join with a calendar.
+* The fan-out keeps the partitioning, so every later window and aggregate
+  keyed by (basin, block, issue, ...) runs without another exchange.
 """
 
 from __future__ import annotations
@@ -26,11 +26,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .calendar import Blocks, calendar_dates, issue_calendar
+from .calendar import Blocks, calendar_dates, issue_days_between
 
 DEFAULT_BLOCK_DAYS = 320
-# Upper bound on broadcast window-map rows (~40 bytes each -> ~200 MB).
-MAX_BROADCAST_ROWS = 5_000_000
 
 
 def block_of(date_col, block_days: int = DEFAULT_BLOCK_DAYS) -> Column:
@@ -38,19 +36,12 @@ def block_of(date_col, block_days: int = DEFAULT_BLOCK_DAYS) -> Column:
     return F.floor(F.unix_date(c) / F.lit(block_days)).cast("int")
 
 
-def window_map(spark: SparkSession, blocks: Blocks, stride, lo: int, hi: int,
-               block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
-    """(split, issue_date, sday, block, off, date) for every calendar date and
-    offset; ``sday`` is the issue date as a day number (a cheap sort key)."""
-    cal = issue_calendar(spark, blocks, stride)
-    return (cal.select("split", "issue_date", F.unix_date("issue_date").alias("sday"),
-                       block_of("issue_date", block_days).alias("block"),
-                       F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("off"))
-            .withColumn("date", F.date_add("issue_date", F.col("off"))))
-
-
-def map_rows(blocks: Blocks, stride, lo: int, hi: int) -> int:
-    return len(calendar_dates(blocks, stride)) * (hi - lo + 1)
+def candidate_days(candidates: DataFrame, key: str, block_days: int = DEFAULT_BLOCK_DAYS,
+                   issue: str = "issue_date") -> DataFrame:
+    """(key, block, days): the candidate issue dates of each time block, as
+    ``array<struct<split, sday>>`` (at most ``block_days`` of them)."""
+    day = F.struct(F.col("split"), F.unix_date(issue).alias("sday"))
+    return candidates.groupBy(key, block_of(issue, block_days).alias("block")).agg(F.collect_set(day).alias("_days"))
 
 
 def combine_copies(series: DataFrame, key: str, values: list[str],
@@ -97,11 +88,12 @@ def fan_partitions(spark: SparkSession, n: int | None = None) -> int:
 
 def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: int,
             block_days: int = DEFAULT_BLOCK_DAYS, date_col: str = "date",
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, candidates: DataFrame | None = None) -> DataFrame:
     """Rows of ``series`` attached to every sample window containing them.
 
-    Returns the series columns plus ``block, split, issue_date, off`` where
-    ``off = date - issue_date`` lies in ``[lo, hi]``.
+    Returns the series columns plus ``block, split, issue_date, sday, off``
+    where ``off = date - issue_date`` lies in ``[lo, hi]``.  With ``candidates``
+    (``key``, split, issue_date) only their samples are built.
     """
     spark = series.sparkSession
     cal = calendar_dates(blocks, stride)
@@ -109,6 +101,7 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
         raise ValueError("empty issue calendar")
     first = min(d for _, d in cal)
     last = max(d for _, d in cal)
+    n = fan_partitions(spark, partitions)
     # Only rows some window can use reach the shuffle (pushed to the scan).
     s = series.where(F.col(date_col).between(F.lit(first + dt.timedelta(days=lo)),
                                              F.lit(last + dt.timedelta(days=hi))))
@@ -117,12 +110,21 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
     b_lo = F.greatest(block_of(F.date_sub(F.col(date_col), hi), block_days), b_min)
     b_hi = F.least(block_of(F.date_sub(F.col(date_col), lo), block_days), b_max)
     s = s.withColumn("block", F.explode(F.sequence(b_lo, b_hi)))
-    s = s.repartition(fan_partitions(spark, partitions), key, "block")
-
-    m = window_map(spark, blocks, stride, lo, hi, block_days)
-    if map_rows(blocks, stride, lo, hi) <= MAX_BROADCAST_ROWS:
-        m = F.broadcast(m)
-    return s.join(m, on=[date_col, "block"], how="inner")
+    day = F.unix_date(date_col)
+    if candidates is not None:
+        s = s.join(candidates.select(key).distinct(), key, "left_semi").repartition(n, key, "block")
+        days = candidate_days(candidates, key, block_days).repartition(n, key, "block")
+        s = s.join(days.hint("shuffle_hash"), [key, "block"])
+        mine = F.filter("_days", lambda d: (d["sday"] >= day - hi) & (d["sday"] <= day - lo))
+    else:
+        s = s.repartition(n, key, "block")
+        block_first = F.col("block") * block_days
+        mine = issue_days_between(F.greatest(day - hi, block_first),
+                                  F.least(day - lo, block_first + (block_days - 1)), blocks, stride)
+    out = s.withColumn("_d", F.explode(mine))
+    return out.select(*[c for c in s.columns if c != "_days"], F.col("_d.split").alias("split"),
+                      F.date_from_unix_date("_d.sday").alias("issue_date"), F.col("_d.sday").alias("sday"),
+                      (day - F.col("_d.sday")).alias("off"))
 
 
 def weekly_bins(fan: DataFrame, part: list[str], in_week: Column, days: int = 7,

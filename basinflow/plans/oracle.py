@@ -39,7 +39,8 @@ def mixed_ctes(policy: str = "all", flow: str = "flow", obs: str = "obs",
         "fan": (
             "SELECT s.basin_id, c.split, c.issue_date, s.src, s.date, s.v0, s.v1, s.v2, "
             "CAST(date_diff('day', c.issue_date, s.date) AS INTEGER) AS off "
-            "FROM cal c JOIN ser s ON s.date BETWEEN c.issue_date - 305 AND c.issue_date + 10 "
+            "FROM cand c JOIN ser s ON s.basin_id = c.basin_id "
+            "AND s.date BETWEEN c.issue_date - 305 AND c.issue_date + 10 "
             "WHERE s.src = 0 OR s.date <= c.issue_date"),
         "segd": ("SELECT *, CASE WHEN off < -60 THEN 0 WHEN src = 1 OR off < 0 THEN 1 ELSE 2 END AS seg "
                  "FROM fan"),
@@ -122,7 +123,7 @@ def annual_ctes(flow: str = "flow_dense", obs: str = "obs") -> dict[str, str]:
     }
 
 
-def target_ctes(flow: str = "flow") -> dict[str, str]:
+def target_ctes(flow: str = "flow", pred_split: str = "test") -> dict[str, str]:
     """U2 (streamflow-only sample steps) and the persistence predictions."""
     return {
         "tcal": calendar_sql(MIXED_BLOCKS, 5),
@@ -155,5 +156,5 @@ def target_ctes(flow: str = "flow") -> dict[str, str]:
             "SELECT basin_id, split, issue_date, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
             "CAST(target AS DOUBLE) AS y, COALESCE(LAG(CAST(target AS DOUBLE)) OVER "
             "(PARTITION BY basin_id, split, issue_date ORDER BY step), CAST(target AS DOUBLE)) AS y_hat "
-            "FROM target WHERE reason IS NULL AND split = 'test'"),
+            f"FROM target WHERE reason IS NULL AND split = '{pred_split}'"),
     }

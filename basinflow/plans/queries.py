@@ -610,15 +610,12 @@ def q_sample_quality(spark, sf_dir):
 def q_drop_bad_groups(spark, sf_dir):
     """A5: samples kept per (gauge, split) in sample scope and in group scope."""
     f = Fixtures(spark, sf_dir)
-    steps = mixed_steps(f, obs=f.obs_holes)
-    cnt = _sample_counts(steps).groupBy("basin_id", "split").agg(
-        F.count(F.lit(1)).alias("n_candidates"),
-        F.count(F.when(F.col("reason").isNull(), 1)).alias("n_kept_sample"))
-    grp = (_sample_counts(smp.apply_scope(steps, "group"))
-           .groupBy("basin_id", "split").agg(F.count(F.lit(1)).alias("n_kept_group")))
-    return (cnt.join(grp, ["basin_id", "split"], "left")
-            .select("basin_id", "split", "n_candidates", "n_kept_sample",
-                    F.coalesce("n_kept_group", F.lit(0)).alias("n_kept_group")))
+    stats = smp.sample_stats(mixed_steps(f, obs=f.obs_holes))
+    kept = F.count(F.when(F.col("reason").isNull(), 1))
+    failed = F.count(F.when(F.col("reason") == "missing_values", 1))
+    return stats.groupBy("basin_id", "split").agg(
+        F.count(F.lit(1)).alias("n_candidates"), kept.alias("n_kept_sample"),
+        F.when(failed > 0, F.lit(0)).otherwise(kept).alias("n_kept_group"))
 
 
 @register("combine_splits", with_views(
@@ -629,7 +626,7 @@ def q_drop_bad_groups(spark, sf_dir):
 def q_combine_splits(spark, sf_dir):
     """Per split, the (gauge) files that survive the NaN check, combined."""
     f = Fixtures(spark, sf_dir)
-    kept = _sample_counts(smp.apply_scope(mixed_steps(f, obs=f.obs_holes), "group"))
+    kept = smp.scope_samples(smp.sample_stats(mixed_steps(f, obs=f.obs_holes)), "group")
     return kept.groupBy("split").agg(F.countDistinct("basin_id").alias("n_files"),
                                      F.count(F.lit(1)).alias("n_samples"))
 
@@ -643,8 +640,7 @@ def q_drop_report(spark, sf_dir):
     """Candidates per split and outcome (accepted or first failed gate)."""
     from ..operators.quality import drop_report
     f = Fixtures(spark, sf_dir)
-    stats = _sample_counts(mixed_steps(f))
-    return drop_report(mixed_candidates(f), stats)
+    return drop_report(mixed_candidates(f), smp.sample_stats(mixed_steps(f)))
 
 
 @register("run_summary", with_views(
@@ -703,13 +699,17 @@ def q_fit_scaler(spark, sf_dir):
     return s.select("feature", r4("mean"), r4("std"))
 
 
-_SCALE_CTE = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) AS m, STDDEV_POP(CAST({c} AS DOUBLE)) AS sd "
-    f"FROM {_TRAIN_MIX}" for c in DYN_FEATURES + ["target"])
+def _scale_cte(train: str, features: list[str]) -> str:
+    """One row with every feature's mean and deviation."""
+    return "SELECT " + ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS {c}_m, STDDEV_POP(CAST({c} AS DOUBLE)) AS {c}_sd"
+                                 for c in features) + f" FROM {train}"
+
+
+_SCALE_CTE = _scale_cte(_TRAIN_MIX, DYN_FEATURES + ["target"])
 
 
 def _sc(c: str, what: str) -> str:
-    return f"(SELECT {what} FROM sc WHERE feature = '{c}')"
+    return f"sc.{c}_{what}"
 
 
 def _norm_sql(c: str) -> str:
@@ -717,45 +717,43 @@ def _norm_sql(c: str) -> str:
 
 
 @register("normalize", with_views(
-    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
     + ", ".join(f"0.0::DOUBLE + round({_norm_sql(c)}, 6) AS {c}_n" for c in DYN_FEATURES + ["target"])
-    + " FROM mixed WHERE reason IS NULL AND split = 'test'",
+    + " FROM mixed, sc WHERE reason IS NULL",
     "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
 def q_normalize(spark, sf_dir):
-    """test samples normalised with the train scaler."""
+    """samples of every split normalised with the train scaler."""
     from ..operators.scaling import apply_normalize
     f = Fixtures(spark, sf_dir)
     feats = DYN_FEATURES + ["target"]
-    n = apply_normalize(_accepted_mixed(f, "test"), _mixed_scaler(f), feats)
-    return n.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+    n = apply_normalize(_accepted_mixed(f), _mixed_scaler(f), feats)
+    return n.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
                     *[rnd(f"{c}_n", 6).alias(f"{c}_n") for c in feats])
 
 
 @register("denormalize", with_views(
-    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
     + ", ".join(f"0.0::DOUBLE + round({_norm_sql(c)} * ({_sc(c, 'sd')} + 1e-6) + {_sc(c, 'm')}, 4) AS {c}_d"
                 for c in DYN_FEATURES + ["target"])
-    + " FROM mixed WHERE reason IS NULL AND split = 'test'",
+    + " FROM mixed, sc WHERE reason IS NULL",
     "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sc=_SCALE_CTE)))
 def q_denormalize(spark, sf_dir):
-    """denormalise(normalise(x)) on the test split (round trip)."""
+    """denormalise(normalise(x)) on every split (round trip)."""
     from ..operators.scaling import apply_denormalize, apply_normalize, scaler_params
     f = Fixtures(spark, sf_dir)
     feats = DYN_FEATURES + ["target"]
     params = scaler_params(_mixed_scaler(f))
-    n = apply_normalize(_accepted_mixed(f, "test"), params, feats)
-    n = n.select("basin_id", "issue_date", "step", *[F.col(f"{c}_n").alias(c) for c in feats])
+    n = apply_normalize(_accepted_mixed(f), params, feats)
+    n = n.select("basin_id", "split", "issue_date", "step", *[F.col(f"{c}_n").alias(c) for c in feats])
     d = apply_denormalize(n, params, feats)
-    return d.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+    return d.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
                     *[rnd(f"{c}_d", 4).alias(f"{c}_d") for c in feats])
 
 
 ANNUAL_FEATURES = smp.WEATHER6 + ["target"]
 _ANN = osql.annual_ctes()
 _TRAIN_ANN = "(SELECT * FROM annual WHERE reason IS NULL AND split = 'train')"
-_ASCALE_CTE = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) AS m, STDDEV_POP(CAST({c} AS DOUBLE)) AS sd "
-    f"FROM {_TRAIN_ANN}" for c in ANNUAL_FEATURES)
+_ASCALE_CTE = _scale_cte(_TRAIN_ANN, ANNUAL_FEATURES)
 
 
 def _annual(f: Fixtures, split: str | None = None) -> DataFrame:
@@ -768,34 +766,34 @@ def _std_sql(c: str) -> str:
 
 
 @register("standardize", with_views(
-    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
     + ", ".join(f"0.0::DOUBLE + round({_std_sql(c)}, 6) AS {c}_s" for c in ANNUAL_FEATURES)
-    + " FROM annual WHERE reason IS NULL AND split = 'test'",
+    + " FROM annual, sc WHERE reason IS NULL",
     "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
 def q_standardize(spark, sf_dir):
-    """F3 (+A8): annual test samples standardised with train statistics."""
+    """F3 (+A8): annual samples of every split standardised with train statistics."""
     from ..operators.scaling import apply_standardize, fit_scaler
     f = Fixtures(spark, sf_dir)
     sc = fit_scaler(_annual(f, "train"), ANNUAL_FEATURES)
-    s = apply_standardize(_annual(f, "test"), sc, ANNUAL_FEATURES)
-    return s.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+    s = apply_standardize(_annual(f), sc, ANNUAL_FEATURES)
+    return s.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
                     *[rnd(f"{c}_s", 6).alias(f"{c}_s") for c in ANNUAL_FEATURES])
 
 
 @register("unstandardize", with_views(
-    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
     + ", ".join(f"0.0::DOUBLE + round({_std_sql(c)} * {_sc(c, 'sd')} + {_sc(c, 'm')}, 4) AS {c}_u" for c in ANNUAL_FEATURES)
-    + " FROM annual WHERE reason IS NULL AND split = 'test'",
+    + " FROM annual, sc WHERE reason IS NULL",
     "flow_dense", "obs", extra=dict(_ANN, sc=_ASCALE_CTE)))
 def q_unstandardize(spark, sf_dir):
     """unstandardise(standardise(x)) round trip."""
     from ..operators.scaling import apply_standardize, apply_unstandardize, fit_scaler, scaler_params
     f = Fixtures(spark, sf_dir)
     params = scaler_params(fit_scaler(_annual(f, "train"), ANNUAL_FEATURES))
-    s = apply_standardize(_annual(f, "test"), params, ANNUAL_FEATURES)
-    s = s.select("basin_id", "issue_date", "step", *[F.col(f"{c}_s").alias(c) for c in ANNUAL_FEATURES])
+    s = apply_standardize(_annual(f), params, ANNUAL_FEATURES)
+    s = s.select("basin_id", "split", "issue_date", "step", *[F.col(f"{c}_s").alias(c) for c in ANNUAL_FEATURES])
     u = apply_unstandardize(s, params, ANNUAL_FEATURES)
-    return u.select("basin_id", iso_date("issue_date").alias("forecast_date"), "step",
+    return u.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
                     *[rnd(f"{c}_u", 4).alias(f"{c}_u") for c in ANNUAL_FEATURES])
 
 
@@ -817,13 +815,13 @@ def q_annual_samples(spark, sf_dir):
 PRED_KEYS = ["basin_id", "block", "split", "issue_date"]
 
 
-def predictions(f: Fixtures) -> DataFrame:
-    """Persistence forecast of the test split: ``y_hat`` = previous step's ``y``.
+def predictions(f: Fixtures, split: str = "test") -> DataFrame:
+    """Persistence forecast of one split: ``y_hat`` = previous step's ``y``.
 
     A test aid standing in for model output (the model is not data work).
     """
     from pyspark.sql import Window
-    st = target_steps(f, "test").where(F.col("reason").isNull())
+    st = target_steps(f, split).where(F.col("reason").isNull())
     y = F.col("target").cast("double")
     w = Window.partitionBy(*PRED_KEYS).orderBy("step")
     return st.select(*PRED_KEYS, iso_date("issue_date").alias("forecast_date"), "step",
@@ -836,10 +834,10 @@ def _target_scaler(f: Fixtures):
     return scaler_params(fit_scaler(st, ["target"]))["target"]
 
 
-def _normalized_pred(f: Fixtures) -> DataFrame:
+def _normalized_pred(f: Fixtures, split: str = "test") -> DataFrame:
     from ..functions.columns import normalize
     m, sd = _target_scaler(f)
-    p = predictions(f)
+    p = predictions(f, split)
     return p.withColumn("y", normalize("y", F.lit(m), F.lit(sd))).withColumn(
         "y_hat", normalize("y_hat", F.lit(m), F.lit(sd)))
 
@@ -864,8 +862,8 @@ _PRED_CTES = dict(_TARGET, nse=_NSE_SQL, kge=_KGE_SQL)
     "FROM pred, tscale", "flow", extra=_PRED_CTES))
 def q_mse(spark, sf_dir):
     """A10: MSE loss over all test samples x steps (normalised targets)."""
-    from ..operators.metrics import mse
-    return mse(_normalized_pred(Fixtures(spark, sf_dir))).select(rnd("mse", 8).alias("mse"))
+    from ..operators.metrics import metric
+    return metric("mse")(_normalized_pred(Fixtures(spark, sf_dir)), PRED_KEYS).select(rnd("loss", 8).alias("mse"))
 
 
 @register("nse", with_views("SELECT basin_id, forecast_date, 0.0::DOUBLE + round(nse, 6) AS nse FROM nse",
@@ -894,29 +892,27 @@ def q_kge(spark, sf_dir):
     "GROUP BY basin_id, split, issue_date, forecast_date", "flow", extra=_PRED_CTES))
 def q_tail_crop(spark, sf_dir):
     """NSE over the last 10 steps of every sample (loss_seq_len = 10)."""
-    from ..operators.metrics import nse, tail_crop
-    keys = PRED_KEYS + ["forecast_date"]
-    p = tail_crop(predictions(Fixtures(spark, sf_dir)), keys, 10)
-    n = p.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps")).join(nse(p, keys), keys)
-    return n.select("basin_id", "forecast_date", "n_steps", rnd("nse", 6).alias("nse_tail"))
+    from ..operators.metrics import scores
+    n = scores(predictions(Fixtures(spark, sf_dir)), PRED_KEYS + ["forecast_date"], 10)
+    return n.select("basin_id", "forecast_date", F.col("steps").alias("n_steps"), rnd("nse", 6).alias("nse_tail"))
 
 
 EVAL_BATCH = 16
 _BATCH_PRED_SQL = (
     "SELECT k.*, n.nse, CAST(floor((ROW_NUMBER() OVER (ORDER BY k.basin_id, k.issue_date) - 1) / 16) AS INTEGER) "
     "AS batch_id FROM kge k JOIN nse n USING (basin_id, split, issue_date)")
+
+
 def _per_batch(f: Fixtures) -> DataFrame:
-    from ..operators.metrics import kge, nse
+    """Validation scores in batches; one pass over the predictions.  The loss
+    is on normalised values: normalising divides squared errors by a constant."""
+    from ..functions.columns import NORM_EPS
+    from ..operators.metrics import batch_means, scores
     from ..operators.ranking import assign_batches
-    keys = PRED_KEYS + ["forecast_date"]
-    pred = predictions(f)
-    scores = kge(pred, keys).join(nse(pred, keys), keys)
-    b = assign_batches(scores, EVAL_BATCH, ["basin_id", "issue_date"])
-    npred = _normalized_pred(f).join(b.select(*keys, "batch_id"), keys)
-    loss = npred.groupBy("batch_id").agg(F.avg(F.pow(F.col("y_hat") - F.col("y"), 2)).alias("loss"))
-    means = b.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_samples"),
-                                      F.avg("kge").alias("mean_kge"), F.avg("nse").alias("mean_nse"))
-    return means.join(loss, "batch_id")
+    scored = scores(predictions(f, "validation"), PRED_KEYS + ["forecast_date"])
+    _, sd = _target_scaler(f)
+    scored = scored.withColumn("squares", F.col("squares") / F.lit((sd + NORM_EPS) ** 2))
+    return batch_means(assign_batches(scored, EVAL_BATCH, ["basin_id", "issue_date"]))
 
 
 _PER_BATCH_SQL = (
@@ -925,7 +921,46 @@ _PER_BATCH_SQL = (
     "JOIN (SELECT bk.batch_id, AVG(POWER((p.y_hat - t.m) / (t.sd + 1e-6) - (p.y - t.m) / (t.sd + 1e-6), 2)) AS loss "
     "FROM pred p JOIN bk USING (basin_id, split, issue_date) CROSS JOIN tscale t GROUP BY bk.batch_id) l "
     "USING (batch_id)")
-_METRIC_CTES = dict(_PRED_CTES, bk=_BATCH_PRED_SQL, pb=_PER_BATCH_SQL)
+_VALIDATION = dict(osql.target_ctes(pred_split="validation"), nse=_NSE_SQL, kge=_KGE_SQL)
+_METRIC_CTES = dict(_VALIDATION, bk=_BATCH_PRED_SQL, pb=_PER_BATCH_SQL)
+# Normalised validation predictions, and the per-sample means a loss needs.
+_NPRED = ("SELECT basin_id, split, issue_date, step, (y - m) / (sd + 1e-6) AS y, (y_hat - m) / (sd + 1e-6) AS y_hat "
+          "FROM pred, tscale")
+_LOSS_CTES = dict(osql.target_ctes(pred_split="validation"), np=_NPRED, nm=(
+    "SELECT *, AVG(y) OVER s AS my, AVG(y_hat) OVER s AS mh FROM np "
+    "WINDOW s AS (PARTITION BY basin_id, split, issue_date)"))
+
+
+def _validation_loss(spark, sf_dir, name: str, seq_len: int | None = None) -> DataFrame:
+    from ..operators.metrics import metric
+    pred = _normalized_pred(Fixtures(spark, sf_dir), "validation")
+    return metric(name, seq_len)(pred, PRED_KEYS).select(rnd("loss", 6).alias("loss"))
+
+
+@register("nse_loss", with_views(
+    "SELECT 0.0::DOUBLE + round(-AVG(nse), 6) AS loss FROM (SELECT 1 - SUM(POWER(y - y_hat, 2)) "
+    "/ (SUM(POWER(y - my, 2)) + 1e-6) AS nse FROM nm GROUP BY basin_id, split, issue_date)",
+    "flow", extra=_LOSS_CTES))
+def q_nse_loss(spark, sf_dir):
+    """NSE as a loss (negative mean) on normalised validation targets."""
+    return _validation_loss(spark, sf_dir, "nse")
+
+
+@register("kge_loss", with_views(
+    "SELECT 0.0::DOUBLE + round(-AVG(1 - SQRT(POWER(r - 1, 2) + POWER(a - 1, 2) + POWER(b - 1, 2))), 6) AS loss FROM ("
+    "SELECT SUM((y - my) * (y_hat - mh)) / (SQRT(SUM(POWER(y - my, 2))) * SQRT(SUM(POWER(y_hat - mh, 2))) + 1e-6) AS r, "
+    "STDDEV_SAMP(y_hat) / (STDDEV_SAMP(y) + 1e-6) AS a, AVG(y_hat) / (AVG(y) + 1e-6) AS b "
+    "FROM nm GROUP BY basin_id, split, issue_date)", "flow", extra=_LOSS_CTES))
+def q_kge_loss(spark, sf_dir):
+    """KGE as a loss, epsilon on the observed deviation only."""
+    return _validation_loss(spark, sf_dir, "kge")
+
+
+@register("mse_tail", with_views(
+    "SELECT 0.0::DOUBLE + round(AVG(POWER(y_hat - y, 2)), 6) AS loss FROM np WHERE step > 95", "flow", extra=_LOSS_CTES))
+def q_mse_tail(spark, sf_dir):
+    """MSE loss over the last 10 steps of every validation sample."""
+    return _validation_loss(spark, sf_dir, "mse", 10)
 
 
 @register("metric_means", with_views(
@@ -943,11 +978,10 @@ def q_metric_means(spark, sf_dir):
     "AS median_nse, 0.0::DOUBLE + round(AVG(loss), 8) AS avg_loss FROM pb", "flow", extra=_METRIC_CTES))
 def q_nan_median(spark, sf_dir):
     """A15 (+A14): lower nan-median of batch means; mean of batch losses."""
-    from ..operators.metrics import nan_median_col
-    b = _per_batch(Fixtures(spark, sf_dir))
-    return b.agg(rnd(nan_median_col("mean_kge"), 6).alias("median_kge"),
-                 rnd(nan_median_col("mean_nse"), 6).alias("median_nse"),
-                 rnd(F.avg("loss"), 8).alias("avg_loss"))
+    from ..operators.metrics import mean_of_batches
+    b = mean_of_batches(_per_batch(Fixtures(spark, sf_dir)))
+    return b.select(rnd("median_kge", 6).alias("median_kge"), rnd("median_nse", 6).alias("median_nse"),
+                    rnd("avg_loss", 8).alias("avg_loss"))
 
 
 def _scores(f: Fixtures) -> DataFrame:
