@@ -38,6 +38,8 @@ from basinflow.llm.store import cut
 SHINGLE = 5
 PERCENT = 80
 SIGNATURE_BITS = 1024
+TILE_ROWS = 2048        # classes of one tile, on average, before it is cut into lots
+GROUP_ROWS = 20_000     # rows of mixed tiles that one task compares, on average
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -172,15 +174,52 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _bits_fit(percent: int) -> Column:
-    """Room for the overlap: elements of one set whose bit the other lacks
-    are outside it, so bit counts bound the overlap from above."""
-    def outside(x, y):
-        return F.aggregate(F.zip_with(f"{x}.signature", f"{y}.signature",
-                                      lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))),
-                           F.lit(0), lambda total, c: total + c)
-    most = F.least(F.col("l.n_shared") - outside("l", "r"), F.col("r.n_shared") - outside("r", "l"))
-    return most * (100 + percent) >= (F.col("l.n_shingles") + F.col("r.n_shingles")) * percent
+def _tile_pairs(percent: int):
+    """Pairs of one batch of tiles that the bit counts cannot rule out.
+
+    A tile's rows are its own band's classes (``guest`` 0) and the next smaller
+    band's (1).  Rows of equal label or of sizes that cannot link are no pair.
+    Elements of one set whose bit the other lacks are outside it, so the bit
+    counts bound the overlap from above."""
+    def tile(rows):
+        own = np.flatnonzero(rows["guest"] == 0)
+        out = []
+        for i in range(0, len(own), 256):
+            left = own[i:i + 256]
+            right = np.arange(len(rows["id"]))
+            fit = ((rows["component"][left][:, None] != rows["component"][right])
+                   & ((rows["guest"][right] == 1) | (left[:, None] < right))
+                   & ((rows["lot"][left][:, None] == rows["lot_a"][0]) & (rows["lot"][right] == rows["lot_b"][0])
+                      | (rows["lot"][left][:, None] == rows["lot_b"][0]) & (rows["lot"][right] == rows["lot_a"][0])))
+            n, m = rows["n_shingles"][left][:, None], rows["n_shingles"][right]
+            fit &= np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+            x, y = np.nonzero(fit)
+            x, y = left[x], right[y]
+            for j in range(0, len(x), 1 << 16):
+                p, q = x[j:j + (1 << 16)], y[j:j + (1 << 16)]
+                sp, sq = rows["signature"][p], rows["signature"][q]
+                most = np.minimum(rows["n_shared"][p] - np.bitwise_count(sp & ~sq).sum(1),
+                                  rows["n_shared"][q] - np.bitwise_count(sq & ~sp).sum(1))
+                ok = most * (100 + percent) >= (rows["n_shingles"][p] + rows["n_shingles"][q]) * percent
+                out.append(np.stack([rows["id"][p[ok]], rows["id"][q[ok]]], 1))
+        return out
+
+    def pairs(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("key", "band", "lot_a", "lot_b", "id")])
+        cols = {c: table.column(c).to_numpy().astype(np.int64) for c in table.column_names if c != "signature"}
+        sig = table.column("signature").combine_chunks()
+        cols["signature"] = sig.flatten().to_numpy().view(np.uint64).reshape(len(table), -1)
+        edge = np.zeros(len(table), bool)
+        for c in ("key", "band", "lot_a", "lot_b"):
+            edge[1:] |= cols[c][1:] != cols[c][:-1]
+        cut_at = [0, *np.flatnonzero(edge).tolist(), len(table)]
+        found = [np.zeros((0, 2), np.int64)]
+        for i, j in zip(cut_at, cut_at[1:], strict=False):
+            if j - i > 1:
+                found += tile({c: v[i:j] for c, v in cols.items()})
+        got = np.unique(np.sort(np.concatenate(found), 1), axis=0)
+        return pa.table({"a": got[:, 0], "b": got[:, 1]})
+    return pairs
 
 
 def _links_udf(percent: int):
@@ -210,6 +249,28 @@ def _banded(reps: DataFrame, percent: int) -> DataFrame:
     return reps.withColumn("band", band)
 
 
+def _candidate_pairs(side: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of ``side`` that share a key, differ in label and
+    may link by size and bit counts.
+
+    A pair meets in the band of its larger set: every class is also a guest one
+    band up.  Tiles over TILE_ROWS are cut into lots by a hash of the id, and
+    each two lots meet in a tile of their own, so no task holds a hot key whole."""
+    tiles = (side.withColumn("guest", F.explode(F.array(F.lit(0), F.lit(1))))
+             .withColumn("band", F.col("band") + F.col("guest")))
+    sizes = (tiles.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.min("guest").alias("g"))
+             .where("m > 1 and g = 0").select("key", "band", F.ceil(F.col("m") / TILE_ROWS).cast("int").alias("lots")))
+    tiles = tiles.join(sizes, ["key", "band"]).withColumn("lot", F.pmod(F.xxhash64("id"), F.col("lots")).cast("int"))
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+    tiles = tiles.withColumns({"lot_a": F.least("lot", "other"), "lot_b": F.greatest("lot", "other")})
+    groups = max(1, -(-side.count() // GROUP_ROWS))
+    dealt = tiles.select("key", "band", "lot_a", "lot_b", "lot", "guest", "id", "n_shingles", "n_shared", "component",
+                         "signature", F.pmod(F.xxhash64("key", "band", "lot_a", "lot_b"), F.lit(groups)).cast("int").alias("grp"))
+    dealt = dealt.repartition(groups, "grp")
+    pairs = _tile_pairs(percent)
+    return dealt.groupBy("grp").applyInArrow(lambda t: pairs(t.drop_columns("grp")), "a long, b long").distinct()
+
+
 def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = sets(docs, k, percent, id_col, text_col, **sizes)
@@ -237,14 +298,7 @@ def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_
     side = (labelled.join(mixed, "key", "left_semi").select("key", "id", "n_shingles", "n_shared", "component", "band")
             .join(reps.select("id", "signature"), "id"))
     side = cut(side, "mixed")
-    # A pair meets in the band of its larger set: the smaller one is sent there too.
-    small = side.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
-    rest = (small.alias("l").join(side.alias("r"), ["key", "band"])
-            .where(((F.col("l.n_shingles") < F.col("r.n_shingles"))
-                    | ((F.col("l.n_shingles") == F.col("r.n_shingles")) & (F.col("l.id") < F.col("r.id"))))
-                   & (F.col("l.component") != F.col("r.component"))
-                   & _sizes_fit(F.col("l.n_shingles"), F.col("r.n_shingles"), percent) & _bits_fit(percent))
-            .select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
+    rest = _candidate_pairs(side, percent)
     more = cut(_verified(rest, reps, percent), "links")
     label = components(label.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
