@@ -48,6 +48,12 @@ HOLE_BASIN_MOD = 5
 # gauges with k % 12 == 11 carry no discharge column (and are skipped).
 ICE_MOD = 29
 RDB_NO_VALUE = (12, 11)
+# Damaged lines: cut after two fields when (day + 3k) % 97 == 0, with a text
+# for a date when (day + 5k) % 101 == 0 (cut lines first).
+RDB_SHORT = (3, 97)
+RDB_BAD_DATE = (5, 101)
+# CSV with gaps written as NaN: when (day + k) % 37 == 0.
+CSV_NAN_MOD = 37
 # Daily line-item aggregates standing in for the weather variables.
 OBS_VARS = (("p", "precip"), ("t", "temp"), ("s", "net_solar"),
             ("u", "u_wind"), ("v", "v_wind"), ("dp", "dew_point"))
@@ -243,6 +249,34 @@ class Fixtures:
              .option("header", True).csv(path))
         return path
 
+    @cached_property
+    def flow_csv_nan_dir(self) -> str:
+        """As ``flow_csv_dir``, with the text ``NaN`` on some days."""
+        path = self._land_path("flow_csv_nan")
+        if not committed(self.spark, path):
+            gap = (F.datediff("date", F.lit(ORIGIN)) + F.col("k")) % CSV_NAN_MOD == 0
+            (self.flow_dense.select(basin_key("gauge_id").alias("site"), "date", F.when(gap, F.lit(float("nan")))
+                                    .otherwise(F.col("streamflow_cms")).alias("streamflow"))
+             .repartition("site").write.mode("overwrite").partitionBy("site")
+             .option("header", True).csv(path))
+        return path
+
+    @cached_property
+    def obs_path(self) -> str:
+        _ = self.obs
+        return self._land_path("obs")
+
+    @cached_property
+    def fcst_path(self) -> str:
+        _ = self.fcst
+        return self._land_path("fcst")
+
+    def landed_path(self, name: str) -> str:
+        """Path of the view ``name`` (``gauges``, ``static``) landed as Parquet."""
+        path = self._land_path(name)
+        materialize(lambda: getattr(self, name), path, spark=self.spark)
+        return path
+
     @cached_property
     def rdb_dir(self) -> str:
         """Gauge-service text, one file per gauge: comments, name row, format row, data."""
@@ -264,10 +298,15 @@ class Fixtures:
             line(3, F.when(no_value, F.lit("5s\t15s\t20d\t10s"))
                  .otherwise(F.lit("5s\t15s\t20d\t14n\t10s\t14n"))))).alias("r"))
         head = head.select("gauge_id", F.col("r.ord").alias("ord"), F.col("r.line").alias("line"))
-        body = t.select("gauge_id", (F.unix_date("date") + 10).alias("ord"), F.when(
-            no_value, F.concat_ws("\t", F.lit("USGS"), "gauge_id", F.col("date").cast("string"), F.lit("A")))
-            .otherwise(F.concat_ws("\t", F.lit("USGS"), "gauge_id", F.col("date").cast("string"),
-                                   "value", F.lit("A"), F.lit("1.5"))).alias("line"))
+        day = F.datediff("date", F.lit(ORIGIN))
+        short = (day + RDB_SHORT[0] * F.col("k")) % RDB_SHORT[1] == 0
+        no_date = (day + RDB_BAD_DATE[0] * F.col("k")) % RDB_BAD_DATE[1] == 0
+        when = F.when(no_date, F.lit("no-date")).otherwise(F.col("date").cast("string"))
+        body = t.select("gauge_id", (F.unix_date("date") + 10).alias("ord"),
+                        F.when(short, F.concat_ws("\t", F.lit("USGS"), "gauge_id"))
+                        .when(no_value, F.concat_ws("\t", F.lit("USGS"), "gauge_id", when, F.lit("A")))
+                        .otherwise(F.concat_ws("\t", F.lit("USGS"), "gauge_id", when,
+                                               "value", F.lit("A"), F.lit("1.5"))).alias("line"))
         (head.unionByName(body).withColumn("site", basin_key("gauge_id"))
          .repartition("site").sortWithinPartitions("site", "ord")
          .select("site", F.col("line").alias("value"))
@@ -378,6 +417,12 @@ SQL_VIEWS: dict[str, str] = {
         "SELECT gauge_id, date, CASE WHEN (date_diff('day', "
         f"{_d(ORIGIN)}, date) + CAST(gauge_id AS INTEGER)) % {ICE_MOD} = 0 THEN 'Ice' "
         "ELSE CAST(CAST(round(streamflow_cms) AS BIGINT) AS VARCHAR) END AS value FROM flow_sparse"),
+    "rdb_lines": (
+        "SELECT gauge_id, date, value, CAST(gauge_id AS INTEGER) AS k, "
+        f"CAST(gauge_id AS INTEGER) % {RDB_NO_VALUE[0]} <> {RDB_NO_VALUE[1]} AS has_columns, "
+        f"(date_diff('day', {_d(ORIGIN)}, date) + {RDB_SHORT[0]} * CAST(gauge_id AS INTEGER)) % {RDB_SHORT[1]} = 0 "
+        f"OR (date_diff('day', {_d(ORIGIN)}, date) + {RDB_BAD_DATE[0]} * CAST(gauge_id AS INTEGER)) "
+        f"% {RDB_BAD_DATE[1]} = 0 AS damaged FROM flow_text"),
     "gauges": (
         "SELECT 'camels_' || lpad(CAST(n_nationkey AS VARCHAR), 8, '0') AS gauge_id FROM nation"),
     "obs_daily": (
@@ -422,6 +467,7 @@ _SQL_DEPS = {
     "fcst": ["obs", "period"],
     "obs_holes": ["obs"],
     "flow_text": ["flow_sparse"],
+    "rdb_lines": ["flow_text"],
 }
 
 
@@ -463,5 +509,5 @@ def with_views(body: str, *views: str, extra: dict[str, str] | None = None) -> s
 # landed-table folder names.
 DEFINITION_DIGEST = hashlib.sha1(repr((
     sorted(SQL_VIEWS.items()), ORIGIN, GAP_MODULUS, GAP_BASIN_FACTOR, FCST_STRIDE, FCST_LEADS, FCST_WEIGHT, FCST_LEAD_BIAS, STATIC_NULL_MOD, NAMED_BELOW,
-    OBS_VARS, HOLE_PRECIP, HOLE_TEMP, HOLE_BASIN_MOD, ICE_MOD, RDB_NO_VALUE, "landing-v3",
+    OBS_VARS, HOLE_PRECIP, HOLE_TEMP, HOLE_BASIN_MOD, ICE_MOD, RDB_NO_VALUE, CSV_NAN_MOD, "landing-v3",
 )).encode()).hexdigest()

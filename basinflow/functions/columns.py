@@ -6,8 +6,6 @@ codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,11 +55,6 @@ def cfs_to_cms(col) -> Column:
     return _c(col) * F.lit(CFS_TO_CMS)
 
 
-def f32(col) -> Column:
-    """Narrow to float32, the stored numeric type."""
-    return _c(col).cast("float")
-
-
 def is_missing(col, check_inf: bool = False) -> Column:
     """NULL or NaN (and optionally +-Inf)."""
     c = _c(col)
@@ -81,21 +74,6 @@ def date_from_parts(year, month, day) -> Column:
     return F.make_date(_c(year), _c(month), _c(day))
 
 
-# -- segments -----------------------------------------------------------------
-
-def segment_flag(offset, daily_from: int = -60, daily_to: int = 0) -> Column:
-    """0 weekly, 1 daily, 2 forecast for a day offset from the issue date."""
-    o = _c(offset)
-    return (F.when(o < daily_from, F.lit(0))
-            .when(o <= daily_to, F.lit(1))
-            .otherwise(F.lit(2)))
-
-
-def flag_legend_json() -> Column:
-    """flag legend as JSON text (kept as column metadata on sinks)."""
-    return F.lit(json.dumps(FLAG_LEGEND))
-
-
 # -- scaling -------------------------------------------------------------------
 
 def normalize(x, mean, std) -> Column:

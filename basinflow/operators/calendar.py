@@ -1,8 +1,8 @@
 """Issue calendars, split assignment and the candidate grid.
 
 A calendar is a *parameter* of a run (split -> date range + stride), not data,
-so its size is known on the driver before any job starts.  That bound is what
-lets the window fan-out broadcast it safely (see ``windows.window_map``).
+so its size is known on the driver before any job starts and rows generate
+their issue dates by arithmetic (``issue_days_between``).
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Ranking, distributions and scoring hooks."""
+"""Ranking, distributions and scoring hooks."""
 
 from __future__ import annotations
 
@@ -83,8 +83,3 @@ def score_batches(samples: DataFrame, predict: Callable[[pd.DataFrame], pd.Serie
             yield out
 
     return samples.mapInPandas(run, schema)
-
-
-def first_batch(batched: DataFrame, batch_col: str = "batch_id") -> DataFrame:
-    """The first mini-batch (the shape check the reference prints)."""
-    return batched.where(F.col(batch_col) == 0)

@@ -1108,11 +1108,11 @@ def q_csv_flow(spark, sf_dir):
 
 @register("rdb_flow", with_views(
     "SELECT gauge_id AS site_no, strftime(date, '%Y-%m-%d') AS date, "
-    "0.0::DOUBLE + round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms FROM flow_text "
-    f"WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL AND CAST(gauge_id AS INTEGER) % {fx.RDB_NO_VALUE[0]} "
-    f"<> {fx.RDB_NO_VALUE[1]}", "flow_text"))
+    "0.0::DOUBLE + round(TRY_CAST(value AS DOUBLE) * 0.0283168, 4) AS streamflow_cms FROM rdb_lines "
+    "WHERE TRY_CAST(value AS DOUBLE) IS NOT NULL AND has_columns AND NOT damaged", "rdb_lines"))
 def q_rdb_flow(spark, sf_dir):
-    """Landed gauge-service text parsed by its format-code row."""
+    """Landed gauge-service text parsed by its format-code row; damaged
+    lines and files without the columns are left out."""
     from ..sources.readers import parse_rdb, read_rdb_text
     f = Fixtures(spark, sf_dir)
     p = parse_rdb(read_rdb_text(spark, f.rdb_dir))
@@ -1120,6 +1120,123 @@ def q_rdb_flow(spark, sf_dir):
                     iso_date("date").alias("date"), rnd("streamflow_cms", 4).alias("streamflow_cms"))
 
 
+@register("rdb_checks", with_views(
+    "SELECT gauge_id AS site_no, BOOL_AND(has_columns) AS has_columns, COUNT(*) AS n_lines, "
+    "COUNT(*) FILTER (WHERE damaged OR NOT has_columns) AS n_bad FROM rdb_lines GROUP BY gauge_id", "rdb_lines"))
+def q_rdb_checks(spark, sf_dir):
+    """Per landed text file, required columns and unreadable lines."""
+    from ..sources.readers import rdb_checks, read_rdb_text
+    c = rdb_checks(read_rdb_text(spark, Fixtures(spark, sf_dir).rdb_dir))
+    return c.select(F.regexp_extract("file", r"camels_(\d+)", 1).alias("site_no"), "has_columns", "n_lines", "n_bad")
+
+
+@register("csv_missing", with_views(
+    "SELECT gauge_id AS site_no, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE gap) AS n_missing, "
+    "0.0::DOUBLE + round(SUM(streamflow_cms) FILTER (WHERE NOT gap), 2) AS total FROM "
+    f"(SELECT *, (date_diff('day', {fx._d(fx.ORIGIN)}, date) + k) % {fx.CSV_NAN_MOD} = 0 AS gap FROM flow_dense) "
+    "GROUP BY gauge_id", "flow_dense"))
+def q_csv_missing(spark, sf_dir):
+    """NaN text in the per-gauge CSV files is missing, not a number."""
+    from ..functions.columns import is_missing
+    from ..sources.readers import read_flow_csv
+    c = read_flow_csv(spark, Fixtures(spark, sf_dir).flow_csv_nan_dir)
+    return c.groupBy("site_no").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.count(F.when(is_missing("streamflow"), 1)).alias("n_missing"),
+                                    rnd(F.sum("streamflow"), 2).alias("total"))
+
+
+@register("obs_scan", with_views(
+    "SELECT basin_id, strftime(date, '%Y-%m-%d') AS date, " + ", ".join(osql.r4(c) for c in smp.WEATHER6)
+    + " FROM obs WHERE date >= DATE '1996-01-01'", "obs"))
+def q_obs_scan(spark, sf_dir):
+    """Landed weather grid, all six variables from a start date."""
+    from ..sources.readers import read_obs
+    o = read_obs(spark, Fixtures(spark, sf_dir).obs_path, smp.WEATHER6, start="1996-01-01")
+    return o.select("basin_id", iso_date("date").alias("date"), *[r4(c) for c in smp.WEATHER6])
+
+
+@register("basin_scan", with_views(
+    "SELECT basin_id, strftime(date, '%Y-%m-%d') AS date, " + ", ".join(osql.r4(c) for c in WEATHER3)
+    + " FROM obs WHERE basin_id = 'camels_00000003'", "obs"))
+def q_basin_scan(spark, sf_dir):
+    """One basin's record; the filter reaches the Parquet scan."""
+    from ..sources.readers import read_obs
+    o = read_obs(spark, Fixtures(spark, sf_dir).obs_path, basin="camels_00000003")
+    return o.select("basin_id", iso_date("date").alias("date"), *[r4(c) for c in WEATHER3])
+
+
+@register("forecast_scan", with_views(
+    "SELECT basin_id, strftime(issue_date, '%Y-%m-%d') AS issue_date, lead_days, "
+    + ", ".join(osql.r4(c) for c in WEATHER3) + " FROM fcst", "fcst"))
+def q_forecast_scan(spark, sf_dir):
+    """Landed forecast grid, lead time in whole days."""
+    from ..sources.readers import read_forecast
+    o = read_forecast(spark, Fixtures(spark, sf_dir).fcst_path)
+    return o.select("basin_id", iso_date("issue_date").alias("issue_date"), "lead_days", *[r4(c) for c in WEATHER3])
+
+
+@register("gauge_static", with_views(
+    "SELECT s.gauge_id, " + ", ".join(f"0.0::DOUBLE + round(s.features[{i + 1}], 4) AS s{i}" for i in range(4))
+    + " FROM static s JOIN gauges g ON string_split(g.gauge_id, '_')[-1] = s.gauge_id", "static", "gauges"))
+def q_gauge_static(spark, sf_dir):
+    """Gauge inventory and static attributes from their landed tables."""
+    from ..sources.readers import read_gauges, read_static
+    f = Fixtures(spark, sf_dir)
+    s = read_static(spark, f.landed_path("static")).join(read_gauges(spark, f.landed_path("gauges")), "gauge_id")
+    return s.select("gauge_id", *[rnd(F.col("features")[i], 4).alias(f"s{i}") for i in range(4)])
+
+
+@register("flow_cache", with_views(
+    "SELECT g.gauge_id, COALESCE(c.n_rows, 0) AS n_rows, c.gauge_id IS NULL AS skipped FROM "
+    "(SELECT string_split(gauge_id, '_')[-1] AS gauge_id FROM gauges) g LEFT JOIN "
+    "(SELECT * FROM cov WHERE reason IS NULL) c ON c.gauge_id = g.gauge_id",
+    "gauges", "flow_text", extra={"pf": _PARSED_FLOW_SQL, "cov": _COVER_SQL}))
+def q_flow_cache(spark, sf_dir):
+    """Usable streamflow and skipped gauges written once, then loaded."""
+    from ..operators.quality import skipped_gauges, usable_gauges
+    from ..sources.readers import load_or_build
+    f = Fixtures(spark, sf_dir)
+    g = f.gauges.select(gauge_suffix("gauge_id").alias("gauge_id"))
+    path, gone = f.scratch_path("flow"), f.scratch_path("skipped")
+
+    def load():
+        return load_or_build(
+            spark, path, lambda: _parsed_flow(f).dropna().join(usable_gauges(g, _parsed_flow(f), MIN_END), "gauge_id"),
+            gone, lambda: skipped_gauges(g, _parsed_flow(f), MIN_END))
+
+    load()
+    flow, skipped = load()                     # the second call only reads
+    rows = flow.groupBy("gauge_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.withColumn("skipped", F.lit(False)).unionByName(
+        skipped.select("gauge_id", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("skipped")))
+
+
+@register("batch_files", REGISTRY["resume_state"][1])
+def q_batch_files(spark, sf_dir):
+    """Batches written, then last key and next number per split
+    read back from the files."""
+    from ..operators.ranking import batch_names, resume_state
+    from ..sinks.writers import write_batches
+    from ..sources.readers import read_batches
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("batches")
+    write_batches(batch_names(_batched(f, 200)).drop("issue_date"), path)
+    return resume_state(read_batches(spark, path), ["train", "validation", "test", "holdout"])
+
+
+@register("summary_csv", REGISTRY["run_summary"][1])
+def q_summary_csv(spark, sf_dir):
+    """K4: the run summary written as CSV and read back."""
+    from ..operators.quality import run_summary
+    from ..sinks.writers import write_summary
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("summary")
+    s = smp.apply_scope(mixed_steps(f), "sample")
+    write_summary(run_summary(s, "basin_id", "split", "issue_date"), path)
+    return spark.read.schema("basin_id string, split string, n_samples long, filename string").option(
+        "header", True).csv(path)
+
+
 @register("relayout", with_views(
     "SELECT basin_id, COUNT(*) AS n_rows, strftime(MIN(date), '%Y-%m-%d') AS first_date, "
     "strftime(MAX(date), '%Y-%m-%d') AS last_date, 0.0::DOUBLE + round(SUM(CAST(precip AS DOUBLE)), 2) AS total_precip "

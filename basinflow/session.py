@@ -67,7 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         current = tempfile.mkdtemp(prefix="basinflow-ckpt-",
                                    dir=os.environ.get("TMPDIR", "/tmp"))

@@ -28,6 +28,11 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def file_state(spark: SparkSession, paths: list[str]) -> str:
     """Digest of the names, sizes and modification times of the files under
     ``paths``, listed through Hadoop (any file system Spark reads)."""

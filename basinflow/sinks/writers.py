@@ -1,8 +1,7 @@
 """Sinks (K1-K6, A16 output): partitioned, restartable writes.
 
-No sink funnels data through one task: batch files come from a batch column
-used as a partition key, per-group output from ``partitionBy``, and
-re-layout from a hash repartition plus an in-partition sort.
+No sink funnels data through one task: batches and re-layout are range-partitioned
+and sorted, per-group output comes from ``partitionBy``.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import FLAG_LEGEND
 
-MAX_RECORDS_PER_FILE = 200  # samples per numbered batch file in the reference
 
 
 def _with_legend(df: DataFrame, col: str = "dynamic_inputs",
@@ -29,33 +27,45 @@ def _with_legend(df: DataFrame, col: str = "dynamic_inputs",
 
 
 def write_batches(df: DataFrame, path: str, mode: str = "overwrite",
-                  features: list[str] | None = None) -> None:
-    """K1: numbered batch files per split (``batch_id`` from ``assign_batches``)."""
-    (_with_legend(df, features=features).write.mode(mode)
-     .partitionBy("split", "batch_id").parquet(path))
+                  features: list[str] | None = None, partitions: int | None = None) -> None:
+    """K1: numbered batches (``batch_id``, ``file_name`` from ``assign_batches``).
+
+    Rows are range-partitioned by (split, batch, place), so a batch lies in one
+    or two files, many batches share a file of ordinary size, and row-group
+    statistics on ``batch_id`` find a batch again."""
+    from ..operators.windows import fan_partitions
+    n = fan_partitions(df.sparkSession, partitions)
+    order = ["split", "batch_id", "pos"]
+    (_with_legend(df, features=features).repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .write.mode(mode).partitionBy("split").parquet(path))
 
 
 def write_partitioned(df: DataFrame, path: str, keys=("split", "basin_id"),
                       mode: str = "overwrite") -> None:
     """K2: one output folder per (split, gauge); overwrite replaces old scratch.
 
-    Dynamic partition overwrite only replaces the groups being written.
+    Dynamic partition overwrite, a writer option, only replaces the groups
+    being written.
     """
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode(mode).partitionBy(*keys).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def drop_groups(groups: DataFrame, path: str, keys=("split", "basin_id")) -> int:
+    """Remove the folders of ``groups`` (their key columns) from a partitioned
+    output: groups that have no rows any more.  Safe to repeat."""
+    from .tables import delete_folder
+    spark, gone = groups.sparkSession, 0
+    for row in groups.select(*keys).distinct().toLocalIterator():
+        gone += delete_folder(spark, "/".join([path.rstrip("/"), *[f"{k}={row[k]}" for k in keys]]))
+    return gone
+
 
+def write_splits(df: DataFrame, path: str, features: list[str] | None = None) -> None:
+    """K3: the combined sample set, one folder per split (no single-file write).
 
-def write_splits(df: DataFrame, path: str, features: list[str] | None = None,
-                 max_records: int = MAX_RECORDS_PER_FILE) -> None:
-    """K3: the combined sample set, one folder per split (no single-file write)."""
-    (_with_legend(df, features=features).repartition("split", "basin_id")
-     .write.mode("overwrite").option("maxRecordsPerFile", max_records)
-     .partitionBy("split").parquet(path))
+    Rebalanced by split: AQE sizes the files and cuts a large split."""
+    (_with_legend(df, features=features).hint("rebalance", "split")
+     .write.mode("overwrite").partitionBy("split").parquet(path))
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
@@ -73,8 +83,8 @@ def relayout(df: DataFrame, path: str, key: str = "basin_id", order: str = "date
              partitions: int | None = None) -> None:
     """K6: rewrite a grid so each basin's dates are contiguous and sorted.
 
-    Hash-partition by basin, sort inside partitions: Parquet row-group
-    min/max statistics on ``date`` then prune date-range reads.
+    Range-partitioned by (basin, date), so a long record spans several tasks;
+    Parquet row-group min/max statistics then prune basin and date reads.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).sortWithinPartitions(key, order).write.mode("overwrite").parquet(path)
+    df.repartitionByRange(n, key, order).sortWithinPartitions(key, order).write.mode("overwrite").parquet(path)

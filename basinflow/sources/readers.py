@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import cfs_to_cms, date_from_parts, gauge_suffix, to_number
+from ..functions.columns import batch_number, cfs_to_cms, date_from_parts, gauge_suffix, nan_to_null, to_number
 from ..sinks.tables import committed
+from ..sinks.writers import write_flow_cache
 
 OBS_SCHEMA = T.StructType([
     T.StructField("basin_id", T.StringType()), T.StructField("date", T.DateType()),
@@ -27,7 +28,8 @@ FCST_SCHEMA = T.StructType([
     T.StructField("temp", T.FloatType()), T.StructField("net_solar", T.FloatType())])
 FLOW_CSV_SCHEMA = "date DATE, streamflow DOUBLE"
 NAMES_SCHEMA = "gauge_id INT, gauge_name STRING"
-# Columns of the gauge-service text format picked by their format code.
+# Format codes that pick the columns of the gauge-service text,
+# and the period kept of the per-gauge CSV files.
 RDB_DATE_CODE = "20d"
 RDB_VALUE_CODE = "14n"
 FLOW_CSV_RANGE = ("1981-01-01", "2011-01-31")
@@ -35,8 +37,7 @@ FLOW_CSV_RANGE = ("1981-01-01", "2011-01-31")
 
 def _nan_free(df: DataFrame, cols: list[str]) -> DataFrame:
     """Sources turn NaN into NULL once (pandas skips NaN, Spark's avg would not)."""
-    return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    return df.select(*[nan_to_null(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def read_obs(spark: SparkSession, path: str, variables: list[str] | None = None,
@@ -71,46 +72,57 @@ def read_flow_csv(spark: SparkSession, path: str, start: str = FLOW_CSV_RANGE[0]
           .withColumn("site_no", F.regexp_extract(F.input_file_name(), r"camels_(\d+)", 1)))
     df = df.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     out = df.select("site_no", F.year("date").alias("year"), F.month("date").alias("month"),
-                    F.dayofmonth("date").alias("day"), "streamflow")
+                    F.dayofmonth("date").alias("day"), nan_to_null("streamflow").alias("streamflow"))
     return out.withColumn("datetime", date_from_parts("year", "month", "day"))
 
 
+_RDB_FORMAT = r"^\d+[sdn](\t\d+[sdn])*$"
+
+
+def _rdb_rows(lines: DataFrame, file_col: str) -> DataFrame:
+    """Data lines with the columns their file's format row names: ``date`` and
+    ``text`` are NULL where the line is short, the date is no date, or the file
+    names no such column."""
+    body = lines.where(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
+    is_fmt = F.col("value").rlike(_RDB_FORMAT)
+    fmt = (body.where(is_fmt).groupBy(file_col)
+           .agg(F.max(F.struct(F.array_position("_f", RDB_DATE_CODE).cast("int").alias("d"),
+                               F.array_position("_f", RDB_VALUE_CODE).cast("int").alias("v"))).alias("_at")))
+    data = body.where(~is_fmt & ~F.col("value").startswith("agency_cd"))
+    j = data.join(fmt, file_col, "left")
+
+    def field(at):
+        return F.when(at > 0, F.try_element_at("_f", at))
+
+    has = F.coalesce((F.col("_at.d") > 0) & (F.col("_at.v") > 0), F.lit(False))
+    return j.select(file_col, has.alias("has_columns"), field(F.col("_at.d")).try_cast("date").alias("date"),
+                    field(F.col("_at.v")).alias("text"))
+
+
 def parse_rdb(lines: DataFrame, file_col: str = "file") -> DataFrame:
-    """S4 (+P6-P9, P15): landed gauge-service text -> ``(file, date, streamflow_cms)``.
+    """S4 (+P6-P9, P15, X4): landed gauge-service text -> ``(file, date, streamflow_cms)``.
 
     Lines starting with ``#`` are comments; the first other line names the
     columns and the second gives format codes (``5s 15s 20d 14n 10s``), which
     is the row the reference uses as header, so columns are picked by the
     codes ``20d`` (date) and the first ``14n`` (value).  Rows are classified
-    by content (Spark keeps no line order); a file without both codes is
-    dropped (see ``rdb_checks``).  Unparsable values (``Ice``) become NULL and
-    are dropped; cfs are converted to cubic metres per second.
+    by content (Spark keeps no line order); a file without both codes and a
+    line that cannot be read are left out (``rdb_checks`` counts them) and never
+    stop the others.  Unparsable values (``Ice``) become NULL and are dropped;
+    cfs are converted to cubic metres per second.
     """
-    body = lines.where(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
-    is_fmt = F.col("value").rlike(r"^\d+[sdn](\t\d+[sdn])*$")
-    fmt = (body.where(is_fmt)
-           .select(file_col,
-                   F.array_position("_f", RDB_DATE_CODE).alias("_di"),
-                   F.array_position("_f", RDB_VALUE_CODE).alias("_vi")))
-    fmt = fmt.where((F.col("_di") > 0) & (F.col("_vi") > 0))
-    names_row = F.col("value").startswith("agency_cd")
-    data = body.where(~is_fmt & ~names_row)
-    j = data.join(fmt, file_col)
-    cfs = to_number(F.element_at("_f", F.col("_vi").cast("int")))
-    out = j.select(file_col,
-                   F.to_date(F.element_at("_f", F.col("_di").cast("int"))).alias("date"),
-                   cfs.alias("streamflow_cfs"))
-    out = out.dropna(subset=["streamflow_cfs", "date"])
-    return out.select(file_col, "date", cfs_to_cms("streamflow_cfs").alias("streamflow_cms"))
+    rows = _rdb_rows(lines, file_col).where("has_columns")
+    out = rows.select(file_col, "date", nan_to_null(to_number("text")).alias("cfs")).dropna(subset=["cfs", "date"])
+    return out.select(file_col, "date", cfs_to_cms("cfs").alias("streamflow_cms"))
 
 
 def rdb_checks(lines: DataFrame, file_col: str = "file") -> DataFrame:
-    """Per file, whether both required format codes are present."""
-    is_fmt = F.col("value").rlike(r"^\d+[sdn](\t\d+[sdn])*$")
-    f = F.split("value", "\t")
-    return lines.groupBy(file_col).agg(
-        F.max(is_fmt & F.array_contains(f, RDB_DATE_CODE)
-              & F.array_contains(f, RDB_VALUE_CODE)).alias("has_columns"))
+    """Per file, whether both required format codes are present, its
+    data lines, and how many of them cannot be read (short, or no date)."""
+    bad = ~F.col("has_columns") | F.col("date").isNull() | F.col("text").isNull()
+    return _rdb_rows(lines, file_col).groupBy(file_col).agg(
+        F.max("has_columns").alias("has_columns"), F.count(F.lit(1)).alias("n_lines"),
+        F.count(F.when(bad, 1)).alias("n_bad"))
 
 
 def read_rdb_text(spark: SparkSession, path: str) -> DataFrame:
@@ -119,8 +131,9 @@ def read_rdb_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gauges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Gauge inventory ids (geometry, if any, is not read)."""
-    return spark.read.format(fmt).option("header", True).load(path).select("gauge_id")
+    """Gauge inventory, short ids (geometry, if any, is not read)."""
+    return (spark.read.format(fmt).option("header", True).load(path)
+            .select(gauge_suffix("gauge_id").alias("gauge_id")))
 
 
 def read_gauge_names(spark: SparkSession, path: str) -> DataFrame:
@@ -140,20 +153,15 @@ def read_static(spark: SparkSession, path: str, feature_cols: list[str] | None =
     return df.select(gid, "features")
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet folder with ``key=value`` partitions read as *string* columns.
+def read_partitioned(spark: SparkSession, path: str, keys: tuple[str, ...] = ("split", "basin_id")) -> DataFrame:
+    """Parquet folder with ``key=value`` partitions, ``keys`` read as *strings*.
 
-    Gauge ids such as ``01013500`` must not be inferred as integers; the
-    partition schema is fixed when the DataFrame is created, so inference is
-    switched off just for that.
+    Gauge ids such as ``01013500`` must not be inferred as integers, so the
+    schema is given; no session setting changes.
     """
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(key, old)
+    found = spark.read.parquet(path).schema
+    fixed = T.StructType([T.StructField(f.name, T.StringType()) if f.name in keys else f for f in found])
+    return spark.read.schema(fixed).parquet(path)
 
 
 def read_samples(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
@@ -162,21 +170,24 @@ def read_samples(spark: SparkSession, path: str, split: str | None = None) -> Da
     return df.where(F.col("split") == split) if split is not None else df
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """What ``write_batches`` wrote, with the batch number taken from each
+    batch's file label (F10); None when nothing was written yet."""
+    if not committed(spark, path):
+        return None
+    return read_partitioned(spark, path, ("split",)).withColumn("batch_id", batch_number("file_name"))
+
+
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                   skipped_path: str | None = None,
                   skipped: Callable[[], DataFrame] | None = None):
     """Reuse a committed table (and skipped-gauge list) or build and save."""
     if not committed(spark, path) or (skipped_path and not committed(spark, skipped_path)):
-        build().write.mode("overwrite").parquet(path)
         if skipped_path and skipped is not None:
-            skipped().select(F.col("gauge_id").cast("string").alias("value")) \
-                .write.mode("overwrite").text(skipped_path)
+            write_flow_cache(build(), skipped(), path, skipped_path)
+        else:
+            build().write.mode("overwrite").parquet(path)
     flow = spark.read.parquet(path)
     if skipped_path:
         return flow, spark.read.text(skipped_path).withColumnRenamed("value", "gauge_id")
     return flow
-
-
-def gauge_ids(gauges: DataFrame) -> DataFrame:
-    """P1 on an inventory: ``camels_01013500`` -> ``01013500``."""
-    return gauges.select(gauge_suffix("gauge_id").alias("gauge_id"))

@@ -8,8 +8,9 @@ state.  A micro-batch only says *which* gauges received files: ``foreachBatch``
 re-reads those gauges' complete records from the landing folder (a gauge whose
 files were split over two batches is simply rebuilt), builds their samples
 with the batch operators and writes them with a dynamic partition overwrite
-per (split, gauge).  Re-running an epoch after a failure rewrites the same
-groups, so the output is exactly-once in effect.
+per (split, gauge); groups of those gauges that have no sample any more are
+removed.  Re-running an epoch after a failure does the same again, so the
+output is exactly-once in effect.
 """
 
 from __future__ import annotations
@@ -17,17 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import iso_date
+from ..functions.columns import gauge_suffix, iso_date, nan_to_null
 from ..operators import calendar as cal
 from ..operators import samples as smp
-from ..sinks.writers import write_partitioned
+from ..sinks.writers import drop_groups, write_partitioned
 
 FLOW_STREAM_SCHEMA = "date DATE, streamflow DOUBLE"
 
 
 def _flow_columns(df: DataFrame) -> DataFrame:
     return df.select(F.regexp_extract(F.input_file_name(), r"camels_(\d+)", 1).alias("gauge_id"),
-                     "date", F.col("streamflow").alias("streamflow_cms"))
+                     "date", nan_to_null("streamflow").alias("streamflow_cms"))
 
 
 def flow_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -49,6 +50,8 @@ def build_batch(flow: DataFrame, obs: DataFrame, fcst: DataFrame, blocks, stride
                 nan_policy: str = "all", scope: str = "sample") -> DataFrame:
     """Accepted long-form samples of the gauges present in ``flow``."""
     gauges = flow.select(F.col("gauge_id").alias("basin_id")).distinct()
+    obs = obs.join(gauges, gauge_suffix(obs["basin_id"]) == gauges["basin_id"], "left_semi")
+    fcst = fcst.join(gauges, gauge_suffix(fcst["basin_id"]) == gauges["basin_id"], "left_semi")
     cand = cal.candidates(gauges, blocks, stride, key="basin_id")
     steps = smp.mixed_steps(flow, obs, fcst, cand, blocks, stride, nan_policy=nan_policy)
     return smp.apply_scope(steps, scope).select(
@@ -69,6 +72,12 @@ def incremental_build(spark: SparkSession, flow_dir: str, obs: DataFrame, fcst:
         flow = landed_flow(spark, flow_dir).join(touched, "gauge_id", "left_semi")
         out = build_batch(flow, obs, fcst, blocks, stride, nan_policy, scope)
         write_partitioned(out, out_path, keys=("split", "basin_id"))
+        # Every epoch writes its groups last: rows of a touched gauge's group
+        # that this epoch did not write are of samples that no longer exist.
+        groups = touched.select(F.col("gauge_id").alias("basin_id"), F.explode(
+            F.array(*[F.lit(s) for s in blocks])).alias("split"))
+        written = out.select("split", "basin_id").distinct()
+        drop_groups(groups.join(written, ["split", "basin_id"], "left_anti"), out_path)
 
     q = (flow_file_stream(spark, flow_dir, max_files_per_trigger).writeStream
          .foreachBatch(process)
