@@ -70,9 +70,9 @@ def _salted(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 def _lines(data, offs, word_starts):
     """Spans and rows of the lines that hold a word."""
     cut = np.flatnonzero(data == 10)
-    s = np.sort(np.concatenate([offs[:-1], cut + 1]))
-    row_s = np.searchsorted(offs, s, "right") - 1
-    row_s = np.minimum(row_s, len(offs) - 2)
+    # Unique: an empty text, or the end of one, starts where the next one does.
+    s = np.unique(np.concatenate([offs[:-1], cut + 1]))
+    row_s = np.minimum(np.searchsorted(offs, s, "right") - 1, len(offs) - 2)
     nxt = np.append(cut, len(data))
     e = np.minimum(nxt[np.searchsorted(nxt, s)], offs[row_s + 1])
     has = np.searchsorted(word_starts, e) > np.searchsorted(word_starts, s)
