@@ -1,13 +1,16 @@
-"""Caller hooks (X1, X2), shuffled batches (W6), fan-out without broadcast."""
+"""Caller hooks (X1, X2), shuffled batches (W6), the generated fan-out."""
+
+import datetime as dt
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import T0, build, mixed_inputs
+from helpers import ONE, T0, build, mixed_inputs
 from basinflow.operators import samples as smp
-from basinflow.operators import windows as win
+from basinflow.operators.calendar import calendar_dates, issue_days_between
 from basinflow.operators.evaluate import apply_static_hook, score_batches
-from basinflow.operators.ranking import assign_batches, shuffle_key
+from basinflow.operators.ranking import assign_batches, resume_candidates, shuffle_key
 
 
 def test_static_hook_column_function(spark):
@@ -41,13 +44,54 @@ def test_shuffled_batches_are_a_permutation_and_reproducible(spark):
     assert sorted(p for p in ra.values()) == sorted((i // 16, i % 16) for i in range(50))
 
 
-def test_fan_out_without_broadcast_gives_same_samples(spark, monkeypatch):
-    want = smp.sample_stats(build(spark)).collect()
-    monkeypatch.setattr(win, "MAX_BROADCAST_ROWS", 0)
+def test_only_candidates_are_built(spark):
     flow, obs, fc, cand = mixed_inputs(spark)
-    steps = smp.mixed_steps(flow, obs, fc, cand, {"test": (str(T0), str(T0))}, 5)
-    plan = steps._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin [date" not in plan
-    got = smp.sample_stats(steps).collect()
-    assert [(r.len_target, r.len_weather, r.reason) for r in got] == \
-        [(r.len_target, r.len_weather, r.reason) for r in want]
+    blocks = {"test": (str(T0), str(T0))}
+    none = cand.where("false")
+    assert smp.mixed_steps(flow, obs, fc, none, blocks, 5).count() == 0
+    assert smp.mixed_steps(flow, obs, fc, cand, blocks, 5).count() == 106
+    other = cand.withColumn("basin_id", F.lit("zz"))
+    assert smp.mixed_steps(flow, obs, fc, other, blocks, 5).count() == 0
+
+
+def test_resumed_build_is_the_full_build_without_what_is_done(spark):
+    flow, obs, fc, _ = mixed_inputs(spark)
+    days = [T0 - 10 * ONE, T0 - 5 * ONE, T0]
+    blocks = {"test": (str(days[0]), str(T0))}
+    cand = spark.createDataFrame([("g1", "test", d) for d in days], "basin_id string, split string, issue_date date")
+    full = smp.sample_stats(smp.mixed_steps(flow, obs, fc, cand, blocks, 5)).collect()
+    left = resume_candidates(cand, cand.where(F.col("issue_date") == F.lit(T0)))
+    rest = smp.sample_stats(smp.mixed_steps(flow, obs, fc, left, blocks, 5)).collect()
+    assert sorted(rest) == sorted(r for r in full if r.issue_date != T0) and len(rest) == 2
+
+
+def test_generated_issue_days_match_the_calendar(spark):
+    blocks = {"train": ("1996-02-27", "1996-12-31"), "test": ("1997-01-03", "1998-06-01")}
+    for stride in (1, 5, 7, "year-start"):
+        want = sorted((s, (d - dt.date(1970, 1, 1)).days) for s, d in calendar_dates(blocks, stride))
+        row = spark.range(1).select(issue_days_between(F.lit(9000), F.lit(11000), blocks, stride).alias("d")).first()
+        assert sorted((x["split"], x["sday"]) for x in row["d"]) == want
+        part = spark.range(1).select(issue_days_between(F.lit(9600), F.lit(9900), blocks, stride).alias("d")).first()
+        assert sorted((x["split"], x["sday"]) for x in part["d"]) == [w for w in want if 9600 <= w[1] <= 9900]
+
+
+def test_overlapping_splits_are_an_error():
+    with pytest.raises(ValueError):
+        calendar_dates({"a": ("2000-01-01", "2000-06-01"), "b": ("2000-06-01", "2000-12-01")}, 5)
+
+
+def test_nan_flow_rejects_the_sample(spark):
+    nan_day = T0 - 3 * ONE
+    steps = build(spark, flow_value=lambda day: float("nan") if day == nan_day else 1.0)
+    stats = smp.sample_stats(steps).collect()
+    assert [r.reason for r in stats] == ["missing_values"]
+
+
+def test_group_scope_of_steps_and_of_samples_agree(spark):
+    flow, obs, fc, _ = mixed_inputs(spark, obs_nulls={"precip": {T0 - 2 * ONE}})
+    days = [T0 - 200 * ONE, T0]
+    blocks = {"test": (str(days[0]), str(T0))}
+    cand = spark.createDataFrame([("g1", "test", d) for d in days], "basin_id string, split string, issue_date date")
+    steps = smp.mixed_steps(flow, obs, fc, cand, blocks, 200)
+    kept = smp.apply_scope(steps, "group").select("sday").distinct().count()
+    assert kept == smp.scope_samples(smp.sample_stats(steps), "group").count() == 0

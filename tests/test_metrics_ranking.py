@@ -61,7 +61,17 @@ def test_tail_crop_longer_than_series_keeps_all(spark):
 
 
 def test_metric_dispatch(spark):
-    assert M.metric("kge") is M.kge
+    rng = np.random.default_rng(2)
+    y, yh = rng.random((2, 30)), rng.random((2, 30))
+    p = _pred(spark, {f"s{i}": (y[i], yh[i]) for i in range(2)})
+    got = {n: M.metric(n, 10)(p, ["k"]).first()["loss"] for n in M.LOSSES}
+    t, th = y[:, -10:], yh[:, -10:]
+    nse = 1 - ((t - th) ** 2).sum(1) / (((t - t.mean(1, keepdims=True)) ** 2).sum(1) + 1e-6)
+    assert abs(got["mse"] - ((t - th) ** 2).mean()) < 1e-12 and abs(got["nse"] + nse.mean()) < 1e-9
+    c, ch = t - t.mean(1, keepdims=True), th - th.mean(1, keepdims=True)
+    r = (c * ch).sum(1) / (np.sqrt((c ** 2).sum(1)) * np.sqrt((ch ** 2).sum(1)) + 1e-6)
+    a, b = th.std(1, ddof=1) / (t.std(1, ddof=1) + 1e-6), th.mean(1) / (t.mean(1) + 1e-6)
+    assert abs(got["kge"] + (1 - np.sqrt((r - 1) ** 2 + (a - 1) ** 2 + (b - 1) ** 2)).mean()) < 1e-9
     try:
         M.metric("rmse")
     except ValueError as e:
@@ -70,6 +80,11 @@ def test_metric_dispatch(spark):
         raise AssertionError("unknown metric accepted")
 
 
+def test_tail_loss_of_samples_of_different_length(spark):
+    p = _pred(spark, {"a": ([1.0, 1.0, 1.0], [1.0, 1.0, 1.0]), "b": ([0.0], [2.0])})
+    assert M.metric("mse", 1)(p, ["k"]).first()["loss"] == 2.0
+
+
 def test_global_row_number_is_dense_and_ordered(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("x"))
     rn = global_row_number(df, ["x"], partitions=7)

@@ -22,6 +22,8 @@ agency_cd\tsite_no\tdatetime\t01_00060_00003\t01_00060_00003_cd\t02_00065_00003
 USGS\t0101\t2024-12-30\t100\tA\t5.0
 USGS\t0101\t2024-12-31\tIce\tA\t5.0
 USGS\t0101\t2025-01-01\t200\tA\t6.0
+USGS\t0101
+USGS\t0101\tnot a date\t300\tA\t6.0
 """
 RDB_NO_VALUE = """# only a code column
 agency_cd\tsite_no\tdatetime\tcode
@@ -39,8 +41,8 @@ def test_rdb_parse_drops_ice_and_files_without_value_column(spark):
     got = sorted((r.date, round(r.streamflow_cms, 6)) for r in R.parse_rdb(lines).collect())
     assert got == [(dt.date(2024, 12, 30), round(100 * 0.0283168, 6)),
                    (dt.date(2025, 1, 1), round(200 * 0.0283168, 6))]
-    checks = {os.path.basename(r.file): r.has_columns for r in R.rdb_checks(lines).collect()}
-    assert checks == {"camels_0101.rdb": True, "camels_0202.rdb": False}
+    checks = {os.path.basename(r.file): (r.has_columns, r.n_lines, r.n_bad) for r in R.rdb_checks(lines).collect()}
+    assert checks == {"camels_0101.rdb": (True, 5, 2), "camels_0202.rdb": (False, 1, 1)}
 
 
 def test_stale_gauge_is_skipped(spark):
@@ -56,11 +58,11 @@ def test_stale_gauge_is_skipped(spark):
 
 def test_flow_csv_reads_site_from_path(spark):
     root = _tmp()
-    for site, rows in (("camels_0101", ["1980-12-31,1.0", "1981-01-01,2.0"]), ("camels_0202", ["2011-01-31,3.0"])):
+    for site, rows in (("camels_0101", ["1980-12-31,1.0", "1981-01-01,2.0", "1981-01-02,NaN"]), ("camels_0202", ["2011-01-31,3.0"])):
         with open(os.path.join(root, f"{site}.csv"), "w") as fh:
             fh.write("date,streamflow\n" + "\n".join(rows) + "\n")
     got = sorted((r.site_no, r.year, r.month, r.day, r.streamflow) for r in R.read_flow_csv(spark, root).collect())
-    assert got == [("0101", 1981, 1, 1, 2.0), ("0202", 2011, 1, 31, 3.0)]
+    assert got == [("0101", 1981, 1, 1, 2.0), ("0101", 1981, 1, 2, None), ("0202", 2011, 1, 31, 3.0)]
 
 
 def test_gauge_names_and_lookup(spark):
@@ -93,14 +95,21 @@ def test_load_or_build_reuses_committed_table(spark):
 
 def test_partitioned_and_batched_writes(spark):
     root = _tmp()
-    df = spark.createDataFrame([("train", "a", 0, [[1.0]], [1.0]), ("test", "b", 0, [[2.0]], [2.0])],
-                               "split string, basin_id string, batch_id int, dynamic_inputs array<array<float>>, "
-                               "targets array<float>")
+    df = spark.createDataFrame(
+        [("train", "a", 0, 0, "train_data_batch00000", [[1.0]], [1.0]), ("test", "b", 3, 7, "test_data_batch00003", [[2.0]], [2.0])],
+        "split string, basin_id string, batch_id int, pos long, file_name string, dynamic_inputs array<array<float>>, "
+        "targets array<float>")
+    assert R.read_batches(spark, f"{root}/batches") is None
     W.write_batches(df, f"{root}/batches", features=["precip"])
+    assert {(r.split, r.batch_id) for r in R.read_batches(spark, f"{root}/batches").collect()} == {("train", 0), ("test", 3)}
+    df = df.drop("pos", "file_name")
     assert sorted(n for n in os.listdir(f"{root}/batches") if not n.startswith(".")) == [
         "_SUCCESS", "split=test", "split=train"]
     W.write_partitioned(df.drop("batch_id"), f"{root}/groups")
     assert os.path.isdir(f"{root}/groups/split=train/basin_id=a")
+    gone = spark.createDataFrame([("train", "a"), ("train", "never")], "split string, basin_id string")
+    assert [W.drop_groups(gone, f"{root}/groups") for _ in range(2)] == [1, 0]
+    assert [r.basin_id for r in R.read_partitioned(spark, f"{root}/groups").collect()] == ["b"]
     W.write_splits(df.drop("batch_id"), f"{root}/splits")
     back = R.read_samples(spark, f"{root}/splits", "test")
     assert [r.basin_id for r in back.collect()] == ["b"]

@@ -34,6 +34,21 @@ def test_second_run_only_processes_new_gauges(spark):
     assert res.count() == 2 * 106
 
 
+def test_group_of_an_invalidated_gauge_disappears(spark):
+    root = tempfile.mkdtemp(prefix="bf-stream-", dir="/tmp")
+    flow, obs, fc, _ = mixed_inputs(spark, gauge="0004")
+    blocks = {"test": (str(T0), str(T0))}
+    out, ckpt = f"{root}/out", f"{root}/ckpt"
+    _land(flow, f"{root}/landing", "0004")
+    incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt)
+    assert os.path.isdir(f"{out}/split=test/basin_id=0004")
+    # a copy of one day arrives: the sequence is too long, the sample goes
+    (flow.where(F.col("date") == F.lit(T0 - 2 * ONE)).select("date", F.col("streamflow_cms").alias("streamflow"))
+     .coalesce(1).write.option("header", True).csv(f"{root}/landing/more/camels_0004"))
+    assert incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt) == 1
+    assert not os.path.isdir(f"{out}/split=test/basin_id=0004")
+
+
 def test_gauge_split_over_two_batches_is_rebuilt_whole(spark):
     root = tempfile.mkdtemp(prefix="bf-stream-", dir="/tmp")
     flow, obs, fc, _ = mixed_inputs(spark, gauge="0003")
