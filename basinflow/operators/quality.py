@@ -49,6 +49,14 @@ def length_histogram(stats: DataFrame, expected: int) -> DataFrame:
                         & (F.col("len_weather") == expected)))
 
 
+def require_valid(stats: DataFrame, expected: int) -> DataFrame:
+    """A3: ``stats`` again, or an error when no sample has the declared length."""
+    ok = (F.col("len_target") == expected) & (F.col("len_weather") == expected)
+    if not stats.where(ok).limit(1).count():
+        raise ValueError(f"no valid sample: none has length {expected}")
+    return stats
+
+
 def null_report(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column the number of missing cells and whether any is missing."""
     aggs = [F.sum(is_missing(c).cast("long")).alias(c) for c in cols]

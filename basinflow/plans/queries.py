@@ -369,6 +369,16 @@ def q_attach_static(spark, sf_dir):
                     *[rnd(F.col("features")[i], 6).alias(f"s{i}") for i in range(4)])
 
 
+@register("static_hook", with_views(
+    "SELECT gauge_id, " + ", ".join(f"0.0::DOUBLE + round(ln(1 + abs(features[{i + 1}])), 6) AS s{i}" for i in range(4))
+    + " FROM static", "static"))
+def q_static_hook(spark, sf_dir):
+    """Caller-supplied transform of the static vectors (a log scale)."""
+    from ..operators.evaluate import apply_static_hook
+    st = apply_static_hook(Fixtures(spark, sf_dir).static, lambda c: F.transform(c, lambda x: F.log1p(F.abs(x))))
+    return st.select("gauge_id", *[rnd(F.col("features")[i], 6).alias(f"s{i}") for i in range(4)])
+
+
 @register("gauge_names", with_views(
     "SELECT g.basin_id, COALESCE(n.gauge_name, 'Unknown') AS gauge_name FROM "
     "(SELECT DISTINCT string_split(gauge_id, '_')[-1] AS basin_id FROM gauges) g "
@@ -828,6 +838,19 @@ def predictions(f: Fixtures, split: str = "test") -> DataFrame:
                      y.alias("y"), F.coalesce(F.lag(y).over(w), y).alias("y_hat"))
 
 
+@register("scored_steps", with_views(
+    "SELECT basin_id, forecast_date, step, 0.0::DOUBLE + round(y, 4) AS y, 0.0::DOUBLE + round(0.5 * (y + y_hat), 4) AS y_hat "
+    "FROM pred", "flow", extra=_TARGET))
+def q_scored_steps(spark, sf_dir):
+    """A caller's predictor (mean of this and the last step) run on the
+    executors over Arrow batches of the test steps."""
+    from ..operators.evaluate import score_batches
+    p = predictions(Fixtures(spark, sf_dir)).select("basin_id", "forecast_date", "step", "y", F.col("y_hat").alias("x"))
+    out = score_batches(p, lambda pdf: 0.5 * (pdf["y"] + pdf["x"]), ["basin_id", "forecast_date", "step"],
+                        "basin_id string, forecast_date string, step int, y double, y_hat double")
+    return out.select("basin_id", "forecast_date", "step", r4("y"), r4("y_hat"))
+
+
 def _target_scaler(f: Fixtures):
     from ..operators.scaling import fit_scaler, scaler_params
     st = target_steps(f, "train").where(F.col("reason").isNull())

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from basinflow.operators import metrics as M
@@ -124,6 +125,15 @@ def test_empirical_cdf_distinct_ranks_for_ties(spark):
     assert got == [("c", 1, 0.25), ("a", 2, 0.5), ("b", 3, 0.75), ("d", 4, 1.0)]
 
 
+def test_no_valid_sample_is_an_error(spark):
+    from basinflow.operators.quality import require_valid
+    stats = spark.createDataFrame([(106, 105), (0, 106)], "len_target int, len_weather int")
+    with pytest.raises(ValueError):
+        require_valid(stats, 106)
+    ok = stats.unionByName(spark.createDataFrame([(106, 106)], "len_target int, len_weather int"))
+    assert require_valid(ok, 106).count() == 3
+
+
 def test_resume_twice_is_resume_once(spark):
     c = spark.createDataFrame([("s", "b", i) for i in range(10)], "split string, basin_id string, issue_date int")
     done = c.where(F.col("issue_date") < 4)
