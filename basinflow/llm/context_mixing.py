@@ -34,7 +34,7 @@ from basinflow.llm import exchange as X
 from basinflow.llm import textops as T
 from basinflow.llm.store import batch_rows, cut
 
-ORDERS = (1, 2, 3, 4, 6)
+ORDERS = (1, 2, 3, 4, 5)
 TABLE_BITS = 21              # slots of each order's table
 PARTS = 16                   # slices of each table while counts are added up
 FIT_TEXTS = 600              # training texts of the mixer's sample
@@ -42,26 +42,30 @@ FIT_BYTES = 16_384           # texts longer than this are not taken into it
 MAP_CELLS = 33               # cells of the probability map over the stretched probability
 MAP_REACH = 8.0
 LEAST_P = 1 / 65536
-CACHE_BITS = 20
+UNIT = 12
+CACHE_BITS = 21
 _NODE = np.uint64(0x9E3779B97F4A7C15)
 _PICK = np.uint64(0xD6E8FEB86659FD93)
 LOG10_2 = float(np.log10(2.0))
 
 
 def contexts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One code for each byte and end: six bytes of context, then the symbol;
+    """One code for each byte and end: its context bytes, then the symbol;
     and how many codes each document has."""
+    reach = max(ORDERS)
     n = np.diff(offs) + 1
-    ends = np.cumsum(n)
-    sym = np.insert(T.lower_ascii(data), offs[1:], 0)
-    place = np.arange(len(sym)) - np.repeat(ends - n, n)
-    code = sym.astype(np.uint64)
-    for k in range(1, max(ORDERS) + 1):
-        back = np.zeros(len(sym), np.uint64)
-        back[k:] = sym[:-k]
-        back[place < k] = 0
-        code |= back << np.uint64(8 * k)
-    return code, n
+    # Each text is led by zero bytes (no context yet) and followed by its end.
+    last = np.cumsum(n + reach) - 1
+    lead = ((last - n - reach + 1)[:, None] + np.arange(reach)).ravel()
+    real = np.ones(int((n + reach).sum()), bool)
+    real[lead] = False
+    out = np.zeros(len(real) + 8, np.uint8)
+    real[last] = False
+    out[:len(real)][real] = T.lower_ascii(data)
+    real[last] = True
+    lane = np.ndarray((len(real) - reach,), ">u8", out, strides=(1,)) if len(real) else np.zeros(0, ">u8")
+    code = lane.astype(np.uint64)[real[reach:]]
+    return code >> np.uint64(64 - 8 * (reach + 1)), n
 
 
 def _slots(code: np.ndarray, order: int, bit: int, bits: int) -> np.ndarray:
@@ -79,6 +83,15 @@ def _pick(h, node, bits):
     return (((h ^ (node * _NODE)) * _PICK) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def _narrowed(code: np.ndarray, times: np.ndarray, order: int):
+    """Distinct codes of the last ``order`` bytes and the symbol, with counts."""
+    code = code & np.uint64((1 << 8 * (order + 1)) - 1)
+    by = np.argsort(code, kind="stable")
+    code, times = code[by], times[by]
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[first], np.add.reduceat(times, first) if len(first) else times
+
+
 def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int) -> np.ndarray:
     """Zeros and ones seen in each slot of one order: shape (2, slots)."""
     out = np.zeros((2, 1 << bits), np.int64)
@@ -92,24 +105,29 @@ def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int) -> n
     return out
 
 
+COUNT_BYTES = 16 << 20      # text whose codes are sorted at once
+
+
 def _count_task(bits: int):
     def count(batches):
-        codes, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         tables = {o: np.zeros((2, 1 << bits), np.uint32) for o in ORDERS}
+        held, size = [], 0
 
         def pour():
-            for o in ORDERS:
-                np.add(tables[o], count_codes(codes, times, o, bits), out=tables[o], casting="unsafe")
+            code, times = np.unique(np.concatenate(held), return_counts=True)
+            for o in sorted(ORDERS, reverse=True):      # each narrower order from the distinct codes of the wider
+                code, times = _narrowed(code, times, o)
+                np.add(tables[o], count_codes(code, times, o, bits), out=tables[o], casting="unsafe")
 
         for b in batches:
             for _, _, data, offs in T.text_slices(b.column(0)):
-                c, m = np.unique(contexts(data, offs)[0], return_counts=True)
-                codes, inv = np.unique(np.concatenate([codes, c]), return_inverse=True)
-                times = np.bincount(inv, np.concatenate([times, m]), len(codes)).astype(np.int64)
-                if len(codes) > 4_000_000:
+                held.append(contexts(data, offs)[0])
+                size += len(held[-1])
+                if size > COUNT_BYTES:
                     pour()
-                    codes, times = codes[:0], times[:0]
-        pour()
+                    held, size = [], 0
+        if held:
+            pour()
         for o in ORDERS:
             for p, part in enumerate(np.split(tables[o], PARTS, axis=1)):
                 if part.any():
@@ -144,16 +162,18 @@ def bit_counts(texts: DataFrame, bits: int = TABLE_BITS) -> dict[int, np.ndarray
     return out
 
 
-def _stretched(zeros, ones):
-    """Logarithm of the odds of a one; 0 where the slot was never met."""
-    return (np.log((ones + 0.4) / (zeros + 0.4))).astype(np.float32)
+def _stretched(zeros, ones) -> np.ndarray:
+    """Logarithm of the odds of a one in steps of 1 / UNIT; 0 where the slot was
+    never met.  Bytes keep the tables of all orders in a core's cache."""
+    odds = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
+    return np.clip(np.rint(odds * UNIT), -127, 127).astype(np.int8)
 
 
 @dataclass
 class Mixer:
     bits: int
     tables: dict[int, np.ndarray]           # stretched prediction of each slot
-    weights: np.ndarray                     # (gate, order)
+    weights: np.ndarray                     # (order, gate), for steps of 1 / UNIT
     bias: np.ndarray
     map: np.ndarray                         # (known bits, cell)
     cache: tuple | None = field(default=None, repr=False)
@@ -161,30 +181,39 @@ class Mixer:
     def __getstate__(self):
         return {**self.__dict__, "cache": None}
 
-    def mixed(self, st: np.ndarray, gate: np.ndarray):
-        z = (self.weights[gate].T * st).sum(0) + self.bias[gate]
-        return np.clip(z, -MAP_REACH + 1e-3, MAP_REACH - 1e-3)
+    def mixed(self, st: list[np.ndarray], gate: np.ndarray):
+        z = self.bias[gate]
+        for w, s in zip(self.weights, st, strict=True):
+            z += w[gate] * s
+        return np.clip(z, -MAP_REACH + 1e-3, MAP_REACH - 1e-3, out=z)
 
     def cells(self, z):
-        at = (z + MAP_REACH) * ((MAP_CELLS - 1) / (2 * MAP_REACH))
+        at = (z + np.float32(MAP_REACH)) * np.float32((MAP_CELLS - 1) / (2 * MAP_REACH))
         low = at.astype(np.int64)
-        return low, at - low
+        return low, at - low.astype(at.dtype)
 
     def refined(self, z, node):
         low, part = self.cells(z)
-        cell = self.map[node, low] * (1 - part) + self.map[node, low + 1] * part
-        return np.clip(0.5 / (1 + np.exp(-z)) + 0.5 * cell, LEAST_P, 1 - LEAST_P)
+        low += node * MAP_CELLS
+        flat = self.map.ravel()
+        a = flat[low]
+        p = a + (flat[low + 1] - a) * part
+        p += 1 / (1 + np.exp(-z))
+        p *= 0.5
+        return np.clip(p, LEAST_P, 1 - LEAST_P, out=p)
 
     def log2_symbols(self, code: np.ndarray) -> np.ndarray:
         """log2 of the probability of each code's symbol."""
         out = np.zeros(len(code))
-        for i in range(0, len(code), 1 << 15):
-            c = code[i:i + (1 << 15)]
+        for i in range(0, len(code), 1 << 14):
+            c = code[i:i + (1 << 14)]
             hs = [T.mix64(((c >> np.uint64(8)) & np.uint64((1 << 8 * o) - 1)) * _NODE + np.uint64(o)) for o in ORDERS]
             for bit in range(8):
                 node = _node(c, bit)
-                st = np.stack([self.tables[o][_pick(h, node, self.bits)] for o, h in zip(ORDERS, hs, strict=True)])
-                p = self.refined(self.mixed(st, gate_of(st, bit)), node.astype(np.int64))
+                step = node * _NODE
+                st = [self.tables[o][(((h ^ step) * _PICK) >> np.uint64(64 - self.bits)).view(np.int64)]
+                      for o, h in zip(ORDERS, hs, strict=True)]
+                p = self.refined(self.mixed(st, gate_of(st, bit)), node.view(np.int64))
                 one = (c >> np.uint64(7 - bit)) & np.uint64(1) == 1
                 out[i:i + len(c)] += np.log2(np.where(one, p, 1 - p))
         return out
@@ -193,9 +222,9 @@ class Mixer:
         """``log2_symbols``, evaluating a code that this worker has met lately
         only once."""
         if self.cache is None:
-            self.cache = (np.full(1 << CACHE_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << CACHE_BITS))
+            self.cache = (np.full(1 << CACHE_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << CACHE_BITS, np.float32))
         keys, values = self.cache
-        slot = (T.mix64(code) >> np.uint64(64 - CACHE_BITS)).astype(np.int64)
+        slot = (T.mix64(code) >> np.uint64(64 - CACHE_BITS)).view(np.int64)
         out = values[slot]
         miss = np.flatnonzero(keys[slot] != code)
         if len(miss):
@@ -207,18 +236,18 @@ class Mixer:
 
     def log2_texts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         out = []
-        for i, j in T.slices(offs, 2 << 20):
+        for i, j in T.slices(offs, 1 << 20):
             code, n = contexts(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            out.append(np.add.reduceat(self.cached(code), np.cumsum(n) - n))
+            out.append(np.add.reduceat(self.cached(code), np.cumsum(n) - n, dtype=np.float64))
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def gate_of(st: np.ndarray, bit: int) -> np.ndarray:
-    """Weight set: the longest context that was met, and the bit's place."""
-    longest = np.zeros(st.shape[1], np.int64)
-    for k in range(len(ORDERS)):
-        longest[st[k] != 0] = k + 1
-    return longest * 8 + bit
+def gate_of(st: list[np.ndarray], bit: int) -> np.ndarray:
+    """Weight set: how many contexts were met, and the bit's place."""
+    met = np.zeros(len(st[0]), np.int64)
+    for s in st:
+        met += s != 0
+    return met * 8 + bit
 
 
 def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE_BITS, batch: int = 4096,
@@ -227,7 +256,7 @@ def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE
     a text's own bit is taken out of each slot that it is predicted from."""
     gates = 8 * (len(ORDERS) + 1)
     cells = 1 / (1 + np.exp(-np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS)))
-    m = Mixer(bits, {}, np.full((gates, len(ORDERS)), 0.3), np.zeros(gates), np.tile(cells, (256, 1)))
+    m = Mixer(bits, {}, np.full((len(ORDERS), gates), 0.3 / UNIT), np.zeros(gates), np.tile(cells, (256, 1)))
     data, offs = T.text_buffers(pa.array(texts, pa.string()))
     code = contexts(data, offs)[0]
     for step, i in enumerate(range(0, len(code), batch)):
@@ -241,14 +270,13 @@ def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE
                 slot = _slots(c, o, bit, bits)
                 zeros, ones = counts[o][0, slot].astype(np.int64), counts[o][1, slot].astype(np.int64)
                 st.append(_stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)))
-            st = np.stack(st)
             gate = gate_of(st, bit)
             z = m.mixed(st, gate)
             p = 1 / (1 + np.exp(-z))
             err = one - p
             met = np.maximum(np.bincount(gate, minlength=gates), 16)
             for k in range(len(ORDERS)):
-                m.weights[:, k] += rate * max(slow, 0.1) * np.bincount(gate, err * st[k], gates) / met
+                m.weights[k] += rate / UNIT ** 2 * max(slow, 0.1) * np.bincount(gate, err * st[k], gates) / met
             m.bias += rate * max(slow, 0.1) * np.bincount(gate, err, gates) / met
             low, part = m.cells(z)
             for cell, share in ((low, 1 - part), (low + 1, part)):
@@ -257,6 +285,7 @@ def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE
                 drift = np.bincount(at, share * (one - m.map.ravel()[at]), m.map.size)
                 m.map += (map_rate * max(slow, 0.05) * drift / np.maximum(size, 8)).reshape(m.map.shape)
     m.tables = {o: _stretched(counts[o][0].astype(np.float32), counts[o][1].astype(np.float32)) for o in ORDERS}
+    m.weights, m.bias, m.map = (x.astype(np.float32) for x in (m.weights, m.bias, m.map))
     return m
 
 
