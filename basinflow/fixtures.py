@@ -92,7 +92,7 @@ class Fixtures:
 
     def __new__(cls, spark: SparkSession, sf_dir: str):
         state = file_state(spark, [f"{sf_dir}/{t}.parquet" for t in INPUT_TABLES])
-        key = (id(spark), spark.sparkContext.applicationId, sf_dir, state)
+        key = (cls, id(spark), spark.sparkContext.applicationId, sf_dir, state)
         inst = _INSTANCES.get(key)
         if inst is None:
             inst = _INSTANCES[key] = super().__new__(cls)
