@@ -22,11 +22,6 @@ def tail_crop(pred: DataFrame, keys: list[str], seq_len: int | None,
     return pred.withColumn("_last", last).where(F.col(step) > F.col("_last") - seq_len).drop("_last")
 
 
-def mse(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
-    """A10: mean squared error per sample (``squares`` and ``steps`` add up)."""
-    return scores(pred, keys, seq_len).select(*keys, "mse", "squares", "steps")
-
-
 def nse(pred: DataFrame, keys: list[str], seq_len: int | None = None) -> DataFrame:
     """``1 - sum((y-yh)^2) / (sum((y-mean y)^2) + 1e-6)`` per sample."""
     return scores(pred, keys, seq_len).select(*keys, "nse")

@@ -589,9 +589,10 @@ def q_sequence_length(spark, sf_dir):
     "gauges", "flow", "obs", "fcst", extra=dict(_MIX, sq=_SAMPLE_SQL)))
 def q_length_histogram(spark, sf_dir):
     """Samples per length and whether it is the declared length."""
-    from ..operators.quality import length_histogram
-    s = _sample_counts(mixed_steps(Fixtures(spark, sf_dir)))
-    return length_histogram(s, smp.MixedRecipe().expected_len)
+    from ..operators.quality import length_histogram, require_valid
+    s = smp.sample_stats(mixed_steps(Fixtures(spark, sf_dir)))
+    expected = smp.MixedRecipe().expected_len
+    return length_histogram(require_valid(s, expected), expected)
 
 
 @register("sample_quality", with_views(
