@@ -92,20 +92,20 @@ def _narrowed(code: np.ndarray, times: np.ndarray, order: int):
     return code[first], np.add.reduceat(times, first) if len(first) else times
 
 
-def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int) -> np.ndarray:
-    """Zeros and ones seen in each slot of one order: shape (2, slots)."""
-    out = np.zeros((2, 1 << bits), np.int64)
+def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int, out: np.ndarray | None = None) -> np.ndarray:
+    """Zeros and ones seen in each slot of one order, added to ``out``: shape
+    (2, slots)."""
+    out = np.zeros((2, 1 << bits), np.uint32) if out is None else out
+    flat, times = out.reshape(-1), times.astype(np.uint32)
     ctx = (code >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
     h = T.mix64(ctx * _NODE + np.uint64(order))
     for bit in range(8):
-        slot = _pick(h, _node(code, bit), bits)
-        one = (code >> np.uint64(7 - bit)) & np.uint64(1) == 1
-        out[1] += np.bincount(slot[one], times[one], 1 << bits).astype(np.int64)
-        out[0] += np.bincount(slot[~one], times[~one], 1 << bits).astype(np.int64)
+        one = ((code >> np.uint64(7 - bit)) & np.uint64(1)).view(np.int64)
+        np.add.at(flat, (one << bits) + _pick(h, _node(code, bit), bits), times)
     return out
 
 
-COUNT_BYTES = 16 << 20      # text whose codes are sorted at once
+COUNT_BYTES = 6 << 20       # text whose codes are sorted at once
 
 
 def _count_task(bits: int):
@@ -117,7 +117,7 @@ def _count_task(bits: int):
             code, times = np.unique(np.concatenate(held), return_counts=True)
             for o in sorted(ORDERS, reverse=True):      # each narrower order from the distinct codes of the wider
                 code, times = _narrowed(code, times, o)
-                np.add(tables[o], count_codes(code, times, o, bits), out=tables[o], casting="unsafe")
+                count_codes(code, times, o, bits, tables[o])
 
         for b in batches:
             for _, _, data, offs in T.text_slices(b.column(0)):
