@@ -36,7 +36,7 @@ from basinflow.llm.store import batch_rows, cut
 
 ORDERS = (1, 2, 3, 4, 5)
 TABLE_BITS = 21              # slots of each order's table
-PARTS = 16                   # slices of each table while counts are added up
+PARTS = 256                  # slices of each table while counts are added up
 FIT_TEXTS = 600              # training texts of the mixer's sample
 FIT_BYTES = 16_384           # texts longer than this are not taken into it
 MAP_CELLS = 33               # cells of the probability map over the stretched probability
@@ -136,12 +136,20 @@ def _count_task(bits: int):
     return count
 
 
-def _sum_counts(table: pa.Table) -> pa.Table:
-    total = np.zeros(len(table.column("counts")[0].as_py()) // 4, np.int64)
-    for x in table.column("counts"):
-        total += np.frombuffer(x.as_buffer(), "<u4")
-    return pa.table({"ord": table.column("ord")[:1], "part": table.column("part")[:1],
-                     "counts": pa.array([_halved(total.reshape(2, -1)).tobytes()], pa.binary())})
+def _sum_counts(batches):
+    """Add up slices as they stream in: memory is bounded by the tables, however
+    many tasks counted."""
+    total: dict[tuple, np.ndarray] = {}
+    for b in batches:
+        for o, p, x in zip(b.column("ord").to_pylist(), b.column("part").to_pylist(), b.column("counts"), strict=True):
+            part = np.frombuffer(x.as_buffer(), "<u4")
+            if (o, p) in total:
+                total[o, p] += part
+            else:
+                total[o, p] = part.astype(np.int64)
+    for (o, p), counts in total.items():
+        yield pa.RecordBatch.from_pydict({"ord": pa.array([o], pa.int32()), "part": pa.array([p], pa.int32()),
+                                          "counts": [_halved(counts.reshape(2, -1)).tobytes()]})
 
 
 def _halved(counts: np.ndarray) -> np.ndarray:
@@ -153,8 +161,8 @@ def _halved(counts: np.ndarray) -> np.ndarray:
 def bit_counts(texts: DataFrame, bits: int = TABLE_BITS) -> dict[int, np.ndarray]:
     """Zeros and ones of each slot over all texts, one table an order."""
     schema = "ord int, part int, counts binary"
-    rows = (texts.mapInArrow(_count_task(bits), schema).groupBy("ord", "part")
-            .applyInArrow(_sum_counts, schema).toLocalIterator())    # ORDERS x PARTS slices of fixed size
+    rows = (texts.mapInArrow(_count_task(bits), schema).repartition("ord", "part")
+            .mapInArrow(_sum_counts, schema).toLocalIterator())      # ORDERS x PARTS slices of fixed size
     out = {o: np.zeros((2, 1 << bits), np.uint16) for o in ORDERS}
     width = (1 << bits) // PARTS
     for r in rows:
