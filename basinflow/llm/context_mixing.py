@@ -2,18 +2,20 @@
 
 A text (A-Z lower-cased) is predicted bit by bit, most significant first, each
 byte and an end symbol 0.  For every order in ORDERS, the last so many bytes
-and the bits known of the next byte select a slot of a hashed table, whose
-counts over the whole training corpus predict the bit.  The stretched
-predictions are combined by a logistic mixer whose weight set is gated by the
-longest context seen and the bit's place; an adaptive probability map over the
-byte's known bits then refines the mixed probability.  Weights and map are
-learned online, in one pass order over a bounded sample of training texts,
-each with its own count left out of the tables.
-
-The counts cover every training text: tasks add them up, slices of the tables
-are summed by Spark, and the finished tables, whose size is a parameter
-(TABLE_BITS), go to the executors.  A byte's probability depends on its last
-bytes only, so each distinct context and byte of a chunk is evaluated once.
+and the bits known of the next byte are a context, whose counts of zeros and
+ones over the whole training corpus predict the bit.  The stretched predictions
+are combined by a logistic mixer whose weight set is gated by how many contexts
+were met and the bit's place; an adaptive probability map over the byte's known
+bits then refines the mixed probability.
+
+Counts are exact and grow with the corpus: each chunk asks its distinct codes
+(context bytes and symbol) of every order with their training counts, a bucket
+of the context's hash adds them up and answers the predictions, with and
+without the asking occurrence.  Weights and map are learned in tasks over every
+training text: in each of ROUNDS each chunk goes online through its distinct
+codes, weighted by how often they occur, from the last round's state, and the
+chunks' states are averaged by what each has seen (in integers, so that the
+order of the sums does not matter).
 
 Defined results: null text is empty (its end is still scored); without any
 training text every bit has probability 1/2; a null id is in training (its
@@ -32,18 +34,18 @@ from pyspark.sql import functions as F
 
 from basinflow.llm import exchange as X
 from basinflow.llm import textops as T
-from basinflow.llm.store import batch_rows, cut
+from basinflow.llm.store import cut
 
 ORDERS = (1, 2, 3, 4, 5)
-TABLE_BITS = 21              # slots of each order's table
-PARTS = 256                  # slices of each table while counts are added up
-FIT_TEXTS = 600              # training texts of the mixer's sample
-FIT_BYTES = 16_384           # texts longer than this are not taken into it
+TABLE_BITS = 21              # slots of each order's table, where a small corpus is counted in memory
+ROUNDS = 2                   # passes over all training chunks
+STEP_CODES = 4096            # distinct codes of one online step
+FIXED = float(1 << 20)       # parts of one in sums of states
+STATE_PARTS = 8
 MAP_CELLS = 33               # cells of the probability map over the stretched probability
 MAP_REACH = 8.0
 LEAST_P = 1 / 65536
 UNIT = 12
-CACHE_BITS = 21
 _NODE = np.uint64(0x9E3779B97F4A7C15)
 _PICK = np.uint64(0xD6E8FEB86659FD93)
 LOG10_2 = float(np.log10(2.0))
@@ -83,15 +85,6 @@ def _pick(h, node, bits):
     return (((h ^ (node * _NODE)) * _PICK) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _narrowed(code: np.ndarray, times: np.ndarray, order: int):
-    """Distinct codes of the last ``order`` bytes and the symbol, with counts."""
-    code = code & np.uint64((1 << 8 * (order + 1)) - 1)
-    by = np.argsort(code, kind="stable")
-    code, times = code[by], times[by]
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    return code[first], np.add.reduceat(times, first) if len(first) else times
-
-
 def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int, out: np.ndarray | None = None) -> np.ndarray:
     """Zeros and ones seen in each slot of one order, added to ``out``: shape
     (2, slots)."""
@@ -105,89 +98,29 @@ def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int, out:
     return out
 
 
-COUNT_BYTES = 6 << 20       # text whose codes are sorted at once
-
-
-def _count_task(bits: int):
-    def count(batches):
-        tables = {o: np.zeros((2, 1 << bits), np.uint32) for o in ORDERS}
-        held, size = [], 0
-
-        def pour():
-            code, times = np.unique(np.concatenate(held), return_counts=True)
-            for o in sorted(ORDERS, reverse=True):      # each narrower order from the distinct codes of the wider
-                code, times = _narrowed(code, times, o)
-                count_codes(code, times, o, bits, tables[o])
-
-        for b in batches:
-            for _, _, data, offs in T.text_slices(b.column(0)):
-                held.append(contexts(data, offs)[0])
-                size += len(held[-1])
-                if size > COUNT_BYTES:
-                    pour()
-                    held, size = [], 0
-        if held:
-            pour()
-        for o in ORDERS:
-            for p, part in enumerate(np.split(tables[o], PARTS, axis=1)):
-                if part.any():
-                    yield pa.RecordBatch.from_pydict({"ord": pa.array([o], pa.int32()), "part": pa.array([p], pa.int32()),
-                                                      "counts": [part.tobytes()]})
-    return count
-
-
-def _sum_counts(batches):
-    """Add up slices as they stream in: memory is bounded by the tables, however
-    many tasks counted."""
-    total: dict[tuple, np.ndarray] = {}
-    for b in batches:
-        for o, p, x in zip(b.column("ord").to_pylist(), b.column("part").to_pylist(), b.column("counts"), strict=True):
-            part = np.frombuffer(x.as_buffer(), "<u4")
-            if (o, p) in total:
-                total[o, p] += part
-            else:
-                total[o, p] = part.astype(np.int64)
-    for (o, p), counts in total.items():
-        yield pa.RecordBatch.from_pydict({"ord": pa.array([o], pa.int32()), "part": pa.array([p], pa.int32()),
-                                          "counts": [_halved(counts.reshape(2, -1)).tobytes()]})
-
-
 def _halved(counts: np.ndarray) -> np.ndarray:
     """Counts scaled down where one exceeds 16 bits: ratios stay."""
     over = np.maximum(1.0, counts.max(0) / 60000.0)
     return np.ceil(counts / over).astype("<u2")
 
 
-def bit_counts(texts: DataFrame, bits: int = TABLE_BITS) -> dict[int, np.ndarray]:
-    """Zeros and ones of each slot over all texts, one table an order."""
-    schema = "ord int, part int, counts binary"
-    rows = (texts.mapInArrow(_count_task(bits), schema).repartition("ord", "part")
-            .mapInArrow(_sum_counts, schema).toLocalIterator())      # ORDERS x PARTS slices of fixed size
-    out = {o: np.zeros((2, 1 << bits), np.uint16) for o in ORDERS}
-    width = (1 << bits) // PARTS
-    for r in rows:
-        out[r["ord"]][:, r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["counts"], "<u2").reshape(2, width)
-    return out
-
-
 def _stretched(zeros, ones) -> np.ndarray:
-    """Logarithm of the odds of a one in steps of 1 / UNIT; 0 where the slot was
-    never met.  Bytes keep the tables of all orders in a core's cache."""
+    """Logarithm of the odds of a one in steps of 1 / UNIT; 0 where it was never
+    met."""
     odds = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
     return np.clip(np.rint(odds * UNIT), -127, 127).astype(np.int8)
 
 
+GATES = 8 * (len(ORDERS) + 1)
+
+
 @dataclass
 class Mixer:
-    bits: int
-    tables: dict[int, np.ndarray]           # stretched prediction of each slot
     weights: np.ndarray                     # (order, gate), for steps of 1 / UNIT
     bias: np.ndarray
     map: np.ndarray                         # (known bits, cell)
-    cache: tuple | None = field(default=None, repr=False)
-
-    def __getstate__(self):
-        return {**self.__dict__, "cache": None}
+    bits: int = TABLE_BITS                  # a small corpus in memory:
+    tables: dict[int, np.ndarray] = field(default_factory=dict)     # stretched prediction of each slot
 
     def mixed(self, st: list[np.ndarray], gate: np.ndarray):
         z = self.bias[gate]
@@ -210,44 +143,58 @@ class Mixer:
         p *= 0.5
         return np.clip(p, LEAST_P, 1 - LEAST_P, out=p)
 
-    def log2_symbols(self, code: np.ndarray) -> np.ndarray:
-        """log2 of the probability of each code's symbol."""
+    def log2_codes(self, code: np.ndarray, stretched) -> np.ndarray:
+        """log2 of the probability of each code's symbol; ``stretched(part)``
+        has, bit by bit, the orders' predictions for a part of the codes."""
         out = np.zeros(len(code))
         for i in range(0, len(code), 1 << 14):
-            c = code[i:i + (1 << 14)]
-            hs = [T.mix64(((c >> np.uint64(8)) & np.uint64((1 << 8 * o) - 1)) * _NODE + np.uint64(o)) for o in ORDERS]
-            for bit in range(8):
-                node = _node(c, bit)
-                step = node * _NODE
-                st = [self.tables[o][(((h ^ step) * _PICK) >> np.uint64(64 - self.bits)).view(np.int64)]
-                      for o, h in zip(ORDERS, hs, strict=True)]
-                p = self.refined(self.mixed(st, gate_of(st, bit)), node.view(np.int64))
+            part = slice(i, i + (1 << 14))
+            c = code[part]
+            for bit, st in enumerate(stretched(part)):
+                p = self.refined(self.mixed(st, gate_of(st, bit)), _node(c, bit).view(np.int64))
                 one = (c >> np.uint64(7 - bit)) & np.uint64(1) == 1
-                out[i:i + len(c)] += np.log2(np.where(one, p, 1 - p))
+                out[part] += np.log2(np.where(one, p, 1 - p))
         return out
 
-    def cached(self, code: np.ndarray) -> np.ndarray:
-        """``log2_symbols``, evaluating a code that this worker has met lately
-        only once."""
-        if self.cache is None:
-            self.cache = (np.full(1 << CACHE_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << CACHE_BITS, np.float32))
-        keys, values = self.cache
-        slot = (T.mix64(code) >> np.uint64(64 - CACHE_BITS)).view(np.int64)
-        out = values[slot]
-        miss = np.flatnonzero(keys[slot] != code)
-        if len(miss):
-            new, one, inv = np.unique(code[miss], return_index=True, return_inverse=True)
-            got = self.log2_symbols(new)
-            out[miss] = got[inv]
-            keys[slot[miss[one]]], values[slot[miss[one]]] = new, got
-        return out
+    def log2_symbols(self, code: np.ndarray) -> np.ndarray:
+        """``log2_codes`` by the tables in memory."""
+        return self.log2_codes(code, lambda part: ([self.tables[o][_slots(code[part], o, bit, self.bits)] for o in ORDERS]
+                                                   for bit in range(8)))
 
     def log2_texts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        out = []
-        for i, j in T.slices(offs, 1 << 20):
-            code, n = contexts(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            out.append(np.add.reduceat(self.cached(code), np.cumsum(n) - n, dtype=np.float64))
-        return np.concatenate(out) if out else np.zeros(0)
+        code, n = contexts(data, offs)
+        return np.add.reduceat(self.log2_symbols(code), np.cumsum(n) - n) if len(n) else np.zeros(0)
+
+    def step(self, code: np.ndarray, times: np.ndarray, stretched, turn: int, rate: float, map_rate: float,
+             seen: np.ndarray, cell_seen: np.ndarray) -> None:
+        """Move weights and map by one set of codes, each met ``times`` often;
+        add what every gate and cell met."""
+        slow = 1 / (1 + turn / 50)
+        flat, sets = self.map.reshape(-1), np.arange(len(ORDERS) + 1)
+        for bit, st in enumerate(stretched):
+            one = ((code >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+            gate = gate_of(st, bit)
+            z = self.mixed(st, gate)
+            err = (one - 1 / (1 + np.exp(-z))) * times
+            mine = (gate >> 3 == sets[:, None]).astype(np.float64)      # the bit's gates are ``sets`` * 8 + bit
+            got = mine @ np.stack([*(err * x for x in st), err, times], 1)
+            here = got[:, -1]
+            seen[bit::8] += here
+            got = got[:, :-1] * (rate * max(slow, 0.1) / np.maximum(here, 16))[:, None]
+            self.weights[:, bit::8] += got[:, :-1].T / UNIT ** 2
+            self.bias[bit::8] += got[:, -1]
+            low, part = self.cells(z)
+            low = (low + _node(code, bit).view(np.int64) * MAP_CELLS) * 2 + one
+            part *= times
+            met = (np.bincount(low, times - part, 2 * flat.size) + np.bincount(low + 2, part, 2 * flat.size)).reshape(-1, 2)
+            size = met.sum(1)
+            cell_seen += size
+            flat += map_rate * max(slow, 0.05) * (met[:, 1] - size * flat) / np.maximum(size, 8)
+
+
+def start() -> Mixer:
+    cells = 1 / (1 + np.exp(-np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS)))
+    return Mixer(np.full((len(ORDERS), GATES), 0.3 / UNIT), np.zeros(GATES), np.tile(cells, (256, 1)))
 
 
 def gate_of(st: list[np.ndarray], bit: int) -> np.ndarray:
@@ -260,52 +207,217 @@ def gate_of(st: list[np.ndarray], bit: int) -> np.ndarray:
 
 def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE_BITS, batch: int = 4096,
               rate: float = 0.15, map_rate: float = 0.3) -> Mixer:
-    """Learn weights and map online over ``texts``, in order, in small steps;
+    """Learn weights and map online over ``texts`` of a small corpus, in order;
     a text's own bit is taken out of each slot that it is predicted from."""
-    gates = 8 * (len(ORDERS) + 1)
-    cells = 1 / (1 + np.exp(-np.linspace(-MAP_REACH, MAP_REACH, MAP_CELLS)))
-    m = Mixer(bits, {}, np.full((len(ORDERS), gates), 0.3 / UNIT), np.zeros(gates), np.tile(cells, (256, 1)))
+    m = start()
     data, offs = T.text_buffers(pa.array(texts, pa.string()))
     code = contexts(data, offs)[0]
-    for step, i in enumerate(range(0, len(code), batch)):
+    for turn, i in enumerate(range(0, len(code), batch)):
         c = code[i:i + batch]
-        slow = 1 / (1 + step / 50)
-        for bit in range(8):
+
+        def stretched(bit, c=c):
             one = ((c >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-            node = _node(c, bit).astype(np.int64)
-            st = []
-            for o in ORDERS:
-                slot = _slots(c, o, bit, bits)
-                zeros, ones = counts[o][0, slot].astype(np.int64), counts[o][1, slot].astype(np.int64)
-                st.append(_stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)))
-            gate = gate_of(st, bit)
-            z = m.mixed(st, gate)
-            p = 1 / (1 + np.exp(-z))
-            err = one - p
-            met = np.maximum(np.bincount(gate, minlength=gates), 16)
-            for k in range(len(ORDERS)):
-                m.weights[k] += rate / UNIT ** 2 * max(slow, 0.1) * np.bincount(gate, err * st[k], gates) / met
-            m.bias += rate * max(slow, 0.1) * np.bincount(gate, err, gates) / met
-            low, part = m.cells(z)
-            for cell, share in ((low, 1 - part), (low + 1, part)):
-                at = node * MAP_CELLS + cell
-                size = np.bincount(at, share, m.map.size)
-                drift = np.bincount(at, share * (one - m.map.ravel()[at]), m.map.size)
-                m.map += (map_rate * max(slow, 0.05) * drift / np.maximum(size, 8)).reshape(m.map.shape)
-    m.tables = {o: _stretched(counts[o][0].astype(np.float32), counts[o][1].astype(np.float32)) for o in ORDERS}
+            slots = [_slots(c, o, bit, bits) for o in ORDERS]
+            return [_stretched(np.maximum(counts[o][0, x].astype(np.int64) - (1 - one), 0),
+                               np.maximum(counts[o][1, x].astype(np.int64) - one, 0)) for o, x in zip(ORDERS, slots, strict=True)]
+        m.step(c, np.ones(len(c)), map(stretched, range(8)), turn, rate, map_rate, np.zeros(GATES), np.zeros(m.map.size))
+    m.bits, m.tables = bits, {o: _stretched(counts[o][0].astype(np.float32), counts[o][1].astype(np.float32)) for o in ORDERS}
+    return single(m)
+
+
+def single(m: Mixer) -> Mixer:
     m.weights, m.bias, m.map = (x.astype(np.float32) for x in (m.weights, m.bias, m.map))
     return m
 
 
-def fit(training: DataFrame, id_col="doc_id", text_col="text", bits: int = TABLE_BITS, fit_texts: int = FIT_TEXTS) -> Mixer:
-    """Model of all rows of ``training``.  The tables count every text; the
-    mixer's sample is bounded by FIT_TEXTS texts of at most FIT_BYTES."""
-    batch_rows(training.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    counts = bit_counts(training.select(text), bits)
-    few = (training.where(F.octet_length(text_col) <= FIT_BYTES).select(F.xxhash64(id_col, text_col).alias("h"), text)
-           .orderBy("h", "text").limit(fit_texts).collect())
-    return fit_mixer(counts, [r["text"] for r in few], bits)
+# Counts of codes: asked by chunks, added up and answered by buckets.
+
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of equal place side by side: sorted codes compress well so."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _packed(b: bytes) -> bytes:
+    return len(b).to_bytes(4, "little") + pa.compress(b, "zstd", asbytes=True)
+
+
+def _expanded(b) -> bytes:
+    return pa.decompress(b[4:], int.from_bytes(b[:4], "little"), "zstd", asbytes=True)
+
+
+def _unplanes(b, kind: str, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8, size * n, at).reshape(size, n).T).view(kind).ravel()
+
+
+def _contexts(b: X.Batch):
+    """(first row, last row, codes, how many each row has) of slices of a chunk."""
+    for i, j in T.slices(b.offs, 1 << 20):
+        yield i, j, *contexts(b.data[b.offs[i]:b.offs[j]], b.offs[i:j + 1] - b.offs[i])
+
+
+def distinct_codes(b: X.Batch, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of a chunk and how often training rows have each."""
+    codes, times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for i, j, code, n in _contexts(b):
+        flagged = np.sort(code << np.uint64(1) | np.repeat(train[i:j] != 0, n).astype(np.uint64))
+        first = np.flatnonzero(np.concatenate([[True], flagged[1:] != flagged[:-1]]))
+        flagged, often = flagged[first], np.diff(first, append=len(flagged))
+        codes.append(flagged >> np.uint64(1))
+        times.append(often * (flagged & np.uint64(1)).view(np.int64))
+    code, inv = np.unique(np.concatenate(codes), return_inverse=True)
+    return code, np.bincount(inv, np.concatenate(times), len(code)).astype("<u4")
+
+
+def sums(b: X.Batch, distinct: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Sum over each text of ``logs``, one for each of the sorted distinct codes."""
+    bits = np.uint64(64 - len(distinct).bit_length() - 2)
+    table = np.zeros(1 << 64 - int(bits), np.int32)
+    table[(T.mix64(distinct) >> bits).view(np.int64)] = np.arange(len(distinct))
+    out = [np.zeros(0)]
+    for _, _, code, n in _contexts(b):
+        at = table[(T.mix64(code) >> bits).view(np.int64)]
+        miss = np.flatnonzero(distinct[at] != code)
+        at[miss] = np.searchsorted(distinct, code[miss])
+        out.append(np.add.reduceat(logs[at], np.cumsum(n) - n, dtype=np.float64))
+    return np.concatenate(out)
+
+
+def _keys(code: np.ndarray, buckets: int):
+    """Distinct keys (order, context, symbol) of sorted codes by bucket, their
+    buckets, and for each order the key number of each code."""
+    keys, at, base = [np.zeros(0, np.uint64)], [], 0
+    for o in ORDERS:
+        distinct, inv = np.unique(code & np.uint64((1 << 8 * (o + 1)) - 1), return_inverse=True)
+        keys.append(distinct | np.uint64(o << 56))
+        at.append(inv + base)
+        base += len(distinct)
+    keys = np.concatenate(keys)
+    bucket = X.bucket_of(T.mix64((keys >> np.uint64(8)) * _NODE), buckets)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return keys[order], bucket[order], [place[x] for x in at]
+
+
+def _ask_codes(code: np.ndarray, often: np.ndarray, buckets: int):
+    """(bucket, keys and their training counts)."""
+    keys, bucket, at = _keys(code, buckets)
+    times = np.zeros(len(keys), np.int64)
+    for x in at:
+        times += np.bincount(x, often, len(keys)).astype(np.int64)
+    times = times.astype("<u4")
+    for k, i, j in X.by_bucket(bucket):
+        yield k, _packed(_planes(keys[i:j].astype("<u8")) + _planes(times[i:j]))
+
+
+def _code_counts(blobs: list[bytes]) -> list[bytes]:
+    """For each asked key its eight bits' stretched predictions, and what they
+    lose without one occurrence of the key."""
+    blobs = [_expanded(x) for x in blobs]
+    n = [len(x) // 12 for x in blobs]
+    keys = np.concatenate([_unplanes(x, "<u8", k) for x, k in zip(blobs, n, strict=True)])
+    times = np.concatenate([_unplanes(x, "<u4", k, 8 * k) for x, k in zip(blobs, n, strict=True)])
+    distinct, inv = np.unique(keys, return_inverse=True)
+    total = np.bincount(inv, times, len(distinct)).astype(np.int64)
+    full, lost = (np.zeros((8, len(distinct)), np.int8) for _ in range(2))
+    for bit in range(8):
+        node = distinct >> np.uint64(8 - bit)
+        first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        run = np.cumsum(np.concatenate([[0], node[1:] != node[:-1]]))
+        one = ((distinct >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+        ones = np.add.reduceat(total * one, first)[run]
+        zeros = np.add.reduceat(total, first)[run] - ones
+        full[bit] = _stretched(zeros, ones)
+        lost[bit] = _stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)) - full[bit]
+    return [_packed(full[:, x].tobytes() + lost[:, x].tobytes()) for x in np.split(inv, np.cumsum(n)[:-1])]
+
+
+class Known:
+    """A chunk's codes with the answered predictions of every order and bit."""
+
+    def __init__(self, note, replies, sizes, buckets: int):
+        note = _expanded(note)
+        n = len(note) // 12
+        self.code, self.times = _unplanes(note, "<u8", n), _unplanes(note, "<u4", n, 8 * n)
+        self.at = _keys(self.code, buckets)[2]
+        got, i = [np.zeros((16, 0), np.int8)], 0
+        for size in sizes:
+            got.append(np.frombuffer(_expanded(replies[i:i + size]), np.int8).reshape(16, -1))
+            i += size
+        got = np.concatenate(got, 1)
+        self.all = np.ascontiguousarray(got[:8].T).view(np.uint64).ravel()
+        self.rest = np.ascontiguousarray((got[:8] + got[8:]).T).view(np.uint64).ravel()
+
+    def _of(self, packed, part):
+        st = np.stack([packed[x[part]] for x in self.at]).view(np.int8).reshape(len(ORDERS), -1, 8)
+        return np.ascontiguousarray(st.transpose(2, 0, 1), np.float32)
+
+    def full(self, part) -> np.ndarray:
+        return self._of(self.all, part)
+
+    def apart(self, part) -> np.ndarray:
+        """Predictions without the occurrence that is predicted."""
+        return self._of(self.rest, part)
+
+    def learn(self, state: Mixer, turn: int, rate: float = 0.15, map_rate: float = 0.3) -> np.ndarray:
+        """State sums, in parts of 1 / FIXED, of one online pass from ``state``."""
+        m = Mixer(state.weights.copy(), state.bias.copy(), state.map.copy())
+        seen, cell_seen = np.zeros(GATES), np.zeros(m.map.size)
+        mine = np.flatnonzero(self.times)
+        mine = mine[np.argsort(T.mix64(self.code[mine] ^ np.uint64(turn + 1)), kind="stable")]
+        steps = max(1, -(-len(mine) // STEP_CODES))
+        for k in range(steps):
+            part = mine[k * STEP_CODES:(k + 1) * STEP_CODES]
+            m.step(self.code[part], self.times[part].astype(np.float64), self.apart(part),
+                   turn * steps + k, rate, map_rate, seen, cell_seen)
+        return np.rint(np.concatenate([seen, cell_seen, (m.weights * seen).ravel(), m.bias * seen,
+                                       m.map.ravel() * cell_seen]) * FIXED).astype(np.int64)
+
+
+def _averaged(state: Mixer, total: np.ndarray) -> Mixer:
+    """States weighted by what each gate and cell has seen; one that nothing
+    was seen of stays."""
+    total = total / FIXED
+    sizes = [GATES, state.map.size, state.weights.size, GATES, state.map.size]
+    seen, cell_seen, weights, bias, cells = np.split(total, np.cumsum(sizes)[:-1])
+    div = np.maximum(seen, 1 / FIXED)
+    return Mixer(np.where(seen > 0, weights.reshape(state.weights.shape) / div, state.weights),
+                 np.where(seen > 0, bias / div, state.bias),
+                 np.where(cell_seen > 0, cells / np.maximum(cell_seen, 1 / FIXED), state.map.ravel()).reshape(state.map.shape))
+
+
+GATHERED = "chunk int, words binary, note binary, replies binary, sizes array<long>"
+
+
+def _known(b: pa.RecordBatch, buckets: int):
+    for k in range(b.num_rows):
+        yield Known(b.column("note")[k].as_py(), b.column("replies")[k].as_py(), b.column("sizes")[k].as_py(), buckets)
+
+
+def fit(gathered: DataFrame, buckets: int, rounds: int = ROUNDS) -> Mixer:
+    """Weights and map learned over all chunks of ``gathered``."""
+    state = start()
+    for turn in range(rounds):
+        def learn(batches, state=state, turn=turn):
+            total = np.zeros(0, np.int64)
+            for b in batches:
+                for known in _known(b, buckets):
+                    got = known.learn(state, turn)
+                    total = total + got if len(total) else got
+            if len(total):
+                cuts = np.array_split(total.astype("<i8"), STATE_PARTS)
+                yield pa.RecordBatch.from_pydict({"part": pa.array(range(STATE_PARTS), pa.int32()), "state": [x.tobytes() for x in cuts]})
+
+        def add(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_buffer(), "<i8") for x in table.column("state"))
+            return pa.table({"part": table.column("part").slice(0, 1), "state": [total.tobytes()]})
+
+        schema = "part int, state binary"
+        rows = gathered.mapInArrow(learn, schema).groupBy("part").applyInArrow(add, schema).collect()    # STATE_PARTS rows
+        if rows:
+            state = _averaged(state, np.concatenate([np.frombuffer(r["state"], "<i8") for r in sorted(rows, key=lambda r: r["part"])]))
+    return single(state)
 
 
 # The base: counts of words over the training rows.
@@ -331,59 +443,90 @@ def _word_counts(blobs: list[bytes]) -> list[bytes]:
     return [part.tobytes() for part in np.split(total[inv], np.cumsum(n)[:-1])] + [facts]
 
 
-def _answer_words(asked: DataFrame) -> DataFrame:
-    """Counts for each chunk, and one row of chunk -1 a bucket with its
-    distinct training words and their total."""
+def _answer(asked: DataFrame, buckets: int) -> DataFrame:
+    """Word counts (buckets below ``buckets``) and predictions of codes (the
+    others) for each chunk; one row of chunk -1 a word bucket with its distinct
+    training words and their total; a chunk's notes pass."""
     def respond(table: pa.Table) -> pa.Table:
-        *replies, facts = _word_counts(table.column("blob").to_pylist())
-        bucket = table.column("bucket")[0].as_py()
+        bucket, blobs = table.column("bucket")[0].as_py(), table.column("blob").to_pylist()
+        if bucket < 0:
+            return table
+        if bucket >= buckets:
+            return table.set_column(2, "blob", pa.array(_code_counts(blobs), pa.binary()))
+        *replies, facts = _word_counts(blobs)
         return pa.table({"chunk": pa.array(table.column("chunk").to_pylist() + [-1], pa.int32()),
                          "bucket": pa.array([bucket] * (len(replies) + 1), pa.int32()),
                          "blob": pa.array([*replies, facts], pa.binary())})
-    return cut(asked.groupBy("bucket").applyInArrow(respond, X.ROWS), "words")
+    return asked.groupBy("bucket").applyInArrow(respond, X.ROWS)
+
+
+def _gather(buckets: int):
+    """One row a chunk: its answers in the order of their buckets."""
+    def gather(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        bucket, blob = table.column("bucket").to_numpy(), table.column("blob").to_pylist()
+        low, high = np.searchsorted(bucket, [0, buckets]).tolist()
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "words": pa.array([b"".join(blob[low:high])], pa.binary()),
+                         "note": pa.array([b"".join(blob[:low])], pa.binary()), "replies": pa.array([b"".join(blob[high:])], pa.binary()),
+                         "sizes": pa.array([[len(x) for x in blob[high:]]], pa.list_(pa.int64()))})
+    return gather
 
 
 SCORES = "doc_id long, n_words long, known_words long, word_logs double, n_bytes long, bits double"
 
 
-def score(docs: DataFrame, training: Column, is_training, id_col="doc_id", text_col="text", bits: int = TABLE_BITS,
+def score(docs: DataFrame, training: Column, is_training, id_col="doc_id", text_col="text", bits: int | None = None,
           **sizes) -> DataFrame:
     """One row per document with the base's and the model's scores.
 
     ``training`` marks the training rows of ``docs``; ``is_training(ids)`` is
-    the same rule over an array of ids (NO_ID for null)."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit(docs.where(training), id_col, text_col, bits))
+    the same rule over an array of ids (NO_ID for null).  ``bits`` is read no
+    more: there are no slots that contexts could share."""
     c = X.chunked(docs, id_col, text_col, **sizes)
     buckets = c.buckets
 
     def ask(b: X.Batch):
-        _, _, distinct, times, bucket, _ = _ask_words(b, is_training(b.id), buckets)
+        train = is_training(b.id)
+        _, _, distinct, times, bucket, _ = _ask_words(b, train, buckets)
         for k, i, j in X.by_bucket(bucket):
             yield k, distinct[i:j].astype("<u8").tobytes() + times[i:j].tobytes()
+        code, often = distinct_codes(b, train)
+        yield X.note(b.chunk), _packed(_planes(code.astype("<u8")) + _planes(often))
+        for k, blob in _ask_codes(code, often, buckets):
+            yield buckets + k, blob
+
+    gathered = cut(_answer(c.ask(ask), buckets).groupBy("chunk").applyInArrow(_gather(buckets), GATHERED), "contexts")
+    facts = gathered.where("chunk = -1").select("words").collect()       # one row, 16 bytes a bucket
+    x = np.frombuffer(facts[0]["words"] if facts else b"", "<i8").reshape(-1, 2)
+    v, n = int(x[:, 0].sum()), int(x[:, 1].sum())
+    chunks = gathered.where("chunk >= 0")
+    model = docs.sparkSession.sparkContext.broadcast(fit(chunks, buckets))
+
+    def logs(batches):
+        for b in batches:
+            out = [w.as_py() + _packed(_planes(k.code) + _planes(model.value.log2_codes(k.code, k.full).astype("<f4")))
+                   for w, k in zip(b.column("words"), _known(b, buckets), strict=True)]
+            yield pa.RecordBatch.from_pydict({"chunk": b.column("chunk"), "bucket": pa.array([0] * len(out), pa.int32()),
+                                              "blob": pa.array(out, pa.binary())})
 
     def use(b: X.Batch, replies: dict[int, bytes]) -> pa.Table:
-        first, inv, distinct, _, bucket, order = _ask_words(b, is_training(b.id), buckets)
+        first, inv, distinct, _, _, order = _ask_words(b, np.zeros(len(b.id)), buckets)
+        blob = replies[0]
+        codes = _expanded(blob[8 * len(distinct):])
+        m = len(codes) // 12
         total = np.zeros(len(distinct), np.int64)
-        for k, i, j in X.by_bucket(bucket):
-            total[order[i:j]] = np.frombuffer(replies[k], "<i8")
+        total[order] = np.frombuffer(blob, "<i8", len(distinct))
+        bits = -sums(b, _unplanes(codes, "<u8", m), _unplanes(codes, "<f4", m, 8 * m))
         seen = total[inv]
         row, n = T.rows_of(np.diff(first)), len(b.id)
         return pa.table({"doc_id": b.ids, "n_words": pa.array(np.diff(first), pa.int64()),
                          "known_words": pa.array(np.bincount(row, seen > 0, n).astype(np.int64)),
                          "word_logs": pa.array(np.bincount(row, np.log10(seen + 1.0), n)),
-                         "n_bytes": pa.array(np.diff(b.offs), pa.int64()),
-                         "bits": pa.array(-model.value.log2_texts(b.data, b.offs))})
-
-    words = _answer_words(c.ask(ask))
-    facts = words.where("chunk = -1").select("blob").toLocalIterator()       # 16 bytes a bucket
-    v = n = 0
-    for r in facts:
-        x = np.frombuffer(r["blob"], "<i8")
-        v, n = v + int(x[0]), n + int(x[1])
+                         "n_bytes": pa.array(np.diff(b.offs), pa.int64()), "bits": pa.array(bits)})
+
     ends = docs.where(training).count()
     n, v = n + ends, v + (ends > 0)
-    out = c.with_answers(words.where("chunk >= 0"), use, SCORES)
+    out = c.with_answers(chunks.mapInArrow(logs, X.ROWS), use, SCORES)
     norm = float(np.log10(float(n + v + 1)))
     tokens = F.col("n_words") + 1
     return out.select(

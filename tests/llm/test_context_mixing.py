@@ -72,3 +72,28 @@ def test_edges(spark):
     assert all(r["train_tokens"] == 0 and r["bits_per_byte"] == pytest.approx(8.0) for r in none)
     empty = C.score(df.where("false"), F.lit(True), _is_training, bits=14)
     assert empty.collect() == []
+
+
+def test_contexts_share_no_counts(spark):
+    """The answers are the counts themselves, however many contexts there are."""
+    r = np.random.default_rng(3)
+    texts = ["".join(map(chr, r.integers(97, 123, 300))) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    training = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    small, large = ({x["doc_id"]: x["bits"] for x in C.score(docs, training, _is_training, bits=b).collect()} for b in (8, 18))
+    assert small == large
+    data, offs = T.text_buffers(pa.array(texts))
+    code, times = np.unique(C.contexts(data, offs)[0], return_counts=True)
+    keys = C._keys(code, 1)[0]
+    got = np.frombuffer(C._expanded(C._code_counts([b for _, b in C._ask_codes(code, times.astype("<u4"), 1)])[0]), np.int8).reshape(16, -1)
+    total = Counter()
+    for c, t in zip(code.tolist(), times.tolist(), strict=True):
+        for o in C.ORDERS:
+            for bit in range(9):
+                total[o, (c & (1 << 8 * (o + 1)) - 1) >> 8 - bit, bit] += t
+    for i in r.integers(0, len(keys), 300):
+        o, c = int(keys[i]) >> 56, int(keys[i]) & (1 << 56) - 1
+        for bit in range(8):
+            node = c >> 8 - bit
+            zeros, ones = (total[o, node * 2 + one, bit + 1] for one in (0, 1))
+            assert got[bit, i] == C._stretched(np.array([zeros]), np.array([ones]))[0]
