@@ -97,3 +97,20 @@ def test_contexts_share_no_counts(spark):
             node = c >> 8 - bit
             zeros, ones = (total[o, node * 2 + one, bit + 1] for one in (0, 1))
             assert got[bit, i] == C._stretched(np.array([zeros]), np.array([ones]))[0]
+
+
+def test_weights_are_learned_from_every_training_text(spark):
+    """Long texts and texts beyond any fixed number count, by what they hold."""
+    from basinflow.llm import exchange as X
+    texts = ["long text " * 4000] + [f"text {i}" for i in range(900)]
+    table = pa.table({"chunk": pa.array([0] * len(texts), pa.int32()), "doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    b = X.Batch(table)
+    code, often = C.distinct_codes(b, np.ones(len(texts)))
+    size = sum(len(t) + 1 for t in texts)
+    assert often.sum() == size
+    replies = C._code_counts([x for _, x in C._ask_codes(code, often, 1)])
+    known = C.Known(C._packed(C._planes(code) + C._planes(often)), replies[0], [len(replies[0])], 1)
+    total = known.learn(C.start(), 0)
+    assert total[:C.GATES].sum() / C.FIXED == 8 * size
+    learned, raw = C.single(C._averaged(C.start(), total)), C.single(C.start())
+    assert (learned.log2_codes(code, known.full) * often).sum() > (raw.log2_codes(code, known.full) * often).sum()
