@@ -3,8 +3,8 @@
 Terms are the lower-cased words of a text.  The lexicon holds the terms whose
 normalised inverse document frequency, ln(N / df) / ln(N), lies in a band, so
 neither very common nor once-only terms count.  A text's distinct lexicon
-terms are sorted, and several randomised subsets of the lexicon, from a
-sampled share down to small fractions of it, are hashed: one part of the
+terms are sorted, and several randomised subsets of the lexicon, from the
+whole of it down to small fractions, are hashed: one part of the
 fingerprint each.  Small subsets survive larger edits.  The likeness of two
 fingerprints is the share of equal parts among those that either text fills.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from basinflow.llm.store import cut
 
-LEXICON_SHARE = 8            # one term in so many belongs to the sampled lexicon
+LEXICON_SHARE = 1            # one term in so many may belong to the lexicon
 BAND = (0.2, 0.95)           # normalised inverse document frequency
 # (fraction of the lexicon as a power of 1/2, how many subsets of it).  An edit
 # leaves a subset alone if none of its terms changes: large ones tell copies
@@ -40,7 +40,7 @@ LEAST = -(1 << 63)
 
 
 def terms(text: Column, share: int = LEXICON_SHARE) -> Column:
-    """Hashes of the distinct terms that the sampled lexicon may hold."""
+    """Hashes of the distinct terms that the lexicon may hold."""
     words = F.split(F.lower(text), r"[\x20\x09-\x0D]+")
     hashes = F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
     return F.array_distinct(F.filter(hashes, lambda h: F.pmod(h, F.lit(share)) == 0))

@@ -77,3 +77,11 @@ def test_single_row_nulls_and_empty_table(spark):
     rows = [(None, "no id"), (3, "same"), (3, "same"), (8, "word " * 60_000)]
     assert I.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string")).count() == 4
     assert I.compare_neighbours(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_every_term_may_be_in_the_lexicon(spark):
+    """By default no term is dropped before document frequencies are counted:
+    each word of the band, alone in a text, makes a lexicon fingerprint."""
+    rows = [(i, f"word{i // 4}") for i in range(160)]
+    got = I.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 160 and not any(r["fingerprint"].startswith("text:") for r in got)
