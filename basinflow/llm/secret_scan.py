@@ -5,6 +5,9 @@ Every whole text is searched for three kinds of secret (``assign``,
 hashes of all values are aggregated over the corpus by distinct owner and
 repository.  A value that many owners or repositories hold is a widely copied
 example (``copied``); one that few hold is owner-specific and looks ``live``.
+Equal texts of one owner count as one repository, and where the repository is
+only the document id (the default), owners alone decide: one owner's documents
+grow with the corpus.
 A bare token whose value is a live secret found elsewhere becomes a further
 span of kind ``reuse``.
 
@@ -34,7 +37,7 @@ KEYWORDS = ["password", "passwd", "secret", "token", "api_?key"]
 MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_BARE = 6, 20, 24, 16
 
 MAX_OWNERS = 2      # more owners than this: a copied example
-MAX_REPOS = 8       # more repositories than this: a copied example
+MAX_REPOS = 8       # more repositories than this: a copied example, where the table has repositories
 
 _any_case = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in KEYWORDS)
 _ASSIGN = re.compile(rf"({_any_case})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -132,28 +135,41 @@ def _scan_udf(text: pa.Array) -> pa.Array:
 _scan_udf = _scan_udf.asNondeterministic()
 
 
-def candidates(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col="doc_id") -> DataFrame:
-    """One row per input row: rid, id, owner, repo, found (written once)."""
+def candidates(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col: str | None = None) -> DataFrame:
+    """One row per input row: rid, id, owner, repo, found (written once).
+    Without ``repo_col`` every id is a repository of its own, of any number of
+    which one owner may hold a value."""
     batch_rows(docs.sparkSession)
     return cut(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
-                           F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"),
+                           F.col(owner_col).cast("string").alias("owner"), F.col(repo_col or id_col).cast("string").alias("repo"),
+                           F.lit(_repos(repo_col, id_col)).alias("has_repos"),
                            F.xxhash64(text_col).alias("text_hash"), _scan_udf(F.col(text_col)).alias("found")), "secrets")
 
 
+def _repos(repo_col: str | None, id_col: str) -> bool:
+    return repo_col is not None and repo_col != id_col
+
+
 def ownership(cands: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
-    """(value, n_owners, n_repos, live) over the whole corpus.
+    """(value, n_owners, n_repos, live) over the whole corpus; ``n_repos``
+    counts a group of equal texts of one owner once.
 
     Occurrences are combined before each shuffle, first on (value, owner,
-    repository), so a value that a third of all rows hold stays spread."""
-    seen = cands.select("owner", "repo", F.explode("found").alias("f"))
-    per_repo = (seen.groupBy(F.col("f.value").alias("value"), "owner", "repo")
-                .agg(F.max((F.col("f.kind") != "reuse").cast("int")).alias("named")))
-    per_owner = per_repo.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("named").alias("named"))
+    text, repository), so a value that a third of all rows hold stays spread."""
+    seen = cands.select("owner", "repo", "has_repos", "text_hash", F.explode("found").alias("f"))
+    # Of equal texts the smallest repository stands for all.
+    per_text = (seen.groupBy(F.col("f.value").alias("value"), "owner", "text_hash")
+                .agg(F.min("repo").alias("repo"), F.max("has_repos").alias("has_repos"),
+                     F.max((F.col("f.kind") != "reuse").cast("int")).alias("named")))
+    per_repo = per_text.groupBy("value", "owner", "repo").agg(F.max("has_repos").alias("has_repos"), F.max("named").alias("named"))
+    per_owner = (per_repo.groupBy("value", "owner")
+                 .agg(F.count(F.lit(1)).alias("repos"), F.max("has_repos").alias("has_repos"), F.max("named").alias("named")))
     return (per_owner.groupBy("value")
-            .agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"), F.max("named").alias("named"))
+            .agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"), F.max("has_repos").alias("has_repos"),
+                 F.max("named").alias("named"))
             .where("named = 1")
             .select("value", "n_owners", "n_repos",
-                    ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live")))
+                    ((F.col("n_owners") <= max_owners) & (~F.col("has_repos") | (F.col("n_repos") <= max_repos))).alias("live")))
 
 
 def judged(cands: DataFrame, **bounds) -> DataFrame:
@@ -166,7 +182,7 @@ def judged(cands: DataFrame, **bounds) -> DataFrame:
                 "start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank"),
                 "kind", "end", "value_start", "live", "n_owners", "n_repos"))).alias("spans")))
     empty = F.lit([]).cast(kept.schema["spans"].dataType)
-    return (cands.drop("found").join(kept, "rid", "left").withColumn("spans", F.coalesce("spans", empty)))
+    return (cands.drop("found", "has_repos").join(kept, "rid", "left").withColumn("spans", F.coalesce("spans", empty)))
 
 
 def span_text(spans: Column) -> Column:
@@ -186,7 +202,7 @@ def _mask_udf(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def mask_live(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col="doc_id",
+def mask_live(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col: str | None = None,
               length_col: str | None = None, **bounds) -> DataFrame:
     """``docs`` with the value of each live-looking secret, and of each reuse
     of one, replaced; copied examples and texts without a secret stay.  Only

@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from basinflow.llm import secret_scan as S
 
 DOCS = "doc_id long, text string, source string, spans string, f1 int"
@@ -87,3 +89,20 @@ def test_query_digest(spark):
         for kind in ("assign", "access", "hex"):
             assert out[d["doc_id"]][f"n_{kind}"] == kinds.count(kind)
         assert out[d["doc_id"]]["base_sha256"] == hashlib.sha256(brute(d["text"]).encode()).hexdigest()
+
+
+def test_one_owner_with_many_documents_is_live(spark):
+    """Documents are no repositories: a value of one owner in many differing or
+    equal texts is owner-specific, and its bare reuse is masked."""
+    rows = [(i, f"text {i} password=Qw12Er34Ty56Ui78", "hot") for i in range(12)]
+    rows += [(100 + i, "copy secret=Zx12Cv34Bn56Mk78", "hot") for i in range(12)]
+    rows += [(200, "bare Qw12Er34Ty56Ui78 end", "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = S.judged(S.candidates(df)).collect()
+    assert all(s["live"] for r in got for s in r["spans"]) and all(len(r["spans"]) == 1 for r in got)
+    masked = [r["text"] for r in S.mask_live(df).collect()]
+    assert not any("Qw12" in t or "Zx12" in t for t in masked) and "bare [SECRET] end" in masked
+    # Where the table has repositories, their number still decides; equal texts count once.
+    repos = df.withColumn("repo", F.concat(F.lit("r"), F.col("doc_id")))
+    live = {r["id"]: [s["live"] for s in r["spans"]] for r in S.judged(S.candidates(repos, repo_col="repo")).collect()}
+    assert live[0] == [False] and live[100] == [True]
