@@ -17,7 +17,8 @@ when ``100 * intersection >= percent * union``.
    above, and then by exact intersection of the sorted arrays.
 5. Links are merged to components by alternating large and small stars.
 
-No pair is lost: what step 4 skips is already in one component.  Defined
+No pair is lost to the components: what step 4 skips is already in one.  The
+links themselves, all of them, are the output of ``links``.  Defined
 results: texts are lower-cased (A-Z); with fewer words than SHINGLE the whole
 sequence is the one shingle; without words the set is empty and links with
 nothing; rows of a null id link with nothing; equal rows give equal results.
@@ -271,26 +272,50 @@ def _candidate_pairs(side: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("grp").applyInArrow(lambda t: pairs(t.drop_columns("grp")), "a long, b long").distinct()
 
 
-def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    rows = sets(docs, k, percent, id_col, text_col, **sizes)
+SAME = ["n_shingles", "class_a", "class_b"]
+
+
+def _tiled(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, their representatives, the keys they share with others)."""
     named = rows.where(F.col("prefix").isNotNull())
-    classes = cut(named.groupBy("n_shingles", "class_a", "class_b").agg(F.min("doc_id").alias("id")), "classes")
-    same = ["n_shingles", "class_a", "class_b"]
-    reps = cut(named.join(classes.withColumnRenamed("id", "doc_id"), [*same, "doc_id"], "left_semi")
-               .dropDuplicates(["doc_id", *same]).withColumnRenamed("doc_id", "id"), "reps")
+    classes = cut(named.groupBy(*SAME).agg(F.min("doc_id").alias("id")), "classes")
+    reps = cut(named.join(classes.withColumnRenamed("id", "doc_id"), [*SAME, "doc_id"], "left_semi")
+               .dropDuplicates(["doc_id", *SAME]).withColumnRenamed("doc_id", "id"), "reps")
     slim = _banded(reps.select("id", "n_shingles", "n_shared", "alone", "prefix"), percent)
     tiles = slim.select("id", "n_shingles", "n_shared", "alone", "band", F.explode("prefix").alias("key"))
     # Tiles of one class have no pair.
     busy = tiles.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    tiles = cut(tiles.join(busy, "key", "left_semi"), "tiles")
+    return classes, reps, cut(tiles.join(busy, "key", "left_semi"), "tiles")
+
+
+def links(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text",
+          **sizes) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): every link (a, b), a < b, between two classes of equal
+    sets, once, and (doc_id, id) of the documents of each class.  Documents of
+    one class link with each other, and with all of a class linked to theirs.
+
+    Unlike ``join`` it compares every pair of a tile whose sizes may link, also
+    of one component, so its cost follows the number of links."""
+    rows = sets(docs, k, percent, id_col, text_col, **sizes)
+    classes, reps, tiles = _tiled(rows, percent)
+    side = (tiles.select("key", "id", "n_shingles", "n_shared", F.col("id").alias("component"), "band")
+            .join(reps.select("id", "signature"), "id"))
+    pairs = cut(_verified(_candidate_pairs(cut(side, "mixed"), percent), reps, percent), "links")
+    members = rows.where(F.col("prefix").isNotNull()).join(classes, SAME).select("doc_id", "id")
+    return pairs, members
+
+
+def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    rows = sets(docs, k, percent, id_col, text_col, **sizes)
+    classes, reps, tiles = _tiled(rows, percent)
+    same = SAME
 
     pivots = tiles.groupBy("key", "band").agg(F.min(F.struct("alone", "id", "n_shingles")).alias("p"))
     first = (tiles.join(pivots, ["key", "band"])
              .where((F.col("id") != F.col("p.id")) & _sizes_fit(F.col("n_shingles"), F.col("p.n_shingles"), percent))
              .select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct())
-    links = cut(_verified(first, reps, percent), "links")
-    label = components(links)
+    label = components(cut(_verified(first, reps, percent), "links"))
 
     labelled = tiles.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))

@@ -102,3 +102,25 @@ def test_bit_counts_never_rule_out_a_link():
                 both = len(np.intersect1d(sets[i], sets[j]))
                 if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
                     assert (i, j) in kept
+
+
+def test_links_are_all_pairs_between_different_texts(spark):
+    """Edited copies of one text link with each other, not only with a pivot."""
+    from basinflow.llm import jaccard_join as J
+    base = [f"w{i}" for i in range(120)]
+    texts = {i: " ".join(base[:i] + [f"new{i}"] + base[i + 1:]) for i in range(0, 120, 10)}
+    texts |= {500: texts[10], 600: "other words that nobody else has at all", 700: " ".join(base[:60]), 800: " ".join(base)}
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    sets = {d: shingles(t) for d, t in texts.items()}
+    want = {(a, b) for a in texts for b in texts if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    pairs, members = J.links(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    pairs, of = [tuple(r) for r in pairs.collect()], {}
+    for r in members.collect():
+        of.setdefault(r["id"], []).append(r["doc_id"])
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    got = {tuple(sorted((x, y))) for a, b in pairs for x in of[a] for y in of[b]}
+    got |= {(x, y) for docs in of.values() for x in docs for y in docs if x < y}
+    assert got == want and len(want) > 50
