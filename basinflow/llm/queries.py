@@ -12,7 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.llm import context_mixing, imatch, jaccard_join, mixing, packing, quality_fm, quality_rules, secret_scan, substring_dedup, toxicity
+from basinflow.llm import (collocations, context_mixing, filter_audit, imatch, jaccard_join, mixing, packing, quality_fm, quality_rules,
+                           sanitise, secret_scan, substring_dedup, toxicity)
 from basinflow.llm.exchange import NO_ID
 from basinflow.llm.store import read_table
 
@@ -112,6 +113,29 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         of_kind("reuse").alias("n_reuse"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(filter_audit.masks(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op12_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["rank"] < len(sanitise.PATTERNS))
+
+    def of_kind(*kinds):
+        return F.size(F.filter("spans", lambda s: s["kind"].isin(*kinds))).cast("long")
+
+    return found.select(
+        "doc_id", *[of_kind(k).alias(f"n_{k}") for k in sanitise.PATTERNS],
+        F.sha2(sanitise.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        sanitise.span_text(F.col("spans")).alias("spans"),
+        of_kind("remove").alias("n_remove"), of_kind("general").alias("n_general"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 OP3_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -158,7 +182,82 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id
 JOIN (SELECT node, min(label) AS component_id FROM reach GROUP BY node) r ON r.node = w.doc_id
 """
 
+OP11_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+    len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id
+), cell AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic, len(list_filter(fails, lambda x: x)) AS many
+  FROM m GROUP BY part, fails
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), turn AS (
+  SELECT filter_order, step, list_transform(range(1, 6), lambda k: ascii(filter_order[k]) - 64) AS f
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), each AS (
+  SELECT part, filter_order, step, n, good, toxic, many, fails[f[step]] AS failed,
+         len(list_filter(f[1:step - 1], lambda k: fails[k])) > 0 AS gone_before
+  FROM cell, turn
+)
+SELECT part, filter_order, step::INT AS step,
+  coalesce(sum(n) FILTER (NOT gone_before AND NOT failed), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (NOT gone_before AND failed), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (gone_before AND failed), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (failed AND many = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (NOT gone_before AND failed), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (NOT gone_before AND failed), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * 120 // greatest(many, 1)) FILTER (failed), 0)::BIGINT AS shapley
+FROM each GROUP BY part, filter_order, step
+"""
+
+OP13_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM piece),
+start AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+gram AS (
+  SELECT lang, unnest([ws[i:i], CASE WHEN i + 1 <= len(ws) THEN ws[i:i + 1] END, CASE WHEN i + 2 <= len(ws) THEN ws[i:i + 2] END]) AS g
+  FROM start
+), f AS (SELECT lang, g, count(*) AS f FROM gram WHERE g IS NOT NULL GROUP BY lang, g),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+cand AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= 10),
+cut AS (
+  SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f)) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+), scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, part AS g, max(a) AS a
+  FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS part FROM cand WHERE len(g) = 3) GROUP BY lang, part
+), kept AS (
+  SELECT s.lang, array_to_string(s.g, ' ') AS phrase, s.a, l, r, score
+  FROM scored s LEFT JOIN inside b ON b.lang = s.lang AND b.g = s.g
+  WHERE b.a IS NULL OR 100 * b.a < 50 * s.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
 QUERIES = {
+    "op11_filter_audit": (op11_filter_audit, OP11_SQL),
+    "op12_sanitise": (op12_sanitise, None),
+    "op13_collocations": (op13_collocations, OP13_SQL),
     "op5_context_mixing": (op5_context_mixing, None),
     "op8_imatch": (op8_imatch, None),
     "op10_jaccard_join": (op10_jaccard_join, OP10_SQL),
