@@ -1,13 +1,14 @@
 """Phrase collocations by stripes.
 
 A stripe is one prefix's associative counter of next words.  Texts are cut at
-punctuation and line ends into pieces; each word occurrence, with the two words
-after it (or the end of the piece), adds one to the stripe of its two-word
-prefix.  A task merges the stripes of a bounded buffer, codes their words by a
-local dictionary and sends them to a bucket of the prefix; a bucket merges
-stripes element by element.  From the merged stripes come, at once, the
-extensions (three-word phrases), the prefix totals (two-word phrases, and by
-first word the single words) and the largest extension of each prefix.
+punctuation and line ends into pieces; each word occurrence adds one to the
+stripe of the empty prefix, and, with the two words after it (or the end of
+the piece), one to the stripe of its two-word prefix.  A task merges the
+stripes of a bounded buffer, codes their words by a local dictionary and sends
+them to a bucket of the prefix (the empty prefix's by next word); a bucket
+merges stripes element by element.  From the merged stripes come, at once, the
+extensions (words, three-word phrases), the prefix totals (all words, two-word
+phrases) and the largest extension of each prefix.
 
 So a word or word pair that a third of all rows hold arrives as one stripe a
 buffer, and no stripe is longer than the vocabulary.
@@ -23,6 +24,7 @@ table, or one without a phrase that is frequent enough, gives no row.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basinflow.llm import exchange as X
 from basinflow.llm import textops as T
 from basinflow.llm.store import batch_rows, cut
 
@@ -37,7 +40,7 @@ MIN_COUNT = 10
 SUBSUMED = 50               # per cent of a phrase inside one longer phrase
 TOP = 2000
 SCALE = 1_000_000
-BUFFER_BYTES = 16 << 20     # text whose stripes a task merges before it sends them
+BUFFER_BYTES = 12 << 20     # text whose stripes a task merges before it sends them
 BUCKET_BYTES = 16 << 20     # text that a bucket answers for, on average
 END = np.uint64(0)          # the next "word" at the end of a piece
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -68,11 +71,17 @@ def pieces(data: np.ndarray, offs: np.ndarray):
     return s, e, stop[np.searchsorted(stop, np.arange(len(s)))] - np.arange(len(s)) + 1
 
 
-def _counted(code: np.ndarray):
-    """Sorted distinct codes and how often each occurs."""
-    code = np.sort(code)
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    return code[first], np.diff(first, append=len(code))
+def _grouped(codes: np.ndarray, size: int):
+    """An order that brings equal columns of ``codes`` (3, n), all below
+    ``size``, together, and where in it each run of equal ones begins."""
+    if size < 1 << 21:
+        packed = (codes[0] * size + codes[1]) * size + codes[2]
+        order = np.argsort(packed, kind="stable")
+        packed = packed[order]
+        return order, np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
+    order = np.lexsort(codes[::-1])
+    held = codes[:, order]
+    return order, np.flatnonzero(np.concatenate([[True], (held[:, 1:] != held[:, :-1]).any(0)]))
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -87,83 +96,90 @@ def _widen(b: memoryview, n: int):
     return np.frombuffer(b, f"<u{size}", n, 1).astype(np.int64), b[1 + size * n:]
 
 
-def _send(lang, hashes: np.ndarray, words: np.ndarray, codes: np.ndarray, times: np.ndarray, buckets: int):
-    """(lang, bucket, blob) rows of merged stripes.
+def _runs(bucket: np.ndarray):
+    """(bucket, first, last) of each run of a sorted array."""
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
+        yield int(bucket[i]), i, j
+
+
+def _row(lang, kind: int, bucket: int, blob: bytes):
+    return lang, kind, bucket, pa.compress(blob, "zstd", asbytes=True), len(blob)
+
 
-    ``hashes`` and ``words`` list the buffer's words; ``codes`` (3, n) index
-    them, 0 being the end."""
-    pair = T.mix64(hashes[codes[0]] * _PAIR ^ hashes[codes[1]])
-    bucket = (pair >> np.uint64(32)) % np.uint64(buckets)
+def _send_words(lang, hashes, words, times, buckets: int):
+    """The empty prefix's stripe, by buckets of the next word."""
+    bucket = X.bucket_of(hashes, buckets)
+    order = np.argsort(bucket, kind="stable")
+    for k, i, j in _runs(bucket[order]):
+        part = order[i:j]
+        yield _row(lang, 1, k, np.array([j - i], "<i8").tobytes() + hashes[part].astype("<u8").tobytes() + _narrow(times[part])
+                   + b"\n".join([words[x] for x in part.tolist()]))
+
+
+def _read_words(blob, size: int):
+    b = memoryview(pa.decompress(blob, size, "zstd", asbytes=True))
+    n = int(np.frombuffer(b, "<i8", 1)[0])
+    times, rest = _widen(b[8 + 8 * n:], n)
+    return np.frombuffer(b, "<u8", n, 8), times, bytes(rest).split(b"\n")
+
+
+def _send_stripes(lang, hashes: np.ndarray, codes: np.ndarray, times: np.ndarray, buckets: int):
+    """Stripes of two-word prefixes; ``codes`` (3, n) index ``hashes``, the
+    first of which is the end."""
+    bucket = X.bucket_of(T.mix64(hashes[codes[0]] * _PAIR ^ hashes[codes[1]]), buckets)
     order = np.argsort(bucket, kind="stable")
     bucket, codes, times = bucket[order], codes[:, order], times[order]
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    rows = []
-    for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
-        if i == j:
-            continue
+    for k, i, j in _runs(bucket):
         used, inv = np.unique(np.concatenate([[0], codes[:, i:j].ravel()]), return_inverse=True)     # the end is always 0
-        inv = inv[1:].reshape(3, -1)
-        text = b"\n".join(words[used[1:]].tolist())
-        head = np.array([len(used), j - i, len(text)], "<i8").tobytes()
-        blob = (head + hashes[used[1:]].astype("<u8").tobytes() + text
-                + b"".join(_narrow(x) for x in (*inv, times[i:j])))
-        rows.append((lang, int(bucket[i]), pa.compress(blob, "zstd", asbytes=True), len(blob)))
-    return rows
+        head = np.array([len(used), j - i], "<i8").tobytes() + hashes[used[1:]].astype("<u8").tobytes()
+        yield _row(lang, 2, k, head + b"".join(_narrow(x) for x in (*inv[1:].reshape(3, -1), times[i:j])))
 
 
-def _read(blob, size: int):
+def _read_stripes(blob, size: int):
     b = memoryview(pa.decompress(blob, size, "zstd", asbytes=True))
-    m, n, t = np.frombuffer(b, "<i8", 3).tolist()
-    hashes = np.concatenate([[END], np.frombuffer(b, "<u8", m - 1, 24)])
-    at = 24 + 8 * (m - 1)
-    words = bytes(b[at:at + t]).split(b"\n") if m > 1 else []
-    b, cols = b[at + t:], []
+    m, n = np.frombuffer(b, "<i8", 2).tolist()
+    hashes, b, cols = np.concatenate([[END], np.frombuffer(b, "<u8", m - 1, 16)]), b[16 + 8 * (m - 1):], []
     for _ in range(4):
         x, b = _widen(b, n)
         cols.append(x)
-    return hashes, words, np.stack(cols[:3]), cols[3]
+    return hashes, np.stack(cols[:3]), cols[3]
 
 
 def _stripes(lang, texts: list[tuple[np.ndarray, np.ndarray]], buckets: int):
-    """Merged stripes of one language's buffer."""
+    """Merged stripes of one language's buffer, as rows to send."""
     data = T.lower_ascii(np.concatenate([d for d, _ in texts]))
     base = np.cumsum([0] + [len(d) for d, _ in texts])
     offs = np.concatenate([[0], *[o[1:] + b for (_, o), b in zip(texts, base, strict=False)]])
     s, e, left = pieces(data, offs)
-    if not len(s):
-        return []
+    n = len(s)
+    if not n:
+        return
     h = T.hash_spans(data, s, e)
     h[h == END] = np.uint64(1)
     hashes, one, code = np.unique(h, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    words = np.empty(len(one) + 1, object)
-    words[:] = [b"", *[raw[a:b] for a, b in zip(s[one].tolist(), e[one].tolist(), strict=True)]]
+    words = [raw[a:b] for a, b in zip(s[one].tolist(), e[one].tolist(), strict=True)]
+    yield from _send_words(lang, hashes, words, np.bincount(code, minlength=len(hashes)), buckets)
     code = np.concatenate([code + 1, [0, 0]])
-    n = len(s)
-    second = np.where(left > 1, code[1:n + 1], 0)
-    third = np.where(left > 2, code[2:n + 2], 0)
-    size = len(words)
-    if size < 1 << 21:
-        packed, times = _counted((code[:n] * size + second) * size + third)
-        codes = np.stack([packed // (size * size), packed // size % size, packed % size])
-    else:
-        order = np.lexsort((third, second, code[:n]))
-        codes = np.stack([code[:n], second, third])[:, order]
-        first = np.flatnonzero(np.concatenate([[True], (codes[:, 1:] != codes[:, :-1]).any(0)]))
-        codes, times = codes[:, first], np.diff(first, append=n)
-    return _send(lang, np.concatenate([[END], hashes]), words, codes, times, buckets)
+    codes = np.stack([code[:n], np.where(left > 1, code[1:n + 1], 0), np.where(left > 2, code[2:n + 2], 0)])
+    del data, raw, h, s, e, words
+    order, first = _grouped(codes, len(hashes) + 1)
+    codes = codes[:, order[first]]
+    yield from _send_stripes(lang, np.concatenate([[END], hashes]), codes, np.diff(first, append=n), buckets)
 
 
-SENT = "lang string, bucket int, blob binary, size long"
-MERGED = "kind int, w1 string, w2 string, w3 string, f long, total long, widest long"
+SENT = "lang string, kind int, bucket int, blob binary, size long"
+MERGED = "kind int, w1 long, w2 long, w3 long, word string, f long, total long, widest long"
 
 
 def _scan(buckets: int, buffer_bytes: int):
+    kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+
     def flush(lang, held):
-        rows = _stripes(lang, held, buckets)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (
-                pa.string(), pa.int32(), pa.binary(), pa.int64()), strict=True)], ["lang", "bucket", "blob", "size"])
+        for some in itertools.batched(_stripes(lang, held, buckets), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some, strict=True), kinds, strict=True)],
+                                             ["lang", "kind", "bucket", "blob", "size"])
 
     def run(batches):
         held, size = {}, {}
@@ -186,49 +202,57 @@ def _scan(buckets: int, buffer_bytes: int):
     return run
 
 
+def _facts(lang, n: int, **cols) -> pa.Table:
+    """Rows of ``MERGED``; a column that is not given is 0 or no word."""
+    out = {"lang": pa.array([lang] * n, pa.string())}
+    for c in MERGED.split(", "):
+        name, kind = c.split()
+        t = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[kind]
+        x = cols.get(name)
+        out[name] = pa.nulls(n, t) if x is None else x if isinstance(x, pa.Array) else pa.array(x).cast(t)
+    return pa.table(out)
+
+
+def _merge_words(lang, parts, min_count: int) -> pa.Table:
+    """Kind 0: how many words there are; kind 1: frequent words."""
+    hashes, one, inv = np.unique(np.concatenate([h for h, _, _ in parts]), return_index=True, return_inverse=True)
+    f = np.bincount(inv, np.concatenate([t for _, t, _ in parts])).astype(np.int64)
+    often = np.flatnonzero(f >= min_count)
+    base = np.cumsum([0] + [len(h) for h, _, _ in parts])
+    words = [None]
+    for x in one[often].tolist():
+        k = int(np.searchsorted(base, x, "right")) - 1
+        words.append(parts[k][2][x - base[k]])
+    return _facts(lang, len(often) + 1, kind=np.repeat([0, 1], [1, len(often)]),
+                  w1=np.concatenate([[0], hashes[often].view(np.int64)]), word=pa.array(words, pa.binary()).cast(pa.string()),
+                  f=np.concatenate([[f.sum()], f[often]]))
+
+
+def _merge_stripes(lang, parts, min_count: int) -> pa.Table:
+    """Kind 2: frequent prefixes with their largest frequent extension; kind
+    3: frequent extensions with the total of their prefix."""
+    hashes = np.unique(np.concatenate([h for h, _, _ in parts]))        # hashes[0] is the end
+    codes = np.concatenate([np.searchsorted(hashes, h)[c] for h, c, _ in parts], 1)
+    order, first = _grouped(codes, len(hashes))
+    f = np.add.reduceat(np.concatenate([t for *_, t in parts])[order], first)
+    codes = codes[:, order[first]]
+    at = np.flatnonzero(np.concatenate([[True], (codes[:2, 1:] != codes[:2, :-1]).any(0)]))
+    total = np.add.reduceat(f, at)
+    ext = (f >= min_count) & (codes[2] > 0)
+    widest = np.maximum.reduceat(np.where(ext, f, 0), at)
+    prefix = np.repeat(np.arange(len(at)), np.diff(at, append=len(f)))
+    ext, pre = np.flatnonzero(ext), np.flatnonzero((total >= min_count) & (codes[1][at] > 0))
+    w = hashes.view(np.int64)[np.concatenate([codes[:, at[pre]], codes[:, ext]], 1)]
+    return _facts(lang, len(pre) + len(ext), kind=np.repeat([2, 3], [len(pre), len(ext)]), w1=w[0], w2=w[1], w3=w[2],
+                  f=np.concatenate([total[pre], f[ext]]), total=np.concatenate([total[pre], total[prefix[ext]]]),
+                  widest=np.concatenate([widest[pre], np.zeros(len(ext), np.int64)]))
+
+
 def _merge(min_count: int):
-    """Merge the stripes of one bucket and language.  Rows of kind 3 are
-    frequent extensions (f, and the total of their prefix), of kind 2 frequent
-    prefixes (f, and the largest frequent extension), of kind 1 the share of a word's
-    total that this bucket's prefixes hold."""
     def run(table: pa.Table) -> pa.Table:
-        parts = [_read(b, n) for b, n in zip(table.column("blob").to_pylist(), table.column("size").to_pylist(), strict=True)]
-        hashes, one = np.unique(np.concatenate([h for h, *_ in parts]), return_index=True)
-        starts = np.cumsum([0] + [len(h) for h, *_ in parts])
-        words = np.empty(starts[-1], object)
-        words[:] = [w for _, some, _, _ in parts for w in (b"", *some)]
-        words = words[one]                      # the first is the end
-        codes = np.concatenate([np.searchsorted(hashes, h)[c] for h, _, c, _ in parts], 1)
-        times = np.concatenate([t for *_, t in parts])
-        order = np.lexsort(codes[::-1])
-        codes, times = codes[:, order], times[order]
-        new = np.concatenate([[True], (codes[:, 1:] != codes[:, :-1]).any(0)])
-        first = np.flatnonzero(new)
-        f, codes = np.add.reduceat(times, first), codes[:, first]
-        # Prefixes: total of a stripe, and the largest of its extensions.
-        at = np.flatnonzero(np.concatenate([[True], (codes[:2, 1:] != codes[:2, :-1]).any(0)]))
-        total = np.add.reduceat(f, at)
-        widest = np.maximum.reduceat(np.where((codes[2] > 0) & (f >= min_count), f, 0), at)
-        stripe = np.repeat(np.arange(len(at)), np.diff(at, append=len(f)))
-        ext = np.flatnonzero((f >= min_count) & (codes[2] > 0))
-        pre = np.flatnonzero((total >= min_count) & (codes[1][at] > 0))
-        own = np.flatnonzero(np.concatenate([[True], codes[0][at][1:] != codes[0][at][:-1]]))
-        single = np.add.reduceat(total, own)
-
-        def text(code):
-            return pa.array(words[code].tolist(), pa.binary()).cast(pa.string())
-
-        n3, n2, n1 = len(ext), len(pre), len(own)
-        none = np.zeros(n1, np.int64)
-        cols = {
-            "kind": pa.array(np.repeat([3, 2, 1], [n3, n2, n1]), pa.int32()),
-            "w1": text(np.concatenate([codes[0][ext], codes[0][at][pre], codes[0][at][own]])),
-            "w2": text(np.concatenate([codes[1][ext], codes[1][at][pre], none])),
-            "w3": text(np.concatenate([codes[2][ext], np.zeros(n2, np.int64), none])),
-            "f": pa.array(np.concatenate([f[ext], total[pre], single])),
-            "total": pa.array(np.concatenate([total[stripe[ext]], total[pre], none])),
-            "widest": pa.array(np.concatenate([np.zeros(n3, np.int64), widest[pre], none]))}
-        return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * (n3 + n2 + n1), pa.string()), **cols})
+        read, merge = ((_read_words, _merge_words), (_read_stripes, _merge_stripes))[table.column("kind")[0].as_py() - 1]
+        blobs = zip(table.column("blob").to_pylist(), table.column("size").to_pylist(), strict=True)
+        return merge(table.column("lang")[0].as_py(), [read(b, n) for b, n in blobs], min_count)
     return run
 
 
@@ -240,9 +264,8 @@ def stripes(docs: DataFrame, text_col="text", lang_col="lang", min_count=MIN_COU
     buckets = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total / bucket_bytes))
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sent = rows.mapInArrow(_scan(buckets, buffer_bytes), SENT)
-    spread = sent.repartition(buckets, "lang", "bucket")
-    return cut(spread.groupBy("lang", "bucket").applyInArrow(_merge(min_count), f"lang string, {MERGED}"), "stripes")
+    sent = rows.mapInArrow(_scan(buckets, buffer_bytes), SENT).repartition(2 * buckets, "lang", "kind", "bucket")
+    return cut(sent.groupBy("lang", "kind", "bucket").applyInArrow(_merge(min_count), f"lang string, {MERGED}"), "stripes")
 
 
 def _exact(x: Column) -> Column:
@@ -256,30 +279,31 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", up, down)
 
 
-def phrases(merged: DataFrame, min_count: int = MIN_COUNT, subsumed: int = SUBSUMED) -> DataFrame:
+def phrases(merged: DataFrame, subsumed: int = SUBSUMED) -> DataFrame:
     """Scored phrases that no longer phrase subsumes: lang, phrase, a, l, r, n, score."""
-    single = merged.where("kind = 1").groupBy("lang", "w1").agg(F.sum("f").alias("f"))
-    single = cut(single, "words")
-    frequent = single.where(F.col("f") >= min_count)
-    totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = merged.where("kind = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    words = merged.where("kind = 1")
     pairs = merged.where("kind = 2").select("lang", "w1", "w2", "f", "widest")
     triples = merged.where("kind = 3").select("lang", "w1", "w2", "w3", "f", "total")
 
-    def word(name, out):                    # a word of a candidate is as frequent
-        return frequent.select("lang", F.col("w1").alias(name), F.col("f").alias(out))
+    def word(k):
+        """The word behind a hash; every word of a frequent phrase is frequent."""
+        return words.select("lang", F.col("w1").alias(f"w{k}"), F.col("word").alias(f"word{k}"), F.col("f").alias(f"f{k}"))
 
     # The largest three-word phrase that ends in a pair.
-    before = triples.groupBy("lang", F.col("w2").alias("w1"), F.col("w3").alias("w2")).agg(F.max("f").alias("ended"))
-    two = (pairs.join(before, ["lang", "w1", "w2"], "left")
+    ended = triples.groupBy("lang", F.col("w2").alias("w1"), F.col("w3").alias("w2")).agg(F.max("f").alias("ended"))
+    two = (pairs.join(ended, ["lang", "w1", "w2"], "left")
            .where(F.greatest("widest", F.coalesce("ended", F.lit(0))) * 100 < F.col("f") * subsumed)
-           .join(word("w1", "l"), ["lang", "w1"]).join(word("w2", "r"), ["lang", "w2"])
-           .select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), F.col("f").alias("a"), "l", "r",
-                   _score(F.col("f"), F.col("l"), F.col("r")).alias("score")))
+           .join(word(1), ["lang", "w1"]).join(word(2), ["lang", "w2"])
+           .select("lang", F.concat_ws(" ", "word1", "word2").alias("phrase"), F.col("f").alias("a"), F.col("f1").alias("l"),
+                   F.col("f2").alias("r"), _score(F.col("f"), F.col("f1"), F.col("f2")).alias("score")))
     tails = pairs.select("lang", F.col("w1").alias("w2"), F.col("w2").alias("w3"), F.col("f").alias("tail"))
-    three = (triples.join(tails, ["lang", "w2", "w3"]).join(word("w1", "f1"), ["lang", "w1"]).join(word("w3", "f3"), ["lang", "w3"])
-             .withColumns({"s1": _score(F.col("f"), F.col("f1"), F.col("tail")), "s2": _score(F.col("f"), F.col("total"), F.col("f3"))}))
+    three = triples.join(tails, ["lang", "w2", "w3"])
+    for k in (1, 2, 3):
+        three = three.join(word(k), ["lang", f"w{k}"])
+    three = three.withColumns({"s1": _score(F.col("f"), F.col("f1"), F.col("tail")), "s2": _score(F.col("f"), F.col("total"), F.col("f3"))})
     early = F.col("s1") <= F.col("s2")
-    three = three.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("f").alias("a"),
+    three = three.select("lang", F.concat_ws(" ", "word1", "word2", "word3").alias("phrase"), F.col("f").alias("a"),
                          F.when(early, F.col("f1")).otherwise(F.col("total")).alias("l"),
                          F.when(early, F.col("tail")).otherwise(F.col("f3")).alias("r"), F.least("s1", "s2").alias("score"))
     return two.unionByName(three).join(totals, "lang")
@@ -288,6 +312,6 @@ def phrases(merged: DataFrame, min_count: int = MIN_COUNT, subsumed: int = SUBSU
 def mine(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, subsumed: int = SUBSUMED, **options) -> DataFrame:
     """The first ``top`` phrases of each language by score."""
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    found = phrases(stripes(docs, min_count=min_count, **options), min_count, subsumed)
+    found = phrases(stripes(docs, min_count=min_count, **options), subsumed)
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")))
