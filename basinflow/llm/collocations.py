@@ -310,8 +310,14 @@ def phrases(merged: DataFrame, subsumed: int = SUBSUMED) -> DataFrame:
 
 
 def mine(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, subsumed: int = SUBSUMED, **options) -> DataFrame:
-    """The first ``top`` phrases of each language by score."""
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    """The first ``top`` phrases of each language by score.  Shares of a
+    language's phrases are cut to ``top`` before they meet in its one task."""
+    def first(found, *keys):
+        order = Window.partitionBy("lang", *keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
     found = phrases(stripes(docs, min_count=min_count, **options), subsumed)
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")))
+    shares = 3 * docs.sparkSession.sparkContext.defaultParallelism
+    found = first(found.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares))), "share")
+    return first(found).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
+                               F.col("score").cast("long").alias("score"))
