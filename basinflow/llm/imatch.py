@@ -8,9 +8,12 @@ whole of it down to small fractions, are hashed: one part of the
 fingerprint each.  Small subsets survive larger edits.  The likeness of two
 fingerprints is the share of equal parts among those that either text fills.
 
-Everything is DataFrame functions.  Very common terms, of which there are at
-most (mean distinct terms) * N ** (low band edge), are removed before the
-shuffle by a broadcast of that size.
+Everything is DataFrame functions.  Documents are ordered within ranges of the
+id and cut into chunks of bounded size.  A chunk asks each of its distinct
+terms once; a term's own group adds up its document frequency and answers the
+asking chunks if it is in the band; a chunk gets its known terms as one row, by
+which its documents' terms are filtered.  The texts are shuffled once.  A group
+of a term holds one row a chunk.
 
 Defined results: null text is empty; a text without a lexicon term has the
 hash of the whole text as its fingerprint, alike only to an equal text; rows
@@ -26,24 +29,25 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basinflow.llm.store import cut
+from basinflow.llm.store import aligned_joins
 
-LEXICON_SHARE = 1            # one term in so many may belong to the lexicon
 BAND = (0.2, 0.95)           # normalised inverse document frequency
 # (fraction of the lexicon as a power of 1/2, how many subsets of it).  An edit
 # leaves a subset alone if none of its terms changes: large ones tell copies
 # from near copies, small ones still agree when half of a text is new.
 SUBSETS = ((0, 1), (2, 4), (3, 8), (4, 8), (5, 8))
 ROWS_PER_BUCKET = 4096
-MAX_BUCKETS = 10_000
+MAX_BUCKETS = 10_000        # ranges of the id; beyond it they grow, and hold several chunks
+CHUNK_ROWS = 4096
+SPREAD = 4096               # lists that a chunk's known terms are dealt into
 LEAST = -(1 << 63)
+ROW, GHOST, NO_ID = 0, 1, 2  # kinds of rows: with an id, of the next bucket, without an id
 
 
-def terms(text: Column, share: int = LEXICON_SHARE) -> Column:
-    """Hashes of the distinct terms that the lexicon may hold."""
+def terms(text: Column) -> Column:
+    """Hashes of the distinct terms."""
     words = F.split(F.lower(text), r"[\x20\x09-\x0D]+")
-    hashes = F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
-    return F.array_distinct(F.filter(hashes, lambda h: F.pmod(h, F.lit(share)) == 0))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
 def _bucket(key: Column, bounds: list[int]) -> Column:
@@ -64,12 +68,13 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + 1 + fine).cast("int")
 
 
-def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``docs`` (key, text) with the next row's key and text in descending key
-    order; after the last comes the first.
+def in_chunks(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, int, int]:
+    """``docs`` (key, text, kind) in descending key order with the next row's
+    text (after the last comes the first), by bucket, chunk and place; the
+    numbers of rows and buckets.
 
-    Rows are ordered within ranges of the key; the first row of each range is
-    also sent to the range above it.  There are at most MAX_BUCKETS ranges."""
+    Each chunk ends with the next chunk's first row (``extra``).  For that, the
+    first row of each bucket is also sent to the bucket above it."""
     n = docs.count()
     buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
     bounds = []
@@ -77,17 +82,25 @@ def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFr
         marks = F.percentile_approx("key", [k / buckets for k in range(1, buckets)], 10 * buckets)
         bounds = sorted({x for x in docs.agg(marks.alias("q")).first()["q"]})
     ranged = docs.withColumn("bucket", _bucket(F.col("key"), bounds))
-    tops = sorted(tuple(r) for r in ranged.groupBy("bucket").agg(F.max("key").alias("key")).collect())
-    if not tops:
-        return docs.selectExpr("*", "key as next_key", "text as next_text")
-    sent = [(top, above[0]) for (_, top), above in zip(tops, [*tops[1:], tops[0]], strict=True)]
-    spark = docs.sparkSession
-    sent = F.broadcast(spark.createDataFrame(sent, "key long, to int"))     # one row a range
-    ghosts = docs.join(sent, "key").select(*docs.columns, F.col("to").alias("bucket"), F.lit(1).alias("ghost"))
-    order = Window.partitionBy("bucket").orderBy("ghost", F.desc("key"), F.xxhash64("text"))
-    return (ranged.withColumn("ghost", F.lit(0)).unionByName(ghosts)
-            .withColumns({"next_key": F.lead("key").over(order), "next_text": F.lead("text").over(order)})
-            .where("ghost = 0").drop("bucket", "ghost"))
+    first = F.max(F.struct("key", F.bitwise_not(F.xxhash64("text")).alias("h")))
+    tops = sorted(tuple(r) for r in ranged.groupBy("bucket").agg(first.alias("top")).select("bucket", "top.*").collect())
+    sent = [(key, h, above[0]) for (_, key, h), above in zip(tops, [*tops[1:], *tops[:1]], strict=True)]
+    sent = F.broadcast(docs.sparkSession.createDataFrame(sent, "key long, h long, bucket int"))     # one row a bucket
+    ghosts = (docs.withColumn("h", F.bitwise_not(F.xxhash64("text"))).join(sent, ["key", "h"])
+              .select("key", "text", F.lit(GHOST).alias("kind"), "bucket").dropDuplicates(["bucket"]))
+    every = ranged.unionByName(ghosts).repartition(buckets, "bucket")
+    order = Window.partitionBy("bucket").orderBy(F.col("kind") == GHOST, F.desc("key"), F.xxhash64("text"))
+    lined = every.withColumns({"next_text": F.lead("text").over(order), "pos": F.row_number().over(order) - 1})
+    ghost = F.col("kind") == GHOST
+    chunk = F.expr(f"cast(pos div {chunk_rows} as int)")
+
+    def at(c, extra):
+        return F.struct(c.alias("chunk"), F.lit(extra).alias("extra"))
+
+    places = (F.when(ghost, F.array(at(F.expr(f"cast((pos - 1) div {chunk_rows} as int)"), True)))
+              .when((F.col("pos") % chunk_rows == 0) & (F.col("pos") > 0), F.array(at(chunk, False), at(chunk - 1, True)))
+              .otherwise(F.array(at(chunk, False))))
+    return lined.select("*", F.explode(places).alias("at")).select("*", "at.*").drop("at"), n, buckets
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -98,15 +111,23 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substr(text, F.lit(1), n - half), F.substr(following, F.lit(1), half))
 
 
-def lexicon(found: DataFrame, n_docs: int, band=BAND) -> tuple[DataFrame, DataFrame]:
-    """(terms in the band, terms above it) by document frequency; ``found``
-    has one array ``terms`` a document."""
-    df = found.select(F.explode("terms").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+def known_terms(rows: DataFrame, n_docs: int, buckets: int, band=BAND) -> DataFrame:
+    """(bucket, chunk, known): the chunk's terms in the band, in SPREAD lists.
+
+    ``rows`` (bucket, chunk, extra, own, edited) are partitioned by bucket, so
+    a chunk's distinct terms are found where they are; each makes one row."""
+    mine = F.transform("own", lambda h: F.struct(h.alias("h"), F.when(F.col("extra"), 0).otherwise(1).alias("n")))
+    new = F.transform(F.array_except("edited", "own"), lambda h: F.struct(h.alias("h"), F.lit(0).alias("n")))
+    asked = (rows.select("bucket", "chunk", F.explode(F.concat(mine, new)).alias("x")).select("bucket", "chunk", "x.*")
+             .groupBy("bucket", "chunk", "h").agg(F.sum("n").alias("n")))
     size = max(n_docs, 2)
-    low, high = size ** (1 - band[1]), size ** (1 - band[0])
-    counted = cut(df, "lexicon")
-    return (counted.where((F.col("df") >= max(low, 2)) & (F.col("df") <= high)).select("h"),
-            counted.where(F.col("df") > high).select("h"))
+    low, high = max(size ** (1 - band[1]), 2), size ** (1 - band[0])
+    found = (asked.groupBy("h").agg(F.sum("n").alias("df"), F.collect_list(F.struct("bucket", "chunk")).alias("at"))
+             .where((F.col("df") >= low) & (F.col("df") <= high)).select("h", F.explode("at").alias("at"))
+             .select("at.*", "h").repartition(buckets, "bucket"))
+    lists = found.groupBy("bucket", "chunk", F.pmod("h", F.lit(SPREAD)).alias("k")).agg(F.collect_list("h").alias("hs"))
+    known = lists.groupBy("bucket", "chunk").agg(F.map_from_entries(F.collect_list(F.struct("k", "hs"))).alias("m"))
+    return known.select("bucket", "chunk", F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda k: F.col("m")[k.cast("long")]).alias("known"))
 
 
 def parts(sorted_terms: Column, subsets=SUBSETS) -> Column:
@@ -132,47 +153,39 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(filled == 0, F.lit(0.0)).otherwise(same / F.greatest(filled, F.lit(1)))
 
 
-def fingerprints(rows: DataFrame, kinds: list[str], band=BAND, n_docs: int | None = None) -> DataFrame:
-    """Parts of several term arrays a row, by one lexicon.
-
-    ``rows`` (rid, ``terms_<kind>``, ``hash_<kind>`` of the whole text) is a
-    written table; the first kind's terms make the lexicon."""
-    n_docs = rows.count() if n_docs is None else n_docs
-    known, common = lexicon(rows.select(F.col(f"terms_{kinds[0]}").alias("terms")), n_docs, band)
-    every = rows.select("rid", *[f"terms_{k}" for k in kinds],
-                        F.explode(F.array_distinct(F.flatten(F.array(*[f"terms_{k}" for k in kinds])))).alias("h"))
-    flags = [F.array_contains(F.col(f"terms_{k}"), F.col("h")).alias(k) for k in kinds]
-    each = every.join(F.broadcast(common), "h", "left_anti").select("rid", "h", *flags)
-    mine = (each.join(known, "h").groupBy("rid")
-            .agg(F.sort_array(F.collect_list(F.struct("h", *kinds))).alias("t")))
-    out = rows.join(mine, "rid", "left")
-    empty = F.lit([]).cast("array<bigint>")
-
-    def of(kind):
-        mine = F.coalesce(F.transform(F.filter("t", lambda x: x[kind]), lambda x: x["h"]), empty)
-        got = parts(mine)
-        whole = F.array(F.concat(F.lit("text:"), F.hex(F.col(f"hash_{kind}"))))
-        return F.when(F.size(mine) == 0, whole).otherwise(got).alias(f"parts_{kind}")
-    return out.select("rid", *[of(k) for k in kinds])
-
-
-def compare_neighbours(docs: DataFrame, id_col="doc_id", text_col="text", band=BAND, share: int = LEXICON_SHARE,
-                       **sizes) -> DataFrame:
+def compare_neighbours(docs: DataFrame, id_col="doc_id", text_col="text", band=BAND, **sizes) -> DataFrame:
     """One row per document: its fingerprint, that of its edited text, and the
     likeness to the edited text's and the next document's."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("key"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    made = with_next(keyed, **sizes).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    rows = cut(made.select(
-        F.monotonically_increasing_id().alias("rid"), "doc_id", "key", "next_key",
+    aligned_joins(docs.sparkSession)
+    key = F.col(id_col).cast("long")
+    keyed = docs.select(F.coalesce(key, F.lit(LEAST)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                        F.when(key.isNull(), NO_ID).otherwise(ROW).alias("kind"))
+    lined, n, buckets = in_chunks(keyed, **sizes)
+    made = lined.withColumn("edited", F.when(F.col("extra"), "").otherwise(edited(F.col("text"), F.col("next_text"))))
+    rows = made.select(
+        "bucket", "chunk", "pos", "extra", F.when(F.col("kind") != NO_ID, F.col("key")).alias("doc_id"),
         F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.xxhash64("text").alias("hash_own"), F.xxhash64("edited").alias("hash_edited"), F.xxhash64("next_text").alias("next_hash"),
-        terms(F.col("text"), share).alias("terms_own"), terms(F.col("edited"), share).alias("terms_edited")), "terms")
-    found = cut(rows.drop("terms_own", "terms_edited").join(fingerprints(rows, ["own", "edited"], band), "rid"), "fingerprints")
-    following = (found.select(F.col("key").alias("next_key"), F.col("hash_own").alias("next_hash"),
-                              F.col("parts_own").alias("parts_next")).dropDuplicates(["next_key", "next_hash"]))
-    out = found.join(following, ["next_key", "next_hash"])
+        F.xxhash64("text").alias("hash_own"), F.xxhash64("edited").alias("hash_edited"),
+        terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("edited"))
+    facts = ["pos", "extra", "doc_id", "n_chars", "edited_sha256", "hash_own", "hash_edited"]
+    chunks = rows.groupBy("bucket", "chunk").agg(F.collect_list(F.struct(*facts, "own", "edited")).alias("docs"))
+    chunks = chunks.join(known_terms(rows, n, buckets, band), ["bucket", "chunk"], "left")
+
+    def known(found):
+        has = F.filter(found, lambda h: F.coalesce(F.array_contains(F.col("known")[F.pmod(h, F.lit(SPREAD)).cast("int")], h), F.lit(False)))
+        return F.sort_array(has)
+
+    each = chunks.select("bucket", "chunk", F.explode(F.transform(
+        "docs", lambda d: F.struct(*[d[c].alias(c) for c in facts], known(d["own"]).alias("own"), known(d["edited"]).alias("edited")))).alias("d"))
+    each = each.select("bucket", "chunk", "d.*")
+
+    def printed(kind):
+        whole = F.array(F.concat(F.lit("text:"), F.hex(F.col(f"hash_{kind}"))))
+        return F.when(F.size(kind) == 0, whole).otherwise(parts(F.col(kind)))
+
+    each = each.select("bucket", "chunk", *facts, printed("own").alias("parts_own"), printed("edited").alias("parts_edited"))
+    following = F.lead("parts_own").over(Window.partitionBy("bucket", "chunk").orderBy("pos"))
+    out = each.withColumn("parts_next", following).where(~F.col("extra"))
     return out.select(
         "doc_id", "n_chars", "edited_sha256", F.array_join("parts_own", ".").alias("fingerprint"),
         F.array_join("parts_edited", ".").alias("edited_fingerprint"),

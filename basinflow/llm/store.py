@@ -30,3 +30,10 @@ def batch_rows(spark: SparkSession, rows: int = 1000) -> None:
     """Rows of an Arrow batch: texts may be long, so batches are short."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) != str(rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def aligned_joins(spark: SparkSession) -> None:
+    """Let a join on (range, chunk) use what is partitioned by range alone."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    if spark.conf.get(name, None) != "false":
+        spark.conf.set(name, "false")

@@ -20,7 +20,7 @@ def corpus():
 @pytest.fixture(scope="module")
 def result(spark):
     df = spark.createDataFrame([(*x, "clash", 1) for x in corpus()], DOCS)
-    return I.compare_neighbours(df, rows_per_bucket=20, share=1)
+    return I.compare_neighbours(df, rows_per_bucket=20, chunk_rows=7)
 
 
 def test_edited_texts_and_neighbours(result):
@@ -56,6 +56,36 @@ def test_no_python_on_the_main_path(result):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_texts_are_shuffled_once(spark):
+    """Asking and answering read one exchange of the texts."""
+    rows = [(i, f"w{i} w{i // 2} w{i // 3}") for i in range(50)]
+    got = I.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string"), rows_per_bucket=20)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.find("== Initial Plan")]
+    by_bucket = [x for x in final.splitlines() if "Exchange hashpartitioning(bucket" in x and "text#" in x]
+    assert "ReusedExchange" in final and len(by_bucket) <= 1
+
+
+def test_band_against_plain_document_frequencies(spark):
+    """A term's part is filled exactly where its document frequency is in the
+    band: counted over own texts, not over edited ones."""
+    texts = ["often " * (k % 2) + f"pair{k // 2} one{k} " + ("mid" if k % 5 == 0 else "") for k in range(60)]
+    df = {}
+    for t in texts:
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+    n, band = len(texts), (0.2, 0.95)
+    low, high = max(n ** (1 - band[1]), 2), n ** (1 - band[0])
+    lined, many, buckets = I.in_chunks(spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "key long, text string, kind int"), 16, 5)
+    rows = lined.select("bucket", "chunk", "extra", I.terms(I.F.col("text")).alias("own"),
+                        I.terms(I.F.when(I.F.col("extra"), "").otherwise(I.edited(I.F.col("text"), I.F.col("next_text")))).alias("edited"))
+    known = I.known_terms(rows, many, buckets, band).select(I.F.explode(I.F.flatten(I.F.filter("known", lambda x: x.isNotNull()))).alias("h")).distinct()
+    words = spark.createDataFrame([(w,) for w in df], "w string").select("w", I.F.xxhash64("w").alias("h"))
+    got = {r["w"] for r in words.join(known, "h").collect()}
+    assert got == {w for w, c in df.items() if low <= c <= high} and many == n
+
+
 def test_subsets_agree_with_a_plain_reading(spark):
     """Parts are equal exactly where the subset's terms are equal."""
     rows = spark.createDataFrame([(1, [5, 9, 44]), (2, [5, 9, 45]), (3, [])], "id long, t array<long>")
