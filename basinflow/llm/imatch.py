@@ -32,14 +32,16 @@ from pyspark.sql import functions as F
 from basinflow.llm.store import aligned_joins
 
 BAND = (0.2, 0.95)           # normalised inverse document frequency
-# (fraction of the lexicon as a power of 1/2, how many subsets of it).  An edit
-# leaves a subset alone if none of its terms changes: large ones tell copies
-# from near copies, small ones still agree when half of a text is new.
-SUBSETS = ((0, 1), (2, 4), (3, 8), (4, 8), (5, 8))
+# Subsets of the lexicon: all of it, 4 disjoint quarters, 8 sixteenths within
+# them, and within each of these a 64th and a 128th.  A term's hash draws its
+# subsets.  An edit leaves a subset alone if none of its terms changes: large
+# ones tell copies from near copies, small ones still agree when half of a text
+# is new.
+PARTS = 1 + 4 + 8 + 8 + 8
 ROWS_PER_BUCKET = 4096
 MAX_BUCKETS = 10_000        # ranges of the id; beyond it they grow, and hold several chunks
 CHUNK_ROWS = 4096
-SPREAD = 4096               # lists that a chunk's known terms are dealt into
+SPREAD = 128                # its square: lists that a chunk's known terms are dealt into
 LEAST = -(1 << 63)
 ROW, GHOST, NO_ID = 0, 1, 2  # kinds of rows: with an id, of the next bucket, without an id
 
@@ -87,7 +89,8 @@ def in_chunks(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, chunk_row
     sent = [(key, h, above[0]) for (_, key, h), above in zip(tops, [*tops[1:], *tops[:1]], strict=True)]
     sent = F.broadcast(docs.sparkSession.createDataFrame(sent, "key long, h long, bucket int"))     # one row a bucket
     ghosts = (docs.withColumn("h", F.bitwise_not(F.xxhash64("text"))).join(sent, ["key", "h"])
-              .select("key", "text", F.lit(GHOST).alias("kind"), "bucket").dropDuplicates(["bucket"]))
+              .groupBy("bucket").agg(F.max("key").alias("key"), F.max("text").alias("text"))      # equal rows become one
+              .select("key", "text", F.lit(GHOST).alias("kind"), "bucket"))
     every = ranged.unionByName(ghosts).repartition(buckets, "bucket")
     order = Window.partitionBy("bucket").orderBy(F.col("kind") == GHOST, F.desc("key"), F.xxhash64("text"))
     lined = every.withColumns({"next_text": F.lead("text").over(order), "pos": F.row_number().over(order) - 1})
@@ -112,7 +115,7 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def known_terms(rows: DataFrame, n_docs: int, buckets: int, band=BAND) -> DataFrame:
-    """(bucket, chunk, known): the chunk's terms in the band, in SPREAD lists.
+    """(bucket, chunk, known): the chunk's terms in the band, dealt into lists.
 
     ``rows`` (bucket, chunk, extra, own, edited) are partitioned by bucket, so
     a chunk's distinct terms are found where they are; each makes one row."""
@@ -125,20 +128,37 @@ def known_terms(rows: DataFrame, n_docs: int, buckets: int, band=BAND) -> DataFr
     found = (asked.groupBy("h").agg(F.sum("n").alias("df"), F.collect_list(F.struct("bucket", "chunk")).alias("at"))
              .where((F.col("df") >= low) & (F.col("df") <= high)).select("h", F.explode("at").alias("at"))
              .select("at.*", "h").repartition(buckets, "bucket"))
-    lists = found.groupBy("bucket", "chunk", F.pmod("h", F.lit(SPREAD)).alias("k")).agg(F.collect_list("h").alias("hs"))
-    known = lists.groupBy("bucket", "chunk").agg(F.map_from_entries(F.collect_list(F.struct("k", "hs"))).alias("m"))
-    return known.select("bucket", "chunk", F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda k: F.col("m")[k.cast("long")]).alias("known"))
+    k1, k2 = _lists("h")
+    lists = found.groupBy("bucket", "chunk", k1.alias("k1"), k2.alias("k2")).agg(F.collect_list("h").alias("hs"))
+    lists = lists.groupBy("bucket", "chunk", "k1").agg(F.map_from_entries(F.collect_list(F.struct("k2", "hs"))).alias("m"))
+    known = lists.groupBy("bucket", "chunk").agg(F.map_from_entries(F.collect_list(F.struct("k1", "m"))).alias("m"))
+    every = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    return known.select("bucket", "chunk", F.transform(every, lambda a: F.transform(every, lambda b: F.col("m")[a][b])).alias("known"))
 
 
-def parts(sorted_terms: Column, subsets=SUBSETS) -> Column:
+def _lists(h) -> tuple[Column, Column]:
+    """Which list of a chunk a term is in."""
+    return F.pmod(h, F.lit(SPREAD)).cast("int"), F.pmod(F.shiftright(h, 20), F.lit(SPREAD)).cast("int")
+
+
+def parts(sorted_terms: Column) -> Column:
     """Hash of each lexicon subset's terms; empty where it holds none."""
     def part(arr):
         return F.when(F.size(arr) == 0, F.lit("")).otherwise(F.hex(F.pmod(F.xxhash64(arr), F.lit(1 << 40))))
 
-    def subset(level, seed):
-        return F.filter(sorted_terms, lambda h: F.pmod(F.xxhash64(h, F.lit(seed)), F.lit(1 << level)) == 0)
-    return F.array(*[part(subset(level, 97 * seed + level) if level else sorted_terms)
-                     for level, many in subsets for seed in range(many)])
+    def where(arr, place, bits, value):
+        return F.filter(arr, lambda h: F.shiftright(h, place).bitwiseAND(F.lit((1 << bits) - 1)) == value)
+
+    def with_smaller(sixteenth):
+        return F.flatten(F.transform(F.array(where(sixteenth, 47, 2, 0)),
+                                     lambda x: F.array(part(sixteenth), part(x), part(where(x, 46, 1, 0)))))
+
+    def with_sixteenths(quarter):
+        two = F.array(where(quarter, 49, 2, 0), where(quarter, 49, 2, 1))
+        return F.concat(F.array(part(quarter)), F.flatten(F.transform(two, with_smaller)))
+
+    quarters = F.array(*[where(sorted_terms, 51, 2, k) for k in range(4)])
+    return F.concat(F.array(part(sorted_terms)), F.flatten(F.transform(quarters, with_sixteenths)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -172,8 +192,10 @@ def compare_neighbours(docs: DataFrame, id_col="doc_id", text_col="text", band=B
     chunks = chunks.join(known_terms(rows, n, buckets, band), ["bucket", "chunk"], "left")
 
     def known(found):
-        has = F.filter(found, lambda h: F.coalesce(F.array_contains(F.col("known")[F.pmod(h, F.lit(SPREAD)).cast("int")], h), F.lit(False)))
-        return F.sort_array(has)
+        def has(h):
+            k1, k2 = _lists(h)
+            return F.coalesce(F.array_contains(F.col("known")[k1][k2], h), F.lit(False))
+        return F.sort_array(F.filter(found, has))
 
     each = chunks.select("bucket", "chunk", F.explode(F.transform(
         "docs", lambda d: F.struct(*[d[c].alias(c) for c in facts], known(d["own"]).alias("own"), known(d["edited"]).alias("edited")))).alias("d"))
