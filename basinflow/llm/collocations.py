@@ -40,8 +40,8 @@ MIN_COUNT = 10
 SUBSUMED = 50               # per cent of a phrase inside one longer phrase
 TOP = 2000
 SCALE = 1_000_000
-BUFFER_BYTES = 12 << 20     # text whose stripes a task merges before it sends them
-BUCKET_BYTES = 16 << 20     # text that a bucket answers for, on average
+BUFFER_BYTES = 8 << 20     # text whose stripes a task merges before it sends them
+BUCKET_BYTES = 6 << 20      # text that a bucket answers for, on average
 END = np.uint64(0)          # the next "word" at the end of a piece
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,9 +64,9 @@ def pieces(data: np.ndarray, offs: np.ndarray):
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
     if not len(s):
         return s, e, np.zeros(0, np.int64)
-    row = np.searchsorted(offs, s, "right")
-    ends = np.concatenate([[0], np.cumsum(_ENDS[data])])
-    last = np.concatenate([(ends[s[1:]] > ends[e[:-1]]) | (row[1:] != row[:-1]), [True]])
+    # A word is its piece's last if an end or another text lies before the next.
+    parts = np.sort(np.concatenate([np.flatnonzero(_ENDS[data]), offs[1:-1]]))
+    last = np.concatenate([np.searchsorted(parts, s[1:], "right") > np.searchsorted(parts, e[:-1]), [True]])
     stop = np.flatnonzero(last)
     return s, e, stop[np.searchsorted(stop, np.arange(len(s)))] - np.arange(len(s)) + 1
 
@@ -88,12 +88,12 @@ def _narrow(x: np.ndarray) -> bytes:
     """An array by its smallest unsigned type: size in bytes, then values."""
     top = int(x.max()) if len(x) else 0
     size = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return size.to_bytes(1, "little") + x.astype(f"<u{size}").tobytes()
+    return size.to_bytes(1, "little") + _planes(x.astype(f"<u{size}"))
 
 
 def _widen(b: memoryview, n: int):
     size = b[0]
-    return np.frombuffer(b, f"<u{size}", n, 1).astype(np.int64), b[1 + size * n:]
+    return _unplanes(b[1:], n, size).astype(np.int64), b[1 + size * n:]
 
 
 def _runs(bucket: np.ndarray):
@@ -113,15 +113,24 @@ def _send_words(lang, hashes, words, times, buckets: int):
     order = np.argsort(bucket, kind="stable")
     for k, i, j in _runs(bucket[order]):
         part = order[i:j]
-        yield _row(lang, 1, k, np.array([j - i], "<i8").tobytes() + hashes[part].astype("<u8").tobytes() + _narrow(times[part])
+        yield _row(lang, 1, k, np.array([j - i], "<i8").tobytes() + _planes(hashes[part].astype("<u8")) + _narrow(times[part])
                    + b"\n".join([words[x] for x in part.tolist()]))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of equal place side by side: sorted values compress well so."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplanes(b, n: int, size: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8, n * size).reshape(size, n).T).view(f"<u{size}").ravel()
+
+
 def _read_words(blob, size: int):
     b = memoryview(pa.decompress(blob, size, "zstd", asbytes=True))
     n = int(np.frombuffer(b, "<i8", 1)[0])
     times, rest = _widen(b[8 + 8 * n:], n)
-    return np.frombuffer(b, "<u8", n, 8), times, bytes(rest).split(b"\n")
+    return _unplanes(b[8:], n, 8), times, bytes(rest).split(b"\n")
 
 
 def _send_stripes(lang, hashes: np.ndarray, codes: np.ndarray, times: np.ndarray, buckets: int):
@@ -132,17 +141,19 @@ def _send_stripes(lang, hashes: np.ndarray, codes: np.ndarray, times: np.ndarray
     bucket, codes, times = bucket[order], codes[:, order], times[order]
     for k, i, j in _runs(bucket):
         used, inv = np.unique(np.concatenate([[0], codes[:, i:j].ravel()]), return_inverse=True)     # the end is always 0
-        head = np.array([len(used), j - i], "<i8").tobytes() + hashes[used[1:]].astype("<u8").tobytes()
-        yield _row(lang, 2, k, head + b"".join(_narrow(x) for x in (*inv[1:].reshape(3, -1), times[i:j])))
+        head = np.array([len(used), j - i], "<i8").tobytes() + _planes(hashes[used[1:]].astype("<u8"))
+        one, two, three = inv[1:].reshape(3, -1)                    # first words ascend
+        yield _row(lang, 2, k, head + b"".join(_narrow(x) for x in (np.diff(one, prepend=0), two, three, times[i:j])))
 
 
 def _read_stripes(blob, size: int):
     b = memoryview(pa.decompress(blob, size, "zstd", asbytes=True))
     m, n = np.frombuffer(b, "<i8", 2).tolist()
-    hashes, b, cols = np.concatenate([[END], np.frombuffer(b, "<u8", m - 1, 16)]), b[16 + 8 * (m - 1):], []
+    hashes, b, cols = np.concatenate([[END], _unplanes(b[16:], m - 1, 8)]), b[16 + 8 * (m - 1):], []
     for _ in range(4):
         x, b = _widen(b, n)
         cols.append(x)
+    cols[0] = np.cumsum(cols[0])
     return hashes, np.stack(cols[:3]), cols[3]
 
 
@@ -163,9 +174,10 @@ def _stripes(lang, texts: list[tuple[np.ndarray, np.ndarray]], buckets: int):
     yield from _send_words(lang, hashes, words, np.bincount(code, minlength=len(hashes)), buckets)
     code = np.concatenate([code + 1, [0, 0]])
     codes = np.stack([code[:n], np.where(left > 1, code[1:n + 1], 0), np.where(left > 2, code[2:n + 2], 0)])
-    del data, raw, h, s, e, words
+    del data, raw, h, s, e, words, one, code, left
     order, first = _grouped(codes, len(hashes) + 1)
     codes = codes[:, order[first]]
+    del order
     yield from _send_stripes(lang, np.concatenate([[END], hashes]), codes, np.diff(first, append=n), buckets)
 
 
