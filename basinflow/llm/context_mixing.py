@@ -25,7 +25,7 @@ occur; other columns are not read.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,6 @@ from basinflow.llm import textops as T
 from basinflow.llm.store import cut
 
 ORDERS = (1, 2, 3, 4, 5)
-TABLE_BITS = 21              # slots of each order's table, where a small corpus is counted in memory
 ROUNDS = 2                   # passes over all training chunks
 STEP_CODES = 4096            # distinct codes of one online step
 FIXED = float(1 << 20)       # parts of one in sums of states
@@ -47,7 +46,6 @@ MAP_REACH = 8.0
 LEAST_P = 1 / 65536
 UNIT = 12
 _NODE = np.uint64(0x9E3779B97F4A7C15)
-_PICK = np.uint64(0xD6E8FEB86659FD93)
 LOG10_2 = float(np.log10(2.0))
 
 
@@ -70,40 +68,10 @@ def contexts(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return code >> np.uint64(64 - 8 * (reach + 1)), n
 
 
-def _slots(code: np.ndarray, order: int, bit: int, bits: int) -> np.ndarray:
-    """Slot of each code's context and known bits of its symbol."""
-    ctx = (code >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-    h = T.mix64(ctx * _NODE + np.uint64(order))
-    return _pick(h, _node(code, bit), bits)
-
-
 def _node(code, bit):
     return np.uint64(1 << bit) | ((code & np.uint64(255)) >> np.uint64(8 - bit))
 
 
-def _pick(h, node, bits):
-    return (((h ^ (node * _NODE)) * _PICK) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def count_codes(code: np.ndarray, times: np.ndarray, order: int, bits: int, out: np.ndarray | None = None) -> np.ndarray:
-    """Zeros and ones seen in each slot of one order, added to ``out``: shape
-    (2, slots)."""
-    out = np.zeros((2, 1 << bits), np.uint32) if out is None else out
-    flat, times = out.reshape(-1), times.astype(np.uint32)
-    ctx = (code >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-    h = T.mix64(ctx * _NODE + np.uint64(order))
-    for bit in range(8):
-        one = ((code >> np.uint64(7 - bit)) & np.uint64(1)).view(np.int64)
-        np.add.at(flat, (one << bits) + _pick(h, _node(code, bit), bits), times)
-    return out
-
-
-def _halved(counts: np.ndarray) -> np.ndarray:
-    """Counts scaled down where one exceeds 16 bits: ratios stay."""
-    over = np.maximum(1.0, counts.max(0) / 60000.0)
-    return np.ceil(counts / over).astype("<u2")
-
-
 def _stretched(zeros, ones) -> np.ndarray:
     """Logarithm of the odds of a one in steps of 1 / UNIT; 0 where it was never
     met."""
@@ -119,8 +87,6 @@ class Mixer:
     weights: np.ndarray                     # (order, gate), for steps of 1 / UNIT
     bias: np.ndarray
     map: np.ndarray                         # (known bits, cell)
-    bits: int = TABLE_BITS                  # a small corpus in memory:
-    tables: dict[int, np.ndarray] = field(default_factory=dict)     # stretched prediction of each slot
 
     def mixed(self, st: list[np.ndarray], gate: np.ndarray):
         z = self.bias[gate]
@@ -156,15 +122,6 @@ class Mixer:
                 out[part] += np.log2(np.where(one, p, 1 - p))
         return out
 
-    def log2_symbols(self, code: np.ndarray) -> np.ndarray:
-        """``log2_codes`` by the tables in memory."""
-        return self.log2_codes(code, lambda part: ([self.tables[o][_slots(code[part], o, bit, self.bits)] for o in ORDERS]
-                                                   for bit in range(8)))
-
-    def log2_texts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        code, n = contexts(data, offs)
-        return np.add.reduceat(self.log2_symbols(code), np.cumsum(n) - n) if len(n) else np.zeros(0)
-
     def step(self, code: np.ndarray, times: np.ndarray, stretched, turn: int, rate: float, map_rate: float,
              seen: np.ndarray, cell_seen: np.ndarray) -> None:
         """Move weights and map by one set of codes, each met ``times`` often;
@@ -205,26 +162,6 @@ def gate_of(st: list[np.ndarray], bit: int) -> np.ndarray:
     return met * 8 + bit
 
 
-def fit_mixer(counts: dict[int, np.ndarray], texts: list[str], bits: int = TABLE_BITS, batch: int = 4096,
-              rate: float = 0.15, map_rate: float = 0.3) -> Mixer:
-    """Learn weights and map online over ``texts`` of a small corpus, in order;
-    a text's own bit is taken out of each slot that it is predicted from."""
-    m = start()
-    data, offs = T.text_buffers(pa.array(texts, pa.string()))
-    code = contexts(data, offs)[0]
-    for turn, i in enumerate(range(0, len(code), batch)):
-        c = code[i:i + batch]
-
-        def stretched(bit, c=c):
-            one = ((c >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-            slots = [_slots(c, o, bit, bits) for o in ORDERS]
-            return [_stretched(np.maximum(counts[o][0, x].astype(np.int64) - (1 - one), 0),
-                               np.maximum(counts[o][1, x].astype(np.int64) - one, 0)) for o, x in zip(ORDERS, slots, strict=True)]
-        m.step(c, np.ones(len(c)), map(stretched, range(8)), turn, rate, map_rate, np.zeros(GATES), np.zeros(m.map.size))
-    m.bits, m.tables = bits, {o: _stretched(counts[o][0].astype(np.float32), counts[o][1].astype(np.float32)) for o in ORDERS}
-    return single(m)
-
-
 def single(m: Mixer) -> Mixer:
     m.weights, m.bias, m.map = (x.astype(np.float32) for x in (m.weights, m.bias, m.map))
     return m
@@ -300,37 +237,65 @@ def _keys(code: np.ndarray, buckets: int):
     return keys[order], bucket[order], [place[x] for x in at]
 
 
+def _key_times(at: list[np.ndarray], often: np.ndarray, n: int) -> np.ndarray:
+    """How often training rows of the chunk have each key."""
+    times = np.zeros(n, np.int64)
+    for x in at:
+        times += np.bincount(x, often, n).astype(np.int64)
+    return times
+
+
 def _ask_codes(code: np.ndarray, often: np.ndarray, buckets: int):
     """(bucket, keys and their training counts)."""
     keys, bucket, at = _keys(code, buckets)
-    times = np.zeros(len(keys), np.int64)
-    for x in at:
-        times += np.bincount(x, often, len(keys)).astype(np.int64)
-    times = times.astype("<u4")
+    times = _key_times(at, often, len(keys)).astype("<u4")
     for k, i, j in X.by_bucket(bucket):
         yield k, _packed(_planes(keys[i:j].astype("<u8")) + _planes(times[i:j]))
 
 
+def _predictions(keys: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """For sorted distinct keys with all the keys of their contexts: the eight
+    bits' stretched predictions, and what they lose without one occurrence of
+    the key (16 rows)."""
+    out = np.zeros((16, len(keys)), np.int8)
+    if not len(keys):
+        return out
+    for bit in range(8):
+        node = keys >> np.uint64(8 - bit)
+        new = node[1:] != node[:-1]
+        first = np.flatnonzero(np.concatenate([[True], new]))
+        run = np.cumsum(np.concatenate([[0], new]))
+        one = ((keys >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+        ones = np.add.reduceat(total * one, first)[run]
+        zeros = np.add.reduceat(total, first)[run] - ones
+        out[bit] = _stretched(zeros, ones)
+        out[8 + bit] = _stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)) - out[bit]
+    return out
+
+
 def _code_counts(blobs: list[bytes]) -> list[bytes]:
-    """For each asked key its eight bits' stretched predictions, and what they
-    lose without one occurrence of the key."""
+    """For each chunk's keys: a bit that says that no other chunk asked for a
+    key of the context (the chunk then knows all its counts itself), and the
+    predictions of the other keys."""
     blobs = [_expanded(x) for x in blobs]
     n = [len(x) // 12 for x in blobs]
     keys = np.concatenate([_unplanes(x, "<u8", k) for x, k in zip(blobs, n, strict=True)])
     times = np.concatenate([_unplanes(x, "<u4", k, 8 * k) for x, k in zip(blobs, n, strict=True)])
     distinct, inv = np.unique(keys, return_inverse=True)
+    chunk = np.repeat(np.arange(len(n)), n)
+    context = np.concatenate([[0], np.cumsum((distinct[1:] ^ distinct[:-1]) >> np.uint64(8) != 0)])[inv]
+    some = np.zeros(len(distinct), np.int64)
+    some[context] = chunk
+    shared = np.bincount(context, some[context] != chunk, len(distinct)) > 0
+    asked = shared[context]
+    wanted = np.zeros(len(distinct), bool)
+    wanted[inv[asked]] = True
     total = np.bincount(inv, times, len(distinct)).astype(np.int64)
-    full, lost = (np.zeros((8, len(distinct)), np.int8) for _ in range(2))
-    for bit in range(8):
-        node = distinct >> np.uint64(8 - bit)
-        first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-        run = np.cumsum(np.concatenate([[0], node[1:] != node[:-1]]))
-        one = ((distinct >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-        ones = np.add.reduceat(total * one, first)[run]
-        zeros = np.add.reduceat(total, first)[run] - ones
-        full[bit] = _stretched(zeros, ones)
-        lost[bit] = _stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)) - full[bit]
-    return [_packed(full[:, x].tobytes() + lost[:, x].tobytes()) for x in np.split(inv, np.cumsum(n)[:-1])]
+    got = np.zeros((16, len(distinct)), np.int8)
+    got[:, wanted] = _predictions(distinct[wanted], total[wanted])
+    cuts = np.cumsum(n)[:-1]
+    return [_packed(np.packbits(x).tobytes() + got[:, k[x]].tobytes())
+            for x, k in zip(np.split(asked, cuts), np.split(inv, cuts), strict=True)]
 
 
 class Known:
@@ -340,12 +305,18 @@ class Known:
         note = _expanded(note)
         n = len(note) // 12
         self.code, self.times = _unplanes(note, "<u8", n), _unplanes(note, "<u4", n, 8 * n)
-        self.at = _keys(self.code, buckets)[2]
-        got, i = [np.zeros((16, 0), np.int8)], 0
-        for size in sizes:
-            got.append(np.frombuffer(_expanded(replies[i:i + size]), np.int8).reshape(16, -1))
+        keys, bucket, self.at = _keys(self.code, buckets)
+        got, own, i = np.zeros((16, len(keys)), np.int8), np.ones(len(keys), bool), 0
+        for (_, a, b), size in zip(X.by_bucket(bucket), sizes, strict=True):
+            x = np.frombuffer(_expanded(replies[i:i + size]), np.uint8)
+            head = -(-(b - a) // 8)
+            asked = a + np.flatnonzero(np.unpackbits(x[:head], count=b - a))
+            own[asked] = False
+            got[:, asked] = x[head:].view(np.int8).reshape(16, -1)
             i += size
-        got = np.concatenate(got, 1)
+        own = np.flatnonzero(own)
+        own = own[np.argsort(keys[own], kind="stable")]
+        got[:, own] = _predictions(keys[own], _key_times(self.at, self.times, len(keys))[own])
         self.all = np.ascontiguousarray(got[:8].T).view(np.uint64).ravel()
         self.rest = np.ascontiguousarray((got[:8] + got[8:]).T).view(np.uint64).ravel()
 
@@ -475,13 +446,11 @@ def _gather(buckets: int):
 SCORES = "doc_id long, n_words long, known_words long, word_logs double, n_bytes long, bits double"
 
 
-def score(docs: DataFrame, training: Column, is_training, id_col="doc_id", text_col="text", bits: int | None = None,
-          **sizes) -> DataFrame:
+def score(docs: DataFrame, training: Column, is_training, id_col="doc_id", text_col="text", **sizes) -> DataFrame:
     """One row per document with the base's and the model's scores.
 
     ``training`` marks the training rows of ``docs``; ``is_training(ids)`` is
-    the same rule over an array of ids (NO_ID for null).  ``bits`` is read no
-    more: there are no slots that contexts could share."""
+    the same rule over an array of ids (NO_ID for null)."""
     c = X.chunked(docs, id_col, text_col, **sizes)
     buckets = c.buckets
 
