@@ -9,7 +9,11 @@ Equal texts of one owner count as one repository, and where the repository is
 only the document id (the default), owners alone decide: one owner's documents
 grow with the corpus.
 A bare token whose value is a live secret found elsewhere becomes a further
-span of kind ``reuse``.
+span of kind ``reuse``: the values that any text names are marked in a bitmap
+of fixed size, a second pass over the texts keeps the tokens it marks, and the
+aggregation by the whole value decides.  Full stops and equals signs at the end
+of a value or token do not count; of ``name=value`` both the whole and what
+follows the last equals sign are tried.
 
 Defined results: null text is empty and has no span; a null owner or
 repository counts as one value of its own; equal rows get equal results, each
@@ -34,16 +38,19 @@ from basinflow.llm.store import batch_rows, cut
 # The kinds, in the order that breaks ties, and their patterns.
 KINDS = ["assign", "access", "hex", "reuse"]
 KEYWORDS = ["password", "passwd", "secret", "token", "api_?key"]
-MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_BARE = 6, 20, 24, 16
+MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_BARE = 6, 20, 24, 6
 
 MAX_OWNERS = 2      # more owners than this: a copied example
 MAX_REPOS = 8       # more repositories than this: a copied example, where the table has repositories
+MAP_BITS = 26       # bits of a hash that the bitmap of named values keeps (8 MiB)
+PAGE_BITS = 13
+SMALL_ROWS = 100_000    # rows with live spans that may be broadcast
 
 _any_case = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in k) for k in KEYWORDS)
 _ASSIGN = re.compile(rf"({_any_case})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_BARE = re.compile(r"[A-Za-z0-9+/_-]+")
+_BARE = re.compile(r"[A-Za-z0-9+/_.=-]+")
 
 # A text without any of these byte strings has no assign and no access match.
 _HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key", b"akia")
@@ -57,8 +64,8 @@ def _members(chars: str) -> np.ndarray:
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _IS_HEX = _members("0123456789abcdef")
-_IS_DIGIT = _members("0123456789")
-_IS_BARE = _members(_LETTERS + "0123456789+/_-")
+_IS_BARE = _members(_LETTERS + "0123456789+/_.=-")
+_IS_END = _members(".=")
 
 _FOUND = ArrayType(StructType([
     StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType()),
@@ -66,29 +73,34 @@ _FOUND = ArrayType(StructType([
 
 
 def _value(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()[:32]
-
-
-def find(text: str) -> list[tuple]:
-    """(kind, start, end, start of the value, hash of the value), by start."""
-    out = [("assign", *m.span(), m.start(2), _value(m[2])) for m in _ASSIGN.finditer(text)
-           if m.end(2) - m.start(2) >= MIN_VALUE]
-    out += [("access", *m.span(), m.start(), _value(m[0])) for m in _ACCESS.finditer(text)
-            if m.end() - m.start() >= MIN_ACCESS]
-    out += [("hex", *m.span(), m.start(), _value(m[0])) for m in _HEX.finditer(text)
-            if m.end() - m.start() >= MIN_HEX]
-    out.sort(key=lambda x: (x[1], KINDS.index(x[0])))
+    return hashlib.sha256(text.rstrip(".=").encode()).hexdigest()[:32]
+
+
+def _named(text: str) -> list[tuple]:
+    """(kind, start, end, start of the value, value) of the base matches, by start."""
+    out = [("assign", *m.span(), m.start(2), m[2]) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_VALUE]
+    out += [("access", *m.span(), m.start(), m[0]) for m in _ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
+    out += [("hex", *m.span(), m.start(), m[0]) for m in _HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
+    return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
+
+
+def find(text: str, wanted=frozenset()) -> list[tuple]:
+    """(kind, start, end, start of the value, hash of the value), by start:
+    base matches, and bare tokens among ``wanted`` that lie outside them."""
+    out = _named(text)
     taken = sorted((a, b) for _, a, b, _, _ in out)
     bare, k = [], 0
-    for m in _BARE.finditer(text):
-        a, b = m.span()
-        if b - a < MIN_BARE or not (re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])):
-            continue
+    for m in _BARE.finditer(text) if wanted else ():
+        token, a = m[0].rstrip(".="), m.start()
+        last = a + token.rfind("=") + 1
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if not any(s < b and e > a for s, e in taken[k:k + 3]):
-            bare.append(("reuse", a, b, a, _value(m[0])))
-    return sorted(out + bare, key=lambda x: (x[1], KINDS.index(x[0])))
+        for start in (a, last) if last > a else (a,):
+            value, end = token[start - a:], a + len(token)
+            if value in wanted and not any(s < end and e > start for s, e in taken[k:k + 3]):
+                bare.append(("reuse", start, end, start, value))
+                break
+    return sorted([(*x, _value(v)) for *x, v in out + bare], key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 def _runs(mask: np.ndarray, offs: np.ndarray, least: int):
@@ -104,13 +116,10 @@ def _runs(mask: np.ndarray, offs: np.ndarray, least: int):
 
 
 def _suspects(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Rows that may hold a match (no row with a match is missed)."""
+    """Rows that may hold a base match (no row with one is missed)."""
     if not len(data):
         return np.zeros(0, np.int64)
     at = [_runs(_IS_HEX[data], offs, MIN_HEX)[0]]
-    s, e = _runs(_IS_BARE[data], offs, MIN_BARE)
-    digit = np.concatenate([[0], np.cumsum(_IS_DIGIT[data])])
-    at.append(s[digit[e] > digit[s]])
     low = T.lower_ascii(data).tobytes()
     for hint in _HINTS:
         at.append(np.array([m.start() for m in re.finditer(re.escape(hint), low)], np.int64))
@@ -118,32 +127,84 @@ def _suspects(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(offs, at, "right") - 1)
 
 
-@F.arrow_udf(_FOUND)
-def _scan_udf(text: pa.Array) -> pa.Array:
-    counts, found = np.zeros(len(text), np.int64), []
-    for i, _, data, offs in T.text_slices(text):
-        for r in _suspects(data, offs):
-            got = find(data[offs[r]:offs[r + 1]].tobytes().decode())
-            counts[i + r] = len(got)
-            found += got
-    names = ["kind", "start", "end", "value_start", "value"]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-    items = pa.StructArray.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(kinds)], names)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), items)
+def _tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the bare tokens, and of what follows a last ``=``."""
+    s, e = _runs(_IS_BARE[data], offs, MIN_BARE)
+    if not len(s):
+        return s, e
+    place = np.arange(len(data))
+    e = np.maximum(np.maximum.accumulate(np.where(_IS_END[data], -1, place))[e - 1] + 1, s)
+    last = np.maximum.accumulate(np.where(data == 61, place, -1))[np.maximum(e - 1, 0)] + 1
+    inner = last > s
+    s, e = np.concatenate([s, last[inner]]), np.concatenate([e, e[inner]])
+    long = e - s >= MIN_BARE
+    return s[long], e[long]
 
 
-_scan_udf = _scan_udf.asNondeterministic()
+def _slots(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def named_values(docs: DataFrame, text_col="text") -> np.ndarray:
+    """Bitmap (2 ** MAP_BITS bits) of the hashes of all values that any text
+    names; at most 2 ** (MAP_BITS - PAGE_BITS) pages come to the driver."""
+    def mark(batches):
+        marked = np.zeros(1 << MAP_BITS, bool)
+        for b in batches:
+            for _, _, data, offs in T.text_slices(b.column("text")):
+                values = [v.rstrip(".=").encode() for r in _suspects(data, offs)
+                          for *_, v in _named(data[offs[r]:offs[r + 1]].tobytes().decode())]
+                if values:
+                    ends = np.cumsum([len(v) for v in values])
+                    flat = np.frombuffer(b"".join(values), np.uint8)
+                    marked[_slots(T.hash_spans(flat, np.concatenate([[0], ends[:-1]]), ends))] = True
+        pages = np.packbits(marked).reshape(-1, 1 << (PAGE_BITS - 3))
+        used = np.flatnonzero(pages.any(1))
+        yield pa.RecordBatch.from_pydict({"page": pa.array(used, pa.int32()), "bits": pa.array([pages[k].tobytes() for k in used], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        bits = np.bitwise_or.reduce([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("bits")])
+        return pa.table({"page": table.column("page").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    batch_rows(docs.sparkSession)
+    schema = "page int, bits binary"
+    out = np.zeros((1 << (MAP_BITS - PAGE_BITS), 1 << (PAGE_BITS - 3)), np.uint8)
+    texts = docs.select(F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
+    for r in texts.mapInArrow(mark, schema).groupBy("page").applyInArrow(add, schema).toLocalIterator():
+        out[r["page"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def _scan_udf(bitmap):
+    def scan(text: pa.Array) -> pa.Array:
+        bits, counts, found = bitmap.value, np.zeros(len(text), np.int64), []
+        for i, _, data, offs in T.text_slices(text):
+            s, e = _tokens(data, offs)
+            at = _slots(T.hash_spans(data, s, e))
+            hit = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+            wanted = {}
+            for r, a, b in zip((np.searchsorted(offs, s[hit], "right") - 1).tolist(), s[hit].tolist(), e[hit].tolist(), strict=True):
+                wanted.setdefault(r, set()).add(data[a:b].tobytes().decode())
+            for r in sorted({*_suspects(data, offs).tolist(), *wanted}):
+                got = find(data[offs[r]:offs[r + 1]].tobytes().decode(), wanted.get(r, ()))
+                counts[i + r] = len(got)
+                found += got
+        names = ["kind", "start", "end", "value_start", "value"]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        items = pa.StructArray.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate(kinds)], names)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), items)
+    return F.arrow_udf(scan, _FOUND).asNondeterministic()
 
 
 def candidates(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col: str | None = None) -> DataFrame:
     """One row per input row: rid, id, owner, repo, found (written once).
     Without ``repo_col`` every id is a repository of its own, of any number of
     which one owner may hold a value."""
-    batch_rows(docs.sparkSession)
+    bitmap = docs.sparkSession.sparkContext.broadcast(named_values(docs, text_col))      # 8 MiB
     return cut(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
                            F.col(owner_col).cast("string").alias("owner"), F.col(repo_col or id_col).cast("string").alias("repo"),
                            F.lit(_repos(repo_col, id_col)).alias("has_repos"),
-                           F.xxhash64(text_col).alias("text_hash"), _scan_udf(F.col(text_col)).alias("found")), "secrets")
+                           F.xxhash64(text_col).alias("text_hash"), _scan_udf(bitmap)(F.col(text_col)).alias("found")), "secrets")
 
 
 def _repos(repo_col: str | None, id_col: str) -> bool:
@@ -205,14 +266,18 @@ def _mask_udf(text: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
 def mask_live(docs: DataFrame, id_col="doc_id", text_col="text", owner_col="source", repo_col: str | None = None,
               length_col: str | None = None, **bounds) -> DataFrame:
     """``docs`` with the value of each live-looking secret, and of each reuse
-    of one, replaced; copied examples and texts without a secret stay.  Only
-    rows with a live span are joined to their spans; the rest are not moved
-    unless the join needs it.  ``length_col`` is set to the new length."""
+    of one, replaced; copied examples and texts without a secret stay.  The
+    spans of at most SMALL_ROWS rows with a live span are broadcast, so the texts
+    are not moved; those of more are joined by id and text.  ``length_col`` is
+    set to the new length."""
     cols = docs.columns
     cands = candidates(docs, id_col, text_col, owner_col, repo_col)
     live = (judged(cands, **bounds).select("id", "text_hash", F.filter("spans", lambda s: s["live"]).alias("_spans"))
             .where(F.size("_spans") > 0).dropDuplicates(["id", "text_hash"])
             .select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans"))
+    live = cut(live, "live")
+    if live.count() <= SMALL_ROWS:
+        live = F.broadcast(live)
     keyed = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(cols)])
     c = {name: f"c{k}" for k, name in enumerate(cols)}
     out = keyed.join(live, F.col(c[id_col]).eqNullSafe(F.col("_id")) & (F.xxhash64(c[text_col]) == F.col("_hash")), "left")

@@ -106,3 +106,27 @@ def test_one_owner_with_many_documents_is_live(spark):
     repos = df.withColumn("repo", F.concat(F.lit("r"), F.col("doc_id")))
     live = {r["id"]: [s["live"] for s in r["spans"]] for r in S.judged(S.candidates(repos, repo_col="repo")).collect()}
     assert live[0] == [False] and live[100] == [True]
+
+
+def test_short_and_padded_values_are_found_bare(spark):
+    """Values of six characters on, with full stops and padding; words that
+    many owners use bare stay although one text names them."""
+    rows = [(1, "password = Zx9kQ2pL", "a"), (2, "see Zx9kQ2pL.", "a"), (3, "k=Zx9kQ2pL now", "a"), (4, "xZx9kQ2pL Zx9kQ2pLx", "a"),
+            (5, "token: abcd1234efgh5678.ijkl==", "b"), (6, "(abcd1234efgh5678.ijkl==), abcd1234efgh5678.ijkl", "b"),
+            (7, "secret=letters", "c"), *[(20 + k, "few letters here", f"o{k}") for k in range(4)],
+            (8, "secret=abc12", "a"), (9, "abc12 abc12", "a"), (10, "====" * 50_000 + " Zx9kQ2pL", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in S.mask_live(df).collect()}
+    assert got[1] == "password = [SECRET]" and got[2] == "see [SECRET]." and got[3] == "k=[SECRET] now"
+    assert got[4] == rows[3][1] and got[10].endswith(" [SECRET]")
+    assert got[6] == "([SECRET]==), [SECRET]" and got[5].startswith("token: [SECRET]")
+    assert got[7] == "secret=letters" and got[20] == "few letters here" and got[9] == "abc12 abc12"
+
+
+def test_bitmap_marks_every_named_value(spark):
+    texts = [f"password=val{k:05d}x" for k in range(3000)]
+    bits = S.named_values(spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(3))
+    values = [t.split("=")[1].encode() for t in texts]
+    ends = S.np.cumsum([len(v) for v in values])
+    at = S._slots(S.T.hash_spans(S.np.frombuffer(b"".join(values), S.np.uint8), S.np.concatenate([[0], ends[:-1]]), ends))
+    assert all(S.np.unpackbits(bits)[at]) and S.np.unpackbits(bits).sum() == len(set(at.tolist()))
