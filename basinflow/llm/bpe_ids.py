@@ -5,13 +5,15 @@ The vocabulary's split pattern
     's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
 
 is applied to a batch at once by character class.  Its pieces repeat often, so
-the ids of a piece are looked up by hash, and the tokenizer library is asked
-only for pieces that this worker has not met.
+the ids of a piece are looked up by hash, and the ``tokenizers`` library is
+asked only for pieces that this worker has not met.  A text that holds one of
+the vocabulary's added tokens (such as ``<|endoftext|>``) goes to the library
+whole, which cuts these out before it splits.
 """
 
 from __future__ import annotations
 
-import base64
+import os
 import unicodedata
 
 import numpy as np
@@ -98,12 +100,10 @@ class Encoder:
     """Ids of each document of a batch; one a worker, kept between batches."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bpe = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                     special_tokens={})
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")      # Spark's tasks share the cores
+        from tokenizers import Tokenizer
+        self.bpe = Tokenizer.from_file(path)
+        self.added = [t.content.encode() for t in self.bpe.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self):
@@ -112,7 +112,7 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
 
     def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [self.bpe.encode_ordinary(p) for p in pieces]
+        got = [x.ids for x in self.bpe.encode_batch(pieces, add_special_tokens=False)]
         size = np.array([len(g) for g in got], np.int64)
         flat = np.array([i for g in got for i in g], np.int32)
         while self.used + len(flat) > len(self.pool):
@@ -124,6 +124,17 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch, and how many each document has."""
+        ids, n = self._encode(data, offs)
+        raw = data.tobytes()
+        if not any(t in raw for t in self.added):
+            return ids, n
+        each = np.split(ids, np.cumsum(n)[:-1])
+        for k, (i, j) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
+            if any(t in raw[i:j] for t in self.added):
+                each[k] = np.array(self.bpe.encode(raw[i:j].decode(), add_special_tokens=False).ids, np.int32)
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def _encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self.used > POOL_IDS:
             self._clear()
         s, e = split(data, offs)

@@ -28,12 +28,16 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def byte_bpe_path() -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+# Residual tokens decide; residual documents and attention cost break ties.
+PACK_WEIGHTS = (1.0, 0.1, 0.1)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(read_table(spark, sf_dir, "documents"), byte_bpe_path())
-    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(pieces, weights=PACK_WEIGHTS).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 # Production mixture: shares of tokens by source, language and topic group.

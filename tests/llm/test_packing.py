@@ -18,9 +18,7 @@ DOCS = "doc_id long, text string, length string, rid int"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_ids_equal_the_tokenizer_library(tokenizer):
