@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basinflow.llm import jaccard_join, mixing, packing, quality_rules, secret_scan
-from basinflow.llm.queries import MIX_FRACTION, MIX_TARGETS, MIX_TOPICS, byte_bpe_path
+from basinflow.llm.queries import MIX_FRACTION, MIX_TARGETS, MIX_TOPICS, PACK_WEIGHTS, byte_bpe_path
 from basinflow.llm.store import cut, read_table
 
 
@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every document, placed in sequences of 1024 tokens."""
-    return packing.pack(packing.token_pieces(docs, byte_bpe_path()))
+    return packing.pack(packing.token_pieces(docs, byte_bpe_path()), weights=PACK_WEIGHTS)
 
 
 STAGES = [
