@@ -79,6 +79,8 @@ def _stretched(zeros, ones) -> np.ndarray:
     return np.clip(np.rint(odds * UNIT), -127, 127).astype(np.int8)
 
 
+SMALL_COUNT = 256           # counts below it are looked up: by those for, then those against
+_SMALL = _stretched(np.arange(SMALL_COUNT)[None, :], np.arange(SMALL_COUNT)[:, None]).ravel()
 GATES = 8 * (len(ORDERS) + 1)
 
 
@@ -253,30 +255,39 @@ def _ask_codes(code: np.ndarray, often: np.ndarray, buckets: int):
         yield k, _packed(_planes(keys[i:j].astype("<u8")) + _planes(times[i:j]))
 
 
-def _predictions(keys: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """For sorted distinct keys with all the keys of their contexts: the eight
-    bits' stretched predictions, and what they lose without one occurrence of
-    the key (16 rows)."""
-    out = np.zeros((16, len(keys)), np.int8)
-    if not len(keys):
-        return out
-    for bit in range(8):
+def _node_counts(keys: np.ndarray, total: np.ndarray, kind: str) -> np.ndarray:
+    """For sorted distinct keys with all the keys of their contexts: how often
+    the context was met, and with each further bit of the symbol (9 rows)."""
+    out = np.zeros((9, len(keys)), kind)
+    for bit in range(9 if len(keys) else 0):
         node = keys >> np.uint64(8 - bit)
         new = node[1:] != node[:-1]
         first = np.flatnonzero(np.concatenate([[True], new]))
-        run = np.cumsum(np.concatenate([[0], new]))
-        one = ((keys >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-        ones = np.add.reduceat(total * one, first)[run]
-        zeros = np.add.reduceat(total, first)[run] - ones
-        out[bit] = _stretched(zeros, ones)
-        out[8 + bit] = _stretched(np.maximum(zeros - (1 - one), 0), np.maximum(ones - one, 0)) - out[bit]
+        out[bit] = np.add.reduceat(total, first)[np.cumsum(np.concatenate([[0], new]))]
     return out
 
 
+def _predictions(keys: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight bits' stretched predictions of keys whose nodes were ``met`` so
+    often, and those without one occurrence of the key."""
+    full, apart = np.zeros((8, len(keys)), np.int8), np.zeros((8, len(keys)), np.int8)
+    for bit in range(8):
+        taken = met[bit + 1].astype(np.int64)
+        other = met[bit].astype(np.int64) - taken
+        one = ((keys >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
+        for out, took in ((full, taken), (apart, np.maximum(taken - 1, 0))):
+            small = (took < SMALL_COUNT) & (other < SMALL_COUNT)
+            odds = _SMALL[np.where(small, took * SMALL_COUNT + other, 0)]
+            large = np.flatnonzero(~small)
+            odds[large] = _stretched(other[large], took[large])
+            out[bit] = np.where(one, odds, -odds)
+    return full, apart
+
+
 def _code_counts(blobs: list[bytes]) -> list[bytes]:
     """For each chunk's keys: a bit that says that no other chunk asked for a
-    key of the context (the chunk then knows all its counts itself), and the
-    predictions of the other keys."""
+    key of the context (the chunk then knows all its counts itself), and how
+    often the nodes of the other keys were met, as what each further bit loses."""
     blobs = [_expanded(x) for x in blobs]
     n = [len(x) // 12 for x in blobs]
     keys = np.concatenate([_unplanes(x, "<u8", k) for x, k in zip(blobs, n, strict=True)])
@@ -288,37 +299,42 @@ def _code_counts(blobs: list[bytes]) -> list[bytes]:
     some[context] = chunk
     shared = np.bincount(context, some[context] != chunk, len(distinct)) > 0
     asked = shared[context]
-    wanted = np.zeros(len(distinct), bool)
-    wanted[inv[asked]] = True
     total = np.bincount(inv, times, len(distinct)).astype(np.int64)
-    got = np.zeros((16, len(distinct)), np.int8)
-    got[:, wanted] = _predictions(distinct[wanted], total[wanted])
-    cuts = np.cumsum(n)[:-1]
-    return [_packed(np.packbits(x).tobytes() + got[:, k[x]].tobytes())
+    kind = "<u4" if total.sum() < 1 << 32 else "<u8"
+    met = _node_counts(distinct, total, kind)
+    met[:-1] -= met[1:]
+    cuts, size = np.cumsum(n)[:-1], np.dtype(kind).itemsize.to_bytes(1, "little")
+    return [_packed(size + np.packbits(x).tobytes() + b"".join(_planes(row[k[x]]) for row in met))
             for x, k in zip(np.split(asked, cuts), np.split(inv, cuts), strict=True)]
 
 
 class Known:
-    """A chunk's codes with the answered predictions of every order and bit."""
+    """A chunk's codes with the predictions of every order and bit, from the
+    answered counts."""
 
     def __init__(self, note, replies, sizes, buckets: int):
         note = _expanded(note)
         n = len(note) // 12
         self.code, self.times = _unplanes(note, "<u8", n), _unplanes(note, "<u4", n, 8 * n)
         keys, bucket, self.at = _keys(self.code, buckets)
-        got, own, i = np.zeros((16, len(keys)), np.int8), np.ones(len(keys), bool), 0
+        own, i = np.ones(len(keys), bool), 0
+        full, rest = np.zeros((8, len(keys)), np.int8), np.zeros((8, len(keys)), np.int8)
         for (_, a, b), size in zip(X.by_bucket(bucket), sizes, strict=True):
-            x = np.frombuffer(_expanded(replies[i:i + size]), np.uint8)
-            head = -(-(b - a) // 8)
-            asked = a + np.flatnonzero(np.unpackbits(x[:head], count=b - a))
+            x = _expanded(replies[i:i + size])
+            head = 1 + -(-(b - a) // 8)
+            asked = a + np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8, head - 1, 1), count=b - a))
+            n, kind = len(asked), f"<u{x[0]}"
+            met = np.array([_unplanes(x, kind, n, head + row * n * x[0]) for row in range(9)])
+            met = np.cumsum(met[::-1], 0, dtype=kind)[::-1]
+            full[:, asked], rest[:, asked] = _predictions(keys[asked], met)
             own[asked] = False
-            got[:, asked] = x[head:].view(np.int8).reshape(16, -1)
             i += size
         own = np.flatnonzero(own)
         own = own[np.argsort(keys[own], kind="stable")]
-        got[:, own] = _predictions(keys[own], _key_times(self.at, self.times, len(keys))[own])
-        self.all = np.ascontiguousarray(got[:8].T).view(np.uint64).ravel()
-        self.rest = np.ascontiguousarray((got[:8] + got[8:]).T).view(np.uint64).ravel()
+        met = _node_counts(keys[own], _key_times(self.at, self.times, len(keys))[own], "<i8")
+        full[:, own], rest[:, own] = _predictions(keys[own], met)
+        self.all = np.ascontiguousarray(full.T).view(np.uint64).ravel()
+        self.rest = np.ascontiguousarray(rest.T).view(np.uint64).ravel()
 
     def _of(self, packed, part):
         st = np.stack([packed[x[part]] for x in self.at]).view(np.int8).reshape(len(ORDERS), -1, 8)
@@ -415,7 +431,7 @@ def _word_counts(blobs: list[bytes]) -> list[bytes]:
 
 
 def _answer(asked: DataFrame, buckets: int) -> DataFrame:
-    """Word counts (buckets below ``buckets``) and predictions of codes (the
+    """Word counts (buckets below ``buckets``) and node counts of codes (the
     others) for each chunk; one row of chunk -1 a word bucket with its distinct
     training words and their total; a chunk's notes pass."""
     def respond(table: pa.Table) -> pa.Table:
