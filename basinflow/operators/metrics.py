@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .selection import lower_median
+
 EPS = 1e-6  # epsilon of the reference's metric formulas
 
 
@@ -92,16 +94,13 @@ def batch_means(scored: DataFrame, batch_col: str = "batch_id") -> DataFrame:
 
 
 def mean_of_batches(per_batch: DataFrame) -> DataFrame:
-    """Mean batch loss and the lower medians of the batch means."""
-    return per_batch.agg(nan_median_col("mean_kge").alias("median_kge"), nan_median_col("mean_nse").alias("median_nse"),
+    """Mean batch loss and the lower medians of the batch means.
+    ``per_batch`` is read once a pass of the selection: give a written table."""
+    medians = [lower_median(per_batch, c) for c in ("mean_kge", "mean_nse")]
+    return per_batch.agg(*[F.lit(m).cast("double").alias(c) for m, c in zip(medians, ("median_kge", "median_nse"), strict=True)],
                          F.avg("loss").alias("avg_loss"))
 
 
-def nan_median_col(value: str) -> Column:
-    """A15 as an aggregate expression: lower median, NaN/NULL skipped."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY nanvl(`{value}`, NULL))")
-
-
 def nan_median(df: DataFrame, value: str, out: str | None = None) -> DataFrame:
-    """Lower median (``percentile_disc(0.5)``), NaN/NULL skipped."""
-    return df.agg(nan_median_col(value).alias(out or f"median_{value}"))
+    """Lower median, NaN/NULL skipped, one row (NULL without a value)."""
+    return df.sparkSession.range(1).select(F.lit(lower_median(df, value)).cast("double").alias(out or f"median_{value}"))

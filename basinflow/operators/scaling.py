@@ -26,6 +26,42 @@ def fit_scaler(df: DataFrame, features: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(features)}, {stack}) AS (feature, mean, std)")
 
 
+def partial_moments(df: DataFrame, features: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """A8 in parts: (``by``..., feature, n, mean, m2) of the rows given, m2 being
+    the sum of squared distances from the mean.  Parts of a sample set, such as
+    its written chunks or its gauges, merge into the statistics of the whole."""
+    aggs = []
+    for c in features:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), (F.var_pop(x) * F.count(x)).alias(f"{c}__m2")]
+    stack = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__m2`" for c in features)
+    return df.groupBy(*by).agg(*aggs).selectExpr(*by, f"stack({len(features)}, {stack}) AS (feature, n, mean, m2)")
+
+
+def merge_moments(parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(``by``..., feature, n, mean, m2, std) of all parts together.
+
+    Parts are combined by their counts and their distances from the common
+    mean, which loses nothing to cancellation; a part without values (n = 0)
+    adds nothing.  One pass adds up the means, one the distances."""
+    keys = [*by, "feature"]
+    some = parts.where("n > 0")
+    whole = some.groupBy(*keys).agg(F.sum("n").alias("_n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    apart = some.join(whole, keys).groupBy(*keys, "_n", "_mean").agg(
+        F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("_mean"), 2)).alias("m2"))
+    found = apart.select(*keys, F.col("_n").alias("n"), F.col("_mean").alias("mean"), "m2",
+                         F.sqrt(F.col("m2") / F.col("_n")).alias("std"))
+    # A feature without any value keeps its row, like an aggregate over nothing.
+    return parts.select(*keys).distinct().join(found, keys, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def packed_moments(packed: DataFrame, features: list[str], by: tuple[str, ...] = ("split",)) -> DataFrame:
+    """``partial_moments`` of packed samples (``dynamic_inputs``, ``targets``)."""
+    z = packed.select(*by, F.explode(F.arrays_zip(F.col("dynamic_inputs").alias("x"), F.col("targets").alias("y"))).alias("e"))
+    rows = z.select(*by, *[F.col("e.x")[i].alias(f) for i, f in enumerate(features)], F.col("e.y").alias("target"))
+    return partial_moments(rows, [*features, "target"], by)
+
+
 def fit_static_scaler(static: DataFrame, col: str = "features") -> DataFrame:
     """Per-position nan-mean / nan-std over gauges."""
     e = static.select(F.posexplode(col).alias("idx", "x"))

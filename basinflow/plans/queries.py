@@ -693,9 +693,20 @@ def _accepted_mixed(f: Fixtures, split: str | None = None) -> DataFrame:
     return smp.apply_scope(mixed_steps(f, split=split), "sample")
 
 
-def _mixed_scaler(f: Fixtures) -> DataFrame:
-    from ..operators.scaling import fit_scaler
-    return fit_scaler(_accepted_mixed(f, "train"), DYN_FEATURES + ["target"])
+def _written_mixed(f: Fixtures) -> DataFrame:
+    """The accepted samples of every split, built once and written by split."""
+    from ..sinks.writers import write_partitioned
+    from ..sources.readers import read_partitioned
+    path = f.scratch_path("mixed_by_split")
+    write_partitioned(_accepted_mixed(f).select("basin_id", "split", "issue_date", "step", *DYN_FEATURES, "target"), path, ("split",))
+    return read_partitioned(f.spark, path)
+
+
+def _mixed_scaler(samples: DataFrame) -> DataFrame:
+    """Train statistics, merged from those of each gauge."""
+    from ..operators.scaling import merge_moments, partial_moments
+    train = samples.where(F.col("split") == "train")
+    return merge_moments(partial_moments(train, DYN_FEATURES + ["target"], ("basin_id",)))
 
 
 @register("fit_scaler", with_views(
@@ -706,7 +717,7 @@ def _mixed_scaler(f: Fixtures) -> DataFrame:
     "gauges", "flow", "obs", "fcst", extra=_MIX))
 def q_fit_scaler(spark, sf_dir):
     """Train-only per-feature mean and population std (samples x time)."""
-    s = _mixed_scaler(Fixtures(spark, sf_dir))
+    s = _mixed_scaler(_accepted_mixed(Fixtures(spark, sf_dir), "train"))
     return s.select("feature", r4("mean"), r4("std"))
 
 
@@ -737,7 +748,8 @@ def q_normalize(spark, sf_dir):
     from ..operators.scaling import apply_normalize
     f = Fixtures(spark, sf_dir)
     feats = DYN_FEATURES + ["target"]
-    n = apply_normalize(_accepted_mixed(f), _mixed_scaler(f), feats)
+    samples = _written_mixed(f)
+    n = apply_normalize(samples, _mixed_scaler(samples), feats)
     return n.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
                     *[rnd(f"{c}_n", 6).alias(f"{c}_n") for c in feats])
 
@@ -753,8 +765,9 @@ def q_denormalize(spark, sf_dir):
     from ..operators.scaling import apply_denormalize, apply_normalize, scaler_params
     f = Fixtures(spark, sf_dir)
     feats = DYN_FEATURES + ["target"]
-    params = scaler_params(_mixed_scaler(f))
-    n = apply_normalize(_accepted_mixed(f), params, feats)
+    samples = _written_mixed(f)
+    params = scaler_params(_mixed_scaler(samples))
+    n = apply_normalize(samples, params, feats)
     n = n.select("basin_id", "split", "issue_date", "step", *[F.col(f"{c}_n").alias(c) for c in feats])
     d = apply_denormalize(n, params, feats)
     return d.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
@@ -1003,7 +1016,9 @@ def q_metric_means(spark, sf_dir):
 def q_nan_median(spark, sf_dir):
     """A15 (+A14): lower nan-median of batch means; mean of batch losses."""
     from ..operators.metrics import mean_of_batches
-    b = mean_of_batches(_per_batch(Fixtures(spark, sf_dir)))
+    from ..sinks.tables import materialize
+    f = Fixtures(spark, sf_dir)
+    b = mean_of_batches(materialize(_per_batch(f), f.scratch_path("per_batch")))      # read once a pass
     return b.select(rnd("median_kge", 6).alias("median_kge"), rnd("median_nse", 6).alias("median_nse"),
                     rnd("avg_loss", 8).alias("avg_loss"))
 
@@ -1248,6 +1263,46 @@ def q_batch_files(spark, sf_dir):
     return resume_state(read_batches(spark, path), ["train", "validation", "test", "holdout"])
 
 
+@register("resumable_batches", REGISTRY["assign_batches"][1])
+def q_resumable_batches(spark, sf_dir):
+    """Batches written in logged chunks; the first run ends after two
+    chunks, the second writes the rest, and the whole equals one full write."""
+    from ..sinks.chunked import read_chunks, write_chunks
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("chunked_batches")
+    keys = f.flow.select(F.col("gauge_id").alias("basin_id"))
+
+    def build(chunk):
+        st = smp.target_steps(f.flow.where(chunk.holds("gauge_id")), MIXED_BLOCKS, 5).where(F.col("reason").isNull())
+        return (st.groupBy("basin_id", "block", "split", "issue_date").agg(F.count(F.lit(1)).alias("n"))
+                .select("basin_id", "split", iso_date("issue_date").alias("forecast_date")))
+
+    for limit in (2, None):
+        write_chunks(spark, path, keys, build, 200, chunks=4, limit=limit)
+    return read_chunks(spark, path).select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch", "file_name")
+
+
+@register("chunk_scaler", REGISTRY["fit_scaler"][1])
+def q_chunk_scaler(spark, sf_dir):
+    """A8 + K1: packed samples written in logged chunks, and the train scaler
+    merged from the moments in the log."""
+    from ..operators.scaling import merge_moments, packed_moments
+    from ..sinks.chunked import chunk_moments, write_chunks
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("chunked_samples")
+    cand = mixed_candidates(f)
+
+    def build(chunk):
+        steps = smp.mixed_steps(f.flow.where(chunk.holds("gauge_id")), f.obs.where(chunk.holds("basin_id", "camels_")),
+                                f.fcst.where(chunk.holds("basin_id", "camels_")), cand.where(chunk.holds("basin_id")), MIXED_BLOCKS, 5)
+        steps = smp.apply_scope(steps, "sample").withColumn("forecast_date", iso_date("issue_date"))
+        return smp.pack_samples(steps, DYN_FEATURES)
+
+    write_chunks(spark, path, cand, build, 200, chunks=2, moments=lambda df: packed_moments(df, DYN_FEATURES))
+    s = merge_moments(chunk_moments(spark, path).where(F.col("split") == "train").drop("split"))
+    return s.select("feature", r4("mean"), r4("std"))
+
+
 @register("summary_csv", REGISTRY["run_summary"][1])
 def q_summary_csv(spark, sf_dir):
     """K4: the run summary written as CSV and read back."""

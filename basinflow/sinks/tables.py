@@ -51,6 +51,38 @@ def file_state(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
 
 
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all; it must be new."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".part")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, p):
+        raise OSError(f"could not create {path}")
+
+
+def small_files(spark: SparkSession, folder: str, prefix: str) -> dict[str, str]:
+    """Texts of the small ``.json`` files of a folder whose names begin so."""
+    if not path_exists(spark, folder):
+        return {}
+    fs, p = _fs(spark, folder)
+    io, found = spark.sparkContext._jvm.org.apache.commons.io.IOUtils, {}
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and name.endswith(".json"):
+            stream = fs.open(status.getPath())
+            try:
+                found[name] = io.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+    return found
+
+
 # Read DataFrames of immutable inputs, per session: a plan is reusable, and
 # re-reading Parquet footers for every query costs driver time.
 _READS: dict[tuple, DataFrame] = {}

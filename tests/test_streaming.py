@@ -63,3 +63,46 @@ def test_gauge_split_over_two_batches_is_rebuilt_whole(spark):
     n = incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt, max_files_per_trigger=1)
     assert n == 2
     assert read_partitioned(spark, out).count() == 106
+
+
+def test_a_batch_opens_only_its_gauges_files_and_builds_once(spark, monkeypatch):
+    from basinflow.streaming import incremental as I
+    root = tempfile.mkdtemp(prefix="bf-stream-", dir="/tmp")
+    obs = fc = None
+    for gauge in ("0005", "0006"):
+        flow, o, f, _ = mixed_inputs(spark, gauge=gauge)
+        obs, fc = (o, f) if obs is None else (obs.unionByName(o), fc.unionByName(f))
+        _land(flow, f"{root}/landing", gauge)
+    blocks = {"test": (str(T0), str(T0))}
+    out, ckpt, opened, built = f"{root}/out", f"{root}/ckpt", [], []
+    read, build = I.landed_flow, I.build_batch
+
+    def counting_read(spark, files):
+        opened.append(files)
+        df = read(spark, files)
+        assert sorted(x.removeprefix("file://") for x in df.inputFiles()) == sorted(x.removeprefix("file://") for x in files)
+        return df
+
+    monkeypatch.setattr(I, "landed_flow", counting_read)
+    monkeypatch.setattr(I, "build_batch", lambda *a: built.append(1) or build(*a))
+    incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt)
+    assert sum(len(x) for x in opened) == 2 and len(built) == 1
+    # Another file of one gauge: both its files are opened, the other gauge's is not.
+    (mixed_inputs(spark, gauge="0006")[0].limit(1).select("date", F.col("streamflow_cms").alias("streamflow"))
+     .coalesce(1).write.option("header", True).csv(f"{root}/landing/more/camels_0006"))
+    opened.clear()
+    incremental_build(spark, f"{root}/landing", obs, fc, blocks, out, ckpt)
+    assert len(opened) == 1 and len(opened[0]) == 2 and all("camels_0006" in x for x in opened[0]) and len(built) == 2
+    assert all(os.path.isdir(f"{out}/split=test/basin_id={g}") for g in ("0005", "0006"))
+    assert not os.path.isdir(f"{ckpt}/staged/epoch=0")
+
+
+def test_a_removed_file_is_no_part_of_the_record(spark):
+    from basinflow.streaming import incremental as I
+    root = tempfile.mkdtemp(prefix="bf-stream-", dir="/tmp")
+    batch = spark.createDataFrame([("0007", f"file://{root}/gone%20now.csv"), ("0007", f"file://{root}/is here.csv"), ("0008", "x")],
+                                  "gauge_id string, file string")
+    with open(f"{root}/is here.csv", "w") as f:
+        f.write("date,streamflow\n")
+    I.record_files(batch, f"{root}/state", 0)
+    assert I.files_of(batch.where("gauge_id = '0007'").select("gauge_id").distinct(), f"{root}/state") == [f"file://{root}/is here.csv"]
