@@ -53,6 +53,7 @@ RDB_NO_VALUE = (12, 11)
 RDB_SHORT = (3, 97)
 RDB_BAD_DATE = (5, 101)
 # CSV with gaps written as NaN: when (day + k) % 37 == 0.
+CSV_BAD = (41, 29, 37)          # days with a word for the date, for the value, and with a cut line
 CSV_NAN_MOD = 37
 # Daily line-item aggregates standing in for the weather variables.
 OBS_VARS = (("p", "precip"), ("t", "temp"), ("s", "net_solar"),
@@ -261,6 +262,23 @@ class Fixtures:
              .option("header", True).csv(path))
         return path
 
+    @cached_property
+    def flow_csv_damaged_dir(self) -> str:
+        """As ``flow_csv_dir``, with words for dates, words for values and cut
+        lines on some days."""
+        path = self._land_path("flow_csv_damaged")
+        if not committed(self.spark, path):
+            day = F.datediff("date", F.lit(ORIGIN)) + F.col("k")
+            date, value = F.col("date").cast("string"), F.col("streamflow_cms").cast("string")
+            line = (F.when(day % CSV_BAD[0] == 0, F.concat_ws(",", F.lit("no-date"), value))
+                    .when(day % CSV_BAD[1] == 0, F.concat_ws(",", date, F.lit("broken")))
+                    .when(day % CSV_BAD[2] == 0, date).otherwise(F.concat_ws(",", date, value)))
+            body = self.flow_dense.select(basin_key("gauge_id").alias("site"), F.col("date").alias("ord"), line.alias("value"))
+            head = body.select("site").distinct().select("site", F.lit("0001-01-01").cast("date").alias("ord"), F.lit("date,streamflow").alias("value"))
+            (head.unionByName(body).repartition("site").sortWithinPartitions("site", "ord").select("site", "value")
+             .write.mode("overwrite").partitionBy("site").text(path))
+        return path
+
     @cached_property
     def obs_path(self) -> str:
         _ = self.obs

@@ -1152,9 +1152,8 @@ def q_csv_flow(spark, sf_dir):
 def q_rdb_flow(spark, sf_dir):
     """Landed gauge-service text parsed by its format-code row; damaged
     lines and files without the columns are left out."""
-    from ..sources.readers import parse_rdb, read_rdb_text
-    f = Fixtures(spark, sf_dir)
-    p = parse_rdb(read_rdb_text(spark, f.rdb_dir))
+    from ..sources.readers import read_rdb
+    p = read_rdb(spark, Fixtures(spark, sf_dir).rdb_dir)
     return p.select(F.regexp_extract("file", r"camels_(\d+)", 1).alias("site_no"),
                     iso_date("date").alias("date"), rnd("streamflow_cms", 4).alias("streamflow_cms"))
 
@@ -1164,8 +1163,8 @@ def q_rdb_flow(spark, sf_dir):
     "COUNT(*) FILTER (WHERE damaged OR NOT has_columns) AS n_bad FROM rdb_lines GROUP BY gauge_id", "rdb_lines"))
 def q_rdb_checks(spark, sf_dir):
     """Per landed text file, required columns and unreadable lines."""
-    from ..sources.readers import rdb_checks, read_rdb_text
-    c = rdb_checks(read_rdb_text(spark, Fixtures(spark, sf_dir).rdb_dir))
+    from ..sources.readers import check_rdb
+    c = check_rdb(spark, Fixtures(spark, sf_dir).rdb_dir)
     return c.select(F.regexp_extract("file", r"camels_(\d+)", 1).alias("site_no"), "has_columns", "n_lines", "n_bad")
 
 
@@ -1184,6 +1183,24 @@ def q_csv_missing(spark, sf_dir):
                                     rnd(F.sum("streamflow"), 2).alias("total"))
 
 
+_CSV_BAD_SQL = (f"(SELECT *, date_diff('day', {fx._d(fx.ORIGIN)}, date) + k AS day FROM flow_dense)")
+_CSV_IS_BAD = " OR ".join(f"day % {m} = 0" for m in fx.CSV_BAD)
+
+
+@register("csv_checks", with_views(
+    f"SELECT gauge_id AS site_no, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE {_CSV_IS_BAD}) AS n_bad, "
+    f"0.0::DOUBLE + round(SUM(streamflow_cms) FILTER (WHERE NOT ({_CSV_IS_BAD})), 2) AS total FROM {_CSV_BAD_SQL} "
+    "GROUP BY gauge_id", "flow_dense"))
+def q_csv_checks(spark, sf_dir):
+    """Damaged lines of the per-gauge CSV files are counted and left
+    out; the others are read."""
+    from ..sources.readers import flow_csv_checks, read_flow_csv
+    path = Fixtures(spark, sf_dir).flow_csv_damaged_dir
+    checks = flow_csv_checks(spark, path).groupBy("site_no").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_bad").alias("n_bad"))
+    read = read_flow_csv(spark, path, "0001-01-01", "9999-12-31").groupBy("site_no").agg(rnd(F.sum("streamflow"), 2).alias("total"))
+    return checks.join(read, "site_no")
+
+
 @register("obs_scan", with_views(
     "SELECT basin_id, strftime(date, '%Y-%m-%d') AS date, " + ", ".join(osql.r4(c) for c in smp.WEATHER6)
     + " FROM obs WHERE date >= DATE '1996-01-01'", "obs"))

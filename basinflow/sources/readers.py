@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,13 +26,13 @@ FCST_SCHEMA = T.StructType([
     T.StructField("basin_id", T.StringType()), T.StructField("issue_date", T.DateType()),
     T.StructField("lead_days", T.IntegerType()), T.StructField("precip", T.FloatType()),
     T.StructField("temp", T.FloatType()), T.StructField("net_solar", T.FloatType())])
-FLOW_CSV_SCHEMA = "date DATE, streamflow DOUBLE"
 NAMES_SCHEMA = "gauge_id INT, gauge_name STRING"
 # Format codes that pick the columns of the gauge-service text,
 # and the period kept of the per-gauge CSV files.
 RDB_DATE_CODE = "20d"
 RDB_VALUE_CODE = "14n"
 FLOW_CSV_RANGE = ("1981-01-01", "2011-01-31")
+WHOLE_FILE_BYTES = 16 << 20      # text files up to this size are parsed whole, in one row
 
 
 def _nan_free(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -62,45 +62,110 @@ def read_forecast(spark: SparkSession, path: str, variables: list[str] | None =
     return _nan_free(df, variables)
 
 
+def flow_csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Every line of the per-gauge CSV files: site_no, file, date, streamflow,
+    and in ``damaged`` the line itself where it does not fit the schema (a field
+    that is no date or number, too few or too many fields), else NULL.
+
+    The site number comes from the ``camels_<id>`` part of each file's path."""
+    df = (spark.read.schema("date STRING, streamflow STRING, odd STRING").option("header", True)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "odd").csv(path))
+    file, date, flow = F.input_file_name(), F.col("date").try_cast("date"), F.col("streamflow").try_cast("double")
+    bad = F.col("odd").isNotNull() | date.isNull() | (F.col("streamflow").isNotNull() & flow.isNull())
+    line = F.coalesce("odd", F.concat_ws(",", F.coalesce("date", F.lit("")), F.coalesce("streamflow", F.lit(""))))
+    return df.select(F.regexp_extract(file, r"camels_(\d+)", 1).alias("site_no"), file.alias("file"), date.alias("date"),
+                     nan_to_null(flow).alias("streamflow"), F.when(bad, line).alias("damaged"))
+
+
 def read_flow_csv(spark: SparkSession, path: str, start: str = FLOW_CSV_RANGE[0],
                   end: str = FLOW_CSV_RANGE[1]) -> DataFrame:
-    """S3 (+P10, P16): one CSV per gauge, all read in one scan.
-
-    The site number comes from the ``camels_<id>`` part of each file's path.
-    """
-    df = (spark.read.schema(FLOW_CSV_SCHEMA).option("header", True).csv(path)
-          .withColumn("site_no", F.regexp_extract(F.input_file_name(), r"camels_(\d+)", 1)))
+    """S3 (+P10, P16): one CSV per gauge, all read in one scan; damaged lines
+    are left out (``flow_csv_checks`` counts them, ``flow_csv_damaged`` has them)."""
+    df = flow_csv_rows(spark, path).where(F.col("damaged").isNull())
     df = df.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     out = df.select("site_no", F.year("date").alias("year"), F.month("date").alias("month"),
-                    F.dayofmonth("date").alias("day"), nan_to_null("streamflow").alias("streamflow"))
+                    F.dayofmonth("date").alias("day"), "streamflow")
     return out.withColumn("datetime", date_from_parts("year", "month", "day"))
 
 
+def flow_csv_damaged(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine: site_no, file and text of each damaged line."""
+    return flow_csv_rows(spark, path).where(F.col("damaged").isNotNull()).select("site_no", "file", "damaged")
+
+
+def flow_csv_checks(spark: SparkSession, path: str) -> DataFrame:
+    """Per file its lines, how many are damaged, and how many of the others
+    have no value."""
+    bad = F.col("damaged").isNotNull()
+    return flow_csv_rows(spark, path).groupBy("site_no", "file").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count(F.when(bad, 1)).alias("n_bad"),
+        F.count(F.when(~bad & F.col("streamflow").isNull(), 1)).alias("n_missing"))
+
+
 _RDB_FORMAT = r"^\d+[sdn](\t\d+[sdn])*$"
 
 
+def _at(fields: Column) -> Column:
+    """Places of the date and value codes in a format row's fields."""
+    return F.named_struct(F.lit("d"), F.array_position(fields, RDB_DATE_CODE).cast("int"),
+                          F.lit("v"), F.array_position(fields, RDB_VALUE_CODE).cast("int"))
+
+
+def _rdb_fields(data: DataFrame, file_col: str) -> DataFrame:
+    """Data lines (``_f``) with the columns their file's format row (``_at``)
+    names: ``date`` and ``text`` are NULL where the line is short, the date is
+    no date, or the file names no such column."""
+    def field(at):
+        return F.when(at > 0, F.try_element_at("_f", at))
+
+    has = F.coalesce((F.col("_at.d") > 0) & (F.col("_at.v") > 0), F.lit(False))
+    return data.select(file_col, has.alias("has_columns"), field(F.col("_at.d")).try_cast("date").alias("date"),
+                       field(F.col("_at.v")).alias("text"))
+
+
 def _rdb_rows(lines: DataFrame, file_col: str) -> DataFrame:
-    """Data lines with the columns their file's format row names: ``date`` and
-    ``text`` are NULL where the line is short, the date is no date, or the file
-    names no such column."""
+    """``_rdb_fields`` of single lines, which meet their file's format row in a join."""
     body = lines.where(~F.col("value").startswith("#")).withColumn("_f", F.split("value", "\t"))
     is_fmt = F.col("value").rlike(_RDB_FORMAT)
-    fmt = (body.where(is_fmt).groupBy(file_col)
-           .agg(F.max(F.struct(F.array_position("_f", RDB_DATE_CODE).cast("int").alias("d"),
-                               F.array_position("_f", RDB_VALUE_CODE).cast("int").alias("v"))).alias("_at")))
+    fmt = body.where(is_fmt).groupBy(file_col).agg(F.max(_at(F.col("_f"))).alias("_at"))
     data = body.where(~is_fmt & ~F.col("value").startswith("agency_cd"))
-    j = data.join(fmt, file_col, "left")
+    return _rdb_fields(data.join(fmt, file_col, "left"), file_col)
 
-    def field(at):
-        return F.when(at > 0, F.try_element_at("_f", at))
 
-    has = F.coalesce((F.col("_at.d") > 0) & (F.col("_at.v") > 0), F.lit(False))
-    return j.select(file_col, has.alias("has_columns"), field(F.col("_at.d")).try_cast("date").alias("date"),
-                    field(F.col("_at.v")).alias("text"))
+def _whole_rdb_rows(files: DataFrame, file_col: str) -> DataFrame:
+    """``_rdb_fields`` of whole files (``value``): the format row is found and
+    applied where the file is read, so no line is moved."""
+    lines = F.split("value", "\r\n|\r|\n", -1)
+    lines = F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
+    body = files.select(file_col, F.filter(lines, lambda x: ~x.startswith("#")).alias("_lines"))
+    fmt = F.filter("_lines", lambda x: x.rlike(_RDB_FORMAT))
+    data = F.filter("_lines", lambda x: ~x.rlike(_RDB_FORMAT) & ~x.startswith("agency_cd"))
+    each = body.select(file_col, F.array_max(F.transform(fmt, lambda x: _at(F.split(x, "\t")))).alias("_at"), F.explode(data).alias("_line"))
+    return _rdb_fields(each.select(file_col, "_at", F.split("_line", "\t").alias("_f")), file_col)
+
+
+def rdb_rows(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Fields of all landed text files: those of at most ``max_bytes`` are read
+    whole, larger ones line by line (their lines meet the format row in a join)."""
+    size, file = F.col("_metadata.file_size"), F.input_file_name().alias("file")
+    whole = spark.read.text(path, wholetext=True).where(size <= max_bytes).select(file, "value")
+    lines = spark.read.text(path).where(size > max_bytes).select(file, "value")
+    return _whole_rdb_rows(whole, "file").unionByName(_rdb_rows(lines, "file"))
+
+
+def _rdb_flow(rows: DataFrame, file_col: str) -> DataFrame:
+    out = rows.where("has_columns").select(file_col, "date", nan_to_null(to_number("text")).alias("cfs")).dropna(subset=["cfs", "date"])
+    return out.select(file_col, "date", cfs_to_cms("cfs").alias("streamflow_cms"))
+
+
+def _rdb_checks(rows: DataFrame, file_col: str) -> DataFrame:
+    bad = ~F.col("has_columns") | F.col("date").isNull() | F.col("text").isNull()
+    return rows.groupBy(file_col).agg(F.max("has_columns").alias("has_columns"), F.count(F.lit(1)).alias("n_lines"),
+                                      F.count(F.when(bad, 1)).alias("n_bad"))
 
 
 def parse_rdb(lines: DataFrame, file_col: str = "file") -> DataFrame:
-    """S4 (+P6-P9, P15, X4): landed gauge-service text -> ``(file, date, streamflow_cms)``.
+    """S4 (+P6-P9, P15, X4): gauge-service text lines -> ``(file, date, streamflow_cms)``.
 
     Lines starting with ``#`` are comments; the first other line names the
     columns and the second gives format codes (``5s 15s 20d 14n 10s``), which
@@ -111,18 +176,23 @@ def parse_rdb(lines: DataFrame, file_col: str = "file") -> DataFrame:
     stop the others.  Unparsable values (``Ice``) become NULL and are dropped;
     cfs are converted to cubic metres per second.
     """
-    rows = _rdb_rows(lines, file_col).where("has_columns")
-    out = rows.select(file_col, "date", nan_to_null(to_number("text")).alias("cfs")).dropna(subset=["cfs", "date"])
-    return out.select(file_col, "date", cfs_to_cms("cfs").alias("streamflow_cms"))
+    return _rdb_flow(_rdb_rows(lines, file_col), file_col)
+
+
+def read_rdb(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``parse_rdb`` of landed files, read whole up to ``max_bytes`` each."""
+    return _rdb_flow(rdb_rows(spark, path, max_bytes), "file")
 
 
 def rdb_checks(lines: DataFrame, file_col: str = "file") -> DataFrame:
     """Per file, whether both required format codes are present, its
     data lines, and how many of them cannot be read (short, or no date)."""
-    bad = ~F.col("has_columns") | F.col("date").isNull() | F.col("text").isNull()
-    return _rdb_rows(lines, file_col).groupBy(file_col).agg(
-        F.max("has_columns").alias("has_columns"), F.count(F.lit(1)).alias("n_lines"),
-        F.count(F.when(bad, 1)).alias("n_bad"))
+    return _rdb_checks(_rdb_rows(lines, file_col), file_col)
+
+
+def check_rdb(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """``rdb_checks`` of landed files; only counts are moved."""
+    return _rdb_checks(rdb_rows(spark, path, max_bytes), "file")
 
 
 def read_rdb_text(spark: SparkSession, path: str) -> DataFrame:

@@ -137,3 +137,34 @@ def test_summary_csv_and_batch_labels(spark):
     row = df.select(batch_file_name("split", "b").alias("f")).select(
         "f", batch_number("f").alias("n")).collect()[0]
     assert (row.f, row.n) == ("train_data_batch00007", 7)
+
+
+def test_whole_rdb_files_equal_line_by_line_and_move_no_line(spark):
+    root = _tmp()
+    odd = {"camels_0303.rdb": "", "camels_0404.rdb": "# only comments\n", "camels_0505.rdb": RDB.replace("\n", "\r\n"),
+           "camels_0606.rdb": RDB + "\n", "camels_0707.rdb": RDB.rstrip("\n")}
+    for name, text in {"camels_0101.rdb": RDB, "camels_0202.rdb": RDB_NO_VALUE, **odd}.items():
+        with open(os.path.join(root, name), "w", newline="") as fh:
+            fh.write(text)
+
+    def seen(df):
+        return sorted((os.path.basename(r["file"]), *[str(x) for x in list(r)[1:]]) for r in df.collect())
+
+    lines = R.read_rdb_text(spark, root)
+    for limit in (0, 100, 1 << 20):                   # all by line, some, all whole
+        assert seen(R.read_rdb(spark, root, limit)) == seen(R.parse_rdb(lines))
+        assert seen(R.check_rdb(spark, root, limit)) == seen(R.rdb_checks(lines))
+    whole = R._whole_rdb_rows(spark.read.text(root, wholetext=True).select(F.input_file_name().alias("file"), "value"), "file")
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_damaged_csv_lines_are_counted_and_kept_apart(spark):
+    root = _tmp()
+    os.makedirs(f"{root}/site=camels_01")
+    with open(f"{root}/site=camels_01/a.csv", "w") as fh:
+        fh.write("date,streamflow\n2000-01-01,1.5\nno-date,2.0\n2000-01-03,broken\n2000-01-04\n2000-01-05,\n2000-01-06,NaN\n2000-01-07,3.0,9\n2000-01-08,4\n")
+    c = R.flow_csv_checks(spark, root).first()
+    assert (c.site_no, c.n_lines, c.n_bad, c.n_missing) == ("01", 8, 4, 2)
+    assert sorted(r.damaged for r in R.flow_csv_damaged(spark, root).collect()) == ["2000-01-03,broken", "2000-01-04", "2000-01-07,3.0,9", "no-date,2.0"]
+    assert R.flow_csv_checks(spark, root).select("n_bad").first()[0] == 4          # pruned columns do not hide damage
+    assert sorted((r.day, r.streamflow) for r in R.read_flow_csv(spark, root).collect()) == [(1, 1.5), (5, None), (6, None), (8, 4.0)]
