@@ -45,6 +45,7 @@ MAP_CELLS = 33               # cells of the probability map over the stretched p
 MAP_REACH = 8.0
 LEAST_P = 1 / 65536
 UNIT = 12
+LEVEL = 6                    # of the compression of what chunks and buckets send
 _NODE = np.uint64(0x9E3779B97F4A7C15)
 LOG10_2 = float(np.log10(2.0))
 
@@ -175,7 +176,7 @@ def _planes(x: np.ndarray) -> bytes:
 
 
 def _packed(b: bytes) -> bytes:
-    return len(b).to_bytes(4, "little") + pa.compress(b, "zstd", asbytes=True)
+    return len(b).to_bytes(4, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(b, asbytes=True)
 
 
 def _expanded(b) -> bytes:
@@ -451,7 +452,7 @@ def score(docs: DataFrame, training: Column, is_training, id_col="doc_id", text_
 
     ``training`` marks the training rows of ``docs``; ``is_training(ids)`` is
     the same rule over an array of ids (NO_ID for null)."""
-    c = X.chunked(docs, id_col, text_col, **sizes)
+    c = X.chunked(docs, id_col, text_col, packed=True, **sizes)
     buckets = c.buckets
 
     def ask(b: X.Batch):

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from basinflow.llm import textops as T
 from basinflow.llm.store import batch_rows
@@ -57,21 +58,39 @@ class Batch:
 
     def __init__(self, table: pa.Table):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        if pa.types.is_binary(table.schema.field("text").type):
+            table = table.set_column(table.schema.get_field_index("text"), "text", _unpacked(table.column("text")))
         self.chunk = table.column("chunk")[0].as_py() if len(table) else -1
         self.ids = table.column("doc_id")
         self.id = self.ids.fill_null(NO_ID).to_numpy().astype(np.int64)
         self.data, self.offs = T.text_buffers(table.column("text"))
 
 
+@F.arrow_udf(BinaryType())
+def _packed(text: pa.Array) -> pa.Array:
+    codec = pa.Codec("zstd", compression_level=3)
+    out = []
+    for x in text.cast(pa.large_binary()).to_pylist():
+        out.append(None if x is None else len(x).to_bytes(8, "little") + codec.compress(x, asbytes=True))
+    return pa.array(out, pa.binary())
+
+
+def _unpacked(col: pa.ChunkedArray) -> pa.ChunkedArray:
+    codec = pa.Codec("zstd")
+    rows = [None if x is None else codec.decompress(x[8:], int.from_bytes(x[:8], "little"), asbytes=True) for x in col.to_pylist()]
+    return pa.chunked_array([pa.array(rows, pa.large_binary()).cast(pa.large_string())])
+
+
 def chunked(docs: DataFrame, id_col="doc_id", text_col="text", chunk_bytes=CHUNK_BYTES,
-            bucket_bytes=BUCKET_BYTES) -> Chunked:
+            bucket_bytes=BUCKET_BYTES, packed: bool = False) -> Chunked:
     """Deal ``docs`` by a hash of id and text.  The numbers of chunks and
-    buckets follow the corpus, so that neither grows in size."""
+    buckets follow the corpus, so that neither grows in size.  ``packed`` texts
+    are compressed before they are moved."""
     batch_rows(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     chunks = max(1, math.ceil(total / chunk_bytes))
     dealt = docs.select(F.pmod(F.xxhash64(id_col, F.xxhash64(text_col)), F.lit(chunks)).cast("int").alias("chunk"),
-                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+                        F.col(id_col).cast("long").alias("doc_id"), (_packed(F.col(text_col)) if packed else F.col(text_col)).alias("text"))
     return Chunked(dealt.repartition(chunks, "chunk"), chunks, max(1, math.ceil(total / bucket_bytes)))
 
 
