@@ -141,13 +141,19 @@ class Mixer:
             got = got[:, :-1] * (rate * max(slow, 0.1) / np.maximum(here, 16))[:, None]
             self.weights[:, bit::8] += got[:, :-1].T / UNIT ** 2
             self.bias[bit::8] += got[:, -1]
+            # Only the cells of nodes with so many known bits are met.
+            first, many = (1 << bit) * MAP_CELLS, (1 << bit) * MAP_CELLS
+            cells = flat[first:first + many]
             low, part = self.cells(z)
-            low = (low + _node(code, bit).view(np.int64) * MAP_CELLS) * 2 + one
+            low += _node(code, bit).view(np.int64) * MAP_CELLS - first
+            low *= 2
+            low += one
             part *= times
-            met = (np.bincount(low, times - part, 2 * flat.size) + np.bincount(low + 2, part, 2 * flat.size)).reshape(-1, 2)
-            size = met.sum(1)
-            cell_seen += size
-            flat += map_rate * max(slow, 0.05) * (met[:, 1] - size * flat) / np.maximum(size, 8)
+            met = np.bincount(low, times - part, 2 * many)
+            met += np.bincount(low + 2, part, 2 * many)
+            size = met[::2] + met[1::2]
+            cell_seen[first:first + many] += size
+            cells += map_rate * max(slow, 0.05) * (met[1::2] - size * cells) / np.maximum(size, 8)
 
 
 def start() -> Mixer:
@@ -211,10 +217,10 @@ def sums(b: X.Batch, distinct: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """Sum over each text of ``logs``, one for each of the sorted distinct codes."""
     bits = np.uint64(64 - len(distinct).bit_length() - 2)
     table = np.zeros(1 << 64 - int(bits), np.int32)
-    table[(T.mix64(distinct) >> bits).view(np.int64)] = np.arange(len(distinct))
+    table[((distinct * _NODE) >> bits).view(np.int64)] = np.arange(len(distinct))
     out = [np.zeros(0)]
     for _, _, code, n in _contexts(b):
-        at = table[(T.mix64(code) >> bits).view(np.int64)]
+        at = table[((code * _NODE) >> bits).view(np.int64)]
         miss = np.flatnonzero(distinct[at] != code)
         at[miss] = np.searchsorted(distinct, code[miss])
         out.append(np.add.reduceat(logs[at], np.cumsum(n) - n, dtype=np.float64))
