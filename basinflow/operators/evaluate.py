@@ -68,18 +68,40 @@ def apply_static_hook(static: DataFrame, fn: Callable[[Column], Column] | None,
     return static.withColumn(col, fn(F.col(col)))
 
 
-def score_batches(samples: DataFrame, predict: Callable[[pd.DataFrame], pd.Series],
-                  keys: list[str], schema: str) -> DataFrame:
+_LOADED: dict[str, object] = {}      # models of this Python worker, by name
+MAX_LOADED = 4
+
+
+def worker_model(name: str, load: Callable[[], object]) -> object:
+    """The model ``name`` of this Python worker, loaded at its first use and
+    kept for the worker's later tasks; the oldest goes when there are more
+    than MAX_LOADED.  Workers that are started anew load again."""
+    if name not in _LOADED:
+        while len(_LOADED) >= MAX_LOADED:
+            _LOADED.pop(next(iter(_LOADED)))
+        _LOADED[name] = load()
+    return _LOADED[name]
+
+
+def score_batches(samples: DataFrame, predict: Callable[..., pd.Series], keys: list[str], schema: str,
+                  load: Callable[[], object] | None = None, model: str | None = None) -> DataFrame:
     """Run a predictor over Arrow batches of samples on the executors.
 
     ``predict`` receives a pandas frame of the input columns and returns the
-    ``y_hat`` series; it is shipped once per task (load heavy models lazily
-    inside it).  Output: the keys plus ``y`` and ``y_hat``.
+    ``y_hat`` series.  With ``load``, it receives ``load()`` as well, which runs
+    once in a Python worker and not once a task: only the loader is shipped,
+    the model (named ``model``, for instance by its path and version) is read
+    where it is used.  Output: the keys plus ``y`` and ``y_hat``.
     """
+    if load is not None and not model:
+        raise ValueError("a loaded model needs a name")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from basinflow.operators.evaluate import worker_model      # the worker's own module, which outlives the task
+        more = () if load is None else (worker_model(model, load),)
         for pdf in batches:
             out = pdf[keys + ["y"]].copy()
-            out["y_hat"] = predict(pdf).to_numpy()
+            out["y_hat"] = predict(pdf, *more).to_numpy()
             yield out
 
     return samples.mapInPandas(run, schema)

@@ -92,6 +92,52 @@ def shuffle_key(keys: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
+# A prime modulus and the step of the generator of round keys.
+_PRIME = 2147483647
+_STEP = 48271
+
+
+def round_keys(seed: int, rounds: int) -> list[tuple[int, int, int]]:
+    """(shift, factor, offset) of each round, by a multiplicative generator."""
+    x, out = (seed * 7919 + 12345) % (_PRIME - 1) + 1, []
+    for _ in range(rounds):
+        key = []
+        for _ in range(3):
+            x = x * _STEP % _PRIME
+            key.append(x)
+        out.append(tuple(key))
+    return out
+
+
+def epoch_position(pos: Column, total: Column, seed: int, rounds: int = 24) -> Column:
+    """W6 without a sort: a keyed permutation of the places 0 .. ``total`` - 1.
+
+    Swap or not: in each round a place and its mirror about the round's shift
+    (both smaller than ``total``, whatever it is) change places or stay, by one
+    bit that the pair shares; so every round, and all together, map places to
+    places one to one.  An epoch's order is a projection of numbered samples."""
+    def swap(x, key):
+        mirror = F.pmod(key["shift"] - x, total)
+        pair = F.greatest(x, mirror)
+        bit = F.pmod(F.pmod(F.pmod(pair, F.lit(_PRIME)) * key["factor"] + key["offset"], F.lit(_PRIME)), F.lit(2))
+        return F.when(bit == 1, mirror).otherwise(x)
+
+    keys = F.array(*[F.struct(*[F.lit(v).cast("long").alias(n) for v, n in zip(k, ("shift", "factor", "offset"), strict=True)])
+                     for k in round_keys(seed, rounds)])
+    return F.aggregate(keys, pos.cast("long"), swap)
+
+
+def epoch_batches(numbered: DataFrame, size: int, seed: int, within: str = "split", pos: str = "pos") -> DataFrame:
+    """Batches of one epoch from samples numbered once (``pos`` from 0 in
+    each ``within`` group): only the groups' sizes are counted and broadcast,
+    one row a group; no sample is moved or sorted."""
+    totals = numbered.groupBy(within).agg(F.count(F.lit(1)).alias("_total"))
+    at = epoch_position(F.col(pos), F.col("_total"), seed)
+    return (numbered.drop("batch_id", "pos_in_batch").join(F.broadcast(totals), within).withColumn("epoch_pos", at)
+            .withColumn("batch_id", F.floor(F.col("epoch_pos") / size).cast("int"))
+            .withColumn("pos_in_batch", (F.col("epoch_pos") % size).cast("int")).drop("_total"))
+
+
 def batch_names(batched: DataFrame, split_col: str = "split", batch_col: str = "batch_id") -> DataFrame:
     """file label of each batch."""
     return batched.withColumn("file_name", batch_file_name(split_col, batch_col))

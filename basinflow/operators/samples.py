@@ -114,20 +114,22 @@ def nan_columns(policy: str, weather: list[str]) -> list[str]:
     raise ValueError(f"unknown nan policy {policy!r}")
 
 
-def apply_scope(steps: DataFrame, scope: str) -> DataFrame:
+def apply_scope(steps: DataFrame, scope: str, stats: DataFrame | None = None) -> DataFrame:
     """A5: ``sample`` drops failed samples; ``group`` also drops every sample of
     a (basin, split) group that holds a sample failing only the NaN gate.
 
     Group scope is decided on one row per sample (``scope_samples``); what is
     kept comes back as one array of issue days per (basin, block), the keys the
     step rows are partitioned by, so the step rows are not shuffled again.
+    ``stats`` gives that row per sample (``mixed_gates``, or ``sample_stats`` of
+    written steps); by default it is taken from ``steps``.
     """
     if scope not in SCOPES:
         raise ValueError(f"unknown scope {scope!r}")
     kept = steps.where(F.col("reason").isNull())
     if scope == "sample":
         return kept
-    good = (scope_samples(sample_stats(steps), scope)
+    good = (scope_samples(sample_stats(steps) if stats is None else stats, scope)
             .groupBy("basin_id", "block").agg(F.collect_set("sday").alias("_good"))
             .repartition(fan_partitions(steps.sparkSession), "basin_id", "block"))
     return (kept.join(good.hint("shuffle_hash"), ["basin_id", "block"])
@@ -147,19 +149,10 @@ def scope_samples(stats: DataFrame, scope: str) -> DataFrame:
 # mixed-resolution recipe
 # ---------------------------------------------------------------------------
 
-def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: DataFrame,
-                blocks, stride=5, recipe: MixedRecipe = MixedRecipe(),
-                nan_policy: str = "all", block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
-    """Long-form steps of every candidate sample, with gate columns.
-
-    ``flow(gauge_id, date, streamflow_cms)``, ``obs(basin_id='camels_<id>', date,
-    precip, temp, net_solar)``, ``fcst(basin_id, issue_date, lead_days, ...)``,
-    ``candidates(basin_id, split, issue_date)`` (short ids).  Only candidate
-    samples are built.
-
-    Output: ``basin_id, block, split, issue_date, step, flag, precip, temp,
-    net_solar, target, len_target, len_weather, reason`` (one row per step).
-    """
+def _mixed_rows(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: DataFrame,
+                blocks, stride, recipe: MixedRecipe, block_days: int) -> DataFrame:
+    """One row per (sample, source, day or lead) with its step and cell sums,
+    partitioned by (basin, block): what steps and gates are made of."""
     r = recipe
     candidates = candidates.select("basin_id", "split", "issue_date")
     fan = fan_out(_series(flow, obs, WEATHER3), "basin_id", blocks, stride,
@@ -200,7 +193,24 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
                                  F.when(F.col(f"_w{i}").isNotNull(), 1).otherwise(0).cast("long").alias(f"c{i}"))])
              .repartition(fan_partitions(fcst.sparkSession), "basin_id", "block"))
 
-    rows = fan.unionByName(frows)
+    return fan.unionByName(frows)
+
+
+def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: DataFrame,
+                blocks, stride=5, recipe: MixedRecipe = MixedRecipe(),
+                nan_policy: str = "all", block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
+    """Long-form steps of every candidate sample, with gate columns.
+
+    ``flow(gauge_id, date, streamflow_cms)``, ``obs(basin_id='camels_<id>', date,
+    precip, temp, net_solar)``, ``fcst(basin_id, issue_date, lead_days, ...)``,
+    ``candidates(basin_id, split, issue_date)`` (short ids).  Only candidate
+    samples are built.
+
+    Output: ``basin_id, block, split, issue_date, step, flag, precip, temp,
+    net_solar, target, len_target, len_weather, reason`` (one row per step).
+    """
+    rows = _mixed_rows(flow, obs, fcst, candidates, blocks, stride, recipe, block_days)
+    r = recipe
     is_w = F.col("src") != 0
     steps = rows.groupBy(*SAMPLE_KEYS, "step").agg(
         F.max(F.when(is_w, F.col("seg"))).alias("flag"),
@@ -219,6 +229,39 @@ def mixed_steps(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: Da
     return _gate(steps, r.expected_len, nan_columns(nan_policy, WEATHER3), w2)
 
 
+def mixed_gates(flow: DataFrame, obs: DataFrame, fcst: DataFrame, candidates: DataFrame, blocks, stride=5,
+                recipe: MixedRecipe = MixedRecipe(), nan_policy: str = "all", block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
+    """``sample_stats(mixed_steps(...))`` without building a step: per sample
+    the lengths and, as two bit sets a column, the steps that have a value; one
+    aggregate on the keys the rows are partitioned by, no window."""
+    if recipe.expected_len > 126:
+        raise ValueError("steps do not fit two bit sets")
+    rows = _mixed_rows(flow, obs, fcst, candidates, blocks, stride, recipe, block_days)
+    is_w = F.col("src") != 0
+
+    def steps_with(test, half):
+        there = test & (F.col("step") >= 63 * half) & (F.col("step") < 63 * (half + 1))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("step") - 63 * half).cast("int"))
+        return F.bit_or(F.when(there, bit).otherwise(F.lit(0).cast("long")))
+
+    has = {"target": ~is_w & (F.col("c0") > 0), **{c: is_w & (F.col(f"c{i}") > 0) for i, c in enumerate(WEATHER3)}}
+    cols = nan_columns(nan_policy, WEATHER3)
+    g = rows.groupBy(*SAMPLE_KEYS).agg(
+        F.max(F.when(F.col("src") == 0, F.col("src_len"))).alias("_lf"), F.max(F.when(F.col("src") == 1, F.col("src_len"))).alias("_lo"),
+        F.coalesce(F.sum(F.when(F.col("src") == 2, F.col("n"))), F.lit(0)).alias("_nf"),
+        *[steps_with(has[c], half).alias(f"_{c}{half}") for c in cols for half in (0, 1)])
+    full = F.lit(True)
+    for c in cols:
+        full = full & (F.bit_count(f"_{c}0") + F.bit_count(f"_{c}1") == recipe.expected_len)
+    g = _with_carried(g, blocks).select(
+        *SAMPLE_GROUP, F.coalesce("_lf", F.lit(0)).cast("int").alias("len_target"),
+        (F.coalesce("_lo", F.lit(0)) + F.col("_nf")).cast("int").alias("len_weather"), full.alias("_full"))
+    reason = (F.when(F.col("len_target") != recipe.expected_len, F.lit("target_length"))
+              .when(F.col("len_weather") != recipe.expected_len, F.lit("weather_length"))
+              .when(~F.col("_full"), F.lit("missing_values")))
+    return g.select(*SAMPLE_GROUP, reason.alias("reason"), "len_target", "len_weather")
+
+
 def target_steps(flow: DataFrame, blocks, stride=5, recipe: MixedRecipe = MixedRecipe(),
                  block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
     """The streamflow target sequence alone (weekly ++ daily ++ horizon).
@@ -258,7 +301,10 @@ def mixed_samples(flow, obs, fcst, candidates, blocks, stride=5,
     """
     steps = mixed_steps(flow, obs, fcst, candidates, blocks, stride, recipe,
                         nan_policy, block_days)
-    return apply_scope(steps, scope).select(
+    stats = None
+    if scope == "group":
+        stats = mixed_gates(flow, obs, fcst, candidates, blocks, stride, recipe, nan_policy, block_days)
+    return apply_scope(steps, scope, stats).select(
         "basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
         "flag", *WEATHER3, "target")
 
@@ -329,11 +375,14 @@ def pack_samples(steps: DataFrame, features: list[str], target: str = "target",
     ``targets array<float>`` per sample, ordered by step.
 
     The group is one sample (at most ``expected_len`` rows by the gates), so
-    the collected arrays have a fixed, small size.
+    the collected arrays have a fixed, small size.  Steps that still have their
+    ``block`` are packed where they are: it follows from the issue date, and
+    (basin, block) is what they are partitioned by.
     """
     row = F.struct("step", F.array(*[F.col(c).cast("float") for c in features]).alias("x"),
                    F.col(target).cast("float").alias("y"))
-    packed = steps.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_r"))
+    carried = ["block"] if "block" in steps.columns and "block" not in keys else []
+    packed = steps.groupBy(*keys, *carried).agg(F.array_sort(F.collect_list(row)).alias("_r"))
     return packed.select(*keys,
                          F.transform("_r", lambda e: e["x"]).alias("dynamic_inputs"),
                          F.transform("_r", lambda e: e["y"]).alias("targets"))

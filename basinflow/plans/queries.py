@@ -522,6 +522,32 @@ def q_shuffle_batches(spark, sf_dir):
     return b.select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch")
 
 
+_EPOCH_SEED, _EPOCH_ROUNDS = 3, 24
+
+
+def _epoch_sql() -> str:
+    """The keyed permutation of places, round by round."""
+    from ..operators.ranking import _PRIME, round_keys
+    keys = ", ".join(f"({r}, {a}, {b}, {c})" for r, (a, b, c) in enumerate(round_keys(_EPOCH_SEED, _EPOCH_ROUNDS)))
+    mirror = "(((s - x) % total) + total) % total"
+    return (f"WITH RECURSIVE key(r, s, a, c) AS (VALUES {keys}), walk(split, basin_id, issue_date, total, x, r) AS ("
+            "SELECT split, basin_id, issue_date, COUNT(*) OVER (PARTITION BY split), (rn - 1)::BIGINT, 0 FROM b UNION ALL "
+            f"SELECT split, basin_id, issue_date, total, CASE WHEN ((greatest(x, {mirror}) % {_PRIME}) * a::BIGINT + c) % {_PRIME} % 2 = 1 "
+            f"THEN {mirror} ELSE x END, walk.r + 1 FROM walk JOIN key ON key.r = walk.r) SELECT * FROM walk WHERE r = {_EPOCH_ROUNDS}")
+
+
+@register("epoch_batches", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, CAST(floor(x / 16) AS INTEGER) AS batch_id, "
+    f"CAST(x % 16 AS INTEGER) AS pos_in_batch FROM ({_epoch_sql()})",
+    "flow", extra=dict(_TARGET, b=_BATCH_SQL.format(size=200))))
+def q_epoch_batches(spark, sf_dir):
+    """An epoch's batches of 16 by a keyed permutation of the numbers that
+    the samples were given once."""
+    from ..operators.ranking import epoch_batches
+    b = epoch_batches(_batched(Fixtures(spark, sf_dir), 200), 16, _EPOCH_SEED)
+    return b.select("basin_id", "split", "forecast_date", "batch_id", "pos_in_batch")
+
+
 _DONE_BATCHES = 10
 
 
@@ -621,7 +647,7 @@ def q_sample_quality(spark, sf_dir):
 def q_drop_bad_groups(spark, sf_dir):
     """A5: samples kept per (gauge, split) in sample scope and in group scope."""
     f = Fixtures(spark, sf_dir)
-    stats = smp.sample_stats(mixed_steps(f, obs=f.obs_holes))
+    stats = _gates(f, f.obs_holes)
     kept = F.count(F.when(F.col("reason").isNull(), 1))
     failed = F.count(F.when(F.col("reason") == "missing_values", 1))
     return stats.groupBy("basin_id", "split").agg(
@@ -637,7 +663,7 @@ def q_drop_bad_groups(spark, sf_dir):
 def q_combine_splits(spark, sf_dir):
     """Per split, the (gauge) files that survive the NaN check, combined."""
     f = Fixtures(spark, sf_dir)
-    kept = smp.scope_samples(smp.sample_stats(mixed_steps(f, obs=f.obs_holes)), "group")
+    kept = smp.scope_samples(_gates(f, f.obs_holes), "group")
     return kept.groupBy("split").agg(F.countDistinct("basin_id").alias("n_files"),
                                      F.count(F.lit(1)).alias("n_samples"))
 
@@ -651,7 +677,7 @@ def q_drop_report(spark, sf_dir):
     """Candidates per split and outcome (accepted or first failed gate)."""
     from ..operators.quality import drop_report
     f = Fixtures(spark, sf_dir)
-    return drop_report(mixed_candidates(f), smp.sample_stats(mixed_steps(f)))
+    return drop_report(mixed_candidates(f), _gates(f))
 
 
 @register("run_summary", with_views(
@@ -693,6 +719,11 @@ def _accepted_mixed(f: Fixtures, split: str | None = None) -> DataFrame:
     return smp.apply_scope(mixed_steps(f, split=split), "sample")
 
 
+def _gates(f: Fixtures, obs=None) -> DataFrame:
+    """One row per candidate sample with its lengths and the gate it failed."""
+    return smp.mixed_gates(f.flow, f.obs if obs is None else obs, f.fcst, mixed_candidates(f), MIXED_BLOCKS, 5)
+
+
 def _written_mixed(f: Fixtures) -> DataFrame:
     """The accepted samples of every split, built once and written by split."""
     from ..sinks.writers import write_partitioned
@@ -856,12 +887,13 @@ def predictions(f: Fixtures, split: str = "test") -> DataFrame:
     "SELECT basin_id, forecast_date, step, 0.0::DOUBLE + round(y, 4) AS y, 0.0::DOUBLE + round(0.5 * (y + y_hat), 4) AS y_hat "
     "FROM pred", "flow", extra=_TARGET))
 def q_scored_steps(spark, sf_dir):
-    """A caller's predictor (mean of this and the last step) run on the
-    executors over Arrow batches of the test steps."""
+    """A caller's model (mean of this and the last step), loaded once a
+    worker, run on the executors over Arrow batches of the test steps."""
     from ..operators.evaluate import score_batches
     p = predictions(Fixtures(spark, sf_dir)).select("basin_id", "forecast_date", "step", "y", F.col("y_hat").alias("x"))
-    out = score_batches(p, lambda pdf: 0.5 * (pdf["y"] + pdf["x"]), ["basin_id", "forecast_date", "step"],
-                        "basin_id string, forecast_date string, step int, y double, y_hat double")
+    out = score_batches(p, lambda pdf, half: half * (pdf["y"] + pdf["x"]), ["basin_id", "forecast_date", "step"],
+                        "basin_id string, forecast_date string, step int, y double, y_hat double",
+                        load=lambda: 0.5, model="mean of two")
     return out.select("basin_id", "forecast_date", "step", r4("y"), r4("y_hat"))
 
 

@@ -95,3 +95,39 @@ def test_group_scope_of_steps_and_of_samples_agree(spark):
     steps = smp.mixed_steps(flow, obs, fc, cand, blocks, 200)
     kept = smp.apply_scope(steps, "group").select("sday").distinct().count()
     assert kept == smp.scope_samples(smp.sample_stats(steps), "group").count() == 0
+
+
+def test_model_is_loaded_once_a_worker(spark, tmp_path):
+    """Tasks of one Python worker share the model; each worker loads its own."""
+    import os
+    log = str(tmp_path)
+
+    def load():
+        import uuid
+        with open(f"{log}/{os.getpid()}-{uuid.uuid4().hex}", "w"):
+            pass
+        return 3.0
+
+    def predict(pdf, factor):
+        with open(f"{log}/worker-{os.getpid()}", "w"):
+            pass
+        return pdf["y"] * factor
+
+    df = spark.range(200).selectExpr("cast(id as string) k", "cast(0 as int) step", "cast(id as double) y").repartition(40)
+    for _ in range(3):
+        out = score_batches(df, predict, ["k", "step"], "k string, step int, y double, y_hat double", load=load, model=f"m-{log}")
+        assert all(r.y_hat == 3 * r.y for r in out.collect())
+    files = os.listdir(log)
+    workers = {x.split("-")[1] for x in files if x.startswith("worker-")}
+    loads = [x.split("-")[0] for x in files if not x.startswith("worker-")]
+    assert sorted(loads) == sorted(workers) and len(loads) < 40
+    with pytest.raises(ValueError):
+        score_batches(df, predict, ["k", "step"], "k string", load=load)
+
+
+def test_worker_keeps_few_models():
+    from basinflow.operators import evaluate as E
+    made = []
+    for k in [*range(6), 5, 0]:
+        assert E.worker_model(f"few{k}", lambda k=k: made.append(k) or k) == k
+    assert made == [0, 1, 2, 3, 4, 5, 0] and len(E._LOADED) <= E.MAX_LOADED

@@ -140,3 +140,24 @@ def test_resume_twice_is_resume_once(spark):
     once = resume_candidates(c, done)
     twice = resume_candidates(once, done)
     assert sorted(once.collect()) == sorted(twice.collect()) and once.count() == 6
+
+
+def test_epoch_positions_are_permutations_that_mix(spark):
+    from basinflow.operators.ranking import epoch_batches, epoch_position, round_keys
+    for n in (1, 2, 3, 16, 97, 1000):
+        got = [r[0] for r in spark.range(n).select(epoch_position(F.col("id"), F.lit(n), 4)).collect()]
+        assert sorted(got) == list(range(n))
+    n = 1000
+    a, b = ([r[0] for r in spark.range(n).coalesce(1).select(epoch_position(F.col("id"), F.lit(n), s)).collect()] for s in (1, 2))
+    assert a != b and sum(x == y for x, y in zip(a, b, strict=True)) < 20
+    assert sum(abs(x - y) < 50 for x, y in zip(a, a[1:], strict=False)) < 250          # neighbours are spread
+    keys, x = round_keys(1, 24), 17                                                      # the same in plain Python
+    for shift, factor, offset in keys:
+        mirror = (shift - x) % n
+        if (max(x, mirror) * factor + offset) % 2147483647 % 2 == 1:
+            x = mirror
+    assert a[17] == x
+    rows = spark.range(130).selectExpr("id as pos", "'t' as split").unionByName(spark.range(9).selectExpr("id as pos", "'v' as split"))
+    batches = epoch_batches(rows, 16, 3).groupBy("split", "batch_id").count().collect()
+    assert sorted(r["count"] for r in batches if r["split"] == "t") == [2, *[16] * 8]
+    assert [r["count"] for r in batches if r["split"] == "v"] == [9]

@@ -54,6 +54,37 @@ def test_per_sample_reports_move_one_row_per_sample(spark):
     assert len(_exchanges(_above(plan, FAN_OUT))) == 1
 
 
+def test_gates_need_no_step_and_no_window(spark):
+    from basinflow.plans.queries import MIXED_BLOCKS, _gates, mixed_candidates
+    f = Fixtures(spark, SF)
+    plan = _plan(_gates(f))
+    above = _above(plan, FAN_OUT)
+    assert _exchanges(above) == []
+    steps = _above(_plan(mixed_steps(f)), FAN_OUT)
+    assert sum("Window" in x for x in above) < sum("Window" in x for x in steps)
+    keys = [*smp.SAMPLE_GROUP, "reason", "len_target", "len_weather"]
+    for obs in (f.obs, f.obs_holes):
+        a = sorted(map(str, smp.sample_stats(mixed_steps(f, obs=obs)).select(*keys).collect()))
+        assert a == sorted(map(str, _gates(f, obs).select(*keys).collect())) and a
+    lean = smp.mixed_gates(f.flow, f.obs_holes, f.fcst, mixed_candidates(f), MIXED_BLOCKS, 5, nan_policy="precip_target")
+    full = smp.sample_stats(mixed_steps(f, "precip_target", obs=f.obs_holes))
+    assert sorted(map(str, lean.select(*keys).collect())) == sorted(map(str, full.select(*keys).collect()))
+
+
+def test_samples_are_packed_where_they_are(spark):
+    from basinflow.plans.queries import _packed
+    assert _exchanges(_above(_plan(_packed(Fixtures(spark, SF))), FAN_OUT)) == []
+
+
+def test_an_epoch_moves_no_sample(spark):
+    from basinflow.operators.ranking import epoch_batches
+    rows = spark.range(1000).selectExpr("id as pos", "concat('s', id % 3) as split", "id % 7 as batch_id")
+    plan = _plan(epoch_batches(rows, 16, 5))
+    assert "rangepartitioning" not in plan and "Sort " not in plan
+    # The only exchanges are of the groups' counts.
+    assert "Exchange hashpartitioning(split" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_batches_move_the_samples_once(spark):
     plan = _plan(assign_batches(spark.range(100).withColumn("g", F.col("id") % 3), 10, ["id"], within=["g"]))
     assert "SortMergeJoin" not in plan and _exchanges(_above(plan, "ExistingRDD")) == []
