@@ -89,10 +89,12 @@ class Mixer:
     bias: np.ndarray
     map: np.ndarray                         # (known bits, cell)
 
-    def mixed(self, st: list[np.ndarray], gate: np.ndarray):
-        z = self.bias[gate]
-        for w, s in zip(self.weights, st, strict=True):
-            z += w[gate] * s
+    def mixed(self, st: np.ndarray, met: np.ndarray, bit: int):
+        """Mixed stretched predictions: all weight sets of the bit at once, of
+        which each code's number of met contexts takes one."""
+        z = self.weights[:, bit::8].T @ st
+        z += self.bias[bit::8, None]
+        z = z.ravel()[met * len(met) + np.arange(len(met))]
         return np.clip(z, -MAP_REACH + 1e-3, MAP_REACH - 1e-3, out=z)
 
     def cells(self, z):
@@ -118,7 +120,7 @@ class Mixer:
             part = slice(i, i + (1 << 14))
             c = code[part]
             for bit, st in enumerate(stretched(part)):
-                p = self.refined(self.mixed(st, gate_of(st, bit)), _node(c, bit).view(np.int64))
+                p = self.refined(self.mixed(st, met_of(st), bit), _node(c, bit).view(np.int64))
                 one = (c >> np.uint64(7 - bit)) & np.uint64(1) == 1
                 out[part] += np.log2(np.where(one, p, 1 - p))
         return out
@@ -131,11 +133,11 @@ class Mixer:
         flat, sets = self.map.reshape(-1), np.arange(len(ORDERS) + 1)
         for bit, st in enumerate(stretched):
             one = ((code >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-            gate = gate_of(st, bit)
-            z = self.mixed(st, gate)
+            met = met_of(st)
+            z = self.mixed(st, met, bit)
             err = (one - 1 / (1 + np.exp(-z))) * times
-            mine = (gate >> 3 == sets[:, None]).astype(np.float64)      # the bit's gates are ``sets`` * 8 + bit
-            got = mine @ np.stack([*(err * x for x in st), err, times], 1)
+            mine = (met == sets[:, None]).astype(np.float64)            # the bit's gates are ``sets`` * 8 + bit
+            got = mine @ np.concatenate([st * err, [err, times]]).T
             here = got[:, -1]
             seen[bit::8] += here
             got = got[:, :-1] * (rate * max(slow, 0.1) / np.maximum(here, 16))[:, None]
@@ -161,12 +163,9 @@ def start() -> Mixer:
     return Mixer(np.full((len(ORDERS), GATES), 0.3 / UNIT), np.zeros(GATES), np.tile(cells, (256, 1)))
 
 
-def gate_of(st: list[np.ndarray], bit: int) -> np.ndarray:
-    """Weight set: how many contexts were met, and the bit's place."""
-    met = np.zeros(len(st[0]), np.int64)
-    for s in st:
-        met += s != 0
-    return met * 8 + bit
+def met_of(st: np.ndarray) -> np.ndarray:
+    """How many contexts of each code were met; with the bit's place, the gate."""
+    return np.count_nonzero(st, 0)
 
 
 def single(m: Mixer) -> Mixer:
@@ -232,12 +231,17 @@ def _keys(code: np.ndarray, buckets: int):
     buckets, and for each order the key number of each code."""
     keys, at, base = [np.zeros(0, np.uint64)], [], 0
     for o in ORDERS:
-        distinct, inv = np.unique(code & np.uint64((1 << 8 * (o + 1)) - 1), return_inverse=True)
+        if o == max(ORDERS):                            # the codes themselves
+            distinct, inv = code, np.arange(len(code))
+        else:
+            distinct, inv = np.unique(code & np.uint64((1 << 8 * (o + 1)) - 1), return_inverse=True)
         keys.append(distinct | np.uint64(o << 56))
         at.append(inv + base)
         base += len(distinct)
     keys = np.concatenate(keys)
     bucket = X.bucket_of(T.mix64((keys >> np.uint64(8)) * _NODE), buckets)
+    if buckets <= 1 << 16:
+        bucket = bucket.astype(np.uint16)               # sorted by radix
     order = np.argsort(bucket, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
