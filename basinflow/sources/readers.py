@@ -135,13 +135,16 @@ def _rdb_rows(lines: DataFrame, file_col: str) -> DataFrame:
 def _whole_rdb_rows(files: DataFrame, file_col: str) -> DataFrame:
     """``_rdb_fields`` of whole files (``value``): the format row is found and
     applied where the file is read, so no line is moved."""
-    lines = F.split("value", "\r\n|\r|\n", -1)
-    lines = F.when(F.element_at(lines, -1) == "", F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
-    body = files.select(file_col, F.filter(lines, lambda x: ~x.startswith("#")).alias("_lines"))
+    split = files.select(file_col, F.split("value", "\r\n|\r|\n", -1).alias("_all"))
+    ended = F.element_at("_all", -1) == ""           # the file ends with a line end
+    body = split.select(file_col, F.filter(
+        F.slice("_all", F.lit(1), F.size("_all") - F.when(ended, 1).otherwise(0)), lambda x: ~x.startswith("#")).alias("_lines"))
     fmt = F.filter("_lines", lambda x: x.rlike(_RDB_FORMAT))
-    data = F.filter("_lines", lambda x: ~x.rlike(_RDB_FORMAT) & ~x.startswith("agency_cd"))
-    each = body.select(file_col, F.array_max(F.transform(fmt, lambda x: _at(F.split(x, "\t")))).alias("_at"), F.explode(data).alias("_line"))
-    return _rdb_fields(each.select(file_col, "_at", F.split("_line", "\t").alias("_f")), file_col)
+    # The format row is sought once a file, before its lines become rows.
+    known = body.select(file_col, "_lines", F.array_max(F.transform(fmt, lambda x: _at(F.split(x, "\t")))).alias("_at"))
+    each = known.select(file_col, "_at", F.explode("_lines").alias("value"))
+    data = each.where(~F.col("value").rlike(_RDB_FORMAT) & ~F.col("value").startswith("agency_cd"))
+    return _rdb_fields(data.select(file_col, "_at", F.split("value", "\t").alias("_f")), file_col)
 
 
 def rdb_rows(spark: SparkSession, path: str, max_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
