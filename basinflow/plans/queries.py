@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixtures import MIXED_BLOCKS, Fixtures, with_views
-from ..functions.columns import gauge_suffix, iso_date
+from ..functions.columns import FLAG_LEGEND, gauge_suffix, iso_date
 from ..operators import calendar as cal
 from ..operators import samples as smp
 from . import oracle as osql
@@ -1398,6 +1398,24 @@ def q_sample_store(spark, sf_dir):
                     rnd(F.aggregate("targets", F.lit(0.0), lambda a, x: a + x), 2).alias("sum_targets"))
 
 
+@register("flag_legend", with_views(
+    "SELECT CAST(flag AS VARCHAR) AS flag, CASE flag " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in FLAG_LEGEND.items())
+    + " END AS meaning, " + f"'{','.join(DYN_FEATURES)}' AS features, COUNT(*) AS n_steps FROM mixed "
+    "WHERE reason IS NULL GROUP BY flag", "gauges", "flow", "obs", "fcst", extra=_MIX))
+def q_flag_legend(spark, sf_dir):
+    """feature names and flag meanings, read back from the metadata of the
+    written sample set, beside the steps that carry each flag."""
+    from ..sinks.writers import write_splits
+    from ..sources.readers import read_legend, read_samples
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("samples_with_legend")
+    write_splits(_packed(f), path, features=DYN_FEATURES)
+    t = read_samples(spark, path)
+    at = DYN_FEATURES.index("flag")
+    steps = t.select(F.explode(F.transform("dynamic_inputs", lambda x: x[at].cast("int").cast("string"))).alias("flag"))
+    return steps.groupBy("flag").agg(F.count(F.lit(1)).alias("n_steps")).join(F.broadcast(read_legend(t)), "flag")
+
+
 # --------------------------------------------------------------------------
 # incremental build (streaming re-expression of flush + resume)
 # --------------------------------------------------------------------------

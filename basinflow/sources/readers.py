@@ -7,6 +7,7 @@ text (RDB) and a names file.  Grids enter this package as Parquet tables
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -243,6 +244,15 @@ def read_samples(spark: SparkSession, path: str, split: str | None = None) -> Da
     return df.where(F.col("split") == split) if split is not None else df
 
 
+def read_legend(samples: DataFrame, col: str = "dynamic_inputs") -> DataFrame:
+    """(flag, meaning, features) from the column metadata of a written
+    sample set: one row a flag value, the features' names in order."""
+    meta = samples.schema[col].metadata
+    names = ",".join(meta.get("feature", []))
+    rows = [(k, v, names) for k, v in json.loads(meta.get("flag_description", "{}")).items()]
+    return samples.sparkSession.createDataFrame(rows, "flag string, meaning string, features string")
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
     """What ``write_batches`` wrote, with the batch number taken from each
     batch's file label (F10); None when nothing was written yet."""
