@@ -1,6 +1,7 @@
 """Calendars (C1-C4) and the nearest as-of join."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -71,6 +72,37 @@ def test_nearest_keeps_keys_apart(spark):
     assert got == {"a": D(2000, 1, 1), "b": D(2000, 3, 1)}
 
 
+def test_nearest_over_blocks_equals_brute_force(spark):
+    """Gaps of many blocks, copies, nulls, keys of one side only, any block length."""
+    rng, start = random.Random(5), dt.date(1960, 1, 1)
+    day = lambda span: start + dt.timedelta(days=rng.randrange(span))
+    right = [(k, day(9000)) for k in "ab" for _ in range(40)] + [("c", day(9000)), ("r", day(9000)), (None, start), ("a", None)]
+    left = [(k, day(12000) - dt.timedelta(days=1500)) for k in "abc" for _ in range(300)] + [("l", start), (None, start), ("a", None)]
+    right, left = right + right[:30], left + left[:50] + [r for r in right if r[0] == "a" and r[1]]
+    r = spark.createDataFrame(right, "basin_id string, issue_date date")
+    x = spark.createDataFrame([(*row, i) for i, row in enumerate(left)], "basin_id string, day date, i int")
+    for block_days in (7, 320):
+        got = {g.i: g.m for g in nearest_asof(x, r, "basin_id", "day", "issue_date", "m", block_days).collect()}
+        assert set(got) == {i for i, (k, d) in enumerate(left) if k and d}
+        for i, m in got.items():
+            k, d = left[i]
+            dates = [y for q, y in right if q == k and y]
+            assert m == (max(dates, key=lambda y: (-abs((y - d).days), y)) if dates else None)
+    assert nearest_asof(x, r.limit(0), "basin_id", "day", "issue_date", "m").where("m is not null").count() == 0
+    assert nearest_asof(x.limit(0), r, "basin_id", "day", "issue_date", "m").count() == 0
+
+
+def test_no_scan_of_a_whole_key(spark):
+    """Dates are scanned per (key, block); only block edges are grouped by key."""
+    rows = spark.range(50).selectExpr("concat('b', id % 3) as basin_id", "date_add(date'2000-01-01', cast(id * 40 as int)) as issue_date")
+    df = nearest_asof(rows, rows, "basin_id", "issue_date", "issue_date", "m")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    assert windows and all("[basin_id#" in w and "block#" in w.split("windowspecdefinition")[1] for w in windows)
+    assert "ReusedExchange" in plan and "Python" not in plan
+
+
 def test_first_leads_takes_lowest_ten(spark):
     D = dt.date
     rows = [("b", D(2000, 1, 1), lead, float(lead)) for lead in (12, 3, 1, 2, 11, 4, 5, 6, 7, 8, 9, 10)]
