@@ -12,8 +12,8 @@ of them, checked before the work starts, whatever the size of the corpus.
 Defined results: categories that are null or without a target share the cell
 ``(other)``, whose share is what the targets leave (its own share of the corpus
 if they leave none, and then all shares are scaled to fit).  A target without
-tokens is left out and the rest scaled up.  Null texts have no token and are
-sampled with their cell's probability; a cell without tokens has probability
+tokens is left out and the rest scaled up.  A text without a topic is in
+``(other)``.  Null texts have no token and are sampled with their cell's probability; a cell without tokens has probability
 1.  Repeated rows are sampled alike.  An empty table gives no row.
 """
 
@@ -28,35 +28,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from basinflow.llm import textops as T
+from basinflow.llm.mixing_topics import Topics, features, fit_topics
 from basinflow.llm.store import batch_rows
 
 OTHER = "(other)"
 MAX_CELLS = 1_000_000
-TOPIC_WORD_BYTES = 6
 
 
-def _tokens_topic_udf(topics: int):
+def _tokens_topic_udf(model: Topics | None):
     def tokens_topic(text: pa.Array) -> pa.Array:
         n, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for _, _, data, offs in T.text_slices(text):
             low = T.lower_ascii(data)
             s, e, first = T.words(low, offs)
             per = np.diff(first)
-            long = e - s >= TOPIC_WORD_BYTES
-            h = T.hash_spans(low, s[long], e[long]) % np.uint64(topics)
-            key = T.rows_of(per)[long] * topics + h.astype(np.int64)
             n.append(per)
-            best.append(np.argmax(np.bincount(key, minlength=len(per) * topics).reshape(-1, topics), 1))
+            best.append(model.of(*features(low, s, e, per), len(per)) if model else np.full(len(per), -1))
+        best = np.concatenate(best)
         return pa.StructArray.from_arrays([pa.array(np.concatenate(n), pa.int64()),
-                                           pa.array(np.concatenate(best), pa.int32())], ["tokens", "topic"])
+                                           pa.array(best, pa.int32(), mask=best < 0)], ["tokens", "topic"])
     schema = StructType([StructField("tokens", LongType()), StructField("topic", IntegerType())])
     return F.arrow_udf(tokens_topic, schema).asNondeterministic()
 
 
-def tokens_and_topic(text: Column, topics: int) -> Column:
-    """Words of a whole text, and the hashed group that most of its longer
-    words fall in (ties: the lowest), for tables without a topic column."""
-    return _tokens_topic_udf(topics)(text)
+def tokens_and_topic(text: Column, model: Topics | None) -> Column:
+    """Words of a whole text, and its topic (null: none)."""
+    return _tokens_topic_udf(model)(text)
 
 
 def rake(tokens: np.ndarray, shares: list[np.ndarray], budget: float, steps: int = 500, tol: float = 1e-9):
@@ -129,14 +126,15 @@ def mix(docs: DataFrame, targets: dict[str, dict], fraction: float, dims: dict[s
     probability and ``sampled``.
 
     ``targets`` maps each dimension to its categories' shares; ``dims`` maps it
-    to a column of ``docs`` (its own name by default; ``topic`` is made from the
-    text if ``topics`` is given)."""
+    to a column of ``docs`` (its own name by default; ``topic`` is learned from
+    the texts of ``docs`` if ``topics`` is given, see ``mixing_topics``)."""
     spark = docs.sparkSession
     batch_rows(spark)
     tmp = "mix_input"
     while tmp in docs.columns or tmp == into:
         tmp += "_"
-    made = docs.withColumn(tmp, tokens_and_topic(F.col(text_col), topics or 1))
+    model = fit_topics(docs, topics, text_col) if topics else None
+    made = docs.withColumn(tmp, tokens_and_topic(F.col(text_col), model))
     dims = dict(dims or {})
     for n in targets:
         dims.setdefault(n, F.col(f"{tmp}.topic") if n == "topic" and topics else F.col(n))

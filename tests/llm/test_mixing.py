@@ -1,9 +1,13 @@
 """Raking against its definition, and sampling by calibrated probabilities."""
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from basinflow.llm import mixing as M
+from basinflow.llm import mixing_topics as MT
+from basinflow.llm import textops as T
 
 DOCS = "doc_id long, text string, source string, lang string, mix string, tokens int"
 
@@ -24,7 +28,7 @@ def table(spark):
     rows = []
     for i in range(600):
         source, lang = ("a", "b", "c", "d")[i % 4 if i % 3 else 0], ("en", "de")[i % 5 == 0]
-        rows.append((i, f"word{i % 7} " * (i % 40), source, lang, "clash", 1))
+        rows.append((i, f"word{i % 7} " * (i % 40) + f" theme{i % 2}x{i % 11} theme{i % 2}x{i % 5}", source, lang, "clash", 1))
     rows += [(601, None, None, None, None, None), (602, "", "a", "zz", None, None), (7, "word0 " * 7, "d", "en", "clash", 1),
              (None, "text without an id", "a", "en", None, None)]
     return spark.createDataFrame(rows, DOCS)
@@ -82,3 +86,80 @@ def test_uniform_and_bounds(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], DOCS)
     assert M.mix(none, TARGETS, 0.5, topics=2, into="m").collect() == []
+
+
+THEMES = [[f"theme{t}word{k}" for k in range(40)] for t in range(3)]
+
+
+def themed(spark):
+    rng = np.random.default_rng(3)
+    common = [f"common{k}" for k in range(30)]
+    rows = [(i, " ".join([*rng.choice(THEMES[i % 3], 12), *rng.choice(common, 12)])) for i in range(300)]
+    rows += [(i, text.upper()) for i, text in rows[:9]] + [(None, None), (400, ""), (401, "a few words"), (402, "x" * 9 + " " * 4000)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_topics_group_texts_by_theme(spark):
+    rows, df = themed(spark)
+    model = MT.fit_topics(df, 3)
+    got = df.select("*", M.tokens_and_topic(F.col("text"), model).alias("m")).collect()
+    assert len(got) == len(rows)
+    found = [{r["m"]["topic"] for r in got if r["doc_id"] is not None and r["doc_id"] < 300 and r["doc_id"] % 3 == t} for t in range(3)]
+    assert all(len(x) == 1 for x in found) and set().union(*found) == {0, 1, 2}
+    assert all(r["m"]["topic"] is None for r in got if r["doc_id"] is None or r["doc_id"] >= 400)
+
+
+def test_topics_equal_plain_python_and_any_partitioning(spark):
+    rows, df = themed(spark)
+    model = MT.fit_topics(df, 3)
+    again = MT.fit_topics(df.repartition(7, "text"), 3)
+    assert (model.weight == again.weight).all() and (model.centre == again.centre).all()
+
+    def group(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        return int(T.hash_spans(raw, np.array([0]), np.array([len(raw)]))[0] % np.uint64(MT.FEATURES))
+
+    sets = [s for s in ({group(w.lower()) for w in (t or "").split() if len(w.encode()) >= 6} for _, t in rows) if s]
+    df_of = {f: sum(f in s for s in sets) for f in set().union(*sets)}
+    weight = {f: round(64 * math.log2(len(sets) / n)) if n >= 2 else 0 for f, n in df_of.items()}
+    assert {f: int(model.weight[f]) for f in weight} == weight and model.weight.astype(bool).sum() == sum(map(bool, weight.values()))
+    order = sorted(weight, key=lambda f: (-df_of[f] * weight[f] ** 2, f))
+    anchors = [f for f in order[:MT.CANDIDATES] if weight[f]]
+    company = [{f: sum(a in s and f in s for s in sets) * weight[f] for f in weight} for a in anchors]
+
+    def centre(profile):
+        norm = math.sqrt(sum(v * v for v in profile.values()))
+        return {f: round(v * 65536.0 / norm) for f, v in profile.items()}
+
+    units = [centre(c) for c in company]
+    like = lambda a, b: round(sum(units[a][f] * units[b][f] for f in weight) / 65536 ** 2, 9)
+    chosen = [0]
+    while len(chosen) < 3:
+        chosen.append(min((k for k in range(len(anchors)) if k not in chosen), key=lambda k: (max(like(k, c) for c in chosen), k)))
+    centres = [units[k] for k in chosen]
+
+    def of(s):
+        scores = [sum(c[f] * weight[f] for f in s) for c in centres]
+        return scores.index(max(scores)) if max(scores) > 0 else None
+
+    for _ in range(MT.ROUNDS):
+        sums = [dict.fromkeys(weight, 0) for _ in centres]
+        for s in sets:
+            t, norm = of(s), math.sqrt(sum(weight[f] ** 2 for f in s))
+            if t is not None:
+                for f in s:
+                    sums[t][f] += round(weight[f] * 65536 / norm)
+        centres = [centre(x) if any(x.values()) else c for x, c in zip(sums, centres)]
+    for t, c in enumerate(centres):
+        assert max(abs(c[f] - int(model.centre[t, f])) for f in weight) <= 1
+    got = [r["m"]["topic"] for r in df.select(M.tokens_and_topic(F.col("text"), model).alias("m")).collect()]
+    full = [{group(w.lower()) for w in (t or "").split() if len(w.encode()) >= 6} for _, t in rows]
+    assert got == [of(s) if s else None for s in full]
+
+
+def test_no_topics_without_words(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "doc_id long, text string")
+    for d in (df, df.limit(0)):
+        model = MT.fit_topics(d, 4)
+        assert model.centre.shape[0] == 0
+        assert all(r["m"]["topic"] is None for r in d.select(M.tokens_and_topic(F.col("text"), model).alias("m")).collect())
