@@ -250,6 +250,13 @@ def _banded(reps: DataFrame, percent: int) -> DataFrame:
     return reps.withColumn("band", band)
 
 
+def _groups(sizes: DataFrame) -> int:
+    """Groups that the rows of all tiles are dealt to: a class of a tile of
+    many lots has a row for each of them."""
+    rows = sizes.agg(F.sum(F.col("m") * F.col("lots"))).first()[0] or 0
+    return max(1, -(-rows // GROUP_ROWS))
+
+
 def _candidate_pairs(side: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (a, b) of ``side`` that share a key, differ in label and
     may link by size and bit counts.
@@ -260,11 +267,12 @@ def _candidate_pairs(side: DataFrame, percent: int) -> DataFrame:
     tiles = (side.withColumn("guest", F.explode(F.array(F.lit(0), F.lit(1))))
              .withColumn("band", F.col("band") + F.col("guest")))
     sizes = (tiles.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"), F.min("guest").alias("g"))
-             .where("m > 1 and g = 0").select("key", "band", F.ceil(F.col("m") / TILE_ROWS).cast("int").alias("lots")))
-    tiles = tiles.join(sizes, ["key", "band"]).withColumn("lot", F.pmod(F.xxhash64("id"), F.col("lots")).cast("int"))
+             .where("m > 1 and g = 0").select("key", "band", "m", F.ceil(F.col("m") / TILE_ROWS).cast("int").alias("lots")))
+    sizes = cut(sizes, "sizes")
+    groups = _groups(sizes)
+    tiles = tiles.join(sizes.drop("m"), ["key", "band"]).withColumn("lot", F.pmod(F.xxhash64("id"), F.col("lots")).cast("int"))
     tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
     tiles = tiles.withColumns({"lot_a": F.least("lot", "other"), "lot_b": F.greatest("lot", "other")})
-    groups = max(1, -(-side.count() // GROUP_ROWS))
     dealt = tiles.select("key", "band", "lot_a", "lot_b", "lot", "guest", "id", "n_shingles", "n_shared", "component",
                          "signature", F.pmod(F.xxhash64("key", "band", "lot_a", "lot_b"), F.lit(groups)).cast("int").alias("grp"))
     dealt = dealt.repartition(groups, "grp")

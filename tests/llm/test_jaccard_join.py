@@ -124,3 +124,17 @@ def test_links_are_all_pairs_between_different_texts(spark):
     got = {tuple(sorted((x, y))) for a, b in pairs for x in of[a] for y in of[b]}
     got |= {(x, y) for docs in of.values() for x in docs for y in docs if x < y}
     assert got == want and len(want) > 50
+
+
+def test_groups_stay_bounded_beside_a_huge_tile(spark, monkeypatch):
+    """Rows are counted after the lots have multiplied them."""
+    monkeypatch.setattr(J, "TILE_ROWS", 50)
+    monkeypatch.setattr(J, "GROUP_ROWS", 500)
+    monkeypatch.setattr(J, "_tile_pairs", lambda percent: lambda t: pa.table(
+        {"a": pa.array([t.num_rows], pa.int64()), "b": t.column("id").slice(0, 1).combine_chunks().cast(pa.int64())}))
+    keys = [(1, i) for i in range(1000)] + [(2 + i // 3, 1000 + i) for i in range(600)]
+    side = spark.createDataFrame([(k, i, 10, 10, i, 10, [0]) for k, i in keys],
+                                 "key long, id long, n_shingles int, n_shared int, component long, band int, signature array<long>")
+    sizes = [r["a"] for r in J._candidate_pairs(side, 80).collect()]
+    # 1,000 rows of the huge tile meet in 20 lots each; a band of guests alone is no tile.
+    assert sum(sizes) > 0.9 * (1000 * 20 + 600) and max(sizes) < 5 * J.GROUP_ROWS and len(sizes) > 30
