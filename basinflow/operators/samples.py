@@ -18,6 +18,7 @@ forecast-lead step = ``95 + lead_rank``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ from .asof import nearest_asof
 from .windows import (DEFAULT_BLOCK_DAYS, block_of, cell_mean, combine_copies, fan_out,
                       fan_partitions, weekly_bins)
 
+if TYPE_CHECKING:
+    from ..sinks.blocked import Blocked
+
 # Grouping keys of a sample: issue day number first (a cheap, selective sort
 # prefix), then the basin and the time block the rows are partitioned by.
 # ``split`` and ``issue_date`` depend on ``sday``; aggregates carry them as
@@ -325,15 +329,24 @@ def sample_stats(steps: DataFrame) -> DataFrame:
 # annual recipe
 # ---------------------------------------------------------------------------
 
-def annual_steps(flow: DataFrame, obs: DataFrame, blocks, recipe: AnnualRecipe = AnnualRecipe(),
-                 weather: list[str] = WEATHER6, block_days: int = DEFAULT_BLOCK_DAYS) -> DataFrame:
+def annual_series(flow: DataFrame, obs: DataFrame, weather: list[str] = WEATHER6) -> DataFrame:
+    """What the annual windows read, to be stored by ``write_blocked``."""
+    return _series(flow, obs, weather)
+
+
+def annual_steps(flow: DataFrame | None, obs: DataFrame | None, blocks, recipe: AnnualRecipe = AnnualRecipe(),
+                 weather: list[str] = WEATHER6, block_days: int = DEFAULT_BLOCK_DAYS,
+                 stored: Blocked | None = None) -> DataFrame:
     """Daily ``t0-365 .. t0`` windows of weather and flow, with gates.
 
     NaN/Inf in precipitation or flow rejects a sample; a length other than
     ``expected_len`` (the reference lets the first sample fix it) too.
+    ``stored`` (``write_blocked`` of ``annual_series``) stands for ``flow`` and
+    ``obs``; no row is moved then.
     """
     r = recipe
-    fan = fan_out(_series(flow, obs, weather), "basin_id", blocks, "year-start", r.lo, 0, block_days)
+    series = annual_series(flow, obs, weather) if stored is None else stored
+    fan = fan_out(series, "basin_id", blocks, "year-start", r.lo, 0, block_days)
     fan = fan.withColumn("step", F.col("off") - r.lo)
     is_w = F.col("src") != 0
     steps = fan.groupBy(*SAMPLE_KEYS, "step").agg(

@@ -93,8 +93,13 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
 
     Returns the series columns plus ``block, split, issue_date, sday, off``
     where ``off = date - issue_date`` lies in ``[lo, hi]``.  With ``candidates``
-    (``key``, split, issue_date) only their samples are built.
+    (``key``, split, issue_date) only their samples are built.  A series stored
+    by (key, block) (``sinks.blocked``) is not moved.
     """
+    stored = None if isinstance(series, DataFrame) else series
+    if stored is not None:
+        stored.check(key, lo, hi, block_days)
+        series, partitions = stored.df, stored.buckets
     spark = series.sparkSession
     cal = calendar_dates(blocks, stride)
     if not cal:
@@ -107,17 +112,21 @@ def fan_out(series: DataFrame, key: str, blocks: Blocks, stride, lo: int, hi: in
                                              F.lit(last + dt.timedelta(days=hi))))
     b_min = F.lit((first - dt.date(1970, 1, 1)).days // block_days)
     b_max = F.lit((last - dt.date(1970, 1, 1)).days // block_days)
-    b_lo = F.greatest(block_of(F.date_sub(F.col(date_col), hi), block_days), b_min)
-    b_hi = F.least(block_of(F.date_sub(F.col(date_col), lo), block_days), b_max)
-    s = s.withColumn("block", F.explode(F.sequence(b_lo, b_hi)))
+    if stored is not None:
+        s = s.where(F.col("block").between(b_min, b_max))
+    else:
+        b_lo = F.greatest(block_of(F.date_sub(F.col(date_col), hi), block_days), b_min)
+        b_hi = F.least(block_of(F.date_sub(F.col(date_col), lo), block_days), b_max)
+        s = s.withColumn("block", F.explode(F.sequence(b_lo, b_hi)))
+        if candidates is not None:
+            s = s.join(candidates.select(key).distinct(), key, "left_semi")
+        s = s.repartition(n, key, "block")
     day = F.unix_date(date_col)
     if candidates is not None:
-        s = s.join(candidates.select(key).distinct(), key, "left_semi").repartition(n, key, "block")
         days = candidate_days(candidates, key, block_days).repartition(n, key, "block")
         s = s.join(days.hint("shuffle_hash"), [key, "block"])
         mine = F.filter("_days", lambda d: (d["sday"] >= day - hi) & (d["sday"] <= day - lo))
     else:
-        s = s.repartition(n, key, "block")
         block_first = F.col("block") * block_days
         mine = issue_days_between(F.greatest(day - hi, block_first),
                                   F.least(day - lo, block_first + (block_days - 1)), blocks, stride)

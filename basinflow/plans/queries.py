@@ -863,6 +863,21 @@ def q_annual_samples(spark, sf_dir):
                     *[r4(c) for c in ANNUAL_FEATURES])
 
 
+@register("blocked_samples", with_views(
+    "SELECT basin_id, split, strftime(issue_date, '%Y-%m-%d') AS forecast_date, step, "
+    + ", ".join(osql.r4(c) for c in ANNUAL_FEATURES) + " FROM annual WHERE reason IS NULL",
+    "flow_dense", "obs", extra=_ANN))
+def q_blocked_samples(spark, sf_dir):
+    """K6 + J5: annual samples from a series stored by (basin, time block)."""
+    from ..sinks.blocked import read_blocked, write_blocked
+    f = Fixtures(spark, sf_dir)
+    path = f.scratch_path("blocked_series")
+    write_blocked(smp.annual_series(f.flow_dense, f.obs), path, smp.AnnualRecipe().lo, 0)
+    a = smp.annual_steps(None, None, fx.ANNUAL_BLOCKS, stored=read_blocked(spark, path)).where(F.col("reason").isNull())
+    return a.select("basin_id", "split", iso_date("issue_date").alias("forecast_date"), "step",
+                    *[r4(c) for c in ANNUAL_FEATURES])
+
+
 # --------------------------------------------------------------------------
 # metrics on predictions
 # --------------------------------------------------------------------------
